@@ -50,11 +50,23 @@ class KMeansModel:
         return spark.createDataFrame(rows, "cluster int, center array<double>, n bigint, cost double")
 
 
+def _assigned(df: DataFrame, features: Sequence[str], centers, cluster: str = "cluster",
+              distance: str = "distance") -> DataFrame:
+    """Squared distances as columns first, then argmin over the columns: the
+    k·d-term distance expressions are computed once per row, not k times."""
+    xs = [F.col(c).cast("double") for c in features]
+    d2 = _sq_dists(xs, centers)
+    tmp = [f"_d2_{j}" for j in range(len(centers))]
+    cols = [F.col(t) for t in tmp]
+    staged = df.select("*", *[e.alias(t) for e, t in zip(d2, tmp)])
+    out = staged.withColumn(cluster, argmin(cols)).withColumn(
+        distance, F.sqrt(F.least(*cols) if len(cols) > 1 else cols[0]))
+    return out.drop(*tmp)
+
+
 def kmeans_assign(df: DataFrame, features: Sequence[str], centers: Sequence[Sequence[float]],
                   cluster: str = "cluster", distance: str = "distance") -> DataFrame:
-    xs = [F.col(c).cast("double") for c in features]
-    idx, dist = assign_columns(xs, centers)
-    return df.withColumn(cluster, idx).withColumn(distance, dist)
+    return _assigned(df, features, centers, cluster, distance)
 
 
 def kmeans_update(assigned: DataFrame, features: Sequence[str], cluster: str = "cluster",
@@ -97,9 +109,7 @@ def kmeans_fit(df: DataFrame, features: Sequence[str], k: int, key: str | None =
         it = 0
         converged = False
         while it < max_iter:
-            idx, dist = assign_columns(xs, centers)
-            rows = kmeans_update(base.select(*xs, idx.alias("cluster"), dist.alias("distance")),
-                                 features).collect()
+            rows = kmeans_update(_assigned(base, features, centers), features).collect()
             it += 1
             sizes, costs = [0] * len(centers), [0.0] * len(centers)
             new = [list(c) for c in centers]

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import distance as D
-from ..functions.vector import argmin, components, total
+from ..functions.vector import components, total
 from .relational import top_k_per_group
 
 
@@ -63,8 +63,6 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
         raise ValueError("k must be at least 1")
     t = train.select(F.col(tid).alias("_tid"), F.col(tvec).alias("_tv"), *extra)
     q = queries.select(F.col(qid).alias("_qid"), F.col(qvec).alias("_qv"))
-    tx = components(F.col("_tv"), dim)
-    qx = components(F.col("_qv"), dim)
     # pivots: m train rows in hash order of the key (deterministic, spread over the data)
     piv_rows = (t.select("_tid", "_tv").orderBy(F.xxhash64("_tid"), "_tid").limit(n_pivots).collect())
     pivots = [[float(v) for v in r["_tv"]] for r in piv_rows]
@@ -73,12 +71,22 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
         return queries.sparkSession.createDataFrame(
             [], f"{qid} {queries.schema[qid].dataType.simpleString()}, "
                 f"{tid} {train.schema[tid].dataType.simpleString()}, rank int, distance double")
-    t_d = [_sq(tx, p) for p in pivots]
-    cell = argmin(t_d)
-    tc = t.withColumn("_cell", cell).withColumn("_r", F.sqrt(F.least(*t_d) if m > 1 else t_d[0]))
+    # distances to all m pivots as one array expression (m·d work per row,
+    # compact code: a lambda over a literal m × d array instead of m·d unrolled terms)
+    piv = F.array(*[F.array(*[F.lit(v) for v in p]) for p in pivots])
+
+    def pivot_dists(vec: str) -> Column:
+        return F.transform(piv, lambda p: F.sqrt(F.aggregate(
+            F.zip_with(F.col(vec), p, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)))
+
+    def nearest_pivot(arr: str) -> Column:  # first index of the minimum (ties → smaller pivot)
+        return F.array_position(F.col(arr), F.array_min(F.col(arr))).cast("int") - 1
+
+    tc = (t.withColumn("_pd", pivot_dists("_tv"))
+          .select("_tid", "_tv", *extra, nearest_pivot("_pd").alias("_cell"), F.array_min("_pd").alias("_r")))
     radii = {r["_cell"]: float(r["R"]) for r in tc.groupBy("_cell").agg(F.max("_r").alias("R")).collect()}
-    q_d = [F.sqrt(_sq(qx, p)) for p in pivots]
-    qc = q.select("_qid", "_qv", argmin(q_d).alias("_home"), F.array(*q_d).alias("_pd"))
+    qc = (q.withColumn("_pd", pivot_dists("_qv"))
+          .select("_qid", "_qv", nearest_pivot("_pd").alias("_home"), "_pd"))
 
     def score(pairs: DataFrame) -> DataFrame:
         d2 = total([(a - b) * (a - b) for a, b in zip(components(F.col("_qv"), dim),
