@@ -55,7 +55,8 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
             extra: Sequence[str] = ()) -> DataFrame:
     """Exact k nearest train rows (Euclidean) for every query row.
 
-    Output: ``qid, tid, rank, distance`` (+ ``extra`` train columns); ties in
+    Output: ``qid, tid, rank, distance`` (+ ``extra`` train columns; the train
+    id is renamed ``<tid>_neighbor`` when both ids share a name); ties in
     distance go to the smaller ``tid``.  ``exclude_self`` drops pairs with
     ``qid == tid``.  Fewer than k rows are returned when train is smaller.
     """
@@ -114,7 +115,8 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     round2 = score(reach.select("_qid", "_qv", "_cell").join(tc, "_cell"))
     cand = top1.drop("rank").unionByName(round2.select("_qid", "_tid", "distance", *extra))
     final = top_k_per_group(cand, ["_qid"], order, k)
-    return final.select(F.col("_qid").alias(qid), F.col("_tid").alias(tid), "rank", "distance", *extra)
+    out_tid = tid if tid != qid else f"{tid}_neighbor"
+    return final.select(F.col("_qid").alias(qid), F.col("_tid").alias(out_tid), "rank", "distance", *extra)
 
 
 def knn_vote(neighbors: DataFrame, qid: str, label: str, prediction: str = "prediction") -> DataFrame:

@@ -83,10 +83,19 @@ def _matmul(x: Column, y_entries: list[Column], n: int) -> list[Column]:
 
 
 def _normalise(entries: list[Column], scale: Column) -> Column:
-    mx = F.greatest(*entries) if len(entries) > 1 else entries[0]
-    safe = F.when(mx > 0, mx).otherwise(F.lit(1.0))
-    return F.struct(F.array(*[e / safe for e in entries]).alias("m"),
-                    (scale + F.when(mx > 0, F.log(mx)).otherwise(F.lit(float("-inf")))).alias("s"))
+    """Scale a matrix by its largest entry, adding log(max) to the running log-scale.
+
+    The entries are bound once (``transform`` over a one-element array) so the
+    maximum and the divisions read the computed values instead of re-evaluating
+    the product expressions.
+    """
+    def scaled(p):
+        mx = F.array_max(p)
+        safe = F.when(mx > 0, mx).otherwise(F.lit(1.0))
+        return F.struct(F.transform(p, lambda e: e / safe).alias("m"),
+                        (scale + F.when(mx > 0, F.log(mx)).otherwise(F.lit(float("-inf")))).alias("s"))
+
+    return F.element_at(F.transform(F.array(F.array(*entries)), scaled), 1)
 
 
 def _fold(items: Column, n: int, reverse: bool, entries_of) -> Column:
