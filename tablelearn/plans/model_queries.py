@@ -396,12 +396,77 @@ def _id3_model(spark, d):
     return tree.id3_fit(docs_labeled(spark, d), ID3_FEATURES, "quality", threshold=0.0, max_depth=2)
 
 
-@query("id3_fit")
+def _id3_level_sql(tag: str, assign: str) -> dict:
+    """Statistics of the nodes in ``assign(doc_id, node)``: label counts, entropy, gains."""
+    return {
+        f"h{tag}": f"SELECT node, sum(CASE WHEN c > 0 THEN -(c / t) * log2(c / t) ELSE 0 END) AS h, "
+                   f"CAST(sum(c) AS BIGINT) AS n, count(*) AS n_labels, arg_min(quality, (-c, quality)) AS label "
+                   f"FROM (SELECT a.node, b.quality, CAST(count(*) AS DOUBLE) AS c, "
+                   f"CAST(sum(count(*)) OVER (PARTITION BY a.node) AS DOUBLE) AS t "
+                   f"FROM {assign} a JOIN b ON a.doc_id = b.doc_id GROUP BY a.node, b.quality) GROUP BY node",
+        f"g{tag}": f"SELECT node, feature, pos, h - ce AS gain FROM (SELECT node, feature, pos, "
+                   f"sum(-(c / nf) * log2(c / nv)) AS ce FROM (SELECT *, sum(c) OVER (PARTITION BY node, feature, value) "
+                   f"AS nv, sum(c) OVER (PARTITION BY node, feature) AS nf FROM (SELECT a.node, l.feature, l.pos, "
+                   f"l.value, l.quality, CAST(count(*) AS DOUBLE) AS c FROM {assign} a JOIN lb l ON a.doc_id = l.doc_id "
+                   f"GROUP BY a.node, l.feature, l.pos, l.value, l.quality)) GROUP BY node, feature, pos) "
+                   f"JOIN h{tag} USING (node)",
+    }
+
+
+def _id3_ctes() -> dict:
+    unp = " UNION ALL ".join(f"SELECT doc_id, quality, '{f}' AS feature, {f} AS value, {i} AS pos FROM dl"
+                             for i, f in enumerate(ID3_FEATURES))
+    parts = {"dl": DOCS_LABELED_SQL, "b": "SELECT * FROM dl WHERE quality IS NOT NULL",
+             "la": unp, "lb": "SELECT * FROM la WHERE quality IS NOT NULL",
+             "a0": "SELECT doc_id, 0 AS node FROM b"}
+    parts.update(_id3_level_sql("0", "a0"))
+    # best root feature (ties: list order); split when impure and gain >= threshold (0)
+    parts["s0"] = ("SELECT g.node, arg_min(g.feature, (-g.gain, g.pos)) AS feature, max(g.gain) AS gain, "
+                   "any_value(h.n_labels) > 1 AND max(g.gain) >= 0 AS split "
+                   "FROM g0 g JOIN h0 h USING (node) GROUP BY g.node")
+    parts["n1"] = ("SELECT value AS edge_value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS node_id "
+                   "FROM (SELECT DISTINCT l.value FROM lb l JOIN s0 ON l.feature = s0.feature AND s0.split "
+                   "WHERE l.value IS NOT NULL)")
+    parts["r1"] = ("SELECT l.doc_id, n1.node_id AS node FROM la l JOIN s0 ON l.feature = s0.feature AND s0.split "
+                   "JOIN n1 ON l.value = n1.edge_value")
+    parts["a1"] = "SELECT r1.* FROM r1 JOIN b ON r1.doc_id = b.doc_id"
+    parts.update(_id3_level_sql("1", "a1"))
+    parts["s1"] = ("SELECT g.node, arg_min(g.feature, (-g.gain, g.pos)) AS feature, max(g.gain) AS gain, "
+                   "any_value(h.n_labels) > 1 AND max(g.gain) >= 0 AS split, any_value(h.n_labels) > 1 AS impure "
+                   "FROM g1 g JOIN h1 h USING (node) WHERE g.feature <> (SELECT feature FROM s0) GROUP BY g.node")
+    parts["n2"] = ("SELECT parent_id, edge_value, CAST((SELECT count(*) FROM n1) + row_number() OVER "
+                   "(ORDER BY parent_id, edge_value) AS INTEGER) AS node_id FROM (SELECT DISTINCT a.node AS parent_id, "
+                   "l.value AS edge_value FROM a1 a JOIN s1 ON a.node = s1.node AND s1.split "
+                   "JOIN lb l ON l.doc_id = a.doc_id AND l.feature = s1.feature WHERE l.value IS NOT NULL)")
+    parts["r2"] = ("SELECT r.doc_id, n2.node_id AS node FROM r1 r JOIN s1 ON r.node = s1.node AND s1.split "
+                   "JOIN la l ON l.doc_id = r.doc_id AND l.feature = s1.feature "
+                   "JOIN n2 ON n2.parent_id = r.node AND n2.edge_value = l.value")
+    parts["a2"] = "SELECT r2.* FROM r2 JOIN b ON r2.doc_id = b.doc_id"
+    parts["h2"] = _id3_level_sql("2", "a2")["h2"]
+    parts["tree"] = (
+        "SELECT 0 AS node_id, CAST(NULL AS INTEGER) AS parent_id, 0 AS depth, "
+        "CASE WHEN s0.split THEN s0.feature END AS split_feature, CAST(NULL AS VARCHAR) AS edge_value, "
+        "h0.label, h0.n, CASE WHEN h0.n_labels > 1 THEN s0.gain END AS gain FROM h0 LEFT JOIN s0 USING (node) "
+        "UNION ALL SELECT n1.node_id, 0, 1, CASE WHEN s1.split THEN s1.feature END, n1.edge_value, h1.label, h1.n, "
+        "CASE WHEN s1.impure THEN s1.gain END FROM n1 JOIN h1 ON h1.node = n1.node_id "
+        "LEFT JOIN s1 ON s1.node = n1.node_id "
+        "UNION ALL SELECT n2.node_id, n2.parent_id, 2, NULL, n2.edge_value, h2.label, h2.n, NULL "
+        "FROM n2 JOIN h2 ON h2.node = n2.node_id")
+    return parts
+
+
+@query("id3_fit", lambda: f"""{cte(**_id3_ctes())}
+SELECT CAST(node_id AS INTEGER) AS node_id, CAST(parent_id AS INTEGER) AS parent_id,
+       CAST(depth AS INTEGER) AS depth, split_feature, edge_value, CAST(label AS VARCHAR) AS label,
+       n, {rnd('gain')} AS gain FROM tree""")
 def id3_fit_query(spark, d):
     return _id3_model(spark, d).to_df(spark).withColumn("gain", F.round("gain", 4))
 
 
-@query("id3_predict")
+@query("id3_predict", lambda: f"""{cte(**_id3_ctes())}
+SELECT dl.doc_id, CAST(coalesce(r2.node, r1.node, 0) AS INTEGER) AS node_id, t.label AS prediction
+FROM dl LEFT JOIN r1 ON dl.doc_id = r1.doc_id LEFT JOIN r2 ON dl.doc_id = r2.doc_id
+JOIN tree t ON t.node_id = coalesce(r2.node, r1.node, 0)""")
 def id3_predict_query(spark, d):
     m = _id3_model(spark, d)
     return tree.id3_predict(docs_labeled(spark, d), m).select("doc_id", "node_id", "prediction")
