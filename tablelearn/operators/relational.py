@@ -7,6 +7,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+
 
 def misclassified(df: DataFrame, prediction: str, label: str) -> DataFrame:
     """Rows whose prediction differs from the label (null labels excluded)."""
@@ -46,3 +48,36 @@ def arg_best(df: DataFrame, group: Sequence[str], value: str | Column, order: Se
     v = F.col(value) if isinstance(value, str) else value
     agg = F.max_by if largest else F.min_by
     return df.groupBy(*group).agg(agg(v, F.struct(*order)).alias(out))
+
+
+def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "rn",
+                partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by group order by order)`` without a per-group window.
+
+    A window would sort a whole group in one task; here rows are range-
+    partitioned on (group, order), numbered inside each partition with
+    ``monotonically_increasing_id``, and each partition's offset inside a group
+    comes from per-(group, partition) counts (at most one row per group and
+    partition).  A group holding a third of all rows is spread over many
+    partitions.  ``order`` must be unique within a group for a deterministic
+    numbering.  The numbered rows are written once with a reliable checkpoint
+    (``spark.checkpoint.dir``) because two branches read the ids.
+    """
+    group, order = list(group), list(order)
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (df.repartitionByRange(n_parts, *group, *order)
+               .sortWithinPartitions(*group, *order)
+               .withColumn("_pid", F.spark_partition_id())
+               .withColumn("_mid", F.monotonically_increasing_id()))
+    scratch_dir(df.sparkSession)
+    ordered = ordered.checkpoint(eager=True)
+    spans = ordered.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
+    w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    keys = group + ["_pid"]
+    right = spans.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], "_m0", "_off")
+    cond = [ordered[k].eqNullSafe(right[f"_r{i}"]) for i, k in enumerate(keys)]  # null groups too
+    out_df = ordered.join(right, cond, "inner")
+    rn = F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1
+    return out_df.withColumn(out, rn).drop("_pid", "_mid", "_m0", "_off",
+                                           *[f"_r{i}" for i in range(len(keys))])

@@ -12,10 +12,9 @@ No group ever holds more than max(chunk, fanout) items: a key with a third of
 all events is spread over many tasks.  Forward folds left to right,
 backward right to left (the β recursion); both give the same likelihood.
 
-Dense positions come from a range partition of (key, order columns): inside
-a partition, rows are sorted and numbered by ``monotonically_increasing_id``;
-per-(key, partition) counts give each partition's offset.  No window runs
-over a whole key.
+Dense positions come from ``relational.row_numbers`` (range partition of
+key and order columns, numbering inside partitions, per-partition offsets):
+no window runs over a whole key.
 """
 
 from __future__ import annotations
@@ -23,11 +22,11 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
 from .encode import label_index
+from .relational import row_numbers
 
 
 def positions(df: DataFrame, key: str, order: Sequence[str], symbol: str,
@@ -41,23 +40,8 @@ def positions(df: DataFrame, key: str, order: Sequence[str], symbol: str,
     idx = F.element_at(F.create_map(*[x for i, s in enumerate(symbols) for x in (F.lit(s), F.lit(i))]),
                        F.col(symbol))
     base = df.select(key, *order, idx.alias("obs")).where(F.col("obs").isNotNull())
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (base.repartitionByRange(n_parts, key, *order)
-               .sortWithinPartitions(key, *order)
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id()))
-    # the ids are read by two branches below: write them once (reliable checkpoint in
-    # spark.checkpoint.dir) so both see the same numbering, also after an executor loss
-    scratch_dir(df.sparkSession)
-    ordered = ordered.checkpoint(eager=True)
-    # per (key, partition): count and first id; offsets by a window over this small table
-    # (one row per key and partition it spans, so a key spans at most n_parts rows)
-    spans = ordered.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
-    w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    out = ordered.join(spans.select(key, "_pid", "_m0", "_off"), [key, "_pid"])
-    pos = F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1
-    return out.select(key, pos.alias("pos"), "obs")
+    numbered = row_numbers(base, [key], list(order), out="pos", partitions=partitions)
+    return numbered.select(key, "pos", "obs")
 
 
 def _mat_lit(m) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import sign
@@ -270,9 +269,10 @@ SELECT p_partkey, y_sep, CAST(row_number() OVER (PARTITION BY y_sep ORDER BY p_p
 FROM (SELECT p_partkey, y_sep, {_sign_sql()} AS prediction FROM ({PART_POINTS_SQL}))
 WHERE prediction <> y_sep""")
 def win_row_number(spark, d):
-    err = relational.misclassified(_signed(spark, d), "prediction", "y_sep")
-    w = Window.partitionBy("y_sep").orderBy("p_partkey")
-    return err.select("p_partkey", "y_sep", F.row_number().over(w).alias("rn"))
+    err = relational.misclassified(_signed(spark, d), "prediction", "y_sep").select("p_partkey", "y_sep")
+    # row_number() over (partition by label order by key), without sorting a label in one task
+    return relational.row_numbers(err, ["y_sep"], ["p_partkey"], out="rn").select(
+        "p_partkey", "y_sep", F.col("rn").cast("int").alias("rn"))
 
 
 @query("sort_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")

@@ -120,3 +120,19 @@ def test_fit_is_one_job_per_iteration(spark):
     # one aggregation (one scan) per evaluation; AQE runs its map stage and its
     # final stage as two jobs, plus at most one job for caching the projection
     assert evaluations <= len(jobs) <= 2 * evaluations + 1
+
+
+def test_row_numbers_hot_group_matches_window(spark):
+    from pyspark.sql import Window
+
+    from tablelearn.operators.relational import row_numbers
+
+    # one group holds most rows; one group key is null
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).when(F.col("id") % 10 == 9, F.lit(None))
+        .otherwise(F.concat(F.lit("g"), (F.col("id") % 4).cast("string"))).alias("g"),
+        ((F.col("id") * 7919) % 3001).alias("k"))
+    got = row_numbers(df, ["g"], ["k"], partitions=7)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k")))
+    assert sorted(map(tuple, got.select("g", "k", "rn").collect()), key=repr) == \
+        sorted(map(tuple, want.select("g", "k", "rn").collect()), key=repr)
