@@ -3,7 +3,7 @@
 Fit = two aggregations: class counts, and counts of (class, feature, value)
 from the unpivoted table (partial aggregation before the shuffle, so a hot
 class or value costs one row per task).  Scoring is a sum of log-probability
-lookups; a model with at most ``MAX_LITERAL_ENTRIES`` cells is applied as
+lookups; a model with at most ``LITERAL_CELLS`` cells is applied as
 literal maps (no join, no shuffle), a larger one through an equi-join of the
 unpivoted query rows with the cell table, one row per (row, class) generated
 from the bounded class list.
@@ -19,9 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vector import argmax, pick, total
-from .encode import MAX_LITERAL_ENTRIES, collect_small, literal_map, unpivot_features
+from .encode import collect_small, literal_map, unpivot_features
 from .loop import persisted
 
+# largest model scored through literal maps (a map lookup scans its keys, so
+# bigger models are scored through a join instead)
+LITERAL_CELLS = 20_000
+
 
 @dataclass
 class NBModel:
@@ -65,7 +69,7 @@ def nb_fit(df: DataFrame, features: Sequence[str], label: str, smoothing: float
                         {f: nv.get(f, 0) for f in features}, priors, cells)
         if collect_cells:
             try:
-                rows = collect_small(cells.select(label, "feature", "value", "n"), MAX_LITERAL_ENTRIES)
+                rows = collect_small(cells.select(label, "feature", "value", "n"), LITERAL_CELLS)
             except ValueError:
                 rows = None
             if rows is not None:
