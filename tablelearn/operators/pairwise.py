@@ -86,7 +86,12 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     tc = (t.withColumn("_pd", pivot_dists("_tv"))
           .select("_tid", "_tv", *extra, nearest_pivot("_pd").alias("_cell"), F.array_min("_pd").alias("_r")))
     radii = {r["_cell"]: float(r["R"]) for r in tc.groupBy("_cell").agg(F.max("_r").alias("R")).collect()}
-    qc = (q.withColumn("_pd", pivot_dists("_qv"))
+    # spread the pair work by query id: this is also the distribution the
+    # per-query ranking needs, so the ranking adds no further shuffle when the
+    # train side is broadcast (an explicit count keeps AQE from coalescing the
+    # work back into a few tasks)
+    n_parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    qc = (q.repartition(n_parts, "_qid").withColumn("_pd", pivot_dists("_qv"))
           .select("_qid", "_qv", nearest_pivot("_pd").alias("_home"), "_pd"))
 
     def score(pairs: DataFrame) -> DataFrame:
