@@ -69,6 +69,21 @@ class GaussianTerms:
                 terms.append(centred[a] * centred[b] * F.lit(float(2.0 * self.precision[a, b])))
         return F.lit(self.const) - F.lit(0.5) * total(terms)
 
+    def log_pdf_array(self, x: Column) -> Column:
+        """Same density for an ``array<double>`` column, as array lambdas (wide features:
+        d² terms would not fit in generated code).  The centred vector is bound once."""
+        mu = F.array(*[F.lit(float(m)) for m in self.mean])
+        prec = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in self.precision])
+
+        def quad(c):
+            pc = F.transform(prec, lambda row: F.aggregate(F.zip_with(row, c, lambda a, b: a * b),
+                                                           F.lit(0.0), lambda acc, t: acc + t))
+            return F.aggregate(F.zip_with(c, pc, lambda a, b: a * b), F.lit(0.0), lambda acc, t: acc + t)
+
+        centred = F.array(F.zip_with(x, mu, lambda a, b: a - b))
+        q = F.element_at(F.transform(centred, quad), 1)
+        return F.lit(self.const) - F.lit(0.5) * q
+
     def log_pdf_numpy(self, x: np.ndarray) -> np.ndarray:
         c = np.atleast_2d(x) - self.mean
         return self.const - 0.5 * np.einsum("ij,jk,ik->i", c, self.precision, c)

@@ -50,10 +50,31 @@ class KMeansModel:
         return spark.createDataFrame(rows, "cluster int, center array<double>, n bigint, cost double")
 
 
+# above this many k·d terms the assignment uses one array lambda instead of
+# unrolled expressions (keeps generated code under the JVM method size limit)
+UNROLL_TERMS = 512
+
+
+def _assigned_wide(df: DataFrame, features: Sequence[str], centers, cluster: str,
+                   distance: str) -> DataFrame:
+    """Wide form: squared distances to all centres as one array expression."""
+    x = F.array(*[F.col(c).cast("double") for c in features])
+    cen = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
+    d2 = F.transform(cen, lambda c: F.aggregate(F.zip_with(F.col("_x"), c, lambda a, b: (a - b) * (a - b)),
+                                                F.lit(0.0), lambda acc, t: acc + t))
+    staged = df.withColumn("_x", x).withColumn("_d2", d2)
+    out = (staged.withColumn(cluster, (F.array_position("_d2", F.array_min("_d2")) - 1).cast("int"))
+           .withColumn(distance, F.sqrt(F.array_min("_d2"))))
+    return out.drop("_x", "_d2")
+
+
 def _assigned(df: DataFrame, features: Sequence[str], centers, cluster: str = "cluster",
               distance: str = "distance") -> DataFrame:
     """Squared distances as columns first, then argmin over the columns: the
-    k·d-term distance expressions are computed once per row, not k times."""
+    k·d-term distance expressions are computed once per row, not k times.
+    Ties go to the smaller cluster index in both forms."""
+    if len(features) * len(centers) > UNROLL_TERMS:
+        return _assigned_wide(df, features, centers, cluster, distance)
     xs = [F.col(c).cast("double") for c in features]
     d2 = _sq_dists(xs, centers)
     tmp = [f"_d2_{j}" for j in range(len(centers))]

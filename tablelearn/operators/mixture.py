@@ -42,12 +42,23 @@ class GMMModel:
             rows, "component int, weight double, mean array<double>, cov array<array<double>>")
 
 
+# above this many features the E step uses array lambdas and the M-step
+# statistics come from weighted vector sums (d² unrolled terms would not fit
+# in generated code or in one aggregate)
+WIDE_FEATURES = 8
+
+
+def _wide(model: GMMModel) -> bool:
+    return len(model.features) > WIDE_FEATURES
+
+
 def log_joint(xs: Sequence[Column], model: GMMModel) -> list[Column]:
     """log(w_j) + log N(x; μ_j, Σ_j) for each component j (null weight → -inf)."""
     out = []
+    arr = F.array(*xs) if _wide(model) else None
     for w, g in zip(model.weights, model.terms()):
         lw = float(np.log(w)) if w > 0 else float("-inf")
-        out.append(F.lit(lw) + g.log_pdf(xs))
+        out.append(F.lit(lw) + (g.log_pdf_array(arr) if arr is not None else g.log_pdf(xs)))
     return out
 
 
@@ -59,8 +70,42 @@ def responsibilities(xs: Sequence[Column], model: GMMModel) -> tuple[list[Column
     return [F.exp(v - lse) for v in lp], lse
 
 
+def _wide_step_stats(base: DataFrame, features: Sequence[str], model: GMMModel) -> dict:
+    """Wide form of the statistics: per component, the γ-weighted sum of the
+    vector [x, upper triangle of x xᵀ] (``Summarizer``), all in one pass."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    d = len(features)
+    xs = [F.col(c) for c in features]
+    gam, lse = responsibilities(xs, model)
+    staged = base.select(F.array(*xs).alias("_x"), *[g.alias(f"_g{j}") for j, g in enumerate(gam)],
+                         lse.alias("_lse"))
+    x = F.col("_x")
+    upper = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda a: F.transform(
+        F.sequence(a, F.lit(d - 1)), lambda b: F.element_at(x, a + 1) * F.element_at(x, b + 1))))
+    staged = staged.withColumn("_v", array_to_vector(F.concat(x, upper)))
+    summ = Summarizer.metrics("sum")  # weighted: Σ γ_j · v
+    row = staged.select(F.sum("_lse").alias("ll"), F.count(F.lit(1)).alias("n"),
+                        *[F.sum(f"_g{j}").alias(f"g{j}") for j in range(len(gam))],
+                        *[summ.summary(F.col("_v"), F.col(f"_g{j}")).alias(f"m{j}")
+                          for j in range(len(gam))]).first()
+    stats = {"ll": row["ll"], "n": row["n"]}
+    pairs = [(a, b) for a in range(d) for b in range(a, d)]
+    for j in range(len(gam)):
+        stats[f"g{j}"] = float(row[f"g{j}"] or 0.0)
+        tot = row[f"m{j}"]["sum"]
+        for a in range(d):
+            stats[f"s{j}_{a}"] = float(tot[a])
+        for i, (a, b) in enumerate(pairs):
+            stats[f"q{j}_{a}_{b}"] = float(tot[d + i])
+    return stats
+
+
 def gmm_step_stats(base: DataFrame, features: Sequence[str], model: GMMModel) -> dict:
     """One job: log-likelihood and Σγ, Σγx, Σγxxᵀ per component at the current model."""
+    if _wide(model):
+        return _wide_step_stats(base, features, model)
     xs = [F.col(c) for c in features]
     gam, lse = responsibilities(xs, model)
     d = len(features)
