@@ -172,7 +172,7 @@ def agg_keyed_histogram(spark, d):
 
 
 @query("agg_majority", """
-SELECT c_nationkey, c_mktsegment AS majority, n AS n_majority, total AS n FROM (
+SELECT c_nationkey, c_mktsegment AS majority, n AS n_majority, CAST(total AS BIGINT) AS n FROM (
   SELECT c_nationkey, c_mktsegment, n, sum(n) OVER (PARTITION BY c_nationkey) AS total,
          row_number() OVER (PARTITION BY c_nationkey ORDER BY n DESC, c_mktsegment) AS r
   FROM (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer
