@@ -18,7 +18,7 @@ from ..operators.pairwise import group_means, keyed_distance
 from ..sources.tables import read_table
 from .inputs import (DOCS_LABELED_SQL, EMB_DIM, EMBEDDINGS_SQL, PART_POINTS_SQL, cte, docs_labeled,
                      embeddings, part_points)
-from .registry import dbl, query, rnd
+from .registry import dbl, query, rnd, r4
 
 MINKOWSKI_P = 3.0
 
@@ -83,7 +83,7 @@ def _vector_metric(name: str):
         if name == "std_euclidean":
             kw["scales"] = D.feature_scales(e, array_col="v", dim=EMB_DIM)
         out = keyed_distance(e, cent, ["label"], "v", "c", name, dim=EMB_DIM, out=col, **kw)
-        return out.select("vec_id", "label", F.round(col, 4).alias(col))
+        return out.select("vec_id", "label", r4(col, 4).alias(col))
 
     return run
 
@@ -118,7 +118,7 @@ def dist_jaccard(spark, d):
     c = read_table(spark, d, "conversations").select("conv_id", "turn", F.split("text", " ", -1).alias("w"))
     prev = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("w").alias("w_prev"))
     return c.join(prev, ["conv_id", "turn"]).select(
-        "conv_id", "turn", F.round(D.jaccard("w", "w_prev"), 4).alias("jaccard"))
+        "conv_id", "turn", r4(D.jaccard("w", "w_prev"), 4).alias("jaccard"))
 
 
 # ------------------------------------------------------------------ scalar math
@@ -134,7 +134,7 @@ SELECT doc_id, {rnd(f"{dbl(1.0)} / ({dbl(1.0)} + exp(-((x_len * {dbl(LOGIT_W[0])
 def fn_sigmoid(spark, d):
     dl = docs_labeled(spark, d)
     z = linear([F.col("x_len"), F.col("x_en")], LOGIT_W, 0.0)
-    return dl.select("doc_id", F.round(sigmoid(z), 4).alias("probability"))
+    return dl.select("doc_id", r4(sigmoid(z), 4).alias("probability"))
 
 
 @query("fn_dot_sign", f"""
@@ -157,7 +157,7 @@ def fn_entropy_term(spark, d):
     # one row per language: a global window over a model-sized table
     p = F.col("n") / F.sum("n").over(Window.partitionBy())
     return counts.select("lang", p.alias("p")).select(
-        "lang", F.round("p", 4).alias("p"), F.round(entropy_term(F.col("p")), 4).alias("term"))
+        "lang", r4("p", 4).alias("p"), r4(entropy_term(F.col("p")), 4).alias("term"))
 
 
 def _gauss_sql():
@@ -174,5 +174,5 @@ def _gauss_sql():
 def fn_gauss_pdf(spark, d):
     g = GaussianTerms(GAUSS_MEAN, GAUSS_COV)
     pts = part_points(spark, d)
-    return pts.select("p_partkey", F.round(g.log_pdf([F.col("x1"), F.col("x2")]), 4).alias("log_pdf"))
+    return pts.select("p_partkey", r4(g.log_pdf([F.col("x1"), F.col("x2")]), 4).alias("log_pdf"))
 

@@ -15,7 +15,7 @@ from ..operators import bayes, cluster, linear, mixture, pairwise, tree
 from ..operators.encode import label_index
 from .inputs import (DOCS_LABELED_SQL, EMB_DIM, EMBEDDINGS_SQL, PART_POINTS_SQL, cte, docs_labeled,
                      embeddings, part_points)
-from .registry import dbl, query, rnd
+from .registry import dbl, query, rnd, r4
 
 XS = ["x1", "x2"]
 DOC_XS = ["x_len", "x_en"]
@@ -35,7 +35,7 @@ GMM_FIXED = dict(weights=(0.4, 0.6), means=((0.3, 0.3), (0.7, 0.6)),
 
 
 def _round_model(df, col="weight"):
-    return df.withColumn(col, F.round(col, 4))
+    return df.withColumn(col, r4(col, 4))
 
 
 def _weights_sql(last: str, names=("x1", "x2")) -> str:
@@ -183,7 +183,7 @@ WHERE m.idx = CASE WHEN (x_len * w.w1 + x_en * w.w2) + {dbl(0.0)} >= 0 THEN 1 EL
 def logreg_predict_query(spark, d):
     m = _lr_model(spark, d)
     out = linear.linear_predict(docs_labeled(spark, d), m)
-    return out.select("doc_id", F.round("probability", 4).alias("probability"), "prediction")
+    return out.select("doc_id", r4("probability", 4).alias("probability"), "prediction")
 
 
 def _fixed_lr_sql():
@@ -211,17 +211,17 @@ SELECT {rnd('log_loss')} AS log_loss, {rnd('mean_true_prob')} AS mean_true_prob
 def logreg_objective_query(spark, d):
     base, z, s, yv, sp = _fixed_lr_stats(spark, d)
     loss = F.when(yv == 1.0, sp(-z)).otherwise(sp(z))
-    return base.agg(F.round(F.avg(loss), 4).alias("log_loss"),
-                    F.round(F.avg(yv * s + (F.lit(1.0) - yv) * (F.lit(1.0) - s)), 4).alias("mean_true_prob"))
+    return base.agg(r4(F.avg(loss), 4).alias("log_loss"),
+                    r4(F.avg(yv * s + (F.lit(1.0) - yv) * (F.lit(1.0) - s)), 4).alias("mean_true_prob"))
 
 
 @query("logreg_gradient", lambda: f"""{_fixed_lr_sql()}
 SELECT {rnd('g1', 6)} AS g_x_len, {rnd('g2', 6)} AS g_x_en, {rnd('g_bias', 6)} AS g_bias FROM sf""")
 def logreg_gradient_query(spark, d):
     base, z, s, yv, sp = _fixed_lr_stats(spark, d)
-    return base.agg(F.round(F.avg((s - yv) * F.col("x_len")), 6).alias("g_x_len"),
-                    F.round(F.avg((s - yv) * F.col("x_en")), 6).alias("g_x_en"),
-                    F.round(F.avg(s - yv), 6).alias("g_bias"))
+    return base.agg(r4(F.avg((s - yv) * F.col("x_len")), 6).alias("g_x_len"),
+                    r4(F.avg((s - yv) * F.col("x_en")), 6).alias("g_x_en"),
+                    r4(F.avg(s - yv), 6).alias("g_bias"))
 
 
 # --------------------------------------------------------------------- k-means
@@ -265,8 +265,8 @@ def _km_model_sql(steps, k, centers=None):
 
 def _km_model_df(spark, model):
     df = model.to_df(spark)
-    return df.select("cluster", F.transform("center", lambda v: F.round(v, 4)).alias("center"), "n",
-                     F.round("cost", 4).alias("cost"))
+    return df.select("cluster", F.transform("center", lambda v: r4(v, 4)).alias("center"), "n",
+                     r4("cost", 4).alias("cost"))
 
 
 def _km_model(spark, d):
@@ -288,13 +288,13 @@ def kmeans_update_query(spark, d):
 SELECT p_partkey, cluster, {rnd('distance')} AS distance FROM ({_km_assign_sql('pts', 'cw0', KM_K)})""")
 def kmeans_assign_query(spark, d):
     out = cluster.kmeans_assign(part_points(spark, d), XS, KM_CENTERS)
-    return out.select("p_partkey", "cluster", F.round("distance", 4).alias("distance"))
+    return out.select("p_partkey", "cluster", r4("distance", 4).alias("distance"))
 
 
 def kmeans_predict_query(spark, d):
     m = _km_model(spark, d)
     out = cluster.kmeans_predict(part_points(spark, d), m)
-    return out.select("p_partkey", "cluster", F.round("distance", 4).alias("distance"))
+    return out.select("p_partkey", "cluster", r4("distance", 4).alias("distance"))
 
 
 query("kmeans_predict", lambda: f"""{cte(**_km_ctes(KM_STEPS, KM_K))}, cwf AS ({_wide(f'c{KM_STEPS}', KM_K)})
@@ -322,14 +322,14 @@ def _nb_model(spark, d):
 @query("nb_priors", lambda: f"""{cte(**_nb_ctes())}
 SELECT quality, n, {rnd(f"(n + {dbl(1.0)}) / (big_n + {dbl(1.0)} * n_cls)")} AS prior FROM pri, tot""")
 def nb_priors_query(spark, d):
-    return _nb_model(spark, d).priors_df.withColumn("prior", F.round("prior", 4))
+    return _nb_model(spark, d).priors_df.withColumn("prior", r4("prior", 4))
 
 
 @query("nb_conditionals", lambda: f"""{cte(**_nb_ctes())}
 SELECT c.quality, c.feature, c.value, c.n, {rnd(f"(c.n + {dbl(1.0)}) / (p.n + {dbl(1.0)} * v.nv)")} AS prob
 FROM cells c JOIN pri p ON c.quality = p.quality JOIN nv v ON c.feature = v.feature""")
 def nb_conditionals_query(spark, d):
-    return _nb_model(spark, d).cells_df.withColumn("prob", F.round("prob", 4))
+    return _nb_model(spark, d).cells_df.withColumn("prob", r4("prob", 4))
 
 
 def _nb_predict_sql():
@@ -372,14 +372,14 @@ FROM (SELECT lang, CAST(count(*) AS DOUBLE) AS c, CAST(sum(count(*)) OVER (PARTI
       FROM dl WHERE quality IS NOT NULL GROUP BY lang, quality) GROUP BY lang""")
 def id3_entropy_query(spark, d):
     h = tree.label_entropy(docs_labeled(spark, d), "quality", ["lang"])
-    return h.select("lang", "n", F.round("entropy", 4).alias("entropy"))
+    return h.select("lang", "n", r4("entropy", 4).alias("entropy"))
 
 
 @query("id3_cond_entropy", lambda: f"""{cte(**_id3_cells_sql())}
 SELECT feature, {rnd('cond_entropy')} AS cond_entropy FROM ce""")
 def id3_cond_entropy_query(spark, d):
     c = tree.conditional_entropy(docs_labeled(spark, d), "quality", ID3_FEATURES)
-    return c.select("feature", F.round("cond_entropy", 4).alias("cond_entropy"))
+    return c.select("feature", r4("cond_entropy", 4).alias("cond_entropy"))
 
 
 @query("id3_info_gain", lambda: f"""{cte(**_id3_cells_sql())}
@@ -389,7 +389,7 @@ SELECT feature, {rnd('gain')} AS gain, CAST(row_number() OVER (ORDER BY gain DES
   FROM ce, h)""")
 def id3_info_gain_query(spark, d):
     g = tree.info_gain(docs_labeled(spark, d), "quality", ID3_FEATURES)
-    return g.select("feature", F.round("gain", 4).alias("gain"), "rank")
+    return g.select("feature", r4("gain", 4).alias("gain"), "rank")
 
 
 def _id3_model(spark, d):
@@ -460,7 +460,7 @@ SELECT CAST(node_id AS INTEGER) AS node_id, CAST(parent_id AS INTEGER) AS parent
        CAST(depth AS INTEGER) AS depth, split_feature, edge_value, CAST(label AS VARCHAR) AS label,
        n, {rnd('gain')} AS gain FROM tree""")
 def id3_fit_query(spark, d):
-    return _id3_model(spark, d).to_df(spark).withColumn("gain", F.round("gain", 4))
+    return _id3_model(spark, d).to_df(spark).withColumn("gain", r4("gain", 4))
 
 
 @query("id3_predict", lambda: f"""{cte(**_id3_ctes())}
@@ -497,7 +497,7 @@ def _knn_neighbors(spark, d, extra=()):
 SELECT query_id, neighbor_id, CAST(rank AS INTEGER) AS rank, {rnd('distance')} AS distance FROM top""")
 def knn_neighbors_query(spark, d):
     nb = _knn_neighbors(spark, d)
-    return nb.select("query_id", "neighbor_id", "rank", F.round("distance", 4).alias("distance"))
+    return nb.select("query_id", "neighbor_id", "rank", r4("distance", 4).alias("distance"))
 
 
 @query("knn_predict", lambda: f"""{_knn_top_sql()}
@@ -578,9 +578,9 @@ def _gmm_model_out_sql(p: str, what: str) -> str:
 
 def _gmm_model_df(spark, model, what="weight,mean,cov"):
     df = model.to_df(spark)
-    cols = {"weight": F.round("weight", 4).alias("weight"),
-            "mean": F.transform("mean", lambda v: F.round(v, 4)).alias("mean"),
-            "cov": F.transform("cov", lambda r: F.transform(r, lambda v: F.round(v, 4))).alias("cov")}
+    cols = {"weight": r4("weight", 4).alias("weight"),
+            "mean": F.transform("mean", lambda v: r4(v, 4)).alias("mean"),
+            "cov": F.transform("cov", lambda r: F.transform(r, lambda v: r4(v, 4))).alias("cov")}
     return df.select("component", *[cols[w] for w in what.split(",")])
 
 
@@ -622,17 +622,17 @@ def _gmm_score_sql(steps, fixed=None, what="probability"):
 @query("gmm_responsibilities", lambda: _gmm_score_sql(0, _gmm_fixed_model()))
 def gmm_responsibilities_query(spark, d):
     out = mixture.gmm_predict(part_points(spark, d), _gmm_fixed_model())
-    return out.select("p_partkey", F.transform("probability", lambda v: F.round(v, 4)).alias("probability"))
+    return out.select("p_partkey", F.transform("probability", lambda v: r4(v, 4)).alias("probability"))
 
 
 @query("gmm_densities", lambda: _gmm_score_sql(0, _gmm_fixed_model(), "density"))
 def gmm_densities_query(spark, d):
     out = mixture.gmm_densities(part_points(spark, d), _gmm_fixed_model())
-    return out.select("p_partkey", F.transform("density", lambda v: F.round(v, 4)).alias("density"))
+    return out.select("p_partkey", F.transform("density", lambda v: r4(v, 4)).alias("density"))
 
 
 @query("gmm_predict", lambda: _gmm_score_sql(GMM_STEPS, None, "predict"))
 def gmm_predict_query(spark, d):
     out = mixture.gmm_predict(part_points(spark, d), _gmm_model(spark, d))
-    return out.select("p_partkey", F.transform("probability", lambda v: F.round(v, 4)).alias("probability"),
+    return out.select("p_partkey", F.transform("probability", lambda v: r4(v, 4)).alias("probability"),
                       "prediction")

@@ -11,7 +11,7 @@ from ..operators.cluster import kmeans_assign, kmeans_update
 from ..sources.tables import read_table
 from .inputs import (CUSTOMER_CATS_SQL, DOCS_LABELED_SQL, PART_POINTS_SQL, cte, customer_cats,
                      docs_labeled, part_points)
-from .registry import dbl, query, rnd
+from .registry import dbl, query, rnd, r4
 
 # fixed model constants used by the relational queries (not fitted)
 SIGN_W, SIGN_B = (1.0, -0.5), -0.3
@@ -192,7 +192,7 @@ def agg_global_sum(spark, d):
     from ..operators.tree import label_entropy
 
     return label_entropy(docs_labeled(spark, d), "quality").select(
-        "n", F.round("entropy", 4).alias("entropy"))
+        "n", r4("entropy", 4).alias("entropy"))
 
 
 @query("agg_mean", f"""
@@ -200,13 +200,13 @@ SELECT {rnd("avg(l_quantity)")} AS mean_quantity, {rnd("avg(l_discount)")} AS me
        count(*) AS n FROM lineitem""")
 def agg_mean(spark, d):
     li = read_table(spark, d, "lineitem")
-    return li.agg(F.round(F.avg("l_quantity"), 4).alias("mean_quantity"),
-                  F.round(F.avg("l_discount"), 4).alias("mean_discount"),
+    return li.agg(r4(F.avg("l_quantity"), 4).alias("mean_quantity"),
+                  r4(F.avg("l_discount"), 4).alias("mean_discount"),
                   F.count(F.lit(1)).alias("n"))
 
 
 def _vector_mean_sql():
-    parts = ", ".join(f"round(avg(embedding[{i + 1}]), 4)" for i in range(64))
+    parts = ", ".join(rnd(f"avg(embedding[{i + 1}])") for i in range(64))
     return f"SELECT label, count(*) AS n, [{parts}] AS mean_vec FROM embeddings GROUP BY label"
 
 
@@ -216,7 +216,7 @@ def agg_vector_mean(spark, d):
     from ..operators.pairwise import group_means
 
     m = group_means(embeddings(spark, d), "label", "v", 64)
-    return m.select("label", "n", F.transform("mean_vec", lambda x: F.round(x, 4)).alias("mean_vec"))
+    return m.select("label", "n", F.transform("mean_vec", lambda x: r4(x, 4)).alias("mean_vec"))
 
 
 def _assign_sql(centers=CENTERS3):
@@ -235,7 +235,7 @@ FROM ({_assign_sql()}) GROUP BY cluster""")
 def agg_sum_by_group(spark, d):
     a = kmeans_assign(part_points(spark, d), ["x1", "x2"], CENTERS3)
     u = kmeans_update(a, ["x1", "x2"])
-    return u.select("cluster", "n", *[F.round(c, 4).alias(c) for c in ("cost", "sq_cost", "m0", "m1")])
+    return u.select("cluster", "n", *[r4(c, 4).alias(c) for c in ("cost", "sq_cost", "m0", "m1")])
 
 
 @query("agg_distinct_count", """

@@ -35,4 +35,15 @@ def dbl(x: float) -> str:
 
 
 def rnd(expr: str, places: int = 4) -> str:
-    return f"round({expr}, {places})"
+    """Rounded value; a result of zero is always +0.0 (never -0.0)."""
+    r = f"round({expr}, {places})"
+    return f"(CASE WHEN {r} = 0 THEN {dbl(0.0)} ELSE {r} END)"
+
+
+def r4(c, places: int = 4):
+    """Spark side of ``rnd``: round, and turn -0.0 into +0.0 so both engines agree."""
+    from pyspark.sql import functions as F
+
+    col = F.col(c) if isinstance(c, str) else c
+    r = F.round(col, places)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)

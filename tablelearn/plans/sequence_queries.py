@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sequence import hmm_score, positions
 from ..sources.tables import read_table
-from .registry import dbl, query, rnd
+from .registry import dbl, query, rnd, r4
 
 # fixed model values: 3 hidden states, 5 symbols (the event types)
 HMM_PI = (0.2, 0.4, 0.4)
@@ -63,7 +63,7 @@ def hmm_sequences_query(spark, d):
 def _score(spark, d, method):
     ev = read_table(spark, d, "events")
     out = hmm_score(ev, "user_id", ["ts", "event_id"], "event_type", HMM_PI, HMM_A, HMM_B, method=method)
-    return out.select("user_id", "n_obs", F.round("log_likelihood", 4).alias("log_likelihood"))
+    return out.select("user_id", "n_obs", r4("log_likelihood", 4).alias("log_likelihood"))
 
 
 @query("hmm_forward", _forward_sql)

@@ -42,12 +42,16 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a fresh folder under the system temp dir is used.
+    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset and
+    the master is local (tests, bench) a fresh folder under the system temp dir
+    is used; on a cluster an unset setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local "
+                               "folder cannot hold checkpoints on a cluster")
         current = tempfile.mkdtemp(prefix="tablelearn-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
