@@ -19,6 +19,11 @@ from .encode import collect_small, literal_map, unpivot_features
 from .loop import persisted
 
 SEP = "\u0001"
+# trees with more nodes than this are routed with joins instead of literal maps
+# (a literal map lookup scans its keys)
+LITERAL_NODES = 2_000
+# node tables up to this many rows are broadcast in the join form
+BROADCAST_ROWS = 200_000
 
 
 def label_entropy(df: DataFrame, label: str, group: Sequence[str] = ()) -> DataFrame:
@@ -89,6 +94,7 @@ class ID3Model:
     label: str
     features: list
     nodes: list = field(default_factory=list)
+    label_type: str = "string"
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [(n.node_id, n.parent_id, n.depth, n.split_feature, n.edge_value,
@@ -96,29 +102,63 @@ class ID3Model:
         return spark.createDataFrame(rows, "node_id int, parent_id int, depth int, split_feature string, "
                                            "edge_value string, label string, n bigint, gain double")
 
-    def node_expr(self, max_depth: int | None = None) -> Column:
-        """Row → deepest node reached; an unseen value stops at the parent."""
-        node = F.lit(0)
+    def _levels(self):
+        """Per level: the split nodes and their children, root first."""
         by_parent: dict[int, list[Node]] = {}
         for n in self.nodes:
             if n.parent_id is not None:
                 by_parent.setdefault(n.parent_id, []).append(n)
-        depth = 0
         level = [n for n in self.nodes if n.depth == 0]
         while True:
             splits = [n for n in level if n.split_feature is not None and n.node_id in by_parent]
-            if not splits or (max_depth is not None and depth >= max_depth):
-                return node
-            fval = None
-            for s in splits:
-                v = F.col(s.split_feature).cast("string")
-                fval = F.when(node == s.node_id, v) if fval is None else fval.when(node == s.node_id, v)
+            if not splits:
+                return
+            yield [(sp, by_parent[sp.node_id]) for sp in splits]
+            level = [c for sp in splits for c in by_parent[sp.node_id]]
+
+    def node_expr(self) -> Column:
+        """Row → deepest node reached, as literal lookups; an unseen value stops at the parent.
+
+        Per level: the split feature's position by node (one map lookup), the
+        row's value of that feature, then the child by (node, value)."""
+        node = F.lit(0)
+        values = F.array(*[F.col(f).cast("string") for f in self.features])
+        for level in self._levels():
+            fpos = literal_map([(sp.node_id, self.features.index(sp.split_feature) + 1) for sp, _ in level])
+            fval = F.element_at(values, F.element_at(fpos, node))
             key = F.concat(node.cast("string"), F.lit(SEP), fval)
             table = literal_map([(f"{c.parent_id}{SEP}{c.edge_value}", c.node_id)
-                                 for s in splits for c in by_parent[s.node_id]])
+                                 for _, kids in level for c in kids])
             node = F.coalesce(F.element_at(table, key), node)
-            level = [c for s in splits for c in by_parent[s.node_id]]
-            depth += 1
+        return node
+
+    def route(self, df: DataFrame, out: str = "node_id") -> DataFrame:
+        """Attach the node id: literal lookups for small trees, equi-joins for large ones.
+
+        The join form runs two joins per level on the node tables (split
+        feature by node, child by node and value); each table is broadcast
+        only when its row count, known on the driver, is below
+        ``BROADCAST_ROWS``."""
+        if len(self.nodes) <= LITERAL_NODES:
+            return df.withColumn(out, self.node_expr())
+        spark = df.sparkSession
+        cur = (df.withColumn("_fv", F.array(*[F.col(f).cast("string") for f in self.features]))
+               .withColumn(out, F.lit(0)))
+        for level in self._levels():
+            split_rows = [(sp.node_id, self.features.index(sp.split_feature) + 1) for sp, _ in level]
+            edge_rows = [(c.parent_id, c.edge_value, c.node_id) for _, kids in level for c in kids]
+            splits = spark.createDataFrame(split_rows, "_sn int, _fpos int")
+            edges = spark.createDataFrame(edge_rows, "_p int, _v string, _child int")
+            if len(split_rows) <= BROADCAST_ROWS:
+                splits = F.broadcast(splits)
+            if len(edge_rows) <= BROADCAST_ROWS:
+                edges = F.broadcast(edges)
+            cur = cur.join(splits, cur[out] == splits["_sn"], "left").withColumn(
+                "_fval", F.element_at(F.col("_fv"), F.col("_fpos")))
+            cur = cur.join(edges, (cur[out] == edges["_p"]) & (cur["_fval"] == edges["_v"]), "left")
+            cur = cur.withColumn(out, F.coalesce(F.col("_child"), F.col(out))).drop(
+                "_sn", "_fpos", "_fval", "_p", "_v", "_child")
+        return cur.drop("_fv")
 
     def label_expr(self, node: Column) -> Column:
         return F.element_at(literal_map([(n.node_id, n.label) for n in self.nodes]), node)
@@ -134,7 +174,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
     smallest label), which is the prediction for rows stopping there.
     """
     features = list(features)
-    model = ID3Model(label, features)
+    model = ID3Model(label, features, label_type=df.schema[label].dataType.simpleString())
     base = df.where(F.col(label).isNotNull()).select(
         F.col(label), *[F.col(c).cast("string").alias(c) for c in features])
     with persisted(base):
@@ -142,7 +182,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
         model.nodes.append(frontier[0])
         next_id = 1
         while frontier:
-            rows = base.withColumn("_node", model.node_expr())
+            rows = model.route(base, "_node")
             ids = [n.node_id for n in frontier]
             rows = rows.where(F.col("_node").isin(ids))
             # label statistics of every frontier node, one job
@@ -209,7 +249,15 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
 
 def id3_predict(df: DataFrame, model: ID3Model, prediction: str = "prediction",
                 node: str | None = "node_id") -> DataFrame:
-    n = model.node_expr()
-    out = df.withColumn(node or "_node", n)
-    out = out.withColumn(prediction, model.label_expr(F.col(node or "_node")))
+    """Route rows to the deepest reachable node; predict that node's majority label."""
+    col = node or "_node"
+    out = model.route(df, col)
+    if len(model.nodes) <= LITERAL_NODES:
+        out = out.withColumn(prediction, model.label_expr(F.col(col)))
+    else:
+        labels = df.sparkSession.createDataFrame([(n.node_id, n.label) for n in model.nodes],
+                                                 f"_ln int, {prediction} {model.label_type}")
+        if len(model.nodes) <= BROADCAST_ROWS:
+            labels = F.broadcast(labels)
+        out = out.join(labels, out[col] == labels["_ln"], "left").drop("_ln")
     return out if node else out.drop("_node")
