@@ -153,6 +153,8 @@ def initial_model(base: DataFrame, features: Sequence[str], k: int, key: str | N
         if key is None:
             raise ValueError("give a key or init_means")
         rows = first_k(base, key, k).collect()
+        if not rows:
+            raise ValueError("no complete rows to start the mixture from")
         init_means = [[float(r[c]) for c in features] for r in rows]
     if init_covs is None:
         v = base.agg(*[F.var_pop(c).alias(c) for c in features]).first()

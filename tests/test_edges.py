@@ -1,5 +1,7 @@
 """Edge cases: empty input, one class, nulls, unseen values, k > rows, zero vectors."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +92,28 @@ def test_minkowski_real_exponent(spark):
     r = df.select(D.minkowski(F.col("a"), F.col("b"), 2, 2).alias("m2"),
                   D.minkowski(F.col("a"), F.col("b"), 1, 2).alias("m1")).first()
     assert r["m2"] == pytest.approx(5.0) and r["m1"] == pytest.approx(7.0)
+
+
+def test_one_event_sequence(spark):
+    from tablelearn.operators import sequence
+
+    pi, A = (0.2, 0.4, 0.4), ((0.5, 0.2, 0.3), (0.3, 0.5, 0.2), (0.2, 0.3, 0.5))
+    B = ((0.5, 0.5), (0.4, 0.6), (0.7, 0.3))
+    df = spark.createDataFrame([(7, 1, 1)], "k int, t int, o int")
+    for method in ("forward", "backward"):
+        r = sequence.hmm_score(df, "k", ["t"], "o", pi, A, B, symbols=[0, 1], method=method).first()
+        assert r["n_obs"] == 1
+        assert r["log_likelihood"] == pytest.approx(math.log(0.2 * 0.5 + 0.4 * 0.6 + 0.4 * 0.3))
+
+
+def test_more_empty_inputs(spark):
+    from tablelearn.operators import mixture, sequence
+
+    empty = spark.createDataFrame([], "k long, x1 double, x2 double, y string, v array<double>")
+    lr = linear.logreg_fit(empty, ["x1", "x2"], "y", max_iter=3)
+    assert lr.weights == [0.0, 0.0] and lr.iterations == 0
+    with pytest.raises(ValueError):
+        mixture.gmm_fit(empty, ["x1", "x2"], 2, key="k", max_iter=2)  # no rows to start from
+    assert pairwise.nearest(empty, empty, "k", "k", "v", "v", 2, 3).count() == 0
+    ev = spark.createDataFrame([], "k long, t long, o string")
+    assert sequence.hmm_score(ev, "k", ["t"], "o", (1.0,), ((1.0,),), ((1.0,),), symbols=["a"]).count() == 0
