@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vector import argmin, pick, total
+from ..functions.vector import argmin, total
 from .loop import history_df, numeric_base, persisted
 from .relational import first_k
 
@@ -160,4 +160,4 @@ def kmeans_history(spark: SparkSession, model: KMeansModel) -> DataFrame:
 
 
 __all__ = ["KMeansModel", "kmeans_assign", "kmeans_update", "kmeans_fit", "kmeans_predict",
-           "kmeans_history", "assign_columns", "pick"]
+           "kmeans_history", "assign_columns"]

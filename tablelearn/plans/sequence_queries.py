@@ -7,8 +7,6 @@ over positions carrying the scaled forward variables.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators.sequence import hmm_score, positions
 from ..sources.tables import read_table
 from .registry import dbl, query, rnd, r4
