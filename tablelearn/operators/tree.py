@@ -188,7 +188,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
             # label statistics of every frontier node, one job
             counts = rows.groupBy("_node", label).agg(F.count(F.lit(1)).alias("c"))
             stats = {}
-            for r in collect_small(counts, 10_000_000):
+            for r in collect_small(counts, 1_000_000):
                 stats.setdefault(r["_node"], []).append((r["c"], r[label]))
             candidates = [n for n in frontier if n.node_id in stats]
             for n in frontier:
@@ -205,7 +205,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
             part = rows.where(F.col("_node").isin([n.node_id for n in splittable]))
             g = info_gain(part, label, features, group=["_node"])
             gains = {}
-            for r in collect_small(g.select("_node", "feature", "gain"), 10_000_000):
+            for r in collect_small(g.select("_node", "feature", "gain"), 1_000_000):
                 gains[(r["_node"], r["feature"])] = r["gain"]
             new_frontier = []
             chosen = []
@@ -235,7 +235,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
             kids = (part.where(F.col("_node").isin([n.node_id for n in chosen]))
                     .select("_node", fval.alias("v")).where(F.col("v").isNotNull()).distinct())
             by_node = {}
-            for r in collect_small(kids, 10_000_000):
+            for r in collect_small(kids, 1_000_000):
                 by_node.setdefault(r["_node"], []).append(r["v"])
             for n in chosen:
                 for v in sorted(by_node.get(n.node_id, [])):
