@@ -5,12 +5,13 @@ written as an ordered product of N×N matrices:
 
     P(O) = π · D(o_1) · (A·D(o_2)) · … · (A·D(o_T)) · 1,   D(o) = diag(B[:, o])
 
-Matrix products are associative, so the sequence is cut into chunks of at
-most ``chunk`` events, each chunk is folded to one (scaled) matrix, and the
-chunk matrices are combined level by level, at most ``fanout`` at a time.
-No group ever holds more than max(chunk, fanout) items: a key with a third of
-all events is spread over many tasks.  Forward folds left to right,
-backward right to left (the β recursion); both give the same likelihood.
+Matrix products are associative, so the ordered events are cut into chunks
+of at most ``chunk`` events inside range partitions, each chunk is folded to
+one (scaled) matrix, and the chunk matrices are combined per key and
+partition, then per key.  Groups are bounded by the chunk size, the partition
+size / chunk, and the partition count: a key with a third of all events is
+spread over many tasks.  Forward folds left to right, backward right to left
+(the β recursion); both give the same likelihood.
 
 Dense positions come from ``relational.row_numbers`` (range partition of
 key and order columns, numbering inside partitions, per-partition offsets):
@@ -19,7 +20,6 @@ no window runs over a whole key.
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,15 +48,14 @@ def _mat_lit(m) -> Column:
     return F.array(*[F.lit(float(v)) for row in m for v in row])
 
 
-def _step_matrix(A, B, o: Column, first: Column, n: int) -> list[Column]:
-    """Row-major entries of A·D(o), or D(o) at the first position."""
-    out = []
-    for k in range(n):
-        for j in range(n):
-            b = F.element_at(F.array(*[F.lit(float(v)) for v in B[j]]), o + 1)
-            a = F.when(first, F.lit(1.0 if k == j else 0.0)).otherwise(F.lit(float(A[k][j])))
-            out.append(a * b)
-    return out
+def _step_matrix(A, B, o: Column, first: Column, n: int) -> Column:
+    """Row-major A·D(o), or D(o) at the first position, looked up from literal
+    tables of all symbols (one lookup per event instead of n² products)."""
+    n_sym = len(B[0])
+    step = [[float(A[k][j]) * float(B[j][o_]) for k in range(n) for j in range(n)] for o_ in range(n_sym)]
+    diag = [[float(B[j][o_]) if k == j else 0.0 for k in range(n) for j in range(n)] for o_ in range(n_sym)]
+    table = lambda rows: F.array(*[F.array(*[F.lit(v) for v in r]) for r in rows])
+    return F.when(first, F.element_at(table(diag), o + 1)).otherwise(F.element_at(table(step), o + 1))
 
 
 def _matmul(x: Column, y_entries: list[Column], n: int) -> list[Column]:
@@ -83,55 +82,91 @@ def _normalise(entries: list[Column], scale: Column) -> Column:
 
 
 def _fold(items: Column, n: int, reverse: bool, entries_of) -> Column:
-    """Fold an array of items into one scaled matrix struct(m, s)."""
+    """Fold an array of items into one scaled matrix struct(m, s).
+
+    Each item's matrix is first computed once (``transform``), so the fold's
+    products read bound values instead of re-evaluating entry expressions.
+    """
     ident = F.struct(_mat_lit([[1.0 if i == j else 0.0 for j in range(n)] for i in range(n)]).alias("m"),
                      F.lit(0.0).alias("s"))
-    arr = F.reverse(items) if reverse else items
 
-    def merge(acc, it):
+    def effective(it):
         ent, sc = entries_of(it)
+        m = ent if isinstance(ent, Column) else F.array(*ent)
+        return F.struct(m.alias("m"), sc.alias("s"))
+
+    eff = F.transform(items, effective)
+    arr = F.reverse(eff) if reverse else eff
+
+    def merge(acc, it):
+        ent = [F.element_at(it["m"], i + 1) for i in range(n * n)]
         if reverse:  # item · acc
             prod = [sum((ent[i * n + k] * F.element_at(acc["m"], k * n + j + 1) for k in range(1, n)),
                         ent[i * n] * F.element_at(acc["m"], j + 1)) for i in range(n) for j in range(n)]
         else:        # acc · item
             prod = _matmul(acc["m"], ent, n)
-        return _normalise(prod, acc["s"] + sc)
+        return _normalise(prod, acc["s"] + it["s"])
 
     return F.aggregate(arr, ident, merge)
 
 
 def hmm_score(df: DataFrame, key: str, order: Sequence[str], symbol: str, pi, A, B,
               symbols: Sequence | None = None, method: str = "forward", chunk: int = 256,
-              fanout: int = 64, partitions: int | None = None) -> DataFrame:
-    """log P(O | π, A, B) per key: columns ``key, n_obs, log_likelihood``."""
+              partitions: int | None = None, fanout: int | None = None) -> DataFrame:
+    """log P(O | π, A, B) per key: columns ``key, n_obs, log_likelihood``.
+
+    Rows are range-partitioned on (key, order) and sorted; inside a partition
+    the row index comes from ``monotonically_increasing_id`` (low 33 bits), so
+    no dense position per key is needed.  Each group's product is kept in its
+    "first" form F = D(o_first)·A·D(o_2)…; a group that is not first in its
+    parent enters as A·F.  Three fixed levels: chunks of ≤ ``chunk`` events,
+    then the chunks of one key in one partition, then the partitions a key
+    spans (≤ the partition count).  ``fanout`` is accepted for compatibility
+    and unused.
+    """
     if method not in ("forward", "backward"):
         raise ValueError("method is 'forward' or 'backward'")
     n = len(pi)
     reverse = method == "backward"
-    pos = positions(df, key, order, symbol, symbols, partitions)
-    counts = pos.groupBy(key).agg(F.count(F.lit(1)).alias("n_obs"))
-    max_n = counts.agg(F.max("n_obs")).first()[0] or 0
-    # level 0: chunks of `chunk` consecutive events
-    ev = F.struct(F.col("pos").alias("p"), F.col("obs").alias("o"))
-    lvl = (pos.groupBy(key, ((F.col("pos") - 1) / chunk).cast("long").alias("c"))
+    if symbols is None:
+        symbols = label_index(df, symbol).labels
+    idx = F.element_at(F.create_map(*[x for i, sy in enumerate(symbols) for x in (F.lit(sy), F.lit(i))]),
+                       F.col(symbol))
+    base = df.select(key, *order, idx.alias("obs")).where(F.col("obs").isNotNull())
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (base.repartitionByRange(n_parts, key, *order)
+               .sortWithinPartitions(key, *order)
+               .withColumn("_pid", F.spark_partition_id())
+               .withColumn("_mid", F.monotonically_increasing_id()))
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)  # row index in the partition
+    ev = F.struct(local.alias("p"), F.col("obs").alias("o"))
+    lvl = (ordered.groupBy(key, "_pid", (local / chunk).cast("long").alias("c"))
            .agg(F.array_sort(F.collect_list(ev)).alias("items")))
+    first_p = F.element_at(F.col("items"), 1)["p"]
 
     def event_entries(it):
-        return _step_matrix(A, B, it["o"], it["p"] == 1, n), F.lit(0.0)
+        return _step_matrix(A, B, it["o"], it["p"] == first_p, n), F.lit(0.0)
+
+    lvl = lvl.select(key, "_pid", "c", F.size("items").cast("long").alias("n"),
+                     _fold(F.col("items"), n, reverse, event_entries).alias("prod"))
+
+    def combine(frame: DataFrame, group: list, order_col: str) -> DataFrame:
+        item = F.struct(F.col(order_col).alias("k"), F.col("n").alias("n"), F.col("prod").alias("prod"))
+        g = frame.groupBy(*group).agg(F.array_sort(F.collect_list(item)).alias("items"))
+        first_k = F.element_at(F.col("items"), 1)["k"]
 
-    lvl = lvl.select(key, "c", _fold(F.col("items"), n, reverse, event_entries).alias("prod"))
-    groups = max(1, math.ceil(max_n / chunk))
+        def entries(it):
+            m = [F.element_at(it["prod"]["m"], i + 1) for i in range(n * n)]
+            shifted = [sum((F.lit(float(A[i][k])) * m[k * n + j] for k in range(1, n)),
+                           F.lit(float(A[i][0])) * m[j]) for i in range(n) for j in range(n)]
+            is_first = it["k"] == first_k
+            return ([F.when(is_first, a).otherwise(b) for a, b in zip(m, shifted)], it["prod"]["s"])
 
-    def chunk_entries(it):
-        return [F.element_at(it["prod"]["m"], i + 1) for i in range(n * n)], it["prod"]["s"]
+        total_n = F.aggregate(F.col("items"), F.lit(0).cast("long"), lambda acc, it: acc + it["n"])
+        return g.select(*group, total_n.alias("n"), _fold(F.col("items"), n, reverse, entries).alias("prod"))
 
-    # combine levels until one matrix per key (each group has at most `fanout` items)
-    while groups > 1:
-        item = F.struct(F.col("c").alias("c"), F.col("prod").alias("prod"))
-        lvl = (lvl.groupBy(key, (F.col("c") / fanout).cast("long").alias("c"))
-               .agg(F.array_sort(F.collect_list(item)).alias("items"))
-               .select(key, "c", _fold(F.col("items"), n, reverse, chunk_entries).alias("prod")))
-        groups = math.ceil(groups / fanout)
+    per_part = combine(lvl, [key, "_pid"], "c")
+    per_key = combine(per_part, [key], "_pid")
     m = F.col("prod.m")
     total = None
     for i in range(n):
@@ -139,4 +174,4 @@ def hmm_score(df: DataFrame, key: str, order: Sequence[str], symbol: str, pi, A,
             t = F.lit(float(pi[i])) * F.element_at(m, i * n + j + 1)
             total = t if total is None else total + t
     ll = F.when(total > 0, F.log(total) + F.col("prod.s")).otherwise(F.lit(float("-inf")))
-    return lvl.select(key, ll.alias("log_likelihood")).join(counts, key).select(key, "n_obs", "log_likelihood")
+    return per_key.select(key, F.col("n").alias("n_obs"), ll.alias("log_likelihood"))

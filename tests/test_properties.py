@@ -76,9 +76,9 @@ def test_hmm_levels_and_directions_agree(spark):
     pi, A = (0.2, 0.4, 0.4), ((0.5, 0.2, 0.3), (0.3, 0.5, 0.2), (0.2, 0.3, 0.5))
     B = ((0.3, 0.2, 0.2, 0.2, 0.1), (0.1, 0.3, 0.2, 0.2, 0.2), (0.2, 0.1, 0.3, 0.1, 0.3))
     one = sequence.hmm_score(ev, "user_id", ["ts", "event_id"], "event_type", pi, A, B)
-    # tiny chunks and fan-out force three combine levels; backward folds the other way
+    # tiny chunks and several partitions exercise both combine levels; backward folds the other way
     many = sequence.hmm_score(ev, "user_id", ["ts", "event_id"], "event_type", pi, A, B,
-                              chunk=3, fanout=2, method="backward", partitions=5)
+                              chunk=3, method="backward", partitions=5)
     a = {r["user_id"]: r["log_likelihood"] for r in one.collect()}
     b = {r["user_id"]: r["log_likelihood"] for r in many.collect()}
     assert a.keys() == b.keys() and len(a) > 0
