@@ -15,7 +15,7 @@ import math
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vector import argmax, pick, total
@@ -88,9 +88,10 @@ def nb_tables(base: DataFrame, features: Sequence[str], label: str,
     """
     lam = F.lit(float(smoothing))
     counts = base.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("_N"), F.count(F.lit(1)).alias("_C")).withColumn("_k", F.lit(0))
-    priors = (counts.withColumn("_k", F.lit(0)).join(totals, "_k")
-              .select(label, "n", ((F.col("n") + lam) / (F.col("_N") + lam * F.col("_C"))).alias("prior")))
+    # one row per class: totals by a window over this model-sized table (no join)
+    everything = Window.partitionBy()
+    priors = counts.select(label, "n", ((F.col("n") + lam) / (F.sum("n").over(everything)
+                                                             + lam * F.count(F.lit(1)).over(everything))).alias("prior"))
     long = unpivot_features(base, [label], features).where(F.col("value").isNotNull())
     cells = long.groupBy(label, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
     nv = cells.groupBy("feature").agg(F.countDistinct("value").alias("_V"))

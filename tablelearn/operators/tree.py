@@ -39,11 +39,12 @@ def label_entropy(df: DataFrame, label: str, group: Sequence[str] = ()) -> DataF
                                      F.count(F.lit(1)).alias("n_labels"))
 
 
-def conditional_entropy(df: DataFrame, label: str, features: Sequence[str],
-                        group: Sequence[str] = ()) -> DataFrame:
-    """H(label | feature) per (group, feature): Σ_v p(v) · H(label | v)."""
+def _cells(df: DataFrame, label: str, features: Sequence[str], group: Sequence[str]) -> DataFrame:
     long = unpivot_features(df.where(F.col(label).isNotNull()), [*group, label], features)
-    cells = long.groupBy(*group, "feature", "value", label).agg(F.count(F.lit(1)).alias("_c"))
+    return long.groupBy(*group, "feature", "value", label).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _cond_entropy(cells: DataFrame, group: Sequence[str]) -> DataFrame:
     n_v = F.sum("_c").over(Window.partitionBy(*group, "feature", "value"))
     n_f = F.sum("_c").over(Window.partitionBy(*group, "feature"))
     t = cells.withColumn("_nv", n_v).withColumn("_nf", n_f)
@@ -52,15 +53,28 @@ def conditional_entropy(df: DataFrame, label: str, features: Sequence[str],
                                            F.countDistinct("value").alias("n_values"))
 
 
+def conditional_entropy(df: DataFrame, label: str, features: Sequence[str],
+                        group: Sequence[str] = ()) -> DataFrame:
+    """H(label | feature) per (group, feature): Σ_v p(v) · H(label | v)."""
+    return _cond_entropy(_cells(df, label, features, group), group)
+
+
 def info_gain(df: DataFrame, label: str, features: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
-    """Gain of each feature (per group); ``rank`` 1 is the best, ties by list order."""
-    h = label_entropy(df, label, group)
-    c = conditional_entropy(df, label, features, group)
+    """Gain of each feature (per group); ``rank`` 1 is the best, ties by list order.
+
+    Both entropies come from the same contingency cells: every row appears
+    once under each feature, so the label counts of a feature's cells are the
+    label counts of the group.  The two are joined on (group, feature).
+    """
+    cells = _cells(df, label, features, group)
+    cond = _cond_entropy(cells, group)
+    per_label = cells.groupBy(*group, "feature", label).agg(F.sum("_c").alias("_nc"))
+    p = F.col("_nc") / F.sum("_nc").over(Window.partitionBy(*group, "feature"))
+    h = per_label.withColumn("_h", F.when(p > 0, -p * F.log2(p)).otherwise(0.0)).groupBy(
+        *group, "feature").agg(F.sum("_nc").alias("n"), F.sum("_h").alias("entropy"),
+                               F.count(F.lit(1)).alias("n_labels"))
     pos = F.element_at(literal_map([(f, i) for i, f in enumerate(features)]), F.col("feature"))
-    if group:
-        g = c.join(h, on=list(group), how="inner")
-    else:  # one-row entropy table: attach it through a constant key
-        g = c.withColumn("_g", F.lit(0)).join(h.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    g = cond.join(h, on=[*group, "feature"], how="inner")
     g = g.withColumn("gain", F.col("entropy") - F.col("cond_entropy")).withColumn("_pos", pos)
     w = Window.partitionBy(*group).orderBy(F.col("gain").desc(), F.col("_pos"))
     return g.withColumn("rank", F.row_number().over(w)).drop("_pos")

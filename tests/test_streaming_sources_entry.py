@@ -62,3 +62,14 @@ def test_small_queries_run(spark, prefix):
     for name, fn in E.queries().items():
         if name.startswith(prefix):
             assert fn(spark, SF_SMALL).count() >= 0, name
+
+
+def test_no_cross_join_or_python_udf_in_any_query(spark):
+    import __spark_entry__ as E
+
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+              "FlatMapGroupsInPandas", "MapInPandas")
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        found = [b for b in banned if b in plan]
+        assert not found, f"{name}: {found}"
