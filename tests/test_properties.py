@@ -185,3 +185,19 @@ def test_id3_join_routing_matches_literal_routing(spark):
     assert lit_pred == join_pred
     unseen = spark.createDataFrame([("xx", "short", "nope")], "lang string, len_bucket string, source string")
     assert T.id3_predict(unseen, lit_model).first()["node_id"] == 0
+
+
+def test_knn_with_a_third_of_rows_identical(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(40)]  # a group of copies
+    rows += [(100 + i, [rnd.uniform(0, 5), rnd.uniform(0, 5), rnd.uniform(0, 5)]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    nb = pairwise.nearest(df, df, "id", "id", "v", "v", 3, 5, exclude_self=True, n_pivots=6)
+    got = {}
+    for r in nb.collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["id_neighbor"]))
+    for q in rows:
+        want = sorted((math.dist(q[1], t[1]), t[0]) for t in rows if t[0] != q[0])[:5]
+        assert [t for _, t in sorted(got[q[0]])] == [t for _, t in want]
