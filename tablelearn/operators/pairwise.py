@@ -5,13 +5,14 @@ Pairs always come from an equi-join, never from a cross join:
 * ``keyed_distance`` compares rows that share a key (e.g. a row and the
   centroid of its class).
 * ``nearest`` finds the exact k nearest train rows of every query row with
-  pivot partitioning: train rows are assigned to the nearest of m pivots, and
-  a query only meets the cells the triangle inequality cannot rule out
-  (d(q, x) >= d(q, p_j) - R_j).  Round 1 joins each query with its home cell
-  and gives a k-th distance bound; round 2 joins the cells still in reach.
-  The join key is the cell id, so AQE's skew-join handling splits a hot cell
-  across tasks; the per-query ranking is ``row_number() <= k``, planned with
-  a partial group limit before the shuffle.
+  pivot partitioning over distinct vectors: train vectors are assigned to the
+  nearest of m pivots, and a query only meets the cells the triangle
+  inequality cannot rule out (d(q, x) >= d(q, p_j) - R_j).  Round 1 joins each
+  query vector with its home cell and gives a k-th distance bound; round 2
+  joins the cells still in reach.  The join key is the cell id, so AQE's
+  skew-join handling splits a hot cell across tasks; rankings are
+  ``row_number()``/``rank() <= k``, planned with a partial group limit before
+  the shuffle.  Copies collapse to one vector before any pair is formed.
 """
 
 from __future__ import annotations
@@ -59,22 +60,40 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     id is renamed ``<tid>_neighbor`` when both ids share a name); ties in
     distance go to the smaller ``tid``.  ``exclude_self`` drops pairs with
     ``qid == tid``.  Fewer than k rows are returned when train is smaller.
+
+    The pair search runs over *distinct* vectors, so a group of identical
+    rows (however large) is one point: copies are collapsed by a partial
+    aggregation, searched once, and expanded back through the kk smallest ids
+    of each vector (kk = k, or k + 1 when the query itself may be among
+    them).  Neighbour vectors are ranked with ``rank()`` so vectors tied at
+    the k-th distance all stay candidates; the final ranking per query row is
+    by (distance, id).
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    t = train.select(F.col(tid).alias("_tid"), F.col(tvec).alias("_tv"), *extra)
-    q = queries.select(F.col(qid).alias("_qid"), F.col(qvec).alias("_qv"))
-    # pivots: m train rows in hash order of the key (deterministic, spread over the data)
-    piv_rows = (t.select("_tid", "_tv").orderBy(F.xxhash64("_tid"), "_tid").limit(n_pivots).collect())
+    kk = k + 1 if exclude_self else k
+    t = (train.select(F.col(tid).alias("_tid"), F.col(tvec).cast("array<double>").alias("_tv"), *extra)
+         .where(F.col("_tv").isNotNull()))
+    q = (queries.select(F.col(qid).alias("_qid"), F.col(qvec).cast("array<double>").alias("_qv"))
+         .where(F.col("_qv").isNotNull()))
+    # distinct vectors, each named by its smallest row id (hash aggregation on the
+    # vector; every later sort, window and join is keyed by that id, not the array)
+    tvecs = t.groupBy("_tv").agg(F.min("_tid").alias("_tr"))
+    qvecs = q.groupBy("_qv").agg(F.min("_qid").alias("_qr"))
+    # pivots: m distinct train vectors in hash order of their id (deterministic)
+    piv_rows = tvecs.orderBy(F.xxhash64("_tr"), "_tr").limit(n_pivots).collect()
     pivots = [[float(v) for v in r["_tv"]] for r in piv_rows]
     m = len(pivots)
+    out_tid = tid if tid != qid else f"{tid}_neighbor"
     if m == 0:
         return queries.sparkSession.createDataFrame(
             [], f"{qid} {queries.schema[qid].dataType.simpleString()}, "
-                f"{tid} {train.schema[tid].dataType.simpleString()}, rank int, distance double")
+                f"{out_tid} {train.schema[tid].dataType.simpleString()}, rank int, distance double"
+                + "".join(f", {c} {train.schema[c].dataType.simpleString()}" for c in extra))
     # distances to all m pivots as one array expression (m·d work per row,
     # compact code: a lambda over a literal m × d array instead of m·d unrolled terms)
-    piv = F.array(*[F.array(*[F.lit(v) for v in p]) for p in pivots])
+    # (built as one SQL expression: a Python-side literal tree would cost m·d gateway calls)
+    piv = F.expr("array(" + ", ".join("array(" + ", ".join(f"{v!r}D" for v in p) + ")" for p in pivots) + ")")
 
     def pivot_dists(vec: str) -> Column:
         return F.transform(piv, lambda p: F.sqrt(F.aggregate(
@@ -83,44 +102,46 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     def nearest_pivot(arr: str) -> Column:  # first index of the minimum (ties → smaller pivot)
         return F.array_position(F.col(arr), F.array_min(F.col(arr))).cast("int") - 1
 
-    tc = (t.withColumn("_pd", pivot_dists("_tv"))
-          .select("_tid", "_tv", *extra, nearest_pivot("_pd").alias("_cell"), F.array_min("_pd").alias("_r")))
-    radii = {r["_cell"]: float(r["R"]) for r in tc.groupBy("_cell").agg(F.max("_r").alias("R")).collect()}
-    # spread the pair work by query id: this is also the distribution the
-    # per-query ranking needs, so the ranking adds no further shuffle when the
-    # train side is broadcast (an explicit count keeps AQE from coalescing the
-    # work back into a few tasks)
+    tc = (tvecs.withColumn("_pd", pivot_dists("_tv"))
+          .select("_tr", "_tv", nearest_pivot("_pd").alias("_cell"), F.array_min("_pd").alias("_r")))
+    # cell radii: one row per pivot (m rows, a bound known here), joined by broadcast
+    radii = F.broadcast(tc.groupBy("_cell").agg(F.max("_r").alias("_R")))
+    # spread the pair work by query vector: also the distribution the per-query
+    # ranking needs (an explicit count keeps AQE from coalescing it away)
     n_parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    qc = (q.repartition(n_parts, "_qid").withColumn("_pd", pivot_dists("_qv"))
-          .select("_qid", "_qv", nearest_pivot("_pd").alias("_home"), "_pd"))
+    qc = (qvecs.repartition(n_parts, "_qr").withColumn("_pd", pivot_dists("_qv"))
+          .select("_qr", "_qv", nearest_pivot("_pd").alias("_home"), "_pd"))
+
+    # unrolled pair distance (stays in whole-stage codegen), written as one SQL expression
+    d2 = F.expr(" + ".join(f"(_qv[{i}] - _tv[{i}]) * (_qv[{i}] - _tv[{i}])" for i in range(dim)))
 
     def score(pairs: DataFrame) -> DataFrame:
-        d2 = total([(a - b) * (a - b) for a, b in zip(components(F.col("_qv"), dim),
-                                                        components(F.col("_tv"), dim))])
-        out = pairs.withColumn("distance", F.sqrt(d2))
-        if exclude_self:
-            out = out.where(F.col("_qid") != F.col("_tid"))
-        return out
-
-    order = [F.col("distance"), F.col("_tid")]
+        return pairs.select("_qr", "_tr", F.sqrt(d2).alias("distance"))
+
+    by_distance = [F.col("distance")]
     round1 = score(qc.join(tc.withColumnRenamed("_cell", "_home"), "_home"))
-    top1 = top_k_per_group(round1.select("_qid", "_tid", "distance", *extra), ["_qid"], order, k)
-    bound = top1.groupBy("_qid").agg(F.max("distance").alias("_bound"), F.count(F.lit(1)).alias("_got"))
-    # cells still in reach of each query (bounded by m per query)
-    reach = (qc.join(bound, "_qid", "left")
-             .select("_qid", "_qv", "_home", "_pd",
-                     F.when(F.col("_got") >= k, F.col("_bound")).alias("_bound"))
-             .select("_qid", "_qv", "_home", "_bound",
-                     F.posexplode("_pd").alias("_cell", "_dp")))
-    rad = F.element_at(F.create_map(*[x for j, R in radii.items() for x in (F.lit(j), F.lit(R))]),
-                       F.col("_cell")) if radii else F.lit(None)
+    top1 = top_k_per_group(round1, ["_qr"], by_distance, kk, rank="_rk", ties=True)
+    bound = top1.groupBy("_qr").agg(F.max("distance").alias("_bound"), F.count(F.lit(1)).alias("_got"))
+    # cells still in reach of each query vector (at most m per query vector)
+    reach = (qc.join(bound, "_qr", "left")
+             .select("_qr", "_qv", "_home", "_pd", F.when(F.col("_got") >= kk, F.col("_bound")).alias("_bound"))
+             .select("_qr", "_qv", "_home", "_bound", F.posexplode("_pd").alias("_cell", "_dp")))
     slack = F.lit(1e-9) * (F.lit(1.0) + F.col("_dp"))
-    reach = reach.where((F.col("_cell") != F.col("_home")) & rad.isNotNull() &
-                        (F.col("_bound").isNull() | (F.col("_dp") - rad <= F.col("_bound") + slack)))
-    round2 = score(reach.select("_qid", "_qv", "_cell").join(tc, "_cell"))
-    cand = top1.drop("rank").unionByName(round2.select("_qid", "_tid", "distance", *extra))
-    final = top_k_per_group(cand, ["_qid"], order, k)
-    out_tid = tid if tid != qid else f"{tid}_neighbor"
+    reach = reach.join(radii, "_cell").where(
+        (F.col("_cell") != F.col("_home")) &
+        (F.col("_bound").isNull() | (F.col("_dp") - F.col("_R") <= F.col("_bound") + slack)))
+    round2 = score(reach.select("_qr", "_qv", "_cell").join(tc, "_cell"))
+    cand = top1.drop("_rk").unionByName(round2)
+    vec_nn = top_k_per_group(cand, ["_qr"], by_distance, kk, rank="_rk", ties=True).drop("_rk")
+    # expand: neighbour vectors → their kk smallest ids; query vectors → query rows
+    t_rows = t.join(tvecs, "_tv").drop("_tv")
+    ids = top_k_per_group(t_rows, ["_tr"], [F.col("_tid")], kk, rank="_ri").drop("_ri")
+    q_rows = q.join(qvecs, "_qv").select("_qid", "_qr")
+    rows = q_rows.join(vec_nn.join(ids, "_tr").drop("_tr"), "_qr")
+    if exclude_self:
+        rows = rows.where(F.col("_qid") != F.col("_tid"))
+    final = top_k_per_group(rows.select("_qid", "_tid", "distance", *extra), ["_qid"],
+                            [F.col("distance"), F.col("_tid")], k)
     return final.select(F.col("_qid").alias(qid), F.col("_tid").alias(out_tid), "rank", "distance", *extra)
 
 

@@ -22,14 +22,17 @@ def first_k(df: DataFrame, key: str | Sequence[str], k: int) -> DataFrame:
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
-                    rank: str = "rank") -> DataFrame:
-    """Rows ranked 1..k inside each group.
+                    rank: str = "rank", ties: bool = False) -> DataFrame:
+    """Rows ranked 1..k inside each group (``ties=True``: ``rank()``, keeping
+    every row tied with the k-th).
 
-    ``row_number() <= k`` is planned with a partial WindowGroupLimit before the
-    shuffle, so a hot group sends at most k rows per map task.
+    ``row_number() <= k`` / ``rank() <= k`` are planned with a partial
+    WindowGroupLimit before the shuffle, so a hot group sends at most k rows
+    (plus ties) per map task.
     """
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
+    fn = F.rank() if ties else F.row_number()
+    return df.withColumn(rank, fn.over(w)).where(F.col(rank) <= k)
 
 
 def majority(df: DataFrame, group: Sequence[str], label: str, out: str = "majority") -> DataFrame:
