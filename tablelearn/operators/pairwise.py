@@ -31,10 +31,9 @@ def group_means(df: DataFrame, group: str | Sequence[str], vec: str, dim: int,
                 out: str = "mean_vec") -> DataFrame:
     """Element-wise mean vector per group (d averages in one partial/final aggregate)."""
     keys = [group] if isinstance(group, str) else list(group)
-    xs = components(vec, dim)
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                *[F.avg(x).alias(f"_m{i}") for i, x in enumerate(xs)])
-    return agg.select(*keys, "n", F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias(out))
+    avgs = [F.expr(f"avg(CAST(`{vec}`[{i}] AS DOUBLE)) AS _m{i}") for i in range(dim)]
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *avgs)
+    return agg.select(*keys, "n", F.expr("array(" + ", ".join(f"_m{i}" for i in range(dim)) + f") AS `{out}`"))
 
 
 def keyed_distance(left: DataFrame, right: DataFrame, on: Sequence[str], left_vec: str,
@@ -43,7 +42,7 @@ def keyed_distance(left: DataFrame, right: DataFrame, on: Sequence[str], left_ve
     """Distance between each left row and the right row(s) sharing its key."""
     r = right.withColumnRenamed(right_vec, "_rv")
     j = left.join(r, on=list(on), how="inner")
-    return j.withColumn(out, D.metric(metric, F.col(left_vec), F.col("_rv"), dim=dim, **kw)).drop("_rv")
+    return j.withColumn(out, D.metric(metric, left_vec, "_rv", dim=dim, **kw)).drop("_rv")
 
 
 def _sq(a: Sequence[Column], b: Sequence[float | Column]) -> Column:

@@ -201,3 +201,15 @@ def test_knn_with_a_third_of_rows_identical(spark):
     for q in rows:
         want = sorted((math.dist(q[1], t[1]), t[0]) for t in rows if t[0] != q[0])[:5]
         assert [t for _, t in sorted(got[q[0]])] == [t for _, t in want]
+
+
+def test_sql_string_metrics_equal_column_metrics(spark):
+    e = embeddings(spark, SF_SMALL).limit(30)
+    pairs = e.select(F.col("vec_id").alias("i"), F.col("v").alias("a")).join(
+        e.select(F.col("vec_id").alias("j"), F.col("v").alias("b")), F.col("i") == F.col("j") + 1)
+    scales = D.feature_scales(e, array_col="v", dim=64)
+    for m in ("euclidean", "manhattan", "chebyshev", "minkowski", "std_euclidean", "tanimoto", "cosine"):
+        kw = {"p": 3.0} if m == "minkowski" else ({"scales": scales} if m == "std_euclidean" else {})
+        rows = pairs.select(D.metric(m, "a", "b", dim=64, **kw).alias("s"),
+                            D.metric(m, F.col("a"), F.col("b"), dim=64, **kw).alias("c")).collect()
+        assert all(r["s"] == r["c"] for r in rows), m
