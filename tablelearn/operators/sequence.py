@@ -121,7 +121,9 @@ def hmm_score(df: DataFrame, key: str, order: Sequence[str], symbol: str, pi, A,
     "first" form F = D(o_first)·A·D(o_2)…; a group that is not first in its
     parent enters as A·F.  Three fixed levels: chunks of ≤ ``chunk`` events,
     then the chunks of one key in one partition, then the partitions a key
-    spans (≤ the partition count).  ``fanout`` is accepted for compatibility
+    spans (≤ the partition count).  ``order`` must be unique within a key
+    (e.g. time then event id) so that the event order, and a retried task's
+    numbering, is deterministic.  ``fanout`` is accepted for compatibility
     and unused.
     """
     if method not in ("forward", "backward"):
