@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import distance as D
 from ..functions.vector import components, total
+from ..session import shuffle_partitions
 from .relational import top_k_per_group
 
 
@@ -107,7 +108,7 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     radii = F.broadcast(tc.groupBy("_cell").agg(F.max("_r").alias("_R")))
     # spread the pair work by query vector: also the distribution the per-query
     # ranking needs (an explicit count keeps AQE from coalescing it away)
-    n_parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = shuffle_partitions(queries.sparkSession)
     qc = (qvecs.repartition(n_parts, "_qr").withColumn("_pd", pivot_dists("_qv"))
           .select("_qr", "_qv", nearest_pivot("_pd").alias("_home"), "_pd"))
 

@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import scratch_dir, shuffle_partitions
 
 
 def misclassified(df: DataFrame, prediction: str, label: str) -> DataFrame:
@@ -67,7 +67,7 @@ def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
     (``spark.checkpoint.dir``) because two branches read the ids.
     """
     group, order = list(group), list(order)
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or shuffle_partitions(df.sparkSession)
     ordered = (df.repartitionByRange(n_parts, *group, *order)
                .sortWithinPartitions(*group, *order)
                .withColumn("_pid", F.spark_partition_id())

@@ -25,6 +25,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .encode import label_index
 from .relational import row_numbers
 
@@ -135,7 +136,7 @@ def hmm_score(df: DataFrame, key: str, order: Sequence[str], symbol: str, pi, A,
     idx = F.element_at(F.create_map(*[x for i, sy in enumerate(symbols) for x in (F.lit(sy), F.lit(i))]),
                        F.col(symbol))
     base = df.select(key, *order, idx.alias("obs")).where(F.col("obs").isNotNull())
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or shuffle_partitions(df.sparkSession)
     ordered = (base.repartitionByRange(n_parts, key, *order)
                .sortWithinPartitions(key, *order)
                .withColumn("_pid", F.spark_partition_id())

@@ -62,3 +62,12 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     base = scratch_dir(spark)
     return base.rstrip("/") + "/" + name + "-" + os.urandom(6).hex()
+
+
+def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
+    """The session's shuffle partition count (a non-numeric setting gives ``default``)."""
+    value = spark.conf.get("spark.sql.shuffle.partitions", str(default))
+    try:
+        return max(1, int(value))
+    except (TypeError, ValueError):
+        return default
