@@ -143,15 +143,16 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
         rows = signed_docs.select("id", "th", "n", "node")
         reps = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"))
         reps = own.save(reps)
-        # a node's lists come from the row that names it; a repeated row adds equal entries only
-        first = signed_docs.where("node is not null and (prefix is not null or subsets is not null)").join(
-            reps.select(F.col("node").alias("_n"), "rep"), F.col("id").eqNullSafe(F.col("rep")) & (F.col("node") == F.col("_n")), "left_semi")
-        lists = own.save(first.select("node", "n", F.posexplode_outer("prefix").alias("pos", "token"))
-                         .where("token is not null").distinct())
-        subs = own.save(first.select("node", "n", F.explode("subsets").alias("x")).select("node", "n", "x.c", "x.s").distinct())
-
-        shared = lists.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token")
-        lists = own.save(lists.join(shared, "token"))
+        # one row per node; lists are unfolded from it where they are needed
+        nodes = own.save(signed_docs.where("prefix is not null or subsets is not null").select("node", "n", "prefix", "subsets")
+                         .dropDuplicates(["node"]))
+        every = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token")).select(
+            "token", "node", (F.shiftleft("n", 24) + F.col("pos")).alias("place"))
+        subs = nodes.select("node", "n", F.explode("subsets").alias("x")).select("node", "n", "x.c", "x.s")
+
+        shared = every.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token")
+        lists = own.save(every.join(shared, "token").select(
+            "token", "node", F.shiftright("place", 24).alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos")))
         band = F.floor(F.log(F.col("n").cast("double")) / math.log(den / num) * 0.999)
         classed = lists.withColumn("band", band)
         pivots = classed.groupBy("token", "band").agg(F.min("node").alias("pivot"), F.count("*").alias("_c")).where("_c > 1")
