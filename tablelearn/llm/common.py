@@ -6,7 +6,10 @@ all executors), so a lost executor costs a re-read and never a wrong result.
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +24,16 @@ from ..session import scratch_path, shuffle_partitions
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors (once per Spark application), wherever the driver imported it from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tablelearn_sent", None) is None:
+        root = Path(__file__).resolve().parents[2]
+        sc._tablelearn_sent = shutil.make_archive(f"{tempfile.mkdtemp()}/tablelearn", "zip", root, "tablelearn")
+        sc.addPyFile(sc._tablelearn_sent)
+    return spark
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,7 +51,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, tag: str):
-        self.spark, self.tag, self.paths = spark, tag, []
+        self.spark, self.tag, self.paths = ship_package(spark), tag, []
 
     def __enter__(self) -> "Scratch":
         return self
@@ -91,6 +104,7 @@ def add_column(df: DataFrame, name: str, kind: T.DataType, fill: Callable[[pa.Re
 
     A column of ``df`` that already has that name is replaced.
     """
+    ship_package(df.sparkSession)
     keep = [c for c in (df.columns if keep is None else keep) if c != name]
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(name, kind)])
 
@@ -167,6 +181,7 @@ def summed_vectors(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]],
             total = total + np.frombuffer(raw, kind).astype(np.float64)
         return pa.table({"i": pa.array([key[0].as_py()], pa.int32()), "v": pa.array([total.tobytes()], pa.binary())})
 
+    ship_package(df.sparkSession)
     rows = df.mapInArrow(emit, "i int, v binary").groupBy("i").applyInArrow(add, "i int, v binary").collect()
     out = np.zeros(length)
     for r in rows:

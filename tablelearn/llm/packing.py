@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_blocks, texts_of
+from .common import ship_package, text_blocks, texts_of
 
 CAPACITY = 2048
 PIECE = 256
@@ -125,6 +125,7 @@ _COLUMNS = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int6
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, piece: int = PIECE,
          batch: int = BATCH, with_ids: bool = True, tokenizer: str = TOKENIZER, ranks: str | None = RANKS) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked, the ids."""
+    ship_package(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     ids_type = ", ids array<int>" if with_ids else ""
     schema = (f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "

@@ -14,7 +14,10 @@ from .line_dedup import MAX_EDITS, MIN_CHARS, line_report
 from .ngram_join import ngram_components
 from .packing import pack
 from .quality import fit, score
+from .substring_dedup import repeated_passages
+from .topk import top_k
 from .url_rules import SITE_RULES, judge_urls
+from .warc import round_trip
 
 LABEL_FOLD = 5  # rows whose crc32(doc_id) is divisible by it are held out
 THRESHOLD = 0.3
@@ -29,6 +32,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(LABEL_FOLD)) == 0
@@ -36,11 +43,19 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return (found := decontaminate(docs, benchmark, keep=["doc_id"])).select("doc_id", *digest(found))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"), is_query=F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -58,8 +73,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
+    "op3_warc": op3_warc,
     "op4_quality": op4_quality,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_topk": op8_topk,
     "op9_ngram_join": op9_ngram_join,
     "op10_line_dedup": op10_line_dedup,
     "pipeline": pipeline,
@@ -103,6 +121,14 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN nh USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
+_TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.w AS DOUBLE[]), CAST(c.w AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
 _NGRAM_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 p AS (SELECT doc_id, w, least(3, len(w)) AS n, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS p FROM d WHERE len(w) > 0),
@@ -132,6 +158,7 @@ FROM s LEFT JOIN g USING (doc_id)"""
 SQL = {
     "op2_url_filter": _url_sql(),
     "op7_decontamination": _DECONTAMINATION_SQL,
+    "op8_topk": _TOPK_SQL,
     "op9_ngram_join": _NGRAM_SQL,
     "op10_line_dedup": _LINES_SQL,
 }
