@@ -46,9 +46,10 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = ngram_components(docs)
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    return (docs.withColumn("_hash", F.xxhash64("text"))
-            .join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left_semi")
-            .dropDuplicates(["doc_id", "_hash"]).select(*docs.columns))
+    row = F.col("row")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("th"), F.col("doc_id").alias("id"))
+    return (rows.join(kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left_semi")
+            .dropDuplicates(["id", "th"]).select(*(row[c].alias(c) for c in docs.columns)))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

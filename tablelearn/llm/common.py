@@ -99,10 +99,11 @@ def texts_of(batch: pa.RecordBatch, text: str) -> list[bytes]:
 
 
 def add_column(df: DataFrame, name: str, kind: T.DataType, fill: Callable[[pa.RecordBatch], pa.Array],
-               text: str, keep: list[str] | None = None, max_bytes: int = 4 << 20) -> DataFrame:
+               text: str, keep: list[str] | None = None, max_bytes: int = 4 << 20,
+               reads: tuple[str, ...] = ()) -> DataFrame:
     """``df`` (its ``keep`` columns, default all) with the column ``name`` that ``fill`` computes block by block.
 
-    A column of ``df`` that already has that name is replaced.
+    ``fill`` sees ``keep``, ``text`` and ``reads``.  A column of ``df`` that already has that name is replaced.
     """
     ship_package(df.sparkSession)
     keep = [c for c in (df.columns if keep is None else keep) if c != name]
@@ -113,7 +114,7 @@ def add_column(df: DataFrame, name: str, kind: T.DataType, fill: Callable[[pa.Re
             yield pa.RecordBatch.from_arrays(
                 [*(block.column(block.schema.get_field_index(c)) for c in keep), fill(block)], [*keep, name])
 
-    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return df.select(*dict.fromkeys([*keep, text, *reads])).mapInArrow(run, schema)
 
 
 class WordHash(dict):

@@ -113,7 +113,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         win = Windows([(r["i"], words_of(r["t"].encode())) for r in rows], window)
         last = part == parts - 1
         df = add_column(df, out, RESULT, _judge(win, text, out, part > 0), text,
-                        keep + [text] * (not last and text not in keep) + [out] * (part > 0))
+                        keep + [text] * (not last and text not in keep), reads=(out,) * (part > 0))
     return df
 
 

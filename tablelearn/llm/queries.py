@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .decontaminate import decontaminate, digest
+from .language_model import language_model_scores
 from .line_dedup import MAX_EDITS, MIN_CHARS, line_report
 from .ngram_join import ngram_components
 from .packing import pack
@@ -21,6 +22,7 @@ from .warc import round_trip
 
 LABEL_FOLD = 5  # rows whose crc32(doc_id) is divisible by it are held out
 THRESHOLD = 0.3
+LM_FOLD, LM_HELD_OUT = 7, 2  # rows with this remainder of crc32(doc_id) don't train the language model
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +49,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(LM_FOLD)) == LM_HELD_OUT
+    return language_model_scores(read_table(spark, sf_dir, "documents"), held_out)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return (found := decontaminate(docs, benchmark, keep=["doc_id"])).select("doc_id", *digest(found))
@@ -76,6 +83,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_language_model": op6_language_model,
     "op7_decontamination": op7_decontamination,
     "op8_topk": op8_topk,
     "op9_ngram_join": op9_ngram_join,

@@ -78,8 +78,8 @@ def judge_urls(pages: DataFrame, site_rules: Sequence[tuple] = SITE_RULES, patte
     """``pages`` with host, path, rule, verdict and pattern (the first pattern that fits, by name)."""
     spark = pages.sparkSession
     results = ("host", "path", "rule", "verdict", "pattern")
-    rows = pages.select(*(c for c in pages.columns if c not in results), url_host(F.col(url)).alias("host"),
-                        url_path(F.col(url)).alias("path"))
+    # the row travels as one struct, so no name of pages can clash
+    rows = pages.select(F.struct("*").alias("row"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     rules = [(*site_rule(*r), True) for r in site_rules]
     rules += [(name, expr, _lower(lits), action, 0, False) for name, expr, lits, action in patterns]
     table = spark.createDataFrame(
@@ -102,5 +102,5 @@ def judge_urls(pages: DataFrame, site_rules: Sequence[tuple] = SITE_RULES, patte
     best = best.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "_site", "_blocked", "_pattern")
     judged = rows.join(best, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")), "left")
     verdict = F.coalesce(F.col("_site.action"), F.when(F.col("_blocked"), F.lit("block")), F.lit(default))
-    return judged.select(*rows.columns, F.col("_site.name").alias("rule"), verdict.alias("verdict"),
+    return judged.select(*(F.col("row")[c].alias(c) for c in pages.columns if c not in results), "host", "path", F.col("_site.name").alias("rule"), verdict.alias("verdict"),
                          F.col("_pattern").alias("pattern"))
