@@ -167,7 +167,27 @@ def summed_vectors(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]],
     summed by key, and only the sum, whose length is a parameter of the caller,
     reaches the driver.
     """
+    return _merged_vectors(df, partial, length, chunk, kind, "f8", np.add)
 
+
+def joined_bits(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bytes with a set bit for each value of the long ``column`` modulo ``bits``; a filter of fixed size."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        out = np.zeros(bits, bool)
+        for b in batches:
+            out[b.column(0).to_numpy(zero_copy_only=False) % bits] = True
+        return np.packbits(out)
+
+    return _merged_vectors(df.select(column), partial, bits // 8, 16384, "u1", "u1", np.bitwise_or)
+
+
+def has_bit(filled: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values % (len(filled) * 8)
+    return (filled[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _merged_vectors(df, partial, length: int, chunk: int, kind: str, total_kind: str, merge) -> np.ndarray:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = np.asarray(partial(batches)).astype(kind)
         parts = [(i, v[s:s + chunk]) for i, s in enumerate(range(0, length, chunk))]
@@ -177,16 +197,17 @@ def summed_vectors(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]],
                     [pa.array([i], pa.int32()), pa.array([p.tobytes()], pa.binary())], ["i", "v"])
 
     def add(key, table):
-        total = 0
+        total = None
         for raw in table.column("v").to_pylist():
-            total = total + np.frombuffer(raw, kind).astype(np.float64)
+            v = np.frombuffer(raw, kind).astype(total_kind)
+            total = v if total is None else merge(total, v)
         return pa.table({"i": pa.array([key[0].as_py()], pa.int32()), "v": pa.array([total.tobytes()], pa.binary())})
 
     ship_package(df.sparkSession)
     rows = df.mapInArrow(emit, "i int, v binary").groupBy("i").applyInArrow(add, "i int, v binary").collect()
-    out = np.zeros(length)
+    out = np.zeros(length, total_kind)
     for r in rows:
-        v = np.frombuffer(r["v"], np.float64)
+        v = np.frombuffer(r["v"], total_kind)
         out[r["i"] * chunk:r["i"] * chunk + len(v)] = v
     return out
 

@@ -32,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHash, connected_components, shingle_hashes, signed, summed_vectors, text_blocks, texts_of
+from .common import Scratch, WordHash, connected_components, has_bit, joined_bits, shingle_hashes, signed, summed_vectors, text_blocks, texts_of
 
 CELLS = 1 << 20  # cells of the frequency table that is sent to the tasks (4 MB)
+FILTER_BITS = 1 << 23  # of the filter that spares the shuffle of texts that no pair asks for (1 MB)
 SMALL = 40  # sizes above this are never small
 
 
@@ -199,19 +200,22 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
 
 def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, own: Scratch, k: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets have the similarity."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    asked = own.save(nodes.join(reps, "node").select("rep").distinct())
-    texts = docs.join(asked, F.col("id").eqNullSafe(F.col("rep")), "left_semi").select("text")
+    nodes = own.save(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    asked = nodes.join(reps, "node").select(F.xxhash64("rep").alias("h"))
+    wanted = docs.sparkSession.sparkContext.broadcast(joined_bits(asked, "h", FILTER_BITS))
 
     def sets(batches):
         hashes = WordHash()
-        for block in text_blocks(batches, "text"):
-            found = [shingle_set(t, k, hashes) for t in texts_of(block, "text")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(s) for s in found], pa.binary()),
-                 pa.array([signed(s) for s in found], pa.list_(pa.int64()))], ["node", "s"])
+        for batch in batches:  # most documents are not asked for, and need not be shuffled
+            some = has_bit(wanted.value, batch.column(1).to_numpy(zero_copy_only=False))
+            for block in text_blocks([batch.filter(pa.array(some))], "text"):
+                found = [shingle_set(t, k, hashes) for t in texts_of(block, "text")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([node_of(s) for s in found], pa.binary()),
+                     pa.array([signed(s) for s in found], pa.list_(pa.int64()))], ["node", "s"])
 
-    # ids may repeat with other texts, so the sets are reduced to the asked nodes
+    texts = docs.select("text", F.xxhash64("id").alias("h"))
+    # other documents pass the filter too, so the sets are reduced to the asked nodes
     table = own.save(texts.mapInArrow(sets, "node binary, s array<long>").join(nodes, "node", "left_semi")
                      .dropDuplicates(["node"]))
     x, y = (table.select(F.col("node").alias(f"n{z}"), F.col("s").alias(f"s{z}")) for z in "xy")
