@@ -134,7 +134,7 @@ def tanimoto(a: VectorLike, b: VectorLike, dim: int | None = None) -> Column:
     """a·b / (|a|² + |b|² − a·b), a similarity; null when the denominator is 0."""
     ca, cb = _pair(a, b, dim)
     if ca is None:
-        ab = _sum_array(_zip(a, b, lambda x, y: x * y))
+        ab = _same_size(a, b, _sum_array(_zip(a, b, lambda x, y: x * y)))
         aa = _sum_array(_zip(a, a, lambda x, y: x * y))
         bb = _sum_array(_zip(b, b, lambda x, y: x * y))
     else:
@@ -147,7 +147,7 @@ def cosine(a: VectorLike, b: VectorLike, dim: int | None = None) -> Column:
     """a·b / (|a| |b|); null when either vector is zero."""
     ca, cb = _pair(a, b, dim)
     if ca is None:
-        ab = _sum_array(_zip(a, b, lambda x, y: x * y))
+        ab = _same_size(a, b, _sum_array(_zip(a, b, lambda x, y: x * y)))
         aa = _sum_array(_zip(a, a, lambda x, y: x * y))
         bb = _sum_array(_zip(b, b, lambda x, y: x * y))
     else:
@@ -157,15 +157,22 @@ def cosine(a: VectorLike, b: VectorLike, dim: int | None = None) -> Column:
 
 
 def _el(c: str, i: int) -> str:
-    return f"CAST(`{c}`[{i}] AS DOUBLE)"
+    return f"CAST(get(`{c}`, {i}) AS DOUBLE)"
 
 
 def _dbl(x: float) -> str:
     return f"{float(x)!r}D"
 
 
+def checked_metric(name: str, a: str, b: str, dim: int, p: float | None = None,
+                   scales: Sequence[float] | None = None) -> Column:
+    """A vector metric of two named array columns of declared length; null where a length differs."""
+    value = _sql_metric(name, a, b, dim, p, scales)
+    return F.when((F.size(a) == dim) & (F.size(b) == dim), value)
+
+
 def _sql_metric(name: str, a: str, b: str, dim: int, p: float | None,
-                scales: Sequence[float] | None) -> Column | None:
+                scales: Sequence[float] | None) -> Column:
     """The unrolled expression of a vector metric over two named array columns,
     written as one SQL string (same terms, same order as the column form): one
     gateway call instead of a few hundred for 64-long vectors."""
@@ -190,20 +197,20 @@ def _sql_metric(name: str, a: str, b: str, dim: int, p: float | None,
             return F.expr(f"CASE WHEN {den} != 0 THEN ({ab}) / {den} END")
         den = f"(sqrt({aa}) * sqrt({bb}))"
         return F.expr(f"CASE WHEN {den} != 0 THEN ({ab}) / {den} END")
-    return None
+    raise ValueError(f"unknown metric {name!r}; known: {METRICS}")
 
 
 def metric(name: str, a, b, dim: int | None = None, p: float | None = None,
            scales: Sequence[float] | None = None) -> Column:
     """Dispatch by name; vector metrics only (hamming/jaccard take their own inputs).
 
-    Named array columns with a known ``dim`` get the one-string unrolled form."""
+    Named array columns with a declared length ``dim`` get the unrolled form, which is
+    null where a vector has another length; without ``dim`` the lengths of a pair must be
+    equal, else the result is null too."""
     if isinstance(a, str) and isinstance(b, str) and dim is not None and name not in ("hamming", "jaccard"):
         if name == "std_euclidean" and scales is None:
             raise ValueError("std_euclidean needs per-feature scales")
-        fast = _sql_metric(name, a, b, dim, p, scales)
-        if fast is not None:
-            return fast
+        return checked_metric(name, a, b, dim, p, scales)
     if name == "euclidean":
         return euclidean(a, b, dim)
     if name == "manhattan":

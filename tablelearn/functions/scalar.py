@@ -19,8 +19,8 @@ def sigmoid(z: Column) -> Column:
 
 
 def sign(z: Column) -> Column:
-    """+1 when z >= 0 (zero counts as positive), else -1."""
-    return F.when(z >= 0, F.lit(1)).otherwise(F.lit(-1))
+    """+1 when z >= 0 (zero counts as positive), else -1; null for a null score."""
+    return F.when(z >= 0, F.lit(1)).when(z < 0, F.lit(-1))
 
 
 def entropy_term(p: Column) -> Column:
@@ -83,7 +83,3 @@ class GaussianTerms:
         centred = F.array(F.zip_with(x, mu, lambda a, b: a - b))
         q = F.element_at(F.transform(centred, quad), 1)
         return F.lit(self.const) - F.lit(0.5) * q
-
-    def log_pdf_numpy(self, x: np.ndarray) -> np.ndarray:
-        c = np.atleast_2d(x) - self.mean
-        return self.const - 0.5 * np.einsum("ij,jk,ik->i", c, self.precision, c)

@@ -22,13 +22,16 @@ def col(c: Union[str, Column]) -> Column:
 
 
 def components(x: VectorLike, dim: int | None = None) -> list[Column] | None:
-    """Columns of a vector, or None when it must stay an array (dim unknown)."""
+    """Columns of a vector, or None when it must stay an array (dim unknown).
+
+    ``dim`` declares the length of an array column: an array of another length has null components.
+    """
     if isinstance(x, (list, tuple)):
         return [col(c).cast("double") for c in x]
     if dim is None:
         return None
     c = col(x)
-    return [c.getItem(i).cast("double") for i in range(dim)]
+    return [F.when(F.size(c) == dim, F.get(c, F.lit(i))).cast("double") for i in range(dim)]
 
 
 def lit_vector(values: Sequence[float]) -> list[Column]:
@@ -56,36 +59,30 @@ def as_array(xs: Sequence[Column]) -> Column:
     return F.array(*[x.cast("double") for x in xs])
 
 
-def array_dot(a: Column, b: Column) -> Column:
-    """Dot product of two array columns of any (equal) length."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+def any_null(values: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, [v.isNull() for v in values])
 
 
-def argmin(values: Sequence[Column]) -> Column:
-    """Index of the smallest value; ties go to the smallest index."""
-    if len(values) == 1:
-        return F.lit(0)
-    m = F.least(*values)
+def _arg_first(values: Sequence[Column], best: Column) -> Column:
     expr = F.lit(len(values) - 1)
     for i in range(len(values) - 2, -1, -1):
-        expr = F.when(values[i] == m, F.lit(i)).otherwise(expr)
-    return expr
+        expr = F.when(values[i] == best, F.lit(i)).otherwise(expr)
+    return F.when(~any_null(values), expr)
+
+
+def argmin(values: Sequence[Column]) -> Column:
+    """Index of the smallest value; ties go to the smallest index; null if any value is null."""
+    return _arg_first(values, F.least(*values) if len(values) > 1 else values[0])
 
 
 def argmax(values: Sequence[Column]) -> Column:
-    """Index of the largest value; ties go to the smallest index."""
-    if len(values) == 1:
-        return F.lit(0)
-    m = F.greatest(*values)
-    expr = F.lit(len(values) - 1)
-    for i in range(len(values) - 2, -1, -1):
-        expr = F.when(values[i] == m, F.lit(i)).otherwise(expr)
-    return expr
+    """Index of the largest value; ties go to the smallest index; null if any value is null."""
+    return _arg_first(values, F.greatest(*values) if len(values) > 1 else values[0])
 
 
 def pick(values: Sequence[Column], index: Column) -> Column:
-    """values[index] for a small literal list of columns."""
+    """values[index] for a small literal list of columns; null for a null index."""
     expr = values[-1]
     for i in range(len(values) - 2, -1, -1):
         expr = F.when(index == i, values[i]).otherwise(expr)
-    return expr
+    return F.when(index.isNotNull(), expr)

@@ -1,7 +1,7 @@
 """k-means (Lloyd) as one aggregation job per iteration.
 
-Centres are literals in the plan; assignment is a codegen'd ``least`` over the
-k squared distances.  The update is ``groupBy(cluster)`` with partial
+Centres are literals in the plan; assignment is one array expression over the
+k squared distances, the same for every k and d.  The update is ``groupBy(cluster)`` with partial
 aggregation, so each map task ships at most k small rows: a cluster holding a
 third of all rows costs nothing extra.  The reference's cost (sum of
 *unsquared* distances) is kept for the stop test; the squared cost is
@@ -13,26 +13,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vector import argmin, total
 from .loop import history_df, numeric_base, persisted
 from .relational import first_k
 
 
-def _sq_dists(xs: Sequence[Column], centers: Sequence[Sequence[float]]) -> list[Column]:
-    return [total([(x - F.lit(float(c))) * (x - F.lit(float(c))) for x, c in zip(xs, ctr)])
-            for ctr in centers]
-
-
-def assign_columns(xs: Sequence[Column], centers: Sequence[Sequence[float]]) -> tuple[Column, Column]:
-    """(cluster index, Euclidean distance) of the nearest centre; ties → smallest index."""
-    d2 = _sq_dists(xs, centers)
-    idx = argmin(d2)
-    return idx, F.sqrt(F.least(*d2) if len(d2) > 1 else d2[0])
-
-
 @dataclass
 class KMeansModel:
     features: list
@@ -50,39 +37,20 @@ class KMeansModel:
         return spark.createDataFrame(rows, "cluster int, center array<double>, n bigint, cost double")
 
 
-# above this many k·d terms the assignment uses one array lambda instead of
-# unrolled expressions (keeps generated code under the JVM method size limit)
-UNROLL_TERMS = 512
-
+def _assigned(df: DataFrame, features: Sequence[str], centers, cluster: str = "cluster",
+              distance: str = "distance") -> DataFrame:
+    """Nearest centre and its Euclidean distance; ties → smallest index, a null feature → nulls.
 
-def _assigned_wide(df: DataFrame, features: Sequence[str], centers, cluster: str,
-                   distance: str) -> DataFrame:
-    """Wide form: squared distances to all centres as one array expression."""
+    The squared distances to all centres are one array expression, computed once per row.
+    """
+    rest = [c for c in df.columns if c not in (cluster, distance)]
     x = F.array(*[F.col(c).cast("double") for c in features])
-    cen = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
-    d2 = F.transform(cen, lambda c: F.aggregate(F.zip_with(F.col("_x"), c, lambda a, b: (a - b) * (a - b)),
+    cen = F.expr("array(" + ", ".join("array(" + ", ".join(f"{float(v)!r}D" for v in c) + ")" for c in centers) + ")")
+    d2 = F.transform(cen, lambda c: F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)),
                                                 F.lit(0.0), lambda acc, t: acc + t))
-    staged = df.withColumn("_x", x).withColumn("_d2", d2)
-    out = (staged.withColumn(cluster, (F.array_position("_d2", F.array_min("_d2")) - 1).cast("int"))
-           .withColumn(distance, F.sqrt(F.array_min("_d2"))))
-    return out.drop("_x", "_d2")
-
-
-def _assigned(df: DataFrame, features: Sequence[str], centers, cluster: str = "cluster",
-              distance: str = "distance") -> DataFrame:
-    """Squared distances as columns first, then argmin over the columns: the
-    k·d-term distance expressions are computed once per row, not k times.
-    Ties go to the smaller cluster index in both forms."""
-    if len(features) * len(centers) > UNROLL_TERMS:
-        return _assigned_wide(df, features, centers, cluster, distance)
-    xs = [F.col(c).cast("double") for c in features]
-    d2 = _sq_dists(xs, centers)
-    tmp = [f"_d2_{j}" for j in range(len(centers))]
-    cols = [F.col(t) for t in tmp]
-    staged = df.select("*", *[e.alias(t) for e, t in zip(d2, tmp)])
-    out = staged.withColumn(cluster, argmin(cols)).withColumn(
-        distance, F.sqrt(F.least(*cols) if len(cols) > 1 else cols[0]))
-    return out.drop(*tmp)
+    staged = df.select(*rest, d2.alias("_d2"))
+    least = F.array_min("_d2")
+    return staged.select(*rest, (F.array_position("_d2", least) - 1).cast("int").alias(cluster), F.sqrt(least).alias(distance))
 
 
 def kmeans_assign(df: DataFrame, features: Sequence[str], centers: Sequence[Sequence[float]],
@@ -160,4 +128,4 @@ def kmeans_history(spark: SparkSession, model: KMeansModel) -> DataFrame:
 
 
 __all__ = ["KMeansModel", "kmeans_assign", "kmeans_update", "kmeans_fit", "kmeans_predict",
-           "kmeans_history", "assign_columns"]
+           "kmeans_history"]

@@ -4,15 +4,15 @@ Pairs always come from an equi-join, never from a cross join:
 
 * ``keyed_distance`` compares rows that share a key (e.g. a row and the
   centroid of its class).
-* ``nearest`` finds the exact k nearest train rows of every query row with
-  pivot partitioning over distinct vectors: train vectors are assigned to the
-  nearest of m pivots, and a query only meets the cells the triangle
-  inequality cannot rule out (d(q, x) >= d(q, p_j) - R_j).  Round 1 joins each
-  query vector with its home cell and gives a k-th distance bound; round 2
-  joins the cells still in reach.  The join key is the cell id, so AQE's
-  skew-join handling splits a hot cell across tasks; rankings are
-  ``row_number()``/``rank() <= k``, planned with a partial group limit before
-  the shuffle.  Copies collapse to one vector before any pair is formed.
+* ``nearest`` finds the exact k nearest train rows of every query row over distinct
+  vectors: train vectors are assigned to the nearest of m pivots (m grows
+  with their number), cells are cut into blocks of bounded size, and a
+  query only meets the blocks of the cells that the triangle inequality
+  cannot rule out (d(q, x) >= d(q, p_j) - R_j).  Round 1 joins each query vector
+  with one block of its home cell and gives a k-th distance bound; round 2
+  joins all blocks still in reach.  Rankings are ``row_number() <= k`` under
+  (distance, smallest id), planned with a partial group limit before the
+  shuffle, so ties never add candidates.
 """
 
 from __future__ import annotations
@@ -23,116 +23,139 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import distance as D
-from ..functions.vector import components, total
-from ..session import shuffle_partitions
+from ..session import scratch_path, shuffle_partitions
 from .relational import top_k_per_group
 
+BROADCAST_ROWS = 10_000  # a keyed side is broadcast up to this many rows (counted first)
+BLOCK = 2048  # train vectors in one block of a cell
+MAX_PIVOTS = 1024  # pivots that go to the driver and into the plan
+
 
 def group_means(df: DataFrame, group: str | Sequence[str], vec: str, dim: int,
                 out: str = "mean_vec") -> DataFrame:
-    """Element-wise mean vector per group (d averages in one partial/final aggregate)."""
+    """Element-wise mean vector per group (d averages in one partial/final aggregate).
+
+    ``dim`` is the declared length; a group with a vector of another length has a null mean.
+    """
     keys = [group] if isinstance(group, str) else list(group)
-    avgs = [F.expr(f"avg(CAST(`{vec}`[{i}] AS DOUBLE)) AS _m{i}") for i in range(dim)]
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *avgs)
-    return agg.select(*keys, "n", F.expr("array(" + ", ".join(f"_m{i}" for i in range(dim)) + f") AS `{out}`"))
+    avgs = [F.expr(f"avg(CAST(get(`{vec}`, {i}) AS DOUBLE)) AS _m{i}") for i in range(dim)]
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.size(vec)).alias("_least"),
+                                F.max(F.size(vec)).alias("_most"), *avgs)
+    mean = F.expr("array(" + ", ".join(f"_m{i}" for i in range(dim)) + ")")
+    return agg.select(*keys, "n", F.when((F.col("_least") == dim) & (F.col("_most") == dim), mean).alias(out))
 
 
 def keyed_distance(left: DataFrame, right: DataFrame, on: Sequence[str], left_vec: str,
                    right_vec: str, metric: str, dim: int | None = None, out: str = "distance",
                    **kw) -> DataFrame:
-    """Distance between each left row and the right row(s) sharing its key."""
+    """Distance between each left row and the right row(s) sharing its key.
+
+    The right side is counted (up to the bound): a small one is broadcast, so a key
+    that a third of the left rows share is not shuffled; a large one is joined
+    through the shuffle, where adaptive execution splits a hot key.
+    """
     r = right.withColumnRenamed(right_vec, "_rv")
+    if right.select(*on).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        r = F.broadcast(r)
     j = left.join(r, on=list(on), how="inner")
     return j.withColumn(out, D.metric(metric, left_vec, "_rv", dim=dim, **kw)).drop("_rv")
 
 
-def _sq(a: Sequence[Column], b: Sequence[float | Column]) -> Column:
-    bb = [F.lit(float(v)) if not isinstance(v, Column) else v for v in b]
-    return total([(x - y) * (x - y) for x, y in zip(a, bb)])
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Written once below the shared scratch folder, and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str, tvec: str,
-            dim: int, k: int, exclude_self: bool = False, n_pivots: int = 16,
-            extra: Sequence[str] = ()) -> DataFrame:
-    """Exact k nearest train rows (Euclidean) for every query row.
+            dim: int, k: int, exclude_self: bool = False, n_pivots: int | None = None,
+            extra: Sequence[str] = (), metric: str = "euclidean", block: int = BLOCK) -> DataFrame:
+    """Exact k nearest train rows for every query row.
 
     Output: ``qid, tid, rank, distance`` (+ ``extra`` train columns; the train
     id is renamed ``<tid>_neighbor`` when both ids share a name); ties in
     distance go to the smaller ``tid``.  ``exclude_self`` drops pairs with
     ``qid == tid``.  Fewer than k rows are returned when train is smaller.
-
-    The pair search runs over *distinct* vectors, so a group of identical
-    rows (however large) is one point: copies are collapsed by a partial
-    aggregation, searched once, and expanded back through the kk smallest ids
-    of each vector (kk = k, or k + 1 when the query itself may be among
-    them).  Neighbour vectors are ranked with ``rank()`` so vectors tied at
-    the k-th distance all stay candidates; the final ranking per query row is
-    by (distance, id).
+    ``metric`` is euclidean, manhattan or chebyshev (those that obey the triangle
+    inequality over all vectors).  ``dim`` is the declared length: a vector of
+    another length ends the job with an error; rows with a null vector take no part.
+
+    The search runs over *distinct* vectors, so a group of identical rows (however
+    large) is one point: copies are collapsed by a partial aggregation, searched
+    once, and expanded back through the kk smallest ids of each vector (kk = k, or
+    k + 1 when the query itself may be among them).  Keeping kk vectors per query
+    under (distance, smallest id) is enough: each vector ahead of another one
+    contributes at least one row ahead of all rows of the other.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
+    if metric not in ("euclidean", "manhattan", "chebyshev"):
+        raise ValueError("metric is euclidean, manhattan or chebyshev")
+    spark = queries.sparkSession
     kk = k + 1 if exclude_self else k
-    t = (train.select(F.col(tid).alias("_tid"), F.col(tvec).cast("array<double>").alias("_tv"), *extra)
-         .where(F.col("_tv").isNotNull()))
-    q = (queries.select(F.col(qid).alias("_qid"), F.col(qvec).cast("array<double>").alias("_qv"))
-         .where(F.col("_qv").isNotNull()))
-    # distinct vectors, each named by its smallest row id (hash aggregation on the
-    # vector; every later sort, window and join is keyed by that id, not the array)
-    tvecs = t.groupBy("_tv").agg(F.min("_tid").alias("_tr"))
-    qvecs = q.groupBy("_qv").agg(F.min("_qid").alias("_qr"))
+
+    def checked(c: str) -> Column:
+        v = F.col(c).cast("array<double>")
+        return F.when(v.isNull() | (F.size(v) == dim), v).otherwise(
+            F.raise_error(F.lit(f"nearest: a vector whose length is not {dim}")).cast("array<double>"))
+
+    t = train.select(F.col(tid).alias("_tid"), checked(tvec).alias("_tv"), *extra).where(F.col("_tv").isNotNull())
+    q = queries.select(F.col(qid).alias("_qid"), checked(qvec).alias("_qv")).where(F.col("_qv").isNotNull())
+    # distinct vectors, each named by its smallest row id, written once: one scan per input
+    tvecs = _written(t.groupBy("_tv").agg(F.min("_tid").alias("_tr")), "knn-train")
+    qvecs = _written(q.groupBy("_qv").agg(F.min("_qid").alias("_qr")), "knn-query")
+    n_train = tvecs.count()
+    m = n_pivots or min(MAX_PIVOTS, max(16, -(-n_train // block)))
     # pivots: m distinct train vectors in hash order of their id (deterministic)
-    piv_rows = tvecs.orderBy(F.xxhash64("_tr"), "_tr").limit(n_pivots).collect()
+    piv_rows = tvecs.orderBy(F.xxhash64("_tr"), "_tr").limit(m).collect()
     pivots = [[float(v) for v in r["_tv"]] for r in piv_rows]
-    m = len(pivots)
     out_tid = tid if tid != qid else f"{tid}_neighbor"
-    if m == 0:
-        return queries.sparkSession.createDataFrame(
+    if not pivots:
+        return spark.createDataFrame(
             [], f"{qid} {queries.schema[qid].dataType.simpleString()}, "
                 f"{out_tid} {train.schema[tid].dataType.simpleString()}, rank int, distance double"
                 + "".join(f", {c} {train.schema[c].dataType.simpleString()}" for c in extra))
-    # distances to all m pivots as one array expression (m·d work per row,
-    # compact code: a lambda over a literal m × d array instead of m·d unrolled terms)
-    # (built as one SQL expression: a Python-side literal tree would cost m·d gateway calls)
+    # distances to all pivots as one array expression over a literal m x d table
+    # (one SQL string: a Python-side literal tree would cost m x d gateway calls)
     piv = F.expr("array(" + ", ".join("array(" + ", ".join(f"{v!r}D" for v in p) + ")" for p in pivots) + ")")
 
     def pivot_dists(vec: str) -> Column:
-        return F.transform(piv, lambda p: F.sqrt(F.aggregate(
-            F.zip_with(F.col(vec), p, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)))
+        return F.transform(piv, lambda p: D.metric(metric, F.col(vec), p))
 
     def nearest_pivot(arr: str) -> Column:  # first index of the minimum (ties → smaller pivot)
         return F.array_position(F.col(arr), F.array_min(F.col(arr))).cast("int") - 1
 
-    tc = (tvecs.withColumn("_pd", pivot_dists("_tv"))
-          .select("_tr", "_tv", nearest_pivot("_pd").alias("_cell"), F.array_min("_pd").alias("_r")))
-    # cell radii: one row per pivot (m rows, a bound known here), joined by broadcast
-    radii = F.broadcast(tc.groupBy("_cell").agg(F.max("_r").alias("_R")))
-    # spread the pair work by query vector: also the distribution the per-query
-    # ranking needs (an explicit count keeps AQE from coalescing it away)
-    n_parts = shuffle_partitions(queries.sparkSession)
-    qc = (qvecs.repartition(n_parts, "_qr").withColumn("_pd", pivot_dists("_qv"))
-          .select("_qr", "_qv", nearest_pivot("_pd").alias("_home"), "_pd"))
-
-    # unrolled pair distance (stays in whole-stage codegen), written as one SQL expression
-    d2 = F.expr(" + ".join(f"(_qv[{i}] - _tv[{i}]) * (_qv[{i}] - _tv[{i}])" for i in range(dim)))
-
-    def score(pairs: DataFrame) -> DataFrame:
-        return pairs.select("_qr", "_tr", F.sqrt(d2).alias("distance"))
-
-    by_distance = [F.col("distance")]
-    round1 = score(qc.join(tc.withColumnRenamed("_cell", "_home"), "_home"))
-    top1 = top_k_per_group(round1, ["_qr"], by_distance, kk, rank="_rk", ties=True)
-    bound = top1.groupBy("_qr").agg(F.max("distance").alias("_bound"), F.count(F.lit(1)).alias("_got"))
-    # cells still in reach of each query vector (at most m per query vector)
+    placed = _written(tvecs.withColumn("_pd", pivot_dists("_tv"))
+                      .select("_tr", "_tv", nearest_pivot("_pd").alias("_cell"), F.array_min("_pd").alias("_r")), "knn-cells")
+    # one row per pivot: radius of its cell, and the number of its blocks
+    cells = {r["_cell"]: r for r in placed.groupBy("_cell").agg(
+        F.max("_r").alias("_R"), F.count(F.lit(1)).alias("n")).collect()}
+    radius = F.expr("array(" + ", ".join(f"{cells[c]['_R'] if c in cells else -1.0!r}D" for c in range(len(pivots))) + ")")
+    blocks = F.expr("array(" + ", ".join(str(-(-cells[c]["n"] // block) if c in cells else 0) for c in range(len(pivots))) + ")")
+    tc = placed.withColumn("_block", F.pmod(F.xxhash64("_tr"), F.get(blocks, F.col("_cell"))).cast("int"))
+
+    # spread the pair work by query vector: also the distribution the per-query ranking needs
+    qc = (qvecs.repartition(shuffle_partitions(spark), "_qr").withColumn("_pd", pivot_dists("_qv"))
+          .withColumn("_home", nearest_pivot("_pd")))
+    score = D.checked_metric(metric, "_qv", "_tv", dim)
+    best = [F.col("distance"), F.col("_tr")]
+
+    def met(side: DataFrame) -> DataFrame:
+        """The kk best train vectors of each query vector among the blocks it was sent to."""
+        pairs = side.select("_qr", "_qv", "_cell", "_block").join(tc.drop("_r"), ["_cell", "_block"])
+        return top_k_per_group(pairs.select("_qr", "_tr", score.alias("distance")), ["_qr"], best, kk, rank="_rk").drop("_rk")
+
+    some = F.pmod(F.xxhash64("_qr"), F.get(blocks, F.col("_home"))).cast("int")
+    first = met(qc.select("_qr", "_qv", F.col("_home").alias("_cell"), some.alias("_block")))
+    bound = first.groupBy("_qr").agg(F.max("distance").alias("_bound"), F.count(F.lit(1)).alias("_got"))
     reach = (qc.join(bound, "_qr", "left")
-             .select("_qr", "_qv", "_home", "_pd", F.when(F.col("_got") >= kk, F.col("_bound")).alias("_bound"))
-             .select("_qr", "_qv", "_home", "_bound", F.posexplode("_pd").alias("_cell", "_dp")))
+             .select("_qr", "_qv", F.when(F.col("_got") >= kk, F.col("_bound")).alias("_bound"), F.posexplode("_pd").alias("_cell", "_dp")))
     slack = F.lit(1e-9) * (F.lit(1.0) + F.col("_dp"))
-    reach = reach.join(radii, "_cell").where(
-        (F.col("_cell") != F.col("_home")) &
-        (F.col("_bound").isNull() | (F.col("_dp") - F.col("_R") <= F.col("_bound") + slack)))
-    round2 = score(reach.select("_qr", "_qv", "_cell").join(tc, "_cell"))
-    cand = top1.drop("_rk").unionByName(round2)
-    vec_nn = top_k_per_group(cand, ["_qr"], by_distance, kk, rank="_rk", ties=True).drop("_rk")
+    r_of = F.get(radius, F.col("_cell"))
+    reach = reach.where((r_of >= 0) & (F.col("_bound").isNull() | (F.col("_dp") - r_of <= F.col("_bound") + slack)))
+    sent = reach.withColumn("_block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("_cell")) - 1)))
+    vec_nn = met(sent)
     # expand: neighbour vectors → their kk smallest ids; query vectors → query rows
     t_rows = t.join(tvecs, "_tv").drop("_tv")
     ids = top_k_per_group(t_rows, ["_tr"], [F.col("_tid")], kk, rank="_ri").drop("_ri")
