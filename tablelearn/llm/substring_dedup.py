@@ -22,18 +22,21 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHash, connected_components, mix64, shingle_hashes, signed, text_blocks, texts_of
+from .common import Scratch, WordHash, connected_components, has_bit, joined_bits, mix64, shingle_hashes, signed, text_blocks, texts_of
 
 SHINGLE = 5
 LENGTH = 20
 WINDOW = 32
 SIMILARITY = 0.8
 RECALL = 0.99
+FILTER_BITS = 1 << 23  # of each filter that spares shuffles (1 MB); what passes by chance is sorted out by a join
 
 
 def tuned_bands(similarity: float, recall: float, most: int = 16) -> tuple[int, int]:
@@ -43,19 +46,41 @@ def tuned_bands(similarity: float, recall: float, most: int = 16) -> tuple[int,
     return min(fits)[2:]
 
 
-def anchors(h: np.ndarray, window: int) -> np.ndarray:
-    """Positions that are the least of some ``window`` neighbours (the last of equal ones).
+def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
+    """``best`` (minimum or maximum) of every ``width`` neighbours, by doubling."""
+    out, have = x, 1
+    while have < width:
+        step = min(have, width - have)
+        out = best(out[:len(out) - step], out[step:])
+        have += step
+    return out
+
+
+def anchors(h: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
+    """Positions in ``h`` (runs of ``counts`` values, one per text) that are the least of ``window`` neighbours of their text.
 
-    In a run of equal values every ``window``-th position is kept.
+    A text of fewer values has its least one.  In a run of equal anchors every ``window``-th position is kept.
     """
     n = len(h)
     if n == 0:
         return np.zeros(0, np.int64)
-    if n <= window:
-        return np.array([n - 1 - int(np.argmin(h[::-1]))])
-    view = np.lib.stride_tricks.sliding_window_view(h, window)
-    at = np.unique(np.arange(len(view)) + window - 1 - np.argmin(view[:, ::-1], 1))
-    same = np.append(False, (h[at[1:]] == h[at[:-1]]) & (np.diff(at) < window))
+    doc = np.repeat(np.arange(len(counts)), counts)
+    starts = np.cumsum(counts) - counts
+    rel = np.arange(n) - starts[doc]
+    chosen = np.zeros(n, bool)
+    if n >= window:
+        least = _sliding(h, window, np.minimum)
+        least = np.where((rel + window <= counts[doc])[:len(least)], least, 0)
+        # the largest of the least values of all windows that hold a position
+        around = _sliding(np.concatenate([np.zeros(window - 1, h.dtype), least, np.zeros(window - 1, h.dtype)]), window, np.maximum)
+        chosen = (h == around) & (around > 0)
+    few = np.flatnonzero((counts > 0) & (counts < window))
+    if len(few):
+        lows = np.zeros(len(counts), h.dtype)
+        lows[few] = [h[starts[d]:starts[d] + counts[d]].min() for d in few]
+        chosen |= (counts[doc] < window) & (h == lows[doc])
+    at = np.flatnonzero(chosen)
+    same = np.append(False, (h[at[1:]] == h[at[:-1]]) & (np.diff(at) < window) & (doc[at[1:]] == doc[at[:-1]]))
     if same.any():
         run = np.flatnonzero(~same)
         first = at[run[np.searchsorted(run, np.arange(len(at)), "right") - 1]]
@@ -64,14 +89,21 @@ def anchors(h: np.ndarray, window: int) -> np.ndarray:
     return at
 
 
-def paragraphs(text: bytes, hashes: WordHash, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, shingle hashes per paragraph) of one text."""
-    h = hashes.of(text.lower().split())
-    if len(h) < length:
-        return np.zeros(0, np.int64), np.zeros((0, length - SHINGLE + 1), np.uint64)
-    s = shingle_hashes(h, SHINGLE)
-    at = anchors(s[:len(h) - length + 1], window)  # only anchors whose paragraph fits
-    return at, s[at[:, None] + np.arange(length - SHINGLE + 1)]
+def paragraphs(texts: list[bytes], hashes: WordHash, length: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, start, shingle hashes) of every paragraph of some texts."""
+    words = [t.lower().split() for t in texts]
+    lengths = np.array([len(w) for w in words], np.int64)
+    h = hashes.of(list(chain.from_iterable(words)))
+    fits = np.maximum(lengths - length + 1, 0)  # starts whose paragraph fits
+    none = np.zeros(0, np.int64)
+    if not fits.any():
+        return none, none, np.zeros((0, length - SHINGLE + 1), np.uint64)
+    s = shingle_hashes(h, SHINGLE)  # also across texts, where no paragraph looks
+    doc = np.repeat(np.arange(len(texts)), fits)
+    rel = np.arange(len(doc)) - (np.cumsum(fits) - fits)[doc]
+    place = (np.cumsum(lengths) - lengths)[doc] + rel
+    at = anchors(s[place], fits, window)
+    return doc[at], rel[at], s[place[at][:, None] + np.arange(length - SHINGLE + 1)]
 
 
 def content_hash(s: np.ndarray) -> np.ndarray:
@@ -107,37 +139,32 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def cut(batches):
         hashes = WordHash()
-        for block in text_blocks(batches, "text"):
-            found = [paragraphs(t, hashes, length, window) for t in texts_of(block, "text")]
-            yield block, found
+        for block in text_blocks(batches, "text", 2 << 20):
+            doc, start, s = paragraphs(texts_of(block, "text"), hashes, length, window)
+            if len(doc):
+                yield block, doc, start, s
 
     def emit_bands(batches):
-        for _, found in cut(batches):
-            s = np.concatenate([f[1] for f in found])
-            if len(s):
-                keys, content = band_keys(s, bands, rows), content_hash(s)
-                pair = np.unique(np.stack([keys.ravel(), np.repeat(content, bands)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(pair[:, j]))) for j in (0, 1)], ["band", "content"])
+        for _, _, _, s in cut(batches):
+            keys, content = band_keys(s, bands, rows), content_hash(s)
+            pair = np.unique(np.stack([keys.ravel(), np.repeat(content, bands)], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(pair[:, j]))) for j in (0, 1)], ["band", "content"])
 
     def emit_places(batches):
-        for block, found in cut(batches):
-            counts = np.array([len(f[0]) for f in found])
-            if counts.sum():
-                row = pa.array(np.repeat(np.arange(len(counts)), counts))
-                s = np.concatenate([f[1] for f in found])
-                yield pa.RecordBatch.from_arrays(
-                    [block.column(0).take(row), block.column(1).take(row),
-                     pa.array(np.concatenate([f[0] for f in found]).astype(np.int32)), pa.array(signed(content_hash(s)))],
-                    ["id", "th", "start", "content"])
+        for block, doc, start, s in cut(batches):
+            row = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [block.column(0).take(row), block.column(1).take(row), pa.array(start.astype(np.int32)), pa.array(signed(content_hash(s)))],
+                ["id", "th", "start", "content"])
 
     def emit_sets(batches):
-        for _, found in cut(batches):
-            s = np.concatenate([f[1] for f in found])
-            if len(s):
-                content, first = np.unique(content_hash(s), return_index=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(content)), pa.array([signed(np.unique(s[i])) for i in first], pa.list_(pa.int64()))],
-                    ["content", "s"])
+        own_docs = (b.filter(pa.array(has_bit(held.value, b.column(1).to_numpy(zero_copy_only=False)))) for b in batches)
+        for _, _, _, s in cut(own_docs):
+            content, first = np.unique(content_hash(s), return_index=True)
+            some = has_bit(wanted.value, signed(content))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(content[some])), pa.array([signed(np.unique(s[i])) for i in first[some]], pa.list_(pa.int64()))],
+                ["content", "s"])
 
     with Scratch(docs.sparkSession, "substring-dedup") as own:
         banded = docs.select("text").mapInArrow(emit_bands, "band long, content long")
@@ -151,10 +178,11 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         counted = own.save(counted.join(asked.withColumnRenamed("content", "_asked"), F.col("content") == F.col("_asked"), "left")
                            .where((_doc("first") != F.col("last")) | F.col("_asked").isNotNull()))
 
-        held = counted.where("_asked is not null").select("first.id", "first.th").distinct()
-        texts = docs.join(held.select(F.col("id").alias("_id"), F.col("th").alias("_th")),
-                          F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left_semi").select("text")
-        sets = own.save(texts.mapInArrow(emit_sets, "content long, s array<long>").join(asked, "content", "left_semi")
+        # only documents that hold an asked content are cut again, and only asked contents leave the task
+        broadcast = docs.sparkSession.sparkContext.broadcast
+        held = broadcast(joined_bits(counted.where("_asked is not null").select("first.th"), "th", FILTER_BITS))
+        wanted = broadcast(joined_bits(asked, "content", FILTER_BITS))
+        sets = own.save(docs.mapInArrow(emit_sets, "content long, s array<long>").join(asked, "content", "left_semi")
                         .dropDuplicates(["content"]))
         x, y = (sets.select(F.col("content").alias(f"c{z}"), F.col("s").alias(f"s{z}")) for z in "xy")
         inter = F.size(F.array_intersect("sx", "sy"))

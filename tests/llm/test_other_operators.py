@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.llm import queries as Q
 from tablelearn.llm.common import Scratch, read_table
-from tablelearn.llm.language_model import END, FREQUENT, BUCKETS, Model, Tokens, class_logs, classes_by_context, language_model_scores
+from tablelearn.llm.language_model import END, FREQUENT, BUCKETS, Model, Tokens, Vocabulary, class_logs, classes_by_context, language_model_scores
 from tablelearn.llm.packing import CAPACITY, differencing, pack, token_ids, windows
 from tablelearn.llm.quality import fit, score
 from tablelearn.llm.topk import cover_tree, products, search, top_k
@@ -306,7 +306,7 @@ def test_class_and_outcome_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     model = Model({}, FREQUENT + np.arange(BUCKETS), 0, 0, np.zeros(BUCKETS), rng.normal(size=16).astype(np.float32),
                   rng.normal(size=(3, 16, 4096)).astype(np.float32))
-    _, cells, _ = Tokens([b"a b c d a", b"", b"z"], model).contexts()
+    _, cells, _ = Tokens([b"a b c d a", b"", b"z"], Vocabulary(model)).contexts()
     assert np.allclose(np.exp(class_logs(model, cells)).sum(0), 1, atol=1e-5)
     place = classes_by_context(rng.integers(0, 9, (512, 512)).astype(float))
     assert sorted(place) == list(range(512))

@@ -280,11 +280,17 @@ def test_anchors_cover_every_window():
     import numpy as np
 
     rng = np.random.default_rng(1)
-    for h in (rng.integers(0, 1 << 60, 5000).astype(np.uint64), rng.integers(0, 4, 3000).astype(np.uint64)):
-        at = anchors(h, 32)
+    for h in (rng.integers(0, 1 << 60, 5000).astype(np.uint64), rng.integers(1, 5, 3000).astype(np.uint64)):
+        at = anchors(h, np.array([len(h)]), 32)
         assert len(at) < len(h) / 5 and np.all(np.diff(at) > 0) and np.diff(at).max() <= 64
-    distinct = anchors(rng.permutation(4000).astype(np.uint64), 32)
+    h = rng.permutation(4000).astype(np.uint64) + np.uint64(1)
+    distinct = anchors(h, np.array([4000]), 32)
     assert np.diff(distinct).max() <= 32 and distinct[0] < 32
+    assert set(distinct) == {s + int(np.argmin(h[s:s + 32])) for s in range(4000 - 31)}
+    # texts do not see each other
+    parts = np.array([7, 0, 100, 31, 32, 1])
+    apart = [int(a + b) for a, n in zip(np.cumsum(parts) - parts, parts) for b in anchors(h[a:a + n], np.array([n]), 32)]
+    assert anchors(h[:parts.sum()], parts, 32).tolist() == apart
 
 
 def test_tuned_bands_reach_the_recall():
