@@ -33,17 +33,21 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 SCALE = 256
-LEAF = 48
+LEAF = 128
 CHILDREN = 16
 MAX_CELLS = 256  # pivots that go to the driver and to all tasks
 QUERY_GROUP = 512
 LOWEST = -(1 << 62)
 
 
+def fits_doubles(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether doubles hold every partial sum of the inner products exactly."""
+    return float(np.abs(x).max(initial=0)) * float(np.abs(y).max(initial=0)) * max(1, x.shape[1]) < 2**53
+
+
 def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Integer inner products of all rows of x with all rows of y."""
-    top = float(np.abs(x).max(initial=0)) * float(np.abs(y).max(initial=0)) * max(1, x.shape[1])
-    if top < 2**53:  # doubles hold every partial sum exactly
+    if fits_doubles(x, y):
         return (x.astype(np.float64) @ y.astype(np.float64).T).astype(np.int64)
     exact = x.astype(object) @ y.astype(object).T
     return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
@@ -82,7 +86,7 @@ def cover_tree(x: np.ndarray, rows: np.ndarray | None = None, centre: np.ndarray
 def search(q: np.ndarray, q_ids: np.ndarray, least: np.ndarray, x: np.ndarray, ids: np.ndarray, tree: Node, k: int,
            ) -> list[tuple[int, int, int]]:
     """(query row, data id, score) of each query's k best in the block, as far as they reach ``least``."""
-    qf = q.astype(np.float64)
+    qf, xf, exact = q.astype(np.float64), x.astype(np.float64), fits_doubles(q, x)
     qtree = cover_tree(qf)
     kth = least.astype(np.float64).copy()
     found: list[list[tuple[int, int]]] = [[] for _ in range(len(q))]  # (score, -id), a heap of k
@@ -98,17 +102,18 @@ def search(q: np.ndarray, q_ids: np.ndarray, least: np.ndarray, x: np.ndarray, i
         if -up < kth[a.rows].min():
             continue
         if not a.children and not b.children:
-            s = products(q[a.rows], x[b.rows])
-            for i, r in zip(a.rows, s):
-                for j in np.flatnonzero((r >= kth[i]) & (ids[b.rows] != q_ids[i])):
-                    item = (int(r[j]), -int(ids[b.rows[j]]))
-                    heap = found[i]
-                    if len(heap) < k:
-                        heapq.heappush(heap, item)
-                    elif item > heap[0]:
-                        heapq.heapreplace(heap, item)
-                    if len(heap) == k:
-                        kth[i] = max(kth[i], heap[0][0])
+            s = qf[a.rows] @ xf[b.rows].T if exact else products(q[a.rows], x[b.rows])
+            for r, j in zip(*np.nonzero(s >= kth[a.rows, None])):
+                i, other = a.rows[r], int(ids[b.rows[j]])
+                if other == q_ids[i]:
+                    continue
+                item, heap = (int(s[r, j]), -other), found[i]
+                if len(heap) < k:
+                    heapq.heappush(heap, item)
+                elif item > heap[0]:
+                    heapq.heapreplace(heap, item)
+                if len(heap) == k:
+                    kth[i] = max(kth[i], heap[0][0])
             continue
         split_a = a.children and (not b.children or a.radius >= b.radius)
         for x_, y_ in ([(c, b) for c in a.children] if split_a else [(a, c) for c in b.children]):
@@ -150,7 +155,7 @@ def top_k(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", is_qu
 
         points = own.save(base.mapInArrow(encode, "id long, v binary, query boolean").distinct())
         n = points.count()
-        block = block or min(8192, max(512, n // 64))
+        block = block or min(8192, max(1024, n // 16))
         order = [F.xxhash64("id", "v"), "id", "v"]
         pivots = [r["v"] for r in points.orderBy(*order).limit(min(MAX_CELLS, -(-n // block))).collect()]
         if not pivots:
