@@ -1,30 +1,30 @@
-"""Categorical naive Bayes with Laplace smoothing.
+"""Categorical naive Bayes with additive smoothing.
 
 Fit = two aggregations: class counts, and counts of (class, feature, value)
 from the unpivoted table (partial aggregation before the shuffle, so a hot
-class or value costs one row per task).  Scoring is a sum of log-probability
-lookups; a model with at most ``LITERAL_CELLS`` cells is applied as
-literal maps (no join, no shuffle), a larger one through an equi-join of the
-unpivoted query rows with the cell table, one row per (row, class) generated
-from the bounded class list.
+class or value costs one row per task).  The counts stay DataFrames; only the
+class counts and the number of values per feature (one row per class and per
+feature) reach the driver.
+
+Scoring has one form: for every feature the rows are joined with a table of
+(value, counts by class), which Spark broadcasts or shuffles by its size, and
+the logarithms are added up.  No row key is needed and repeated rows stay.
+A null feature adds nothing; a value that the fit has not seen has count 0.
+With smoothing 0 a count of 0 gives -inf; if all classes have it, the
+smallest class wins the tie.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vector import argmax, pick, total
-from .encode import collect_small, literal_map, unpivot_features
-from .loop import persisted
-
-# largest model scored through literal maps (a map lookup scans its keys, so
-# bigger models are scored through a join instead)
-LITERAL_CELLS = 20_000
+from .encode import unpivot_features
 
 
 @dataclass
@@ -37,7 +37,6 @@ class NBModel:
     n_values: dict           # feature -> V_f (distinct values seen)
     priors_df: DataFrame = None
     cells_df: DataFrame = None
-    cells: dict = field(default_factory=dict)  # (class, feature) -> {value: n}
 
     @property
     def n_rows(self) -> int:
@@ -47,108 +46,97 @@ class NBModel:
         lam, n = self.smoothing, self.n_rows
         return math.log((self.class_counts[c] + lam) / (n + lam * len(self.classes)))
 
-    def log_prob(self, c, f, n: int) -> float:
-        lam = self.smoothing
-        num = n + lam
-        if num <= 0:
-            return float("-inf")
-        return math.log(num / (self.class_counts[c] + lam * self.n_values[f]))
+
+def _smoothing(smoothing: float | str) -> float:
+    lam = 0.0 if smoothing == "none" else float(smoothing)
+    if lam < 0:
+        raise ValueError("smoothing must not be negative")
+    return lam
 
 
-def nb_fit(df: DataFrame, features: Sequence[str], label: str, smoothing: float = 1.0,
-           collect_cells: bool = True) -> NBModel:
-    features = list(features)
-    base = df.where(F.col(label).isNotNull()).select(
+def _base(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    return df.where(F.col(label).isNotNull()).select(
         F.col(label), *[F.col(c).cast("string").alias(c) for c in features])
-    with persisted(base):
-        priors, cells = nb_tables(base, features, label, smoothing)
-        counts = {r[label]: int(r["n"]) for r in collect_small(priors.select(label, "n"))}
-        nv = {r["feature"]: int(r["nv"]) for r in collect_small(
-            cells.groupBy("feature").agg(F.countDistinct("value").alias("nv")))}
-        model = NBModel(label, features, float(smoothing), sorted(counts), counts,
-                        {f: nv.get(f, 0) for f in features}, priors, cells)
-        if collect_cells:
-            try:
-                rows = collect_small(cells.select(label, "feature", "value", "n"), LITERAL_CELLS)
-            except ValueError:
-                rows = None
-            if rows is not None:
-                for r in rows:
-                    model.cells.setdefault((r[label], r["feature"]), {})[r["value"]] = int(r["n"])
-    return model
+
+
+def nb_fit(df: DataFrame, features: Sequence[str], label: str, smoothing: float | str = 1.0) -> NBModel:
+    """Counts of the training rows (``smoothing="none"`` is 0)."""
+    features, lam = list(features), _smoothing(smoothing)
+    base = _base(df, features, label)
+    priors, cells = nb_tables(base, features, label, lam)
+    counts = {r[label]: int(r["n"]) for r in priors.select(label, "n").collect()}
+    seen = _cells(base, features, label).groupBy("feature").agg(F.countDistinct("value").alias("nv"))
+    nv = {r["feature"]: int(r["nv"]) for r in seen.collect()}
+    return NBModel(label, features, lam, sorted(counts), counts, {f: nv.get(f, 0) for f in features}, priors, cells)
+
+
+def _cells(base: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    long = unpivot_features(base, [label], features).where(F.col("value").isNotNull())
+    return long.groupBy(label, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def nb_priors(df: DataFrame, label: str, smoothing: float | str = 1.0) -> DataFrame:
+    """label, n, prior = (n_c + λ) / (N + λ·C): one aggregation."""
+    lam = F.lit(_smoothing(smoothing))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    # one row per class: totals by a window over this model-sized table (no join)
+    everything = Window.partitionBy()
+    return counts.select(label, "n", ((F.col("n") + lam) / (F.sum("n").over(everything)
+                                                           + lam * F.count(F.lit(1)).over(everything))).alias("prior"))
 
 
 def nb_tables(base: DataFrame, features: Sequence[str], label: str,
-              smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
+              smoothing: float | str = 1.0) -> tuple[DataFrame, DataFrame]:
     """(priors, conditionals) as DataFrames.
 
-    priors: label, n, prior = (n_c + λ) / (N + λ·C)
-    conditionals (seen cells only): label, feature, value, n, prob = (n + λ) / (n_c + λ·V_f)
-    Cells never seen have n = 0; their probability follows from the same formula.
+    priors: see ``nb_priors``
+    conditionals: label, feature, value, n, prob = (n + λ) / (n_c + λ·V_f), a row for every
+    class and every value seen in any class (n = 0 where a class never has it)
     """
-    lam = F.lit(float(smoothing))
-    counts = base.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # one row per class: totals by a window over this model-sized table (no join)
-    everything = Window.partitionBy()
-    priors = counts.select(label, "n", ((F.col("n") + lam) / (F.sum("n").over(everything)
-                                                             + lam * F.count(F.lit(1)).over(everything))).alias("prior"))
-    long = unpivot_features(base, [label], features).where(F.col("value").isNotNull())
-    cells = long.groupBy(label, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    lam = F.lit(_smoothing(smoothing))
+    priors = nb_priors(base, label, smoothing)
+    cells = _cells(base, features, label)
     nv = cells.groupBy("feature").agg(F.countDistinct("value").alias("_V"))
-    cond = (cells.join(nv, "feature").join(counts.withColumnRenamed("n", "_nc"), label)
-            .select(label, "feature", "value", "n",
-                    ((F.col("n") + lam) / (F.col("_nc") + lam * F.col("_V"))).alias("prob")))
-    return priors, cond
+    # the class counts travel as one map, so the grid needs no product of tables
+    classes = priors.groupBy().agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("_classes"))
+    by_value = cells.groupBy("feature", "value").agg(
+        F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("_n"), F.lit(0).alias("_one"))
+    grid = (by_value.join(classes.withColumn("_one", F.lit(0)).hint("broadcast"), "_one").join(nv, "feature")
+            .select("feature", "value", "_n", "_V", F.explode("_classes").alias(label, "_nc")))
+    n = F.coalesce(F.element_at("_n", F.col(label)), F.lit(0).cast("long"))
+    return priors, grid.select(label, "feature", "value", n.alias("n"),
+                               ((n + lam) / (F.col("_nc") + lam * F.col("_V"))).alias("prob"))
+
 
+def _log_ratio(n: Column, model: NBModel, c, f: str) -> Column:
+    lam = model.smoothing
+    top = n + F.lit(lam)
+    den = float(model.class_counts[c] + lam * model.n_values[f])
+    return F.when(top > 0, F.log(top / F.lit(den))).otherwise(F.lit(float("-inf")))
 
-def _class_scores(model: NBModel) -> list[Column]:
+
+def nb_predict(df: DataFrame, model: NBModel, prediction: str = "prediction") -> DataFrame:
+    """Most probable class: argmax of ln prior + Σ ln p(value | class); ties → smaller class."""
+    if not model.classes:
+        return df.withColumn(prediction, F.lit(None).cast("string"))
+    rest = [c for c in df.columns if c != prediction]
+    out = df.select(F.struct("*").alias("_row"), *[F.col(f).cast("string").alias(f"_v{i}") for i, f in enumerate(model.features)])
+    for i, f in enumerate(model.features):
+        counts = (model.cells_df.where((F.col("feature") == f) & (F.col("n") > 0)).groupBy(F.col("value").alias(f"_k{i}"))
+                  .agg(*[F.sum(F.when(F.col(model.label) == F.lit(c), F.col("n"))).alias(f"_n{i}_{j}")
+                         for j, c in enumerate(model.classes)]))
+        out = out.join(counts, F.col(f"_v{i}") == F.col(f"_k{i}"), "left")
     scores = []
-    for c in model.classes:
+    for j, c in enumerate(model.classes):
         terms = [F.lit(model.log_prior(c))]
-        for f in model.features:
-            seen = model.cells.get((c, f), {})
-            default = model.log_prob(c, f, 0)
-            v = F.col(f).cast("string")
-            lookup = F.element_at(literal_map([(val, model.log_prob(c, f, n)) for val, n in seen.items()]),
-                                  v) if seen else F.lit(None).cast("double")
-            terms.append(F.when(v.isNull(), F.lit(0.0)).otherwise(F.coalesce(lookup, F.lit(default))))
+        for i, f in enumerate(model.features):
+            seen = F.coalesce(F.col(f"_n{i}_{j}"), F.lit(0))
+            terms.append(F.when(F.col(f"_v{i}").isNull(), F.lit(0.0)).otherwise(_log_ratio(seen, model, c, f)))
         scores.append(total(terms))
-    return scores
+    staged = out.select("_row", *[s.alias(f"_s{j}") for j, s in enumerate(scores)])
+    best = argmax([F.col(f"_s{j}") for j in range(len(scores))])
+    return staged.select(*[F.col("_row")[c].alias(c) for c in rest],
+                         pick([F.lit(c) for c in model.classes], best).alias(prediction))
 
 
-def nb_predict(df: DataFrame, model: NBModel, prediction: str = "prediction",
-               key: str | None = None) -> DataFrame:
-    """Most probable class: argmax of ln prior + Σ ln p(value | class); ties → smaller class."""
-    if not model.classes:
-        return df.withColumn(prediction, F.lit(None))
-    if model.cells or model.cells_df is None:
-        scores = _class_scores(model)
-        idx = argmax(scores)
-        return df.withColumn(prediction, pick([F.lit(c) for c in model.classes], idx))
-    if key is None:
-        raise ValueError("a large model is scored through a join: give the row key")
-    return _predict_join(df, model, key, prediction)
-
-
-def _predict_join(df: DataFrame, model: NBModel, key: str, prediction: str) -> DataFrame:
-    label = model.label
-    classes = F.array(*[F.lit(c) for c in model.classes])
-    long = unpivot_features(df, [key], model.features).where(F.col("value").isNotNull())
-    rows_cls = long.withColumn(label, F.explode(classes))
-    spark = df.sparkSession
-    base_rows = [(c, model.log_prior(c), float(model.class_counts[c])) for c in model.classes]
-    cls = spark.createDataFrame(base_rows, [label, "_lp", "_nc"])
-    nv = spark.createDataFrame([(f, float(v)) for f, v in model.n_values.items()], ["feature", "_V"])
-    lam = F.lit(model.smoothing)
-    j = (rows_cls.join(model.cells_df.select(label, "feature", "value", "n"),
-                       [label, "feature", "value"], "left")
-         .join(F.broadcast(nv), "feature").join(F.broadcast(cls), label))
-    lp = F.log((F.coalesce(F.col("n"), F.lit(0)) + lam) / (F.col("_nc") + lam * F.col("_V")))
-    per = j.groupBy(key, label, "_lp").agg(F.sum(lp).alias("_s"))
-    score = F.col("_lp") + F.col("_s")
-    order = F.struct((-score).alias("s"), F.col(label).alias("l"))
-    best = per.groupBy(key).agg(F.min_by(F.col(label), order).alias(prediction))
-    return df.join(best, key, "left")
-
-
-__all__ = ["NBModel", "nb_fit", "nb_tables", "nb_predict"]
+__all__ = ["NBModel", "nb_fit", "nb_priors", "nb_tables", "nb_predict"]

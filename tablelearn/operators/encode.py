@@ -1,9 +1,8 @@
 """Preparation: feature assembly, label indexing, unpivot, contingency counts.
 
-Label mappings are model-sized (one row per distinct label).  They are
-collected behind a size check and applied as literal map lookups, so scoring
-a table needs no join and no shuffle; past the size bound the mapping stays a
-DataFrame and is joined.
+A label mapping is a DataFrame with one row per distinct label.  It is applied by a join,
+which Spark broadcasts or shuffles by its size, so it has no limit; a
+``LabelIndex`` holds the few classes of a model (two, for logistic regression) as literals.
 """
 
 from __future__ import annotations
@@ -12,13 +11,11 @@ from dataclasses import dataclass
 from itertools import chain
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vector import as_array
-
-# largest mapping applied as a literal map expression
-MAX_LITERAL_ENTRIES = 100_000
+from .relational import row_numbers
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -40,30 +37,28 @@ def vector_to_array(df: DataFrame, vec: str, out: str | None = None) -> DataFram
     return df.withColumn(out or vec, v2a(F.col(vec), "float64"))
 
 
-def collect_small(df: DataFrame, max_rows: int = MAX_LITERAL_ENTRIES):
-    """Collect a model-sized result; refuses anything above ``max_rows``."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; it is not model-sized")
-    return rows
-
-
 def literal_map(pairs: Sequence[tuple]) -> Column:
     return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in pairs))
 
 
+def label_totals(df: DataFrame, label: str) -> DataFrame:
+    return df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+
+
 def label_counts(df: DataFrame, label: str) -> DataFrame:
-    """Distinct labels with counts and their index by falling count, ties by label."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # the counts table is model-sized (one row per label): a global window is fine here
-    w = Window.orderBy(F.col("n").desc(), F.col(label).asc())
-    return counts.withColumn("label_index", (F.row_number().over(w) - 1).cast("double"))
+    """Distinct labels with counts and their index by falling count, ties by label.
+
+    Numbered by range partitions: no task sorts all labels.
+    """
+    counts = label_totals(df, label).withColumn("_down", -F.col("n"))
+    numbered = row_numbers(counts, [], ["_down", label], out="_rn")
+    return numbered.select(label, "n", (F.col("_rn") - 1).cast("double").alias("label_index"))
 
 
 @dataclass
 class LabelIndex:
     label: str
-    labels: list  # labels[i] has index i
+    labels: list  # labels[i] has index i; a few classes only
 
     def index(self, c: str | Column | None = None) -> Column:
         src = F.col(c) if isinstance(c, str) else (c if c is not None else F.col(self.label))
@@ -73,21 +68,19 @@ class LabelIndex:
         src = F.col(c) if isinstance(c, str) else c
         return F.element_at(literal_map([(float(i), v) for i, v in enumerate(self.labels)]), src)
 
-    def to_df(self, spark) -> DataFrame:
-        return spark.createDataFrame([(v, float(i)) for i, v in enumerate(self.labels)],
-                                     f"{self.label} string, label_index double")
-
-
-def label_index(df: DataFrame, label: str) -> LabelIndex:
-    """Fit the label → index mapping (0.0 for the most frequent label)."""
-    rows = collect_small(label_counts(df, label).orderBy("label_index"))
-    return LabelIndex(label, [r[label] for r in rows])
-
 
 def apply_label_index(df: DataFrame, mapping: DataFrame, label: str,
                       out: str = "label_index") -> DataFrame:
-    """Join form of the mapping for labels beyond the literal-map bound."""
-    return df.join(mapping.select(label, F.col("label_index").alias(out)), on=label, how="left")
+    """``out``: the index of each row's label in ``mapping`` (from ``label_counts``); null for an unknown one."""
+    m = mapping.select(F.col(label).alias("_label"), F.col("label_index").alias("_index"))
+    return df.join(m, F.col(label) == F.col("_label"), "left").drop("_label").withColumnRenamed("_index", out)
+
+
+def apply_label_unindex(df: DataFrame, mapping: DataFrame, label: str, index: str = "label_index",
+                        out: str = "label_back") -> DataFrame:
+    """``out``: the label of each row's index; null for an unknown one."""
+    m = mapping.select(F.col("label_index").alias("_index"), F.col(label).alias("_label"))
+    return df.join(m, F.col(index) == F.col("_index"), "left").drop("_index").withColumnRenamed("_label", out)
 
 
 def unpivot_features(df: DataFrame, ids: Sequence[str], features: Sequence[str],

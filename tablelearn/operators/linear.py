@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import sigmoid, sign
 from ..functions.vector import linear
-from .encode import LabelIndex, label_index
+from .encode import LabelIndex, label_totals
 from .loop import history_df, numeric_base, persisted
 
 BIAS = "__bias__"
@@ -44,8 +44,18 @@ class LinearModel:
         return spark.createDataFrame(rows, "feature string, weight double")
 
 
+def _step_score(xs, weights, bias) -> Column:
+    """w·x + b with the model as one array literal.
+
+    Scalar literals would be part of the generated code, which would then be compiled
+    anew for each step of a fit; an array literal is not.
+    """
+    model = F.array(*[F.lit(float(v)) for v in [*weights, bias]])
+    return F.aggregate(F.zip_with(F.array(*xs, F.lit(1.0)), model, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+
+
 def _sign_error(xs, weights, bias, y: Column) -> Column:
-    return sign(linear(xs, weights, bias)) != y
+    return sign(_step_score(xs, weights, bias)) != y
 
 
 def perceptron_fit(df: DataFrame, features: Sequence[str], label: str, key: str,
@@ -143,6 +153,23 @@ def _softplus(t: Column) -> Column:
     return F.greatest(t, F.lit(0.0)) + F.log(F.lit(1.0) + F.exp(-F.abs(t)))
 
 
+def logreg_step(base: DataFrame, features: Sequence[str], y: str, weights: Sequence[float], bias: float = 0.0) -> DataFrame:
+    """One row: mean log-loss, mean probability of the true class, and the mean gradient (g_bias, g0, g1, ...).
+
+    ``y`` holds 0.0 and 1.0; rows where it or a feature is null do not count.
+    """
+    xs = [F.col(c).cast("double") for c in features]
+    yv = F.col(y)
+    z = _step_score(xs, weights, bias)
+    staged = base.select(F.when(yv.isNotNull(), z).alias("_z"), yv.alias("_y"), *[x.alias(f"_x{i}") for i, x in enumerate(xs)])
+    z, yv = F.col("_z"), F.col("_y")
+    s = sigmoid(z)
+    loss = F.when(yv == 1.0, _softplus(-z)).when(yv == 0.0, _softplus(z))
+    return staged.where(z.isNotNull()).agg(
+        F.avg(loss).alias("log_loss"), F.avg(yv * s + (F.lit(1.0) - yv) * (F.lit(1.0) - s)).alias("mean_true_prob"),
+        F.avg(s - yv).alias("g_bias"), *[F.avg((s - yv) * F.col(f"_x{i}")).alias(f"g{i}") for i in range(len(xs))])
+
+
 def logreg_fit(df: DataFrame, features: Sequence[str], label: str, lr: float = 0.05,
                max_iter: int = 40, tol: float = 1e-3, init: Sequence[float] | None = None,
                fit_intercept: bool = False, labels: LabelIndex | None = None) -> LinearModel:
@@ -152,31 +179,20 @@ def logreg_fit(df: DataFrame, features: Sequence[str], label: str, lr: float = 0
     class).  Iteration i computes, in one job, the mean log-loss, the mean
     probability of the true class, and the mean gradient at w_{i-1}; it stops
     without updating when the log-loss changed by at most ``tol``
-    (``tol=0`` runs exactly ``max_iter`` updates).
+    (``tol < 0`` runs exactly ``max_iter`` updates).
     """
     features = list(features)
-    labels = labels or label_index(df, label)
-    if len(labels.labels) > 2:
-        raise ValueError("logistic regression here is binary; got more than two labels")
+    labels = labels or binary_labels(df, label)
     w = [float(v) for v in (init if init is not None else [0.0] * len(features))]
     b = 0.0
     base = numeric_base(df.withColumn("_y", labels.index(label)), features, keep=["_y"])
-    xs = [F.col(c) for c in features]
-    yv = F.col("_y")
     hist = []
     prev = None
     it = 0
     converged = False
     with persisted(base):
         while it < max_iter:
-            z = linear(xs, w, b)
-            s = sigmoid(z)
-            loss = F.when(yv == 1.0, _softplus(-z)).otherwise(_softplus(z))
-            aggs = [F.avg(loss).alias("log_loss"),
-                    F.avg(yv * s + (F.lit(1.0) - yv) * (F.lit(1.0) - s)).alias("mean_true_prob"),
-                    F.avg(s - yv).alias("g_bias")]
-            aggs += [F.avg((s - yv) * x).alias(f"g{i}") for i, x in enumerate(xs)]
-            row = base.agg(*aggs).first()
+            row = logreg_step(base, features, "_y", w, b).first()
             obj = row["log_loss"]
             if obj is None:
                 break
@@ -193,14 +209,22 @@ def logreg_fit(df: DataFrame, features: Sequence[str], label: str, lr: float = 0
                        converged=converged, history=hist)
 
 
+def binary_labels(df: DataFrame, label: str) -> LabelIndex:
+    """The two labels by falling frequency (an error if there are more)."""
+    rows = label_totals(df, label).orderBy(F.desc("n"), F.col(label)).limit(3).collect()
+    if len(rows) > 2:
+        raise ValueError("logistic regression here is binary; got more than two labels")
+    return LabelIndex(label, [r[label] for r in rows])
+
+
 def linear_predict(df: DataFrame, model: LinearModel, prediction: str = "prediction",
                    score: str | None = None) -> DataFrame:
-    """Score any DataFrame: sign (±1) or logistic (probability + original label)."""
+    """Score any DataFrame: sign (±1) or logistic (probability + original label); a null feature gives nulls."""
     z = model.score()
     out = df if score is None else df.withColumn(score, z)
     if model.kind == "sign":
         return out.withColumn(prediction, sign(z))
-    idx = F.when(z >= 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    idx = F.when(z >= 0, F.lit(1.0)).when(z < 0, F.lit(0.0))
     out = out.withColumn("probability", sigmoid(z))
     if model.labels is not None:
         return out.withColumn(prediction, model.labels.unindex(idx))
@@ -213,9 +237,5 @@ def history_table(spark: SparkSession, model: LinearModel) -> DataFrame:
     return history_df(spark, model.history, "iteration int, errors bigint")
 
 
-def sign_errors_expr(model: LinearModel, label: str) -> Column:
-    return sign(model.score()) != F.col(label)
-
-
-__all__ = ["LinearModel", "perceptron_fit", "pocket_fit", "logreg_fit", "linear_predict",
+__all__ = ["LinearModel", "perceptron_fit", "pocket_fit", "logreg_step", "logreg_fit", "binary_labels", "linear_predict",
            "history_table", "BIAS"]

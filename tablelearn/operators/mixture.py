@@ -2,7 +2,7 @@
 
 The E step is a column expression per component (log weight + log density
 with the model as literals, then log-sum-exp); the M step needs only the
-sufficient statistics Σγ, Σγx and Σγxxᵀ of each component, which one global
+sufficient statistics of each component around its previous mean, which one global
 aggregate returns together with the log-likelihood.  Nothing row-sized
 reaches the driver; the k·d·d model is updated there with numpy.
 """
@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import GaussianTerms
-from ..functions.vector import argmax, total
-from .loop import history_df, numeric_base, persisted
-from .relational import first_k
+from ..functions.vector import any_null, argmax, total
+from .loop import numeric_base, persisted
+from .relational import row_numbers
 
 
 @dataclass
@@ -42,120 +42,103 @@ class GMMModel:
             rows, "component int, weight double, mean array<double>, cov array<array<double>>")
 
 
-# above this many features the E step uses array lambdas and the M-step
-# statistics come from weighted vector sums (d² unrolled terms would not fit
-# in generated code or in one aggregate)
-WIDE_FEATURES = 8
-
-
-def _wide(model: GMMModel) -> bool:
-    return len(model.features) > WIDE_FEATURES
-
-
-def log_joint(xs: Sequence[Column], model: GMMModel) -> list[Column]:
-    """log(w_j) + log N(x; μ_j, Σ_j) for each component j (null weight → -inf)."""
-    out = []
-    arr = F.array(*xs) if _wide(model) else None
-    for w, g in zip(model.weights, model.terms()):
-        lw = float(np.log(w)) if w > 0 else float("-inf")
-        out.append(F.lit(lw) + (g.log_pdf_array(arr) if arr is not None else g.log_pdf(xs)))
-    return out
+def _densities(x: Column, model: GMMModel) -> list[Column]:
+    """log N(x; μ_j, Σ_j) of each component for an array column (null for an incomplete row)."""
+    return [g.log_pdf_array(x) for g in model.terms()]
 
 
 def responsibilities(xs: Sequence[Column], model: GMMModel) -> tuple[list[Column], Column]:
-    """(γ_j columns, log-likelihood column) via log-sum-exp."""
-    lp = log_joint(xs, model)
+    """(γ_j columns, log-likelihood column) via log-sum-exp; a component of weight 0 has γ = 0."""
+    arr = F.array(*xs)
+    lp = [F.lit(float(np.log(w)) if w > 0 else float("-inf")) + d for w, d in zip(model.weights, _densities(arr, model))]
     m = F.greatest(*lp) if len(lp) > 1 else lp[0]
     lse = m + F.log(total([F.exp(v - m) for v in lp]))
     return [F.exp(v - lse) for v in lp], lse
 
 
-def _wide_step_stats(base: DataFrame, features: Sequence[str], model: GMMModel) -> dict:
-    """Wide form of the statistics: per component, the γ-weighted sum of the
-    vector [x, upper triangle of x xᵀ] (``Summarizer``), all in one pass."""
+def _times(factor: Column):
+    return lambda v: v * factor
+
+
+def gmm_step_stats(base: DataFrame, features: Sequence[str], model: GMMModel) -> dict:
+    """One job: row count, log-likelihood, and for each component Σγ, Σγz and Σγzzᵀ with z = x − μ_j.
+
+    Each row becomes one vector of all these terms and a single vector sum adds them up, whatever
+    the number of features.  Centring on the previous means keeps the second moments
+    exact for data far from the origin.
+    """
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    d = len(features)
+    d, k = len(features), len(model.weights)
+    size = 1 + d + d * (d + 1) // 2
+    upper = F.expr(f"flatten(transform(sequence(0, {d - 1}), a -> transform(sequence(a, {d - 1}), "
+                   "b -> element_at(_z, a + 1) * element_at(_z, b + 1))))")
     xs = [F.col(c) for c in features]
     gam, lse = responsibilities(xs, model)
-    staged = base.select(F.array(*xs).alias("_x"), *[g.alias(f"_g{j}") for j, g in enumerate(gam)],
-                         lse.alias("_lse"))
-    x = F.col("_x")
-    upper = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda a: F.transform(
-        F.sequence(a, F.lit(d - 1)), lambda b: F.element_at(x, a + 1) * F.element_at(x, b + 1))))
-    staged = staged.withColumn("_v", array_to_vector(F.concat(x, upper)))
-    summ = Summarizer.metrics("sum")  # weighted: Σ γ_j · v
-    row = staged.select(F.sum("_lse").alias("ll"), F.count(F.lit(1)).alias("n"),
-                        *[F.sum(f"_g{j}").alias(f"g{j}") for j in range(len(gam))],
-                        *[summ.summary(F.col("_v"), F.col(f"_g{j}")).alias(f"m{j}")
-                          for j in range(len(gam))]).first()
-    stats = {"ll": row["ll"], "n": row["n"]}
-    pairs = [(a, b) for a in range(d) for b in range(a, d)]
-    for j in range(len(gam)):
-        stats[f"g{j}"] = float(row[f"g{j}"] or 0.0)
-        tot = row[f"m{j}"]["sum"]
-        for a in range(d):
-            stats[f"s{j}_{a}"] = float(tot[a])
-        for i, (a, b) in enumerate(pairs):
-            stats[f"q{j}_{a}_{b}"] = float(tot[d + i])
+    staged = base.select(F.array(*xs).alias("_x"), F.array(*gam).alias("_g"), lse.alias("_lse"))
+    parts = [F.array("_lse")]
+    for j, mean in enumerate(model.means):
+        mu = F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in mean) + ")")
+        z = F.zip_with("_x", mu, lambda a, b: a - b)
+        gamma = F.get("_g", F.lit(j))
+        staged = staged.withColumn("_z", z).withColumn("_u", upper).withColumn(
+            f"_v{j}", F.transform(F.concat(F.array(F.lit(1.0)), "_z", "_u"), _times(gamma)))
+        parts.append(F.col(f"_v{j}"))
+    row = staged.agg(F.count(F.lit(1)).alias("n"), Summarizer.metrics("sum").summary(
+        array_to_vector(F.concat(*parts))).alias("m")).first() if not base.isEmpty() else None
+    if row is None:
+        return {"n": 0, "ll": None}
+    t = np.asarray(row["m"]["sum"].toArray())
+    stats = {"n": row["n"], "ll": float(t[0])}
+    at = np.triu_indices(d)
+    for j in range(k):
+        own = t[1 + j * size:1 + (j + 1) * size]
+        q = np.zeros((d, d))
+        q[at] = own[1 + d:]
+        stats[j] = (float(own[0]), own[1:1 + d], q + q.T - np.diag(np.diag(q)))
     return stats
 
 
-def gmm_step_stats(base: DataFrame, features: Sequence[str], model: GMMModel) -> dict:
-    """One job: log-likelihood and Σγ, Σγx, Σγxxᵀ per component at the current model."""
-    if _wide(model):
-        return _wide_step_stats(base, features, model)
-    xs = [F.col(c) for c in features]
-    gam, lse = responsibilities(xs, model)
-    d = len(features)
-    aggs = [F.sum(lse).alias("ll"), F.count(F.lit(1)).alias("n")]
-    for j, g in enumerate(gam):
-        aggs.append(F.sum(g).alias(f"g{j}"))
-        aggs += [F.sum(g * xs[a]).alias(f"s{j}_{a}") for a in range(d)]
-        aggs += [F.sum(g * xs[a] * xs[b]).alias(f"q{j}_{a}_{b}") for a in range(d) for b in range(a, d)]
-    return base.agg(*aggs).first().asDict()
-
-
 def m_step(stats: dict, model: GMMModel, centering: str = "new", reg_covar: float = 0.0) -> GMMModel:
-    """New weights, means and covariances from the sufficient statistics."""
+    """New weights, means and covariances; a component without any share gets weight 0 and keeps the rest."""
+    if centering not in ("new", "old"):
+        raise ValueError("centering is 'new' or 'old'")
     d = len(model.features)
-    n = stats["n"]
+    if not stats["n"]:
+        return model
     weights, means, covs = [], [], []
-    for j in range(len(model.weights)):
-        g = stats[f"g{j}"] or 0.0
-        if g <= 0 or n == 0:  # empty component keeps its parameters
-            weights.append(model.weights[j]), means.append(model.means[j]), covs.append(model.covs[j])
+    for j, (old_mean, old_cov) in enumerate(zip(model.means, model.covs)):
+        g, s, q = stats[j]
+        if g <= 0:
+            weights.append(0.0), means.append(old_mean), covs.append(old_cov)
             continue
-        s1 = np.array([stats[f"s{j}_{a}"] for a in range(d)]) / g
-        s2 = np.zeros((d, d))
-        for a in range(d):
-            for b in range(a, d):
-                s2[a, b] = s2[b, a] = stats[f"q{j}_{a}_{b}"] / g
-        if centering == "new":
-            cov = s2 - np.outer(s1, s1)
-        elif centering == "old":
-            mo = np.asarray(model.means[j], dtype=float)
-            cov = s2 - np.outer(mo, s1) - np.outer(s1, mo) + np.outer(mo, mo)
-        else:
-            raise ValueError("centering is 'new' or 'old'")
-        cov = (cov + cov.T) / 2.0 + reg_covar * np.eye(d)
-        weights.append(g / n), means.append(s1.tolist()), covs.append(cov.tolist())
+        shift = s / g
+        cov = q / g - (np.outer(shift, shift) if centering == "new" else 0.0) + reg_covar * np.eye(d)
+        weights.append(g / stats["n"]), means.append((np.asarray(old_mean) + shift).tolist()), covs.append(cov.tolist())
     return GMMModel(model.features, weights, means, covs)
 
 
+def spread_rows(base: DataFrame, features: Sequence[str], key: str, k: int) -> list[list[float]]:
+    """The rows at positions floor((i + 1/2) n / k) of the key order, i = 0 .. k-1 (fewer if there are fewer rows)."""
+    n = base.count()
+    wanted = sorted({int((i + 0.5) * n / k) for i in range(min(k, n))})
+    numbered = row_numbers(base.select(key, *features), [], [key], out="_rn")
+    rows = numbered.where((F.col("_rn") - 1).isin(wanted)).orderBy("_rn").collect()
+    return [[float(r[c]) for c in features] for r in rows]
+
+
 def initial_model(base: DataFrame, features: Sequence[str], k: int, key: str | None,
                   init_means=None, init_covs=None, init_weights=None) -> GMMModel:
-    """Means: ``init_means`` or the k rows with the smallest key; covariances:
+    """Means: ``init_means`` or k rows spread evenly over the key order; covariances:
     the diagonal of the population variance of each feature; weights 1/k."""
     d = len(features)
     if init_means is None:
         if key is None:
             raise ValueError("give a key or init_means")
-        rows = first_k(base, key, k).collect()
-        if not rows:
+        init_means = spread_rows(base, features, key, k)
+        if not init_means:
             raise ValueError("no complete rows to start the mixture from")
-        init_means = [[float(r[c]) for c in features] for r in rows]
     if init_covs is None:
         v = base.agg(*[F.var_pop(c).alias(c) for c in features]).first()
         diag = np.diag([float(v[c] or 0.0) for c in features])
@@ -169,8 +152,9 @@ def initial_model(base: DataFrame, features: Sequence[str], k: int, key: str | N
 def gmm_fit(df: DataFrame, features: Sequence[str], k: int, key: str | None = None,
             max_iter: int = 40, tol: float = 1e-5, init_means=None, init_covs=None,
             centering: str = "new", reg_covar: float = 0.0) -> GMMModel:
-    """EM from a deterministic start; stops when the log-likelihood (of the
-    model before the step) changed by at most ``tol`` (``tol < 0``: run all)."""
+    """EM from a deterministic start; stops when the mean log-likelihood per row (of the
+    model before the step) changed by at most ``tol``, so the rule does not depend on
+    the number of rows (``tol < 0``: run all)."""
     features = list(features)
     base = numeric_base(df, features, keep=[key] if key else [])
     with persisted(base):
@@ -181,9 +165,9 @@ def gmm_fit(df: DataFrame, features: Sequence[str], k: int, key: str | None = No
         converged = False
         while it < max_iter:
             stats = gmm_step_stats(base, features, model)
-            ll = stats["ll"]
-            hist.append({"iteration": it + 1, "log_likelihood": ll})
-            if prev is not None and ll is not None and abs(ll - prev) <= tol:
+            ll = stats["ll"] / stats["n"] if stats["n"] else None
+            hist.append({"iteration": it + 1, "log_likelihood": stats["ll"], "mean_log_likelihood": ll})
+            if ll is None or prev is not None and abs(ll - prev) <= tol:
                 converged = True
                 break
             model = m_step(stats, model, centering, reg_covar)
@@ -197,14 +181,11 @@ def gmm_predict(df: DataFrame, model: GMMModel, prediction: str = "prediction",
                 probability: str = "probability") -> DataFrame:
     xs = [F.col(c).cast("double") for c in model.features]
     gam, _ = responsibilities(xs, model)
-    return df.withColumn(probability, F.array(*gam)).withColumn(prediction, argmax(gam))
+    known = ~any_null(xs)
+    return df.withColumn(probability, F.when(known, F.array(*gam))).withColumn(prediction, argmax(gam))
 
 
 def gmm_densities(df: DataFrame, model: GMMModel, out: str = "density") -> DataFrame:
     """Per-component density N(x; μ_j, Σ_j), before weighting and normalisation."""
-    xs = [F.col(c).cast("double") for c in model.features]
-    return df.withColumn(out, F.array(*[F.exp(g.log_pdf(xs)) for g in model.terms()]))
-
-
-def gmm_history(spark: SparkSession, model: GMMModel) -> DataFrame:
-    return history_df(spark, model.history, "iteration int, log_likelihood double")
+    arr = F.array(*[F.col(c).cast("double") for c in model.features])
+    return df.withColumn(out, F.array(*[F.exp(p) for p in _densities(arr, model)]))

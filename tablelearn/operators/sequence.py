@@ -13,9 +13,13 @@ size / chunk, and the partition count: a key with a third of all events is
 spread over many tasks.  Forward folds left to right, backward right to left
 (the β recursion); both give the same likelihood.
 
-Dense positions come from ``relational.row_numbers`` (range partition of
-key and order columns, numbering inside partitions, per-partition offsets):
-no window runs over a whole key.
+Scoring shuffles the events once, by range of (key, order); chunks are cut inside the
+sorted partitions as they stream past.  ``positions`` numbers events by
+``relational.row_numbers``: no window runs over a whole key.
+
+A null symbol, or one that is not among ``symbols``, is an observation that no
+state emits: its position stays in the sequence (``obs`` is null), and the
+likelihood of the sequence is 0 (log -inf).
 """
 
 from __future__ import annotations
@@ -26,21 +30,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
-from .encode import label_index
+from .encode import label_totals
 from .relational import row_numbers
 
 
+def symbols_by_frequency(df: DataFrame, symbol: str) -> list:
+    """All symbols (the model has a column of B for each), by falling count, ties by value."""
+    return [r[symbol] for r in label_totals(df, symbol).orderBy(F.desc("n"), F.col(symbol)).collect()]
+
+
+def _index_of(symbols: Sequence, symbol: str) -> Column:
+    return F.element_at(F.create_map(*[x for i, s in enumerate(symbols) for x in (F.lit(s), F.lit(i))])
+                        if symbols else F.create_map(F.lit(""), F.lit(0)), F.col(symbol))
+
+
 def positions(df: DataFrame, key: str, order: Sequence[str], symbol: str,
               symbols: Sequence | None = None, partitions: int | None = None) -> DataFrame:
     """(key, pos, obs): dense 1-based positions per key in ``order``, obs = symbol index.
 
-    Symbols are indexed by falling frequency (ties by value) unless given.
+    Symbols are indexed by falling frequency (ties by value) unless given; ``obs`` is null
+    for a null symbol and for one that is not given.
     """
     if symbols is None:
-        symbols = label_index(df, symbol).labels
-    idx = F.element_at(F.create_map(*[x for i, s in enumerate(symbols) for x in (F.lit(s), F.lit(i))]),
-                       F.col(symbol))
-    base = df.select(key, *order, idx.alias("obs")).where(F.col("obs").isNotNull())
+        symbols = symbols_by_frequency(df, symbol)
+    base = df.select(key, *order, _index_of(symbols, symbol).alias("obs"))
     numbered = row_numbers(base, [key], list(order), out="pos", partitions=partitions)
     return numbered.select(key, "pos", "obs")
 
@@ -55,8 +68,10 @@ def _step_matrix(A, B, o: Column, first: Column, n: int) -> Column:
     n_sym = len(B[0])
     step = [[float(A[k][j]) * float(B[j][o_]) for k in range(n) for j in range(n)] for o_ in range(n_sym)]
     diag = [[float(B[j][o_]) if k == j else 0.0 for k in range(n) for j in range(n)] for o_ in range(n_sym)]
-    table = lambda rows: F.array(*[F.array(*[F.lit(v) for v in r]) for r in rows])
-    return F.when(first, F.element_at(table(diag), o + 1)).otherwise(F.element_at(table(step), o + 1))
+    zero = [[0.0] * (n * n)]  # what no state emits
+    table = lambda rows: F.array(*[F.array(*[F.lit(v) for v in r]) for r in rows + zero])
+    at = F.coalesce(o, F.lit(n_sym)) + 1
+    return F.when(first, F.element_at(table(diag), at)).otherwise(F.element_at(table(step), at))
 
 
 def _matmul(x: Column, y_entries: list[Column], n: int) -> list[Column]:
@@ -113,7 +128,7 @@ def _fold(items: Column, n: int, reverse: bool, entries_of) -> Column:
 
 def hmm_score(df: DataFrame, key: str, order: Sequence[str], symbol: str, pi, A, B,
               symbols: Sequence | None = None, method: str = "forward", chunk: int = 256,
-              partitions: int | None = None, fanout: int | None = None) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """log P(O | π, A, B) per key: columns ``key, n_obs, log_likelihood``.
 
     Rows are range-partitioned on (key, order) and sorted; inside a partition
@@ -124,18 +139,15 @@ def hmm_score(df: DataFrame, key: str, order: Sequence[str], symbol: str, pi, A,
     then the chunks of one key in one partition, then the partitions a key
     spans (≤ the partition count).  ``order`` must be unique within a key
     (e.g. time then event id) so that the event order, and a retried task's
-    numbering, is deterministic.  ``fanout`` is accepted for compatibility
-    and unused.
+    numbering, is deterministic.
     """
     if method not in ("forward", "backward"):
         raise ValueError("method is 'forward' or 'backward'")
     n = len(pi)
     reverse = method == "backward"
     if symbols is None:
-        symbols = label_index(df, symbol).labels
-    idx = F.element_at(F.create_map(*[x for i, sy in enumerate(symbols) for x in (F.lit(sy), F.lit(i))]),
-                       F.col(symbol))
-    base = df.select(key, *order, idx.alias("obs")).where(F.col("obs").isNotNull())
+        symbols = symbols_by_frequency(df, symbol)
+    base = df.select(key, *order, _index_of(symbols, symbol).alias("obs"))
     n_parts = partitions or shuffle_partitions(df.sparkSession)
     ordered = (base.repartitionByRange(n_parts, key, *order)
                .sortWithinPartitions(key, *order)

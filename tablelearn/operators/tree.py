@@ -1,42 +1,44 @@
-"""ID3 decision tree, grown breadth-first: one set of aggregations per level.
-
-All nodes of a level are scored together: rows carry a ``node_id`` computed
-from the tree so far (a literal lookup per level, built from the persisted
-base each time, so plans do not deepen), the categorical features are
-unpivoted, and one ``groupBy(node, feature, value, label)`` gives every
-entropy and gain of the level.  Only per-node statistics reach the driver.
+"""ID3 decision tree, grown breadth-first with a DataFrame of nodes.
+
+All nodes of a level are scored together: rows carry a ``node_id``, the
+categorical features are unpivoted, and one ``groupBy(node, feature, value,
+label)`` gives every entropy and gain of the level.  Entropies need no window:
+with counts c of a group of n rows, H = log2(n) - sum(c·log2(c)) / n, which
+is two partial aggregations.  Best splits come from ``max_by``, children are
+numbered by range partitions, and rows move to their child by a join.  The
+driver sees the number of nodes of a level only, so neither the tree nor a
+feature's values have a limit.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .encode import collect_small, literal_map, unpivot_features
-from .loop import persisted
+from ..session import scratch_path
+from .encode import literal_map, unpivot_features
+from .relational import row_numbers
+
+
+def _xlogx(c: Column) -> Column:
+    return F.when(c > 0, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
 
-SEP = "\u0001"
-# trees with more nodes than this are routed with joins instead of literal maps
-# (a literal map lookup scans its keys)
-LITERAL_NODES = 2_000
-# node tables up to this many rows are broadcast in the join form
-BROADCAST_ROWS = 200_000
+
+def _entropy(n: Column, s: Column) -> Column:
+    """Entropy in bits of n rows whose label counts c have sum(c·log2(c)) = s."""
+    return F.when(n > 0, (_xlogx(n) - s) / n).otherwise(F.lit(0.0))
 
 
 def label_entropy(df: DataFrame, label: str, group: Sequence[str] = ()) -> DataFrame:
     """Row count and label entropy (bits), overall or per group."""
     counts = df.where(F.col(label).isNotNull()).groupBy(*group, label).agg(F.count(F.lit(1)).alias("_c"))
-    if group:
-        total = F.sum("_c").over(Window.partitionBy(*group))
-    else:
-        total = F.sum("_c").over(Window.partitionBy())
-    p = F.col("_c") / F.col("_t")
-    terms = counts.withColumn("_t", total).withColumn("_h", F.when(p > 0, -p * F.log2(p)).otherwise(0.0))
-    return terms.groupBy(*group).agg(F.sum("_c").alias("n"), F.sum("_h").alias("entropy"),
-                                     F.count(F.lit(1)).alias("n_labels"))
+    sums = counts.groupBy(*group).agg(F.sum("_c").alias("n"), F.sum(_xlogx(F.col("_c"))).alias("_s"),
+                                      F.count(F.lit(1)).alias("n_labels"))
+    return sums.select(*group, "n", _entropy(F.col("n"), F.col("_s")).alias("entropy"), "n_labels")
 
 
 def _cells(df: DataFrame, label: str, features: Sequence[str], group: Sequence[str]) -> DataFrame:
@@ -45,20 +47,31 @@ def _cells(df: DataFrame, label: str, features: Sequence[str], group: Sequence[s
 
 
 def _cond_entropy(cells: DataFrame, group: Sequence[str]) -> DataFrame:
-    n_v = F.sum("_c").over(Window.partitionBy(*group, "feature", "value"))
-    n_f = F.sum("_c").over(Window.partitionBy(*group, "feature"))
-    t = cells.withColumn("_nv", n_v).withColumn("_nf", n_f)
-    term = -(F.col("_c") / F.col("_nf")) * F.log2(F.col("_c") / F.col("_nv"))
-    return t.groupBy(*group, "feature").agg(F.sum(term).alias("cond_entropy"),
-                                           F.countDistinct("value").alias("n_values"))
+    by_value = cells.groupBy(*group, "feature", "value").agg(
+        F.sum("_c").alias("_nv"), F.sum(_xlogx(F.col("_c"))).alias("_sv"))
+    sums = by_value.groupBy(*group, "feature").agg(
+        F.sum("_nv").alias("_n"), F.sum(_xlogx(F.col("_nv")) - F.col("_sv")).alias("_h"),
+        F.count("value").alias("n_values"))
+    return sums.select(*group, "feature", (F.col("_h") / F.col("_n")).alias("cond_entropy"), "n_values")
 
 
 def conditional_entropy(df: DataFrame, label: str, features: Sequence[str],
                         group: Sequence[str] = ()) -> DataFrame:
-    """H(label | feature) per (group, feature): Σ_v p(v) · H(label | v)."""
+    """H(label | feature) per (group, feature): Σ_v p(v) · H(label | v); null is a value of its own."""
     return _cond_entropy(_cells(df, label, features, group), group)
 
 
+def _gains(cells: DataFrame, label: str, features: Sequence[str], group: Sequence[str]) -> DataFrame:
+    per_label = cells.groupBy(*group, "feature", label).agg(F.sum("_c").alias("_nc"))
+    h = per_label.groupBy(*group, "feature").agg(F.sum("_nc").alias("n"), F.sum(_xlogx(F.col("_nc"))).alias("_s"),
+                                                 F.count(F.lit(1)).alias("n_labels"))
+    g = _cond_entropy(cells, group).join(h, on=[*group, "feature"], how="inner")
+    pos = F.element_at(literal_map([(f, i) for i, f in enumerate(features)]), F.col("feature"))
+    entropy = _entropy(F.col("n"), F.col("_s"))
+    return (g.withColumn("entropy", entropy).withColumn("gain", F.col("entropy") - F.col("cond_entropy"))
+            .withColumn("_pos", pos).drop("_s"))
+
+
 def info_gain(df: DataFrame, label: str, features: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Gain of each feature (per group); ``rank`` 1 is the best, ties by list order.
 
@@ -66,116 +79,60 @@ def info_gain(df: DataFrame, label: str, features: Sequence[str], group: Sequenc
     once under each feature, so the label counts of a feature's cells are the
     label counts of the group.  The two are joined on (group, feature).
     """
-    cells = _cells(df, label, features, group)
-    cond = _cond_entropy(cells, group)
-    per_label = cells.groupBy(*group, "feature", label).agg(F.sum("_c").alias("_nc"))
-    p = F.col("_nc") / F.sum("_nc").over(Window.partitionBy(*group, "feature"))
-    h = per_label.withColumn("_h", F.when(p > 0, -p * F.log2(p)).otherwise(0.0)).groupBy(
-        *group, "feature").agg(F.sum("_nc").alias("n"), F.sum("_h").alias("entropy"),
-                               F.count(F.lit(1)).alias("n_labels"))
-    pos = F.element_at(literal_map([(f, i) for i, f in enumerate(features)]), F.col("feature"))
-    g = cond.join(h, on=[*group, "feature"], how="inner")
-    g = g.withColumn("gain", F.col("entropy") - F.col("cond_entropy")).withColumn("_pos", pos)
+    g = _gains(_cells(df, label, features, group), label, features, group)
+    # one row per feature and group
     w = Window.partitionBy(*group).orderBy(F.col("gain").desc(), F.col("_pos"))
     return g.withColumn("rank", F.row_number().over(w)).drop("_pos")
 
 
 def route_children(df: DataFrame, feature: str, node: str = "node_id",
                    edge: str = "edge_value") -> DataFrame:
-    """Send rows to one child per distinct value of ``feature`` (ids 1..V by value)."""
-    values = [r[0] for r in collect_small(df.select(F.col(feature).cast("string")).where(
-        F.col(feature).isNotNull()).distinct().orderBy(feature))]
-    ids = literal_map([(v, i + 1) for i, v in enumerate(values)])
+    """Send rows to one child per distinct value of ``feature`` (ids 1..V by value); nulls stay out."""
     v = F.col(feature).cast("string")
-    return df.where(F.col(feature).isNotNull()).withColumn(node, F.element_at(ids, v)).withColumn(edge, v)
-
-
-@dataclass
-class Node:
-    node_id: int
-    parent_id: int | None
-    depth: int
-    edge_value: str | None
-    used: tuple
-    label: object = None
-    n: int = 0
-    split_feature: str | None = None
-    gain: float | None = None
+    values = df.select(v.alias("_v")).where("_v is not null").distinct()
+    ids = row_numbers(values, [], ["_v"], out="_id").select("_v", F.col("_id").cast("int").alias("_id"))
+    return (df.join(ids, v == F.col("_v"), "inner").withColumn(node, F.col("_id"))
+            .withColumn(edge, F.col("_v")).drop("_v", "_id"))
 
 
 @dataclass
 class ID3Model:
+    """``nodes``: node_id, parent_id, depth, split_feature, edge_value, label, n, gain; written once."""
+
     label: str
     features: list
-    nodes: list = field(default_factory=list)
-    label_type: str = "string"
-
-    def to_df(self, spark: SparkSession) -> DataFrame:
-        rows = [(n.node_id, n.parent_id, n.depth, n.split_feature, n.edge_value,
-                 None if n.label is None else str(n.label), int(n.n), n.gain) for n in self.nodes]
-        return spark.createDataFrame(rows, "node_id int, parent_id int, depth int, split_feature string, "
-                                           "edge_value string, label string, n bigint, gain double")
-
-    def _levels(self):
-        """Per level: the split nodes and their children, root first."""
-        by_parent: dict[int, list[Node]] = {}
-        for n in self.nodes:
-            if n.parent_id is not None:
-                by_parent.setdefault(n.parent_id, []).append(n)
-        level = [n for n in self.nodes if n.depth == 0]
-        while True:
-            splits = [n for n in level if n.split_feature is not None and n.node_id in by_parent]
-            if not splits:
-                return
-            yield [(sp, by_parent[sp.node_id]) for sp in splits]
-            level = [c for sp in splits for c in by_parent[sp.node_id]]
-
-    def node_expr(self) -> Column:
-        """Row → deepest node reached, as literal lookups; an unseen value stops at the parent.
-
-        Per level: the split feature's position by node (one map lookup), the
-        row's value of that feature, then the child by (node, value)."""
-        node = F.lit(0)
-        values = F.array(*[F.col(f).cast("string") for f in self.features])
-        for level in self._levels():
-            fpos = literal_map([(sp.node_id, self.features.index(sp.split_feature) + 1) for sp, _ in level])
-            fval = F.element_at(values, F.element_at(fpos, node))
-            key = F.concat(node.cast("string"), F.lit(SEP), fval)
-            table = literal_map([(f"{c.parent_id}{SEP}{c.edge_value}", c.node_id)
-                                 for _, kids in level for c in kids])
-            node = F.coalesce(F.element_at(table, key), node)
-        return node
+    nodes: DataFrame
+    depth: int
+
+    def to_df(self, spark: SparkSession | None = None) -> DataFrame:
+        return self.nodes.withColumn("label", F.col("label").cast("string"))
 
     def route(self, df: DataFrame, out: str = "node_id") -> DataFrame:
-        """Attach the node id: literal lookups for small trees, equi-joins for large ones.
-
-        The join form runs two joins per level on the node tables (split
-        feature by node, child by node and value); each table is broadcast
-        only when its row count, known on the driver, is below
-        ``BROADCAST_ROWS``."""
-        if len(self.nodes) <= LITERAL_NODES:
-            return df.withColumn(out, self.node_expr())
-        spark = df.sparkSession
-        cur = (df.withColumn("_fv", F.array(*[F.col(f).cast("string") for f in self.features]))
-               .withColumn(out, F.lit(0)))
-        for level in self._levels():
-            split_rows = [(sp.node_id, self.features.index(sp.split_feature) + 1) for sp, _ in level]
-            edge_rows = [(c.parent_id, c.edge_value, c.node_id) for _, kids in level for c in kids]
-            splits = spark.createDataFrame(split_rows, "_sn int, _fpos int")
-            edges = spark.createDataFrame(edge_rows, "_p int, _v string, _child int")
-            if len(split_rows) <= BROADCAST_ROWS:
-                splits = F.broadcast(splits)
-            if len(edge_rows) <= BROADCAST_ROWS:
-                edges = F.broadcast(edges)
-            cur = cur.join(splits, cur[out] == splits["_sn"], "left").withColumn(
-                "_fval", F.element_at(F.col("_fv"), F.col("_fpos")))
-            cur = cur.join(edges, (cur[out] == edges["_p"]) & (cur["_fval"] == edges["_v"]), "left")
-            cur = cur.withColumn(out, F.coalesce(F.col("_child"), F.col(out))).drop(
-                "_sn", "_fpos", "_fval", "_p", "_v", "_child")
-        return cur.drop("_fv")
-
-    def label_expr(self, node: Column) -> Column:
-        return F.element_at(literal_map([(n.node_id, n.label) for n in self.nodes]), node)
+        """Attach the deepest node a row reaches; an unseen or null value stops at the parent.
+
+        Two joins per level (split feature by node, child by node and value);
+        Spark broadcasts or shuffles the node tables by their size.
+        """
+        rest = [c for c in df.columns if c != out]
+        values = F.array(*[F.col(f).cast("string") for f in self.features])
+        cur = df.select(F.struct(*rest).alias("_row"), values.alias("_fv"), F.lit(0).alias("_at"))
+        pos = F.element_at(literal_map([(f, i + 1) for i, f in enumerate(self.features)]), F.col("split_feature"))
+        for d in range(self.depth):
+            splits = self.nodes.where((F.col("depth") == d) & F.col("split_feature").isNotNull()).select(
+                F.col("node_id").alias("_sn"), pos.alias("_fpos"))
+            kids = self.nodes.where(F.col("depth") == d + 1).select(
+                F.col("parent_id").alias("_p"), F.col("edge_value").alias("_v"), F.col("node_id").alias("_child"))
+            cur = cur.join(splits, F.col("_at") == F.col("_sn"), "left").select(
+                "_row", "_fv", "_at", F.element_at("_fv", F.col("_fpos")).alias("_value"))
+            cur = cur.join(kids, (F.col("_at") == F.col("_p")) & (F.col("_value") == F.col("_v")), "left").select(
+                "_row", "_fv", F.coalesce("_child", "_at").alias("_at"))
+        return cur.select(*[F.col("_row")[c].alias(c) for c in rest], F.col("_at").alias(out))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float = 1e-2,
@@ -185,93 +142,67 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
     A node is a leaf when it is pure, has no unused feature, reached
     ``max_depth``, or its best gain is below ``threshold``.  Gain ties go to the
     feature listed first; every node stores its majority label (ties → the
-    smallest label), which is the prediction for rows stopping there.
+    smallest label), which is the prediction for rows stopping there.  A row whose value of
+    the split feature is null stays with the node.
     """
     features = list(features)
-    model = ID3Model(label, features, label_type=df.schema[label].dataType.simpleString())
-    base = df.where(F.col(label).isNotNull()).select(
-        F.col(label), *[F.col(c).cast("string").alias(c) for c in features])
-    with persisted(base):
-        frontier = [Node(0, None, 0, None, ())]
-        model.nodes.append(frontier[0])
-        next_id = 1
-        while frontier:
-            rows = model.route(base, "_node")
-            ids = [n.node_id for n in frontier]
-            rows = rows.where(F.col("_node").isin(ids))
-            # label statistics of every frontier node, one job
-            counts = rows.groupBy("_node", label).agg(F.count(F.lit(1)).alias("c"))
-            stats = {}
-            for r in collect_small(counts, 1_000_000):
-                stats.setdefault(r["_node"], []).append((r["c"], r[label]))
-            candidates = [n for n in frontier if n.node_id in stats]
-            for n in frontier:
-                cs = stats.get(n.node_id, [])
-                n.n = sum(c for c, _ in cs)
-                if cs:
-                    n.label = min(cs, key=lambda t: (-t[0], t[1]))[1]
-            splittable = [n for n in candidates
-                          if len(stats[n.node_id]) > 1 and len(n.used) < len(features)
-                          and (max_depth is None or n.depth < max_depth)]
-            if not splittable:
-                break
-            # gains of every (node, unused feature) of the level, one job
-            part = rows.where(F.col("_node").isin([n.node_id for n in splittable]))
-            g = info_gain(part, label, features, group=["_node"])
-            gains = {}
-            for r in collect_small(g.select("_node", "feature", "gain"), 1_000_000):
-                gains[(r["_node"], r["feature"])] = r["gain"]
-            new_frontier = []
-            chosen = []
-            for n in splittable:
-                best = None
-                for f in features:
-                    if f in n.used or (n.node_id, f) not in gains:
-                        continue
-                    gv = gains[(n.node_id, f)]
-                    if best is None or gv > best[1]:
-                        best = (f, gv)
-                if best is None:
-                    continue
-                n.gain = float(best[1])
-                if best[1] < threshold:
-                    continue
-                n.split_feature = best[0]
-                chosen.append(n)
-            if not chosen:
-                break
-            # children: the values present at each chosen node, one job
-            fval = None
-            for n in chosen:
-                v = F.col(n.split_feature)
-                fval = F.when(F.col("_node") == n.node_id, v) if fval is None else fval.when(
-                    F.col("_node") == n.node_id, v)
-            kids = (part.where(F.col("_node").isin([n.node_id for n in chosen]))
-                    .select("_node", fval.alias("v")).where(F.col("v").isNotNull()).distinct())
-            by_node = {}
-            for r in collect_small(kids, 1_000_000):
-                by_node.setdefault(r["_node"], []).append(r["v"])
-            for n in chosen:
-                for v in sorted(by_node.get(n.node_id, [])):
-                    child = Node(next_id, n.node_id, n.depth + 1, v, n.used + (n.split_feature,))
-                    next_id += 1
-                    model.nodes.append(child)
-                    new_frontier.append(child)
-            frontier = new_frontier
-    return model
+    deepest = len(features) if max_depth is None else min(max_depth, len(features))
+    kind = df.schema[label].dataType
+    rows = _written(df.where(F.col(label).isNotNull()).select(
+        F.col(label).alias("_label"), F.array(*[F.col(c).cast("string") for c in features]).alias("_fv"),
+        F.lit(0).alias("_node")), "id3-rows")
+    # the level's nodes, and the features its paths have used
+    level = df.sparkSession.range(1).select(
+        F.lit(0).alias("node_id"), F.lit(None).cast("int").alias("parent_id"), F.lit(None).cast("string").alias("edge_value"),
+        F.array().cast("array<string>").alias("used"))
+    done, depth, next_id = [], 0, 1
+    while True:
+        counts = rows.groupBy("_node", "_label").agg(F.count(F.lit(1)).alias("_c"))
+        labels = counts.groupBy("_node").agg(
+            F.sum("_c").alias("n"), F.count(F.lit(1)).alias("_kinds"),
+            F.min_by("_label", F.struct((-F.col("_c")).alias("c"), F.col("_label").alias("l"))).alias("label"))
+        named = level.join(labels, F.col("node_id") == F.col("_node"), "left").drop("_node")
+        if depth < deepest:
+            long = rows.select("_node", "_label", F.posexplode("_fv").alias("_pos", "value"))
+            feature = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_pos") + 1)
+            cells = long.groupBy("_node", "_pos", "value", "_label").agg(F.count(F.lit(1)).alias("_c"))
+            gains = _gains(cells.select("_node", feature.alias("feature"), "value", "_label", "_c"), "_label", features, ["_node"])
+            open_ = gains.where("n_labels > 1").join(level.select(F.col("node_id").alias("_id"), "used"), F.col("_node") == F.col("_id"))
+            best = open_.where(~F.array_contains("used", F.col("feature"))).groupBy("_node").agg(
+                F.max_by(F.struct("feature", "gain"), F.struct(F.col("gain"), (-F.col("_pos")).alias("p"))).alias("_best"))
+            named = named.join(best, F.col("node_id") == F.col("_node"), "left").drop("_node")
+        else:
+            named = named.withColumn("_best", F.lit(None).cast("struct<feature:string,gain:double>"))
+        split = F.when(F.col("_best.gain") >= threshold, F.col("_best.feature"))
+        named = _written(named.select(
+            "node_id", "parent_id", F.lit(depth).alias("depth"), split.alias("split_feature"), "edge_value",
+            F.col("label").cast(kind).alias("label"), F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+            F.col("_best.gain").alias("gain"), "used"), "id3-nodes")
+        done.append(named.drop("used"))
+        splits = named.where("split_feature is not null").select(
+            F.col("node_id").alias("_sn"), "split_feature", F.array_append("used", F.col("split_feature")).alias("used"),
+            F.element_at(literal_map([(f, i + 1) for i, f in enumerate(features)]), F.col("split_feature")).alias("_fpos"))
+        moving = rows.join(splits, F.col("_node") == F.col("_sn")).select(
+            "_label", "_fv", "_node", F.element_at("_fv", F.col("_fpos")).alias("_value")).where("_value is not null")
+        kids = moving.select(F.col("_node").alias("parent_id"), F.col("_value").alias("edge_value")).distinct()
+        numbered = row_numbers(kids, [], ["parent_id", "edge_value"], out="_rn")
+        kids = _written(numbered.join(splits, F.col("parent_id") == F.col("_sn")).select(
+            (F.col("_rn") + (next_id - 1)).cast("int").alias("node_id"), "parent_id", "edge_value", "used"), "id3-level")
+        n = kids.count()
+        if not n:
+            break
+        child = kids.select(F.col("parent_id").alias("_p"), F.col("edge_value").alias("_v"), F.col("node_id").alias("_child"))
+        rows = _written(moving.join(child, (F.col("_node") == F.col("_p")) & (F.col("_value") == F.col("_v"))).select(
+            "_label", "_fv", F.col("_child").alias("_node")), "id3-rows")
+        level, depth, next_id = kids, depth + 1, next_id + n
+    return ID3Model(label, features, reduce(DataFrame.unionByName, done), depth)
 
 
 def id3_predict(df: DataFrame, model: ID3Model, prediction: str = "prediction",
                 node: str | None = "node_id") -> DataFrame:
     """Route rows to the deepest reachable node; predict that node's majority label."""
-    col = node or "_node"
-    out = model.route(df, col)
-    if len(model.nodes) <= LITERAL_NODES:
-        out = out.withColumn(prediction, model.label_expr(F.col(col)))
-    else:
-        labels = df.sparkSession.createDataFrame([(n.node_id, n.label) for n in model.nodes],
-                                                 f"_ln int, {prediction} {model.label_type}")
-        if len(model.nodes) <= BROADCAST_ROWS:
-            labels = F.broadcast(labels)
-        out = out.join(labels, out[col] == labels["_ln"], "left").drop("_ln")
-    return out if node else out.drop("_node")
+    at = node or "_id3_node"
+    routed = model.route(df, at)
+    labels = model.nodes.select(F.col("node_id").alias("_ln"), F.col("label").alias("_lb"))
+    rest = [c for c in routed.columns if c != prediction and (node or c != at)]
+    return routed.join(labels, F.col(at) == F.col("_ln"), "left").select(*rest, F.col("_lb").alias(prediction))

@@ -161,18 +161,17 @@ def fn_entropy_term(spark, d):
 
 
 def _gauss_sql():
-    g = GaussianTerms(GAUSS_MEAN, GAUSS_COV)
-    c1 = f"(x1 - {dbl(g.mean[0])})"
-    c2 = f"(x2 - {dbl(g.mean[1])})"
-    quad = (f"{c1} * {c1} * {dbl(g.precision[0, 0])} + {c1} * {c2} * {dbl(2.0 * g.precision[0, 1])}"
-            f" + {c2} * {c2} * {dbl(g.precision[1, 1])}")
-    return (f"SELECT p_partkey, {rnd(f'{dbl(g.const)} - {dbl(0.5)} * ({quad})')} AS log_pdf "
-            f"FROM ({PART_POINTS_SQL})")
+    (a, b), (_, c) = GAUSS_COV
+    det = a * c - b * b
+    c1, c2 = f"(x1 - {dbl(GAUSS_MEAN[0])})", f"(x2 - {dbl(GAUSS_MEAN[1])})"
+    # the closed form for two features: inverse and determinant written out
+    quad = f"({dbl(c)} * {c1} * {c1} - {dbl(2.0 * b)} * {c1} * {c2} + {dbl(a)} * {c2} * {c2}) / {dbl(det)}"
+    density = f"exp({dbl(-0.5)} * ({quad})) / (2 * pi() * sqrt({dbl(det)}))"
+    return f"SELECT p_partkey, {rnd(density)} AS density FROM ({PART_POINTS_SQL})"
 
 
 @query("fn_gauss_pdf", _gauss_sql)
 def fn_gauss_pdf(spark, d):
     g = GaussianTerms(GAUSS_MEAN, GAUSS_COV)
     pts = part_points(spark, d)
-    return pts.select("p_partkey", r4(g.log_pdf([F.col("x1"), F.col("x2")]), 4).alias("log_pdf"))
-
+    return pts.select("p_partkey", r4(F.exp(g.log_pdf([F.col("x1"), F.col("x2")])), 4).alias("density"))

@@ -1,8 +1,8 @@
 """Registered queries: the learners (§2.5).
 
-Iterative fits run a fixed number of steps (``tol`` disabled) so that the
-SQL oracle, which unrolls one CTE per step from the same constants, performs
-exactly the same updates.  Model values are rounded to 4 places at output.
+Iterative fits run to their own stop rule at the default limits.  The SQL oracle
+unrolls one CTE per step up to the limit and picks the step at which the same
+rule stops.  Model values are rounded to 4 places at output.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ import math
 from pyspark.sql import functions as F
 
 from ..operators import bayes, cluster, linear, mixture, pairwise, tree
-from ..operators.encode import label_index
 from .inputs import (DOCS_LABELED_SQL, EMB_DIM, EMBEDDINGS_SQL, PART_POINTS_SQL, cte, docs_labeled,
                      embeddings, part_points)
 from .registry import dbl, query, rnd, r4
@@ -20,16 +19,16 @@ from .registry import dbl, query, rnd, r4
 XS = ["x1", "x2"]
 DOC_XS = ["x_len", "x_en"]
 NB_FEATURES = ["lang", "source", "len_bucket"]
-ID3_FEATURES = ["lang", "len_bucket", "source"]
-PERCEPTRON_STEPS, PERCEPTRON_LR = 10, 0.2
-BATCH_STEPS = 5
-POCKET_STEPS, POCKET_LR = 10, 0.1
-LR_STEPS, LR_RATE = 5, 0.05
+ID3_FEATURES, ID3_THRESHOLD = ["lang", "len_bucket", "source"], 1e-2
+PERCEPTRON_STEPS, PERCEPTRON_LR = 200, 0.2  # the limit; the separable labels need more updates than is useful here
+BATCH_STEPS = 40
+POCKET_STEPS, POCKET_LR = 200, 0.1
+LR_STEPS, LR_RATE, LR_TOL = 40, 0.05, 1e-3
 LOGIT_W = (2.0, -1.5)
-KM_K, KM_STEPS = 3, 5
+KM_K, KM_STEPS, KM_TOL = 3, 40, 1e-8
 KM_CENTERS = ((0.2, 0.2), (0.5, 0.8), (0.8, 0.4))
 KNN_K = 5
-GMM_K, GMM_STEPS = 2, 3
+GMM_K, GMM_STEPS, GMM_TOL = 2, 40, 1e-5
 GMM_FIXED = dict(weights=(0.4, 0.6), means=((0.3, 0.3), (0.7, 0.6)),
                  covs=(((0.05, 0.01), (0.01, 0.04)), ((0.06, -0.01), (-0.01, 0.05))))
 
@@ -160,13 +159,16 @@ def _lr_ctes():
     parts["w0"] = f"SELECT {dbl(0.0)} AS w1, {dbl(0.0)} AS w2, {dbl(0.0)} AS b"
     for i in range(1, LR_STEPS + 1):
         parts[f"s{i}"] = _lr_stats_sql(f"w{i - 1}")
-        parts[f"w{i}"] = (f"SELECT w.w1 - {dbl(LR_RATE)} * g.g1 AS w1, w.w2 - {dbl(LR_RATE)} * g.g2 AS w2, "
-                          f"w.b AS b FROM w{i - 1} w, s{i} g")
+        # the step that finds the loss within the tolerance of the one before does not move, nor do later ones
+        still = f"abs(g.log_loss - p.log_loss) <= {dbl(LR_TOL)}" if i > 1 else "false"
+        parts[f"w{i}"] = (f"SELECT CASE WHEN {still} THEN w.w1 ELSE w.w1 - {dbl(LR_RATE)} * g.g1 END AS w1, "
+                          f"CASE WHEN {still} THEN w.w2 ELSE w.w2 - {dbl(LR_RATE)} * g.g2 END AS w2, "
+                          f"w.b AS b FROM w{i - 1} w, s{i} g" + (f", s{i - 1} p" if i > 1 else ""))
     return parts
 
 
 def _lr_model(spark, d):
-    return linear.logreg_fit(docs_labeled(spark, d), DOC_XS, "toxic", lr=LR_RATE, max_iter=LR_STEPS, tol=-1.0)
+    return linear.logreg_fit(docs_labeled(spark, d), DOC_XS, "toxic", lr=LR_RATE, max_iter=LR_STEPS, tol=LR_TOL)
 
 
 @query("logreg_fit", lambda: f"{cte(**_lr_ctes())}\n{_weights_sql(f'w{LR_STEPS}', DOC_XS)}")
@@ -193,35 +195,21 @@ def _fixed_lr_sql():
     return cte(**parts)
 
 
-def _fixed_lr_stats(spark, d):
+def _fixed_lr_step(spark, d):
     dl = docs_labeled(spark, d)
-    lab = label_index(dl, "toxic")
-    m = linear.LinearModel(DOC_XS, list(LOGIT_W), 0.0, "logistic", labels=lab)
-    y = lab.index("toxic")
-    z = m.score()
-    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-    sp = linear._softplus
-    base = dl.withColumn("_y", y).where(F.col("_y").isNotNull())
-    yv = F.col("_y")
-    return base, z, s, yv, sp
+    return linear.logreg_step(dl.withColumn("_y", linear.binary_labels(dl, "toxic").index("toxic")), DOC_XS, "_y", LOGIT_W)
 
 
 @query("logreg_objective", lambda: f"""{_fixed_lr_sql()}
 SELECT {rnd('log_loss')} AS log_loss, {rnd('mean_true_prob')} AS mean_true_prob FROM sf""")
 def logreg_objective_query(spark, d):
-    base, z, s, yv, sp = _fixed_lr_stats(spark, d)
-    loss = F.when(yv == 1.0, sp(-z)).otherwise(sp(z))
-    return base.agg(r4(F.avg(loss), 4).alias("log_loss"),
-                    r4(F.avg(yv * s + (F.lit(1.0) - yv) * (F.lit(1.0) - s)), 4).alias("mean_true_prob"))
+    return _fixed_lr_step(spark, d).select(r4("log_loss", 4).alias("log_loss"), r4("mean_true_prob", 4).alias("mean_true_prob"))
 
 
 @query("logreg_gradient", lambda: f"""{_fixed_lr_sql()}
 SELECT {rnd('g1', 6)} AS g_x_len, {rnd('g2', 6)} AS g_x_en, {rnd('g_bias', 6)} AS g_bias FROM sf""")
 def logreg_gradient_query(spark, d):
-    base, z, s, yv, sp = _fixed_lr_stats(spark, d)
-    return base.agg(r4(F.avg((s - yv) * F.col("x_len")), 6).alias("g_x_len"),
-                    r4(F.avg((s - yv) * F.col("x_en")), 6).alias("g_x_en"),
-                    r4(F.avg(s - yv), 6).alias("g_bias"))
+    return _fixed_lr_step(spark, d).select(r4("g0", 6).alias("g_x_len"), r4("g1", 6).alias("g_x_en"), r4("g_bias", 6).alias("g_bias"))
 
 
 # --------------------------------------------------------------------- k-means
@@ -255,12 +243,18 @@ def _km_ctes(steps: int, k: int, centers=None) -> dict:
         parts[f"c{i}"] = (f"SELECT c.cluster, coalesce(u.m1, c.c1) AS c1, coalesce(u.m2, c.c2) AS c2, "
                           f"coalesce(u.n, 0) AS n, coalesce(u.cost, {dbl(0.0)}) AS cost "
                           f"FROM c{i - 1} c LEFT JOIN u{i} u ON c.cluster = u.cluster")
+    if steps > 1:  # the first step whose cost is within the tolerance of the one before, else the last
+        costs = " UNION ALL ".join(f"SELECT {i} AS i, sum(cost) AS cost FROM c{i}" for i in range(1, steps + 1))
+        every = " UNION ALL ".join(f"SELECT {i} AS i, cluster, c1, c2, n, cost FROM c{i}" for i in range(1, steps + 1))
+        parts["stop"] = (f"SELECT coalesce(min(i), {steps}) AS i FROM (SELECT i, cost, lag(cost) OVER (ORDER BY i) AS before "
+                         f"FROM ({costs})) WHERE abs(cost - before) <= {dbl(KM_TOL)}")
+        parts["fit"] = f"SELECT e.* FROM ({every}) e JOIN stop USING (i)"
     return parts
 
 
 def _km_model_sql(steps, k, centers=None):
     return (f"{cte(**_km_ctes(steps, k, centers))}\nSELECT cluster, [{rnd('c1')}, {rnd('c2')}] AS center, "
-            f"n, {rnd('cost')} AS cost FROM c{steps}")
+            f"n, {rnd('cost')} AS cost FROM {'fit' if steps > 1 else f'c{steps}'}")
 
 
 def _km_model_df(spark, model):
@@ -270,7 +264,7 @@ def _km_model_df(spark, model):
 
 
 def _km_model(spark, d):
-    return cluster.kmeans_fit(part_points(spark, d), XS, KM_K, key="p_partkey", max_iter=KM_STEPS, tol=-1.0)
+    return cluster.kmeans_fit(part_points(spark, d), XS, KM_K, key="p_partkey", max_iter=KM_STEPS, tol=KM_TOL)
 
 
 @query("kmeans_fit", lambda: _km_model_sql(KM_STEPS, KM_K))
@@ -297,7 +291,7 @@ def kmeans_predict_query(spark, d):
     return out.select("p_partkey", "cluster", r4("distance", 4).alias("distance"))
 
 
-query("kmeans_predict", lambda: f"""{cte(**_km_ctes(KM_STEPS, KM_K))}, cwf AS ({_wide(f'c{KM_STEPS}', KM_K)})
+query("kmeans_predict", lambda: f"""{cte(**_km_ctes(KM_STEPS, KM_K))}, cwf AS ({_wide('fit', KM_K)})
 SELECT p_partkey, cluster, {rnd('distance')} AS distance FROM ({_km_assign_sql('pts', 'cwf', KM_K)})""")(
     kmeans_predict_query)
 
@@ -322,14 +316,18 @@ def _nb_model(spark, d):
 @query("nb_priors", lambda: f"""{cte(**_nb_ctes())}
 SELECT quality, n, {rnd(f"(n + {dbl(1.0)}) / (big_n + {dbl(1.0)} * n_cls)")} AS prior FROM pri, tot""")
 def nb_priors_query(spark, d):
-    return _nb_model(spark, d).priors_df.withColumn("prior", r4("prior", 4))
+    return bayes.nb_priors(docs_labeled(spark, d), "quality").withColumn("prior", r4("prior", 4))
 
 
-@query("nb_conditionals", lambda: f"""{cte(**_nb_ctes())}
-SELECT c.quality, c.feature, c.value, c.n, {rnd(f"(c.n + {dbl(1.0)}) / (p.n + {dbl(1.0)} * v.nv)")} AS prob
-FROM cells c JOIN pri p ON c.quality = p.quality JOIN nv v ON c.feature = v.feature""")
+@query("nb_conditionals", lambda: f"""{cte(**_nb_ctes())},
+seen AS (SELECT DISTINCT feature, value FROM cells)
+SELECT p.quality, s.feature, s.value, coalesce(c.n, 0) AS n,
+  {rnd(f"(coalesce(c.n, 0) + {dbl(1.0)}) / (p.n + {dbl(1.0)} * v.nv)")} AS prob
+FROM seen s CROSS JOIN pri p JOIN nv v ON s.feature = v.feature
+LEFT JOIN cells c ON c.quality = p.quality AND c.feature = s.feature AND c.value = s.value""")
 def nb_conditionals_query(spark, d):
-    return _nb_model(spark, d).cells_df.withColumn("prob", r4("prob", 4))
+    dl = docs_labeled(spark, d)
+    return bayes.nb_tables(bayes._base(dl, NB_FEATURES, "quality"), NB_FEATURES, "quality")[1].withColumn("prob", r4("prob", 4))
 
 
 def _nb_predict_sql():
@@ -393,65 +391,43 @@ def id3_info_gain_query(spark, d):
 
 
 def _id3_model(spark, d):
-    return tree.id3_fit(docs_labeled(spark, d), ID3_FEATURES, "quality", threshold=0.0, max_depth=2)
-
-
-def _id3_level_sql(tag: str, assign: str) -> dict:
-    """Statistics of the nodes in ``assign(doc_id, node)``: label counts, entropy, gains."""
-    return {
-        f"h{tag}": f"SELECT node, sum(CASE WHEN c > 0 THEN -(c / t) * log2(c / t) ELSE 0 END) AS h, "
-                   f"CAST(sum(c) AS BIGINT) AS n, count(*) AS n_labels, arg_min(quality, (-c, quality)) AS label "
-                   f"FROM (SELECT a.node, b.quality, CAST(count(*) AS DOUBLE) AS c, "
-                   f"CAST(sum(count(*)) OVER (PARTITION BY a.node) AS DOUBLE) AS t "
-                   f"FROM {assign} a JOIN b ON a.doc_id = b.doc_id GROUP BY a.node, b.quality) GROUP BY node",
-        f"g{tag}": f"SELECT node, feature, pos, h - ce AS gain FROM (SELECT node, feature, pos, "
-                   f"sum(-(c / nf) * log2(c / nv)) AS ce FROM (SELECT *, sum(c) OVER (PARTITION BY node, feature, value) "
-                   f"AS nv, sum(c) OVER (PARTITION BY node, feature) AS nf FROM (SELECT a.node, l.feature, l.pos, "
-                   f"l.value, l.quality, CAST(count(*) AS DOUBLE) AS c FROM {assign} a JOIN lb l ON a.doc_id = l.doc_id "
-                   f"GROUP BY a.node, l.feature, l.pos, l.value, l.quality)) GROUP BY node, feature, pos) "
-                   f"JOIN h{tag} USING (node)",
-    }
+    return tree.id3_fit(docs_labeled(spark, d), ID3_FEATURES, "quality", threshold=ID3_THRESHOLD)
 
 
 def _id3_ctes() -> dict:
+    """The whole tree level by level: nK nodes of depth K, rK node of every row, sK best splits of depth K."""
     unp = " UNION ALL ".join(f"SELECT doc_id, quality, '{f}' AS feature, {f} AS value, {i} AS pos FROM dl"
                              for i, f in enumerate(ID3_FEATURES))
-    parts = {"dl": DOCS_LABELED_SQL, "b": "SELECT * FROM dl WHERE quality IS NOT NULL",
-             "la": unp, "lb": "SELECT * FROM la WHERE quality IS NOT NULL",
-             "a0": "SELECT doc_id, 0 AS node FROM b"}
-    parts.update(_id3_level_sql("0", "a0"))
-    # best root feature (ties: list order); split when impure and gain >= threshold (0)
-    parts["s0"] = ("SELECT g.node, arg_min(g.feature, (-g.gain, g.pos)) AS feature, max(g.gain) AS gain, "
-                   "any_value(h.n_labels) > 1 AND max(g.gain) >= 0 AS split "
-                   "FROM g0 g JOIN h0 h USING (node) GROUP BY g.node")
-    parts["n1"] = ("SELECT value AS edge_value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS node_id "
-                   "FROM (SELECT DISTINCT l.value FROM lb l JOIN s0 ON l.feature = s0.feature AND s0.split "
-                   "WHERE l.value IS NOT NULL)")
-    parts["r1"] = ("SELECT l.doc_id, n1.node_id AS node FROM la l JOIN s0 ON l.feature = s0.feature AND s0.split "
-                   "JOIN n1 ON l.value = n1.edge_value")
-    parts["a1"] = "SELECT r1.* FROM r1 JOIN b ON r1.doc_id = b.doc_id"
-    parts.update(_id3_level_sql("1", "a1"))
-    parts["s1"] = ("SELECT g.node, arg_min(g.feature, (-g.gain, g.pos)) AS feature, max(g.gain) AS gain, "
-                   "any_value(h.n_labels) > 1 AND max(g.gain) >= 0 AS split, any_value(h.n_labels) > 1 AS impure "
-                   "FROM g1 g JOIN h1 h USING (node) WHERE g.feature <> (SELECT feature FROM s0) GROUP BY g.node")
-    parts["n2"] = ("SELECT parent_id, edge_value, CAST((SELECT count(*) FROM n1) + row_number() OVER "
-                   "(ORDER BY parent_id, edge_value) AS INTEGER) AS node_id FROM (SELECT DISTINCT a.node AS parent_id, "
-                   "l.value AS edge_value FROM a1 a JOIN s1 ON a.node = s1.node AND s1.split "
-                   "JOIN lb l ON l.doc_id = a.doc_id AND l.feature = s1.feature WHERE l.value IS NOT NULL)")
-    parts["r2"] = ("SELECT r.doc_id, n2.node_id AS node FROM r1 r JOIN s1 ON r.node = s1.node AND s1.split "
-                   "JOIN la l ON l.doc_id = r.doc_id AND l.feature = s1.feature "
-                   "JOIN n2 ON n2.parent_id = r.node AND n2.edge_value = l.value")
-    parts["a2"] = "SELECT r2.* FROM r2 JOIN b ON r2.doc_id = b.doc_id"
-    parts["h2"] = _id3_level_sql("2", "a2")["h2"]
-    parts["tree"] = (
-        "SELECT 0 AS node_id, CAST(NULL AS INTEGER) AS parent_id, 0 AS depth, "
-        "CASE WHEN s0.split THEN s0.feature END AS split_feature, CAST(NULL AS VARCHAR) AS edge_value, "
-        "h0.label, h0.n, CASE WHEN h0.n_labels > 1 THEN s0.gain END AS gain FROM h0 LEFT JOIN s0 USING (node) "
-        "UNION ALL SELECT n1.node_id, 0, 1, CASE WHEN s1.split THEN s1.feature END, n1.edge_value, h1.label, h1.n, "
-        "CASE WHEN s1.impure THEN s1.gain END FROM n1 JOIN h1 ON h1.node = n1.node_id "
-        "LEFT JOIN s1 ON s1.node = n1.node_id "
-        "UNION ALL SELECT n2.node_id, n2.parent_id, 2, NULL, n2.edge_value, h2.label, h2.n, NULL "
-        "FROM n2 JOIN h2 ON h2.node = n2.node_id")
+    parts = {"dl": DOCS_LABELED_SQL, "la": unp,
+             "n0": "SELECT 0 AS node_id, CAST(NULL AS INTEGER) AS parent_id, CAST(NULL AS VARCHAR) AS edge_value, '|' AS used",
+             "r0": "SELECT doc_id, 0 AS node FROM dl"}
+    trees, before = [], "0"
+    for k in range(len(ID3_FEATURES) + 1):
+        parts[f"h{k}"] = (
+            "SELECT node, sum(CASE WHEN c > 0 THEN -(c / t) * log2(c / t) ELSE 0 END) AS h, CAST(sum(c) AS BIGINT) AS n, "
+            "count(*) AS n_labels, arg_min(quality, (-c, quality)) AS label FROM (SELECT r.node, dl.quality, "
+            "CAST(count(*) AS DOUBLE) AS c, CAST(sum(count(*)) OVER (PARTITION BY r.node) AS DOUBLE) AS t "
+            f"FROM r{k} r JOIN dl USING (doc_id) WHERE dl.quality IS NOT NULL GROUP BY r.node, dl.quality) GROUP BY node")
+        parts[f"g{k}"] = (
+            "SELECT node, feature, pos, h - ce AS gain FROM (SELECT node, feature, pos, sum(-(c / nf) * log2(c / nv)) AS ce "
+            "FROM (SELECT *, sum(c) OVER (PARTITION BY node, feature, value) AS nv, sum(c) OVER (PARTITION BY node, feature) AS nf "
+            "FROM (SELECT r.node, la.feature, la.pos, la.value, la.quality, CAST(count(*) AS DOUBLE) AS c "
+            f"FROM r{k} r JOIN la USING (doc_id) WHERE la.quality IS NOT NULL GROUP BY ALL)) GROUP BY node, feature, pos) "
+            f"JOIN h{k} USING (node) JOIN n{k} ON n{k}.node_id = node WHERE n_labels > 1 AND NOT contains(used, '|' || feature || '|')")
+        parts[f"s{k}"] = (f"SELECT node, arg_min(feature, (-gain, pos)) AS feature, max(gain) AS gain, "
+                          f"max(gain) >= {dbl(ID3_THRESHOLD)} AS split FROM g{k} GROUP BY node")
+        trees.append(f"SELECT n.node_id, n.parent_id, {k} AS depth, CASE WHEN s.split THEN s.feature END AS split_feature, "
+                     f"n.edge_value, h.label, coalesce(h.n, 0) AS n, s.gain FROM n{k} n LEFT JOIN h{k} h ON h.node = n.node_id "
+                     f"LEFT JOIN s{k} s ON s.node = n.node_id")
+        before = f"{before} + (SELECT count(*) FROM n{k})"
+        parts[f"m{k}"] = (f"SELECT r.doc_id, r.node, la.value, la.quality, s.feature FROM r{k} r JOIN s{k} s ON r.node = s.node AND s.split "
+                          "JOIN la ON la.doc_id = r.doc_id AND la.feature = s.feature WHERE la.value IS NOT NULL")
+        parts[f"n{k + 1}"] = (
+            f"SELECT CAST({before} - 1 + row_number() OVER (ORDER BY node, value) AS INTEGER) AS node_id, node AS parent_id, "
+            f"value AS edge_value, n{k}.used || feature || '|' AS used FROM (SELECT DISTINCT node, value, feature FROM m{k} "
+            f"WHERE quality IS NOT NULL) JOIN n{k} ON n{k}.node_id = node")
+        parts[f"r{k + 1}"] = f"SELECT m.doc_id, n.node_id AS node FROM m{k} m JOIN n{k + 1} n ON n.parent_id = m.node AND n.edge_value = m.value"
+    parts["tree"] = " UNION ALL ".join(trees)
     return parts
 
 
@@ -463,10 +439,14 @@ def id3_fit_query(spark, d):
     return _id3_model(spark, d).to_df(spark).withColumn("gain", r4("gain", 4))
 
 
+def _id3_deepest() -> str:
+    return "coalesce(" + ", ".join(f"r{k}.node" for k in range(len(ID3_FEATURES), 0, -1)) + ", 0)"
+
+
 @query("id3_predict", lambda: f"""{cte(**_id3_ctes())}
-SELECT dl.doc_id, CAST(coalesce(r2.node, r1.node, 0) AS INTEGER) AS node_id, t.label AS prediction
-FROM dl LEFT JOIN r1 ON dl.doc_id = r1.doc_id LEFT JOIN r2 ON dl.doc_id = r2.doc_id
-JOIN tree t ON t.node_id = coalesce(r2.node, r1.node, 0)""")
+SELECT dl.doc_id, CAST({_id3_deepest()} AS INTEGER) AS node_id, t.label AS prediction
+FROM dl {' '.join(f'LEFT JOIN r{k} ON dl.doc_id = r{k}.doc_id' for k in range(1, len(ID3_FEATURES) + 1))}
+JOIN tree t ON t.node_id = {_id3_deepest()}""")
 def id3_predict_query(spark, d):
     m = _id3_model(spark, d)
     return tree.id3_predict(docs_labeled(spark, d), m).select("doc_id", "node_id", "prediction")
@@ -541,15 +521,15 @@ def _gmm_gamma_sql(lp: str) -> str:
 
 
 def _gmm_mstep_sql(gam: str, prev: str) -> str:
-    return (f"SELECT p.j, CASE WHEN s.g > 0 THEN s.g / s.n ELSE p.w END AS w, "
-            f"CASE WHEN s.g > 0 THEN s.s1 / s.g ELSE p.m1 END AS m1, "
-            f"CASE WHEN s.g > 0 THEN s.s2 / s.g ELSE p.m2 END AS m2, "
-            f"CASE WHEN s.g > 0 THEN s.q11 / s.g - (s.s1 / s.g) * (s.s1 / s.g) ELSE p.a END AS a, "
-            f"CASE WHEN s.g > 0 THEN s.q12 / s.g - (s.s1 / s.g) * (s.s2 / s.g) ELSE p.b END AS b, "
-            f"CASE WHEN s.g > 0 THEN s.q22 / s.g - (s.s2 / s.g) * (s.s2 / s.g) ELSE p.c END AS c "
-            f"FROM {prev} p JOIN (SELECT j, sum(g) AS g, count(*) AS n, sum(g * x1) AS s1, sum(g * x2) AS s2, "
-            f"sum(g * x1 * x1) AS q11, sum(g * x1 * x2) AS q12, sum(g * x2 * x2) AS q22 FROM {gam} GROUP BY j) s "
-            f"ON p.j = s.j")
+    """New parameters in two passes (means, then moments around them); an empty component gets weight 0."""
+    stats = f"SELECT j, sum(g) AS g, count(*) AS n, sum(g * x1) / sum(g) AS s1, sum(g * x2) / sum(g) AS s2 FROM {gam} GROUP BY j"
+    moments = (f"SELECT t.j, any_value(s.g) AS g, any_value(s.n) AS n, any_value(s.s1) AS s1, any_value(s.s2) AS s2, "
+               f"sum(t.g * (t.x1 - s.s1) * (t.x1 - s.s1)) AS q11, sum(t.g * (t.x1 - s.s1) * (t.x2 - s.s2)) AS q12, "
+               f"sum(t.g * (t.x2 - s.s2) * (t.x2 - s.s2)) AS q22 FROM {gam} t JOIN ({stats}) s ON t.j = s.j GROUP BY t.j")
+    return (f"SELECT p.j, s.g / s.n AS w, CASE WHEN s.g > 0 THEN s.s1 ELSE p.m1 END AS m1, "
+            f"CASE WHEN s.g > 0 THEN s.s2 ELSE p.m2 END AS m2, CASE WHEN s.g > 0 THEN s.q11 / s.g ELSE p.a END AS a, "
+            f"CASE WHEN s.g > 0 THEN s.q12 / s.g ELSE p.b END AS b, CASE WHEN s.g > 0 THEN s.q22 / s.g ELSE p.c END AS c "
+            f"FROM {prev} p JOIN ({moments}) s ON p.j = s.j")
 
 
 def _gmm_ctes(steps: int, fixed=None) -> dict:
@@ -558,13 +538,21 @@ def _gmm_ctes(steps: int, fixed=None) -> dict:
         parts["p0"] = _gmm_params_sql(fixed)
     else:
         parts["v"] = "SELECT var_pop(x1) AS v1, var_pop(x2) AS v2 FROM pts"
+        at = ", ".join(f"CAST(floor({(i + 0.5) / GMM_K} * n) AS BIGINT)" for i in range(GMM_K))
         parts["p0"] = (f"SELECT CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INTEGER) AS j, "
                        f"{dbl(1.0 / GMM_K)} AS w, x1 AS m1, x2 AS m2, v.v1 AS a, {dbl(0.0)} AS b, v.v2 AS c "
-                       f"FROM pts, v ORDER BY p_partkey LIMIT {GMM_K}")
+                       f"FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS r, count(*) OVER () AS n FROM pts), v "
+                       f"WHERE r IN ({at})")
     for i in range(1, steps + 1):
         parts[f"lp{i}"] = _gmm_lp_sql(f"p{i - 1}")
         parts[f"ga{i}"] = _gmm_gamma_sql(f"lp{i}")
         parts[f"p{i}"] = _gmm_mstep_sql(f"ga{i}", f"p{i - 1}")
+    if steps > 1:  # step i stops, without moving, when its mean log-likelihood is within the tolerance of step i - 1
+        means = " UNION ALL ".join(f"SELECT {i} AS i, avg(lse) AS ll FROM ga{i}" for i in range(1, steps + 1))
+        every = " UNION ALL ".join(f"SELECT {i} AS i, * FROM p{i}" for i in range(1, steps + 1))
+        parts["stop"] = (f"SELECT coalesce(min(i) - 1, {steps}) AS i FROM (SELECT i, ll, lag(ll) OVER (ORDER BY i) AS before "
+                         f"FROM ({means})) WHERE abs(ll - before) <= {dbl(GMM_TOL)}")
+        parts["fit"] = f"SELECT j, w, m1, m2, a, b, c FROM ({every}) e JOIN stop USING (i)"
     return parts
 
 
@@ -598,17 +586,17 @@ for _what in ("weight", "mean", "cov"):
 
 
 def _gmm_model(spark, d):
-    return mixture.gmm_fit(part_points(spark, d), XS, GMM_K, key="p_partkey", max_iter=GMM_STEPS, tol=-1.0)
+    return mixture.gmm_fit(part_points(spark, d), XS, GMM_K, key="p_partkey", max_iter=GMM_STEPS, tol=GMM_TOL)
 
 
-@query("gmm_fit", lambda: f"{cte(**_gmm_ctes(GMM_STEPS))}\n{_gmm_model_out_sql(f'p{GMM_STEPS}', 'weight,mean,cov')}")
+@query("gmm_fit", lambda: f"{cte(**_gmm_ctes(GMM_STEPS))}\n{_gmm_model_out_sql('fit', 'weight,mean,cov')}")
 def gmm_fit_query(spark, d):
     return _gmm_model_df(spark, _gmm_model(spark, d))
 
 
 def _gmm_score_sql(steps, fixed=None, what="probability"):
     parts = _gmm_ctes(steps, fixed)
-    p = f"p{steps}"
+    p = "fit" if steps > 1 else f"p{steps}"
     parts["lpf"] = _gmm_lp_sql(p)
     parts["gaf"] = _gmm_gamma_sql("lpf")
     if what == "density":

@@ -46,12 +46,13 @@ def prep_label_index(spark, d):
 @query("prep_label_unindex", f"""
 {cte(m=_LABEL_INDEX_SQL)}
 SELECT c.c_custkey, m.label_index, m.c_mktsegment AS segment_back
-FROM customer c JOIN m ON c.c_mktsegment = m.c_mktsegment""")
+FROM customer c LEFT JOIN m ON c.c_mktsegment = m.c_mktsegment""")
 def prep_label_unindex(spark, d):
     c = read_table(spark, d, "customer")
-    idx = encode.label_index(c, "c_mktsegment")
-    out = c.select("c_custkey", idx.index("c_mktsegment").alias("label_index"))
-    return out.select("c_custkey", "label_index", idx.unindex("label_index").alias("segment_back"))
+    mapping = encode.label_counts(c, "c_mktsegment")
+    out = encode.apply_label_index(c.select("c_custkey", "c_mktsegment"), mapping, "c_mktsegment")
+    out = encode.apply_label_unindex(out, mapping, "c_mktsegment", out="segment_back")
+    return out.select("c_custkey", "label_index", "segment_back")
 
 
 @query("prep_cast", """

@@ -12,10 +12,10 @@ from ..sources.tables import read_table
 from .registry import dbl, query, rnd, r4
 
 # fixed model values: 3 hidden states, 5 symbols (the event types)
-HMM_PI = (0.2, 0.4, 0.4)
-HMM_A = ((0.5, 0.2, 0.3),
-         (0.3, 0.5, 0.2),
-         (0.2, 0.3, 0.5))
+HMM_PI = (0.5, 0.3, 0.2)
+HMM_A = ((0.6, 0.3, 0.1),
+         (0.2, 0.7, 0.1),
+         (0.1, 0.4, 0.5))
 HMM_B = ((0.30, 0.20, 0.20, 0.20, 0.10),
          (0.10, 0.30, 0.20, 0.20, 0.20),
          (0.20, 0.10, 0.30, 0.10, 0.30))

@@ -32,18 +32,16 @@ def src_csv_infer(spark, d):
 @query("src_csv_format", """
 SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_partkey AS INTEGER) AS l_partkey,
        CAST(l_suppkey AS INTEGER) AS l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-       l_returnflag, l_linestatus
+       l_returnflag, l_linestatus, CAST(l_shipdate AS TIMESTAMP) AS l_shipdate
 FROM lineitem""")
 def src_csv_format(spark, d):
-    li = read_table(spark, d, "lineitem").drop("l_shipdate")
-    return read_csv_format(spark, _as_csv(spark, li, "lineitem"))
+    out = read_csv_format(spark, _as_csv(spark, read_table(spark, d, "lineitem"), "lineitem"))
+    return out.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))  # the table's own type, without a zone
 
 
 @query("src_csv_string", """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
 FROM customer""")
 def src_csv_string(spark, d):
-    c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    out = read_csv_strings(spark, _as_csv(spark, c, "customer"))
-    assert all(t == "string" for _, t in out.dtypes)
-    return out.select(*[F.col(x) for x in out.columns])
+    return read_csv_strings(spark, _as_csv(spark, read_table(spark, d, "customer"), "customer"))
