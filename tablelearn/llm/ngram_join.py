@@ -9,8 +9,8 @@ Large sets put their rarest shingles (a prefix that two similar sets must
 share) into inverted lists.  The lists are scanned twice: first every set against
 one pivot of its list and size class, which joins groups of near copies without
 pairing them; then only pairs whose sets are still in different groups and
-whose places in the prefixes allow the similarity.  Candidates are verified on the
-whole sets.  The boundary is chosen from the sizes of all sets by comparing
+whose places in the prefixes and outlines (counts of shingles in a few hash cells) allow
+the similarity.  Candidates are verified on the whole sets.  The boundary is chosen from the sizes of all sets by comparing
 the number of subsets with the expected length of the scanned lists.
 
 The order of shingles is by how often their hash cell (of ``CELLS``) occurs in
@@ -36,6 +36,7 @@ from .common import Scratch, WordHash, connected_components, has_bit, joined_bit
 
 CELLS = 1 << 20  # cells of the frequency table that is sent to the tasks (4 MB)
 FILTER_BITS = 1 << 23  # of the filter that spares the shuffle of texts that no pair asks for (1 MB)
+SKETCH = 64  # cells of the outline of a set by which pairs are excluded before their sets are fetched
 SMALL = 40  # sizes above this are never small
 
 
@@ -119,7 +120,7 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
         def sign(batches):
             hashes = WordHash()
             for block in text_blocks(batches, "text"):
-                nodes, ns, prefixes, keys = [], [], [], []
+                nodes, ns, prefixes, keys, sketches = [], [], [], [], []
                 for t in texts_of(block, "text"):
                     s = shingle_set(t, k, hashes)
                     n = len(s)
@@ -130,22 +131,23 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
                         rank = np.lexsort((s, often.value[(s >> np.uint64(44)).astype(np.int64)]))
                         prefix = signed(s[rank[:missing(n, num, den) + 1]])
                     prefixes.append(prefix)
+                    sketches.append(np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH))
                     keys.append([{"c": c, "s": v - (1 << 64) if v >> 63 else v} for c, v in subset_keys(s, num, den)]
                                 if 0 < n <= small else None)
                 yield pa.RecordBatch.from_arrays(
                     [block.column(0), block.column(2), pa.array(ns, pa.int64()), pa.array(nodes, pa.binary()),
-                     pa.array(prefixes, pa.list_(pa.int64())),
+                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int32())),
                      pa.array(keys, pa.list_(pa.struct([("c", pa.int32()), ("s", pa.int64())])))],
-                    ["id", "th", "n", "node", "prefix", "subsets"])
+                    ["id", "th", "n", "node", "prefix", "sketch", "subsets"])
 
         kind = docs.schema["id"].dataType.simpleString()
         signed_docs = own.save(docs.mapInArrow(
-            sign, f"id {kind}, th long, n long, node binary, prefix array<long>, subsets array<struct<c:int,s:long>>"))
+            sign, f"id {kind}, th long, n long, node binary, prefix array<long>, sketch array<int>, subsets array<struct<c:int,s:long>>"))
         rows = signed_docs.select("id", "th", "n", "node")
         reps = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"))
         reps = own.save(reps)
         # one row per node; lists are unfolded from it where they are needed
-        nodes = own.save(signed_docs.where("prefix is not null or subsets is not null").select("node", "n", "prefix", "subsets")
+        nodes = own.save(signed_docs.where("prefix is not null or subsets is not null").select("node", "n", "prefix", "sketch", "subsets")
                          .dropDuplicates(["node"]))
         every = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token")).select(
             "token", "node", (F.shiftleft("n", 24) + F.col("pos")).alias("place"))
@@ -164,7 +166,10 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
                  .where((F.lit(den) * F.col("c")) >= F.lit(num) * (F.col("n") + F.col("m.n") - F.col("c")))
                  .select(F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b")).distinct())
         tried = own.save(heavy.unionByName(light).distinct())
-        links = own.save(_verified(docs, tried, reps, own, k, num, den))
+        sx, sy = (nodes.select(F.col("node").alias(f"k{z}"), F.col("n").alias(f"n{z}"), F.col("sketch").alias(f"s{z}")) for z in "xy")
+        likely = tried.join(sx, F.col("a") == F.col("kx")).join(sy, F.col("b") == F.col("ky")).where(
+            _possible(F.col("sx"), F.col("sy"), F.col("nx"), F.col("ny"), num, den)).select("a", "b")
+        links = own.save(_verified(docs, own.save(likely), reps, own, k, num, den))
         groups = connected_components(links, own)
 
         # what the pivots did not join: pairs of different groups whose prefix places allow the similarity
@@ -172,12 +177,14 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
         placed = lists.join(g, F.col("node") == F.col("_g"), "left").select(
             "token", "node", "n", "pos", F.coalesce("component", "node").alias("grp"))
         mixed = placed.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("token")
-        placed = own.save(placed.join(mixed, "token"))
-        x, y = (placed.select("token", *(F.col(c).alias(f"{c}_{z}") for c in ("node", "n", "pos", "grp"))) for z in "xy")
+        outlines = nodes.select(F.col("node").alias("_k"), "sketch")
+        placed = own.save(placed.join(mixed, "token").join(outlines, F.col("node") == F.col("_k")).drop("_k"))
+        x, y = (placed.select("token", *(F.col(c).alias(f"{c}_{z}") for c in ("node", "n", "pos", "grp", "sketch"))) for z in "xy")
         share = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
         rest = (x.join(y, (x["token"] == y["token"]) & (F.col("node_x") < F.col("node_y")) & (F.col("grp_x") != F.col("grp_y"))
                        & (F.lit(den) * F.least("n_x", "n_y") >= F.lit(num) * F.greatest("n_x", "n_y"))
-                       & (F.lit(den) * share >= F.lit(num) * (share + F.col("pos_x") + F.col("pos_y"))))
+                       & (F.lit(den) * share >= F.lit(num) * (share + F.col("pos_x") + F.col("pos_y")))
+                       & _possible(F.col("sketch_x"), F.col("sketch_y"), F.col("n_x"), F.col("n_y"), num, den))
                 .select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
                 .join(tried, ["a", "b"], "left_anti"))
         rest = own.save(rest)
@@ -198,6 +205,12 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
         return own.save(out, keep=True)
 
 
+def _possible(x, y, n_x, n_y, num: int, den: int):
+    """Whether the sketches allow the similarity: two sets share at most the smaller count in each of their cells."""
+    most = F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0), lambda total, v: total + v)
+    return F.lit(den) * most >= F.lit(num) * (n_x + n_y - most)
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, own: Scratch, k: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets have the similarity."""
     nodes = own.save(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
