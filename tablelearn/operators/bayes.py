@@ -97,15 +97,18 @@ def nb_tables(base: DataFrame, features: Sequence[str], label: str,
     priors = nb_priors(base, label, smoothing)
     cells = _cells(base, features, label)
     nv = cells.groupBy("feature").agg(F.countDistinct("value").alias("_V"))
-    # the class counts travel as one map, so the grid needs no product of tables
-    classes = priors.groupBy().agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("_classes"))
-    by_value = cells.groupBy("feature", "value").agg(
-        F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("_n"), F.lit(0).alias("_one"))
-    grid = (by_value.join(classes.withColumn("_one", F.lit(0)).hint("broadcast"), "_one").join(nv, "feature")
-            .select("feature", "value", "_n", "_V", F.explode("_classes").alias(label, "_nc")))
-    n = F.coalesce(F.element_at("_n", F.col(label)), F.lit(0).cast("long"))
-    return priors, grid.select(label, "feature", "value", n.alias("n"),
-                               ((n + lam) / (F.col("_nc") + lam * F.col("_V"))).alias("prob"))
+    # the class counts are model-sized: they become an array in the plan, so the grid needs no product of tables
+    of_class = [(r[label], r["n"]) for r in priors.select(label, "n").collect()]
+    by_value = cells.groupBy("feature", "value").agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("_n"))
+    if not of_class:
+        return priors, by_value.select(F.lit(None).cast(base.schema[label].dataType).alias(label), "feature", "value",
+                                       F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("prob")).limit(0)
+    every = F.array(*[F.struct(F.lit(c).cast(base.schema[label].dataType).alias("c"), F.lit(n).cast("long").alias("n"))
+                      for c, n in of_class])
+    grid = by_value.join(nv, "feature").select("feature", "value", "_n", "_V", F.explode(every).alias("_class"))
+    n = F.coalesce(F.element_at("_n", F.col("_class.c")), F.lit(0).cast("long"))
+    return priors, grid.select(F.col("_class.c").alias(label), "feature", "value", n.alias("n"),
+                               ((n + lam) / (F.col("_class.n") + lam * F.col("_V"))).alias("prob"))
 
 
 def _log_ratio(n: Column, model: NBModel, c, f: str) -> Column:

@@ -117,7 +117,14 @@ class ID3Model:
         values = F.array(*[F.col(f).cast("string") for f in self.features])
         cur = df.select(F.struct(*rest).alias("_row"), values.alias("_fv"), F.lit(0).alias("_at"))
         pos = F.element_at(literal_map([(f, i + 1) for i, f in enumerate(self.features)]), F.col("split_feature"))
+        # the root's split is known here; a join on its constant number would not be an equi-join
+        root = self.nodes.where("depth = 0").select("split_feature").first()["split_feature"] if self.depth else None
         for d in range(self.depth):
+            if d == 0:
+                kids = self.nodes.where("depth = 1").select(F.col("edge_value").alias("_v"), F.col("node_id").alias("_child"))
+                cur = cur.withColumn("_value", F.element_at("_fv", self.features.index(root) + 1)).join(
+                    kids, F.col("_value") == F.col("_v"), "left").select("_row", "_fv", F.coalesce("_child", "_at").alias("_at"))
+                continue
             splits = self.nodes.where((F.col("depth") == d) & F.col("split_feature").isNotNull()).select(
                 F.col("node_id").alias("_sn"), pos.alias("_fpos"))
             kids = self.nodes.where(F.col("depth") == d + 1).select(

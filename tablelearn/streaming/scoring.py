@@ -12,7 +12,7 @@ from ..operators.tree import ID3Model, id3_predict
 
 
 def score_stream(stream: DataFrame, model) -> DataFrame:
-    """The model's predict, as stateless column expressions (valid on streams)."""
+    """The model's predict: stateless expressions, or joins with static model tables (valid on streams)."""
     if isinstance(model, KMeansModel):
         return kmeans_predict(stream, model)
     if isinstance(model, LinearModel):
@@ -22,8 +22,6 @@ def score_stream(stream: DataFrame, model) -> DataFrame:
     if isinstance(model, ID3Model):
         return id3_predict(stream, model)
     if isinstance(model, NBModel):
-        if not model.cells and model.classes:
-            raise ValueError("this naive Bayes model is too large for literal scoring; score in batch")
         return nb_predict(stream, model)
     raise TypeError(f"no stream scoring for {type(model).__name__}")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.functions import distance as D
 from tablelearn.operators import bayes, cluster, linear, pairwise, tree
-from tablelearn.operators.encode import label_index
+from tablelearn.operators.encode import label_counts
 
 
 def test_empty_inputs(spark):
@@ -17,7 +17,7 @@ def test_empty_inputs(spark):
     p = linear.perceptron_fit(empty, ["x1", "x2"], "y", "k")
     assert p.converged and p.weights == [0.0, 0.0]
     t = tree.id3_fit(empty, ["c"], "y")
-    assert len(t.nodes) == 1 and t.nodes[0].n == 0
+    assert [r["n"] for r in t.nodes.collect()] == [0]
     nb = bayes.nb_fit(empty, ["c"], "y")
     assert nb.classes == [] and bayes.nb_predict(empty, nb).count() == 0
 
@@ -25,7 +25,7 @@ def test_empty_inputs(spark):
 def test_one_class_and_constant_feature(spark):
     df = spark.createDataFrame([(i, "a", "z", 1.0) for i in range(5)], "k long, c string, y string, x double")
     t = tree.id3_fit(df, ["c"], "y")
-    assert len(t.nodes) == 1 and t.nodes[0].label == "z"
+    assert [r["label"] for r in t.nodes.collect()] == ["z"]
     g = tree.info_gain(df, "y", ["c"]).first()
     assert g["gain"] == pytest.approx(0.0)
     nb = bayes.nb_fit(df, ["c"], "y")
@@ -39,8 +39,7 @@ def test_null_feature_and_label(spark):
     assert nb.class_counts == {"p": 2, "q": 1}
     preds = {r["k"]: r["prediction"] for r in bayes.nb_predict(df, nb).collect()}
     assert preds[2] == "p"  # null feature: prior decides
-    idx = label_index(df, "y")
-    assert idx.labels == ["p", "q"]
+    assert {r["y"]: r["label_index"] for r in label_counts(df, "y").collect()} == {"p": 0.0, "q": 1.0}
 
 
 def test_unseen_value(spark):
@@ -97,13 +96,13 @@ def test_minkowski_real_exponent(spark):
 def test_one_event_sequence(spark):
     from tablelearn.operators import sequence
 
-    pi, A = (0.2, 0.4, 0.4), ((0.5, 0.2, 0.3), (0.3, 0.5, 0.2), (0.2, 0.3, 0.5))
-    B = ((0.5, 0.5), (0.4, 0.6), (0.7, 0.3))
+    pi, A = (0.1, 0.6, 0.3), ((0.8, 0.1, 0.1), (0.2, 0.6, 0.2), (0.4, 0.4, 0.2))
+    B = ((0.3, 0.7), (0.5, 0.5), (0.9, 0.1))
     df = spark.createDataFrame([(7, 1, 1)], "k int, t int, o int")
     for method in ("forward", "backward"):
         r = sequence.hmm_score(df, "k", ["t"], "o", pi, A, B, symbols=[0, 1], method=method).first()
         assert r["n_obs"] == 1
-        assert r["log_likelihood"] == pytest.approx(math.log(0.2 * 0.5 + 0.4 * 0.6 + 0.4 * 0.3))
+        assert r["log_likelihood"] == pytest.approx(math.log(0.1 * 0.7 + 0.6 * 0.5 + 0.3 * 0.1))
 
 
 def test_more_empty_inputs(spark):

@@ -1,116 +1,343 @@
-"""Goldens on the reference's example files (values computed independently, see SURVEY §5)."""
+"""Learners against plain numpy / Python versions on small hand-written tables."""
 
+import itertools
 import math
+import random
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablelearn.operators import bayes, cluster, linear, mixture, pairwise, sequence, tree
-from tablelearn.operators.encode import assemble
-
-IRIS = ["sepalLength", "sepalWidth", "petalLength", "petalWidth"]
-
-
-def test_hmm_textbook_example(spark):
-    # fixed values of the textbook example: π, A, B and O = (0, 1, 0, 1)
-    pi = (0.2, 0.4, 0.4)
-    A = ((0.5, 0.2, 0.3), (0.3, 0.5, 0.2), (0.2, 0.3, 0.5))
-    B = ((0.5, 0.5), (0.4, 0.6), (0.7, 0.3))
-    df = spark.createDataFrame([(1, t, o) for t, o in enumerate([0, 1, 0, 1])], "k int, t int, o int")
-    for method in ("forward", "backward"):
-        r = sequence.hmm_score(df, "k", ["t"], "o", pi, A, B, symbols=[0, 1], method=method).first()
-        assert r["n_obs"] == 4
-        assert math.exp(r["log_likelihood"]) == pytest.approx(0.0600908, abs=1e-7)
-
-
-def test_id3_root_gains_and_tree(spark, keyed_csv):
-    df = keyed_csv("ID3.csv", strings=True)
-    feats = ["age", "isWork", "isHouse", "credit"]
-    g = {r["feature"]: r["gain"] for r in tree.info_gain(df, "label", feats).collect()}
-    assert g["age"] == pytest.approx(0.157635, abs=1e-6)
-    assert g["isWork"] == pytest.approx(0.134401, abs=1e-6)
-    assert g["isHouse"] == pytest.approx(0.170951, abs=1e-6)
-    assert g["credit"] == pytest.approx(0.138269, abs=1e-6)
-    h = tree.label_entropy(df, "label").first()
-    assert h["entropy"] == pytest.approx(0.721928, abs=1e-6)
-    model = tree.id3_fit(df, feats, "label", threshold=1e-2)
-    root = model.nodes[0]
-    assert root.split_feature == "isHouse"
-    no_house = [n for n in model.nodes if n.parent_id == 0 and n.edge_value == "否"][0]
-    assert no_house.split_feature == "age" and no_house.gain == pytest.approx(0.612197, abs=1e-6)
-    pred = tree.id3_predict(df, model)
-    assert pred.where(F.col("prediction") == F.col("label")).count() == 15
-
-
-def test_naive_bayes(spark, keyed_csv):
-    df = keyed_csv("naviebayes.csv")
-    assert "x1" in df.columns  # byte-order mark dropped from the header
-    m = bayes.nb_fit(df, ["x1", "x2"], "y", smoothing=1.0)
-    pri = {r["y"]: r["prior"] for r in m.priors_df.collect()}
-    assert pri[1] == pytest.approx(10 / 17, abs=1e-6) and pri[-1] == pytest.approx(7 / 17, abs=1e-6)
-    q = spark.createDataFrame([(2, "s"), (1, "m")], "x1 int, x2 string")
-    got = [r["prediction"] for r in bayes.nb_predict(q, m).collect()]
-    assert got == [-1, 1]
-    right = bayes.nb_predict(df, m).where(F.col("prediction") == F.col("y")).count()
-    assert right == 11
-    # the join route gives the same answers as the literal-map route
-    m_join = bayes.nb_fit(df, ["x1", "x2"], "y", smoothing=1.0, collect_cells=False)
-    a = {r["rid"]: r["prediction"] for r in bayes.nb_predict(df, m, key="rid").collect()}
-    b = {r["rid"]: r["prediction"] for r in bayes.nb_predict(df, m_join, key="rid").collect()}
-    assert a == b
-
-
-def test_knn_iris(spark, keyed_csv):
-    df = assemble(keyed_csv("iris.csv"), IRIS, "v")
-    pred = pairwise.knn_predict(df, df, "rid", "rid", "v", "v", "class", dim=4, k=3)
-    joined = pred.join(df.select("rid", "class"), "rid")
-    assert joined.count() == 150
-    assert joined.where(F.col("prediction") == F.col("class")).count() == 144
-
-
-def test_kmeans_iris(spark, keyed_csv):
-    df = keyed_csv("iris2label.csv")
-    m = cluster.kmeans_fit(df, IRIS, 2, key="rid")
-    assert m.iterations == 5 and m.converged
-    assert sum(m.costs) == pytest.approx(59.428772, abs=1e-5)
-    assert sorted(m.sizes) == [50, 50]
-    got = sorted([tuple(round(v, 3) for v in c) for c in m.centers])
-    assert got == [(5.006, 3.428, 1.462, 0.246), (5.936, 2.77, 4.26, 1.326)]
-
-
-def test_logreg_iris(spark, keyed_csv):
-    df = keyed_csv("iris2label.csv")
-    m = linear.logreg_fit(df, IRIS, "class", lr=0.05, max_iter=40, tol=-1.0)
-    assert m.labels.labels[0] == "Iris-setosa"
-    assert m.weights == pytest.approx([-0.120494, -0.461062, 0.705013, 0.298533], abs=1e-6)
-    assert m.history[-1]["mean_true_prob"] == pytest.approx(0.768456, abs=1e-6)
-    pred = linear.linear_predict(df, m)
-    assert pred.where(F.col("prediction") == F.col("class")).count() == 100
-
-
-def test_perceptron_pla(spark, keyed_csv):
-    df = keyed_csv("pla.csv")
-    m = linear.perceptron_fit(df, ["x1", "x2"], "label", "rid", lr=0.2)
-    assert m.converged and m.iterations == 10
-    assert m.weights == pytest.approx([-0.68, 1.82], abs=1e-9) and m.bias == pytest.approx(-0.4, abs=1e-9)
-    b = linear.perceptron_fit(df, ["x1", "x2"], "label", "rid", lr=0.2, update="batch")
-    assert b.converged and b.iterations == 7
-    assert b.weights == pytest.approx([-25.62, 66.44], abs=1e-6) and b.bias == pytest.approx(-10.6, abs=1e-9)
-    pred = linear.linear_predict(df, m)
-    assert pred.where(F.col("prediction") != F.col("label")).count() == 0
-
-
-def test_gmm_singular(spark, keyed_csv):
-    df = keyed_csv("gmm.txt")
-    feats = ["f1", "f2", "f3"]
-    rows = df.orderBy("rid").collect()
-    init = [[rows[0][f] for f in feats], [rows[3][f] for f in feats]]
-    m = mixture.gmm_fit(df, feats, 2, init_means=init, max_iter=5, tol=-1.0)
-    assert sorted(m.weights) == pytest.approx([0.5, 0.5], abs=1e-6)
-    means = sorted(m.means)
-    assert means[0] == pytest.approx([0.1] * 3, abs=1e-6) and means[1] == pytest.approx([9.1] * 3, abs=1e-6)
-    assert m.covs[0][0][0] == pytest.approx(0.006667, abs=1e-6)
-    ll = mixture.gmm_fit(df, feats, 2, init_means=init, max_iter=6, tol=-1.0).history[-1]["log_likelihood"]
-    assert ll == pytest.approx(-11.9637, abs=1e-3)
-    pred = {r["rid"]: r["prediction"] for r in mixture.gmm_predict(df, m).collect()}
-    assert pred[1] == pred[2] == pred[3] != pred[4] == pred[5] == pred[6]
+from tablelearn.operators import bayes, cluster, encode, linear, mixture, pairwise, sequence, tree
+
+PI, A = (0.6, 0.3, 0.1), ((0.7, 0.2, 0.1), (0.25, 0.5, 0.25), (0.1, 0.1, 0.8))
+B = ((0.9, 0.1), (0.35, 0.65), (0.2, 0.8))
+
+
+def blobs(offset=0.0, n=40, d=2, seed=3):
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([rng.normal(0, 1, (n, d)), rng.normal(6, 1, (n, d))]) + offset
+    return x[rng.permutation(len(x))]
+
+
+def frame(spark, x, *more):
+    names = [f"f{i}" for i in range(x.shape[1])]
+    rows = [(i, *map(float, r), *(m[i] for m in more)) for i, r in enumerate(x)]
+    kinds = ["label string" if isinstance(m[0], str) else "label int" for m in more]
+    return spark.createDataFrame(rows, ", ".join(["k long", *(f"{n} double" for n in names), *kinds])), names
+
+
+# ---- hidden Markov model
+
+@pytest.mark.parametrize("method", ["forward", "backward"])
+def test_hmm_sums_over_all_paths(spark, method):
+    r = random.Random(1)
+    seqs = {k: [r.choice("ab") for _ in range(n)] for k, n in enumerate((1, 2, 5, 7))}
+    df = spark.createDataFrame([(k, t, o) for k, s in seqs.items() for t, o in enumerate(s)], "k int, t int, o string")
+    got = {x["k"]: x for x in sequence.hmm_score(df, "k", ["t"], "o", PI, A, B, symbols=["a", "b"], method=method, chunk=2).collect()}
+    for k, s in seqs.items():
+        obs = ["ab".index(o) for o in s]
+        p = sum(PI[path[0]] * math.prod(A[i][j] for i, j in zip(path, path[1:])) * math.prod(B[i][o] for i, o in zip(path, obs))
+                for path in itertools.product(range(3), repeat=len(s)))
+        assert got[k]["n_obs"] == len(s) and got[k]["log_likelihood"] == pytest.approx(math.log(p))
+
+
+@pytest.mark.parametrize("method", ["forward", "backward"])
+def test_hmm_unknown_symbols_are_impossible_not_absent(spark, method):
+    rows = [(1, 1, "a"), (1, 2, "x"), (1, 3, "b"), (2, 1, None), (3, 1, "a"), (3, 2, "b")]
+    df = spark.createDataFrame(rows, "k int, t int, o string")
+    got = {r["k"]: (r["n_obs"], r["log_likelihood"]) for r in
+           sequence.hmm_score(df, "k", ["t"], "o", PI, A, B, symbols=["a", "b"], method=method).collect()}
+    assert got[1] == (3, float("-inf")) and got[2] == (1, float("-inf")) and got[3][0] == 2 and got[3][1] < 0
+    pos = {(r["k"], r["pos"]): r["obs"] for r in sequence.positions(df, "k", ["t"], "o", symbols=["a", "b"]).collect()}
+    assert pos == {(1, 1): 0, (1, 2): None, (1, 3): 1, (2, 1): None, (3, 1): 0, (3, 2): 1}
+
+
+# ---- ID3
+
+def tree_rows(n=60, seed=2):
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        sky, wind, day = r.choice(["sun", "rain", "fog"]), r.choice(["calm", "gale"]), r.choice("mtwtf")
+        go = "yes" if sky == "sun" or (sky == "fog" and wind == "calm") else "no"
+        rows.append((i, sky if r.random() > 0.05 else None, wind, day, go if r.random() > 0.08 else "maybe"))
+    return rows
+
+
+def entropy(labels):
+    n = len(labels)
+    return -sum(c / n * math.log2(c / n) for c in Counter(labels).values()) if n else 0.0
+
+
+def gain(rows, f):
+    parts = defaultdict(list)
+    for r in rows:
+        parts[r[f]].append(r[4])
+    return entropy([r[4] for r in rows]) - sum(len(p) / len(rows) * entropy(p) for p in parts.values())
+
+
+def grown(rows, used=()):
+    """Nested (label, n, feature, {value: subtree})."""
+    counts = Counter(r[4] for r in rows)
+    label = min(counts, key=lambda v: (-counts[v], v))
+    left = [f for f in (1, 2, 3) if f not in used]
+    if len(counts) == 1 or not left:
+        return label, len(rows), None, {}
+    best = max(left, key=lambda f: (gain(rows, f), -f))
+    if gain(rows, best) < 0.05:
+        return label, len(rows), None, {}
+    values = sorted({r[best] for r in rows if r[best] is not None})
+    return label, len(rows), best, {v: grown([r for r in rows if r[best] == v], (*used, best)) for v in values}
+
+
+def test_id3_equals_recursive_growth(spark):
+    rows, names = tree_rows(), ["sky", "wind", "day"]
+    df = spark.createDataFrame(rows, "k long, sky string, wind string, day string, go string")
+    g = {r["feature"]: r["gain"] for r in tree.info_gain(df, "go", names).collect()}
+    for i, f in enumerate(names):
+        assert g[f] == pytest.approx(gain(rows, i + 1))
+    h = tree.label_entropy(df, "go").first()
+    assert (h["n"], h["entropy"]) == (60, pytest.approx(entropy([r[4] for r in rows])))
+    model = tree.id3_fit(df, names, "go", threshold=0.05)
+    nodes = model.nodes.collect()
+    kids = defaultdict(dict)
+    for n in nodes:
+        kids[n["parent_id"]][n["edge_value"]] = n
+
+    def same(node, want):
+        label, n, feature, children = want
+        assert (node["label"], node["n"]) == (label, n)
+        assert node["split_feature"] == (names[feature - 1] if feature else None)
+        assert set(kids[node["node_id"]]) == set(children)
+        for v, sub in children.items():
+            same(kids[node["node_id"]][v], sub)
+
+    want = grown(rows)
+    same(kids[None][None], want)
+
+    def walk(r, t):
+        while t[2] and r[t[2]] in t[3]:
+            t = t[3][r[t[2]]]
+        return t[0]
+
+    more = rows + [(100, "snow", "calm", "m", None), (101, "fog", "storm", "t", None), (101, None, None, None, None)]
+    out = tree.id3_predict(spark.createDataFrame(more, df.schema), model).collect()
+    assert sorted((r["k"], r["prediction"]) for r in out) == sorted((r[0], walk(r, want)) for r in more)
+
+
+def test_id3_feature_with_very_many_values(spark):
+    df = spark.range(100_000).select(F.concat(F.lit("v"), "id").alias("f"), F.pmod("id", F.lit(2)).cast("string").alias("y"))
+    model = tree.id3_fit(df, ["f"], "y")
+    assert model.nodes.count() == 100_001
+    assert tree.id3_predict(df, model).where("prediction <> y").count() == 0
+
+
+# ---- naive Bayes
+
+def test_naive_bayes_equals_counting(spark):
+    r = random.Random(5)
+    rows = [(r.choice(["u", "v", "w", None]), r.choice(["1", "2"]), r.choice(["p", "q", "q"])) for _ in range(50)] + [("rare", "1", "p")]
+    df = spark.createDataFrame(rows, "a string, b string, y string")
+    for lam in (1.0, 0.5, "none"):
+        model = bayes.nb_fit(df, ["a", "b"], "y", smoothing=lam)
+        add = 0.0 if lam == "none" else lam
+        n_c = Counter(x[2] for x in rows)
+        seen = [{x[f] for x in rows if x[f] is not None} for f in (0, 1)]
+
+        def p(c, f, v):
+            return (sum(x[2] == c and x[f] == v for x in rows) + add) / (n_c[c] + add * len(seen[f]))
+
+        cells = {(x["y"], x["feature"], x["value"]): (x["n"], x["prob"]) for x in model.cells_df.collect()}
+        assert set(cells) == {(c, "ab"[f], v) for c in n_c for f in (0, 1) for v in seen[f]}  # zero cells too
+        for (c, f, v), (n, prob) in cells.items():
+            assert prob == pytest.approx(p(c, "ab".index(f), v))
+        queries = [(a, b) for a in ("u", "v", "w", "rare", "new", None) for b in ("1", "2", "new", None)] * 2
+
+        def best(q):
+            score = {}
+            for c in sorted(n_c):
+                s = math.log((n_c[c] + add) / (len(rows) + add * len(n_c)))
+                for f, v in enumerate(q):
+                    if v is not None:
+                        s += math.log(p(c, f, v)) if p(c, f, v) > 0 else -math.inf
+                score[c] = s
+            return max(sorted(score), key=lambda c: score[c])
+
+        got = bayes.nb_predict(spark.createDataFrame(queries, "a string, b string"), model).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(((*q, best(q)) for q in queries), key=repr)
+
+
+# ---- kNN
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "chebyshev"])
+def test_knn_equals_all_pairs(spark, metric):
+    r = random.Random(4)
+    rows = [(i, [float(r.randint(0, 6)) for _ in range(3)]) for i in range(150)] + [(200 + i, [1.0, 1.0, 1.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    dist = {"euclidean": math.dist, "manhattan": lambda a, b: sum(abs(x - y) for x, y in zip(a, b)),
+            "chebyshev": lambda a, b: max(abs(x - y) for x, y in zip(a, b))}[metric]
+    got = defaultdict(list)
+    for x in pairwise.nearest(df, df, "id", "id", "v", "v", 3, 4, exclude_self=True, metric=metric, block=16).collect():
+        got[x["id"]].append((x["rank"], x["id_neighbor"], round(x["distance"], 9)))
+    for i, v in rows:
+        want = sorted((round(dist(v, w), 9), j) for j, w in rows if j != i)[:4]
+        assert [(j, d) for _, j, d in sorted(got[i])] == [(j, d) for d, j in want]
+
+
+def test_knn_all_distances_equal_keeps_candidates_bounded(spark):
+    rows = [(i, [1.0 if j == i else 0.0 for j in range(40)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    out = pairwise.nearest(df, df, "id", "id", "v", "v", 40, 3, exclude_self=True, block=8).collect()
+    assert len(out) == 120
+    for i in range(40):
+        assert sorted(r["id_neighbor"] for r in out if r["id"] == i) == [j for j in range(5) if j != i][:3]
+
+
+def test_knn_refuses_other_lengths(spark):
+    df = spark.createDataFrame([(1, [0.0, 0.0, 9.0]), (2, [0.0, 0.0, 0.0])], "id long, v array<double>")
+    with pytest.raises(Exception, match="length"):
+        pairwise.nearest(df, df, "id", "id", "v", "v", 2, 1).collect()
+
+
+# ---- k-means, linear models
+
+def test_kmeans_equals_lloyd(spark):
+    x = blobs()
+    df, names = frame(spark, x)
+    m = cluster.kmeans_fit(df, names, 2, key="k")
+    c, before = x[:2].copy(), None
+    for it in range(1, 41):
+        d = np.sqrt(((x[:, None] - c) ** 2).sum(2))
+        own = d.argmin(1)
+        cost = d.min(1).sum()
+        c = np.array([x[own == j].mean(0) if (own == j).any() else c[j] for j in range(2)])
+        if before is not None and abs(cost - before) <= 1e-8:
+            break
+        before = cost
+    assert m.iterations == it and m.converged and np.allclose(m.centers, c) and sum(m.costs) == pytest.approx(cost)
+
+
+def test_logreg_equals_gradient_descent(spark):
+    x = blobs(d=3)
+    y = ["far" if r.sum() > 9 else "near" for r in x]
+    y[0], y[1] = "near", "near"
+    df, names = frame(spark, x, y)
+    m = linear.logreg_fit(df, names, "label", max_iter=30, tol=-1.0)
+    positive = min(Counter(y), key=lambda v: (Counter(y)[v], v))
+    t = np.array([v == positive for v in y], float)
+    w = np.zeros(3)
+    for _ in range(30):
+        w -= 0.05 * ((1 / (1 + np.exp(-x @ w)) - t)[:, None] * x).mean(0)
+    assert m.weights == pytest.approx(w.tolist(), abs=1e-9) and m.iterations == 30 and not m.converged
+    stopped = linear.logreg_fit(df, names, "label")
+    assert stopped.converged and stopped.iterations < 40
+    with pytest.raises(ValueError):
+        linear.logreg_fit(spark.createDataFrame([(1.0, c) for c in "abc"], "x double, y string"), ["x"], "y")
+
+
+def test_perceptron_and_pocket_equal_their_loops(spark):
+    x = blobs(n=15)
+    y = [1 if r.sum() > 6 else -1 for r in x]
+    df, names = frame(spark, x, y)
+
+    def loop(y, lr, most):
+        w, b, best = np.zeros(2), 0.0, None
+        for it in range(most + 1):
+            z = x @ w + b
+            wrong = [i for i in range(len(x)) if (1 if z[i] >= 0 else -1) != y[i]]
+            if best is None or len(wrong) < best[0]:
+                best = (len(wrong), w.copy(), b)
+            if not wrong or it == most:
+                return it, w, b, best
+            w, b = w + lr * y[wrong[0]] * x[wrong[0]], b + lr * y[wrong[0]]
+
+    m = linear.perceptron_fit(df, names, "label", "k", lr=0.2)
+    it, w, b, _ = loop(y, 0.2, 1000)
+    assert m.converged and m.iterations == it and m.weights == pytest.approx(w.tolist()) and m.bias == pytest.approx(b)
+    assert linear.linear_predict(df, m).where("prediction <> label").count() == 0
+    y[:2] = [-v for v in y[:2]]  # no longer separable
+    df, names = frame(spark, x, y)
+    p = linear.pocket_fit(df, names, "label", "k", lr=0.1, max_iter=25)
+    _, _, _, (errors, w, b) = loop(y, 0.1, 25)
+    assert p.best_errors == errors and p.weights == pytest.approx(w.tolist()) and p.bias == pytest.approx(b)
+
+
+# ---- Gaussian mixture
+
+def em(x, means, steps):
+    n, d = x.shape
+    k = len(means)
+    mu, w, s = np.array(means), np.full(k, 1 / k), np.array([np.diag(x.var(0))] * k)
+    for _ in range(steps):
+        lp = np.stack([np.log(w[j]) - 0.5 * (d * math.log(2 * math.pi) + np.linalg.slogdet(s[j])[1]
+                       + np.einsum("ni,ij,nj->n", x - mu[j], np.linalg.inv(s[j]), x - mu[j])) for j in range(k)], 1)
+        g = np.exp(lp - lp.max(1, keepdims=True))
+        g /= g.sum(1, keepdims=True)
+        w, mu = g.mean(0), (g.T @ x) / g.sum(0)[:, None]
+        s = np.array([((x - mu[j]).T * g[:, j]) @ (x - mu[j]) / g[:, j].sum() for j in range(k)])
+    return w, mu, s
+
+
+@pytest.mark.parametrize("d", [2, 9])
+def test_gmm_equals_em(spark, d):
+    x = blobs(d=d)
+    df, names = frame(spark, x)
+    m = mixture.gmm_fit(df, names, 2, init_means=[x[0], x[1]], max_iter=4, tol=-1.0)
+    w, mu, s = em(x, [x[0], x[1]], 4)
+    assert np.allclose(m.weights, w) and np.allclose(m.means, mu) and np.allclose(m.covs, s)
+
+
+def test_gmm_does_not_depend_on_the_origin(spark):
+    near, names = frame(spark, blobs())
+    far, _ = frame(spark, blobs(offset=1e8))
+    a, b = (mixture.gmm_fit(f, names, 2, key="k", max_iter=15) for f in (near, far))
+    assert np.allclose(a.weights, b.weights, atol=1e-5) and np.allclose(a.covs, b.covs, atol=1e-4)
+    assert np.allclose(np.array(a.means) + 1e8, b.means, atol=1e-4)
+
+
+def test_gmm_default_start_separates_two_groups(spark):
+    x = np.concatenate([np.arange(20)[:, None] / 10, np.arange(20)[:, None] / 10 + 9]) + np.array([0.0, 1.0])
+    x += np.random.default_rng(1).normal(0, 0.1, x.shape)
+    df, names = frame(spark, x)
+    m = mixture.gmm_fit(df, names, 2, key="k")
+    assert m.converged and sorted(m.weights) == pytest.approx([0.5, 0.5], abs=0.01)
+    assert sorted(v[0] for v in m.means) == pytest.approx([0.95, 9.95], abs=0.2)
+
+
+@pytest.mark.parametrize("d", [2, 9])
+def test_gmm_empty_component_has_no_weight(spark, d):
+    x = blobs(d=d)
+    df, names = frame(spark, x)
+    m = mixture.gmm_fit(df, names, 2, init_means=[[0.0] * d, [1e6] * d], max_iter=2, tol=-1.0)
+    assert m.weights == [pytest.approx(1.0), 0.0]
+    out = mixture.gmm_predict(df.unionByName(df.limit(1).withColumn("f0", F.lit(None).cast("double"))), m).collect()
+    assert Counter(r["prediction"] for r in out) == {0: len(x), None: 1}
+    assert all((r["probability"] is None) == (r["prediction"] is None) for r in out)
+
+
+# ---- preparation
+
+def test_more_labels_than_any_literal_map(spark):
+    n = 100_500
+    df = spark.range(n).select("id", F.concat(F.lit("label"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("y"))
+    df = df.union(spark.createDataFrame([(n, "label0000777"), (n + 1, None)], "id long, y string"))
+    mapping = encode.label_counts(df, "y")
+    back = encode.apply_label_unindex(encode.apply_label_index(df, mapping, "y"), mapping, "y")
+    r = back.agg(F.count("*").alias("n"), F.sum(F.when(~F.col("y").eqNullSafe(F.col("label_back")), 1)).alias("off"),
+                 F.countDistinct("label_index").alias("d"), F.max("label_index").alias("m")).first()
+    assert tuple(r) == (n + 2, None, n, float(n - 1))
+    assert mapping.where("label_index = 0").first()["y"] == "label0000777"
+    kids = tree.route_children(df, "y")
+    assert kids.count() == n + 1 and kids.agg(F.max("node_id")).first()[0] == n
+
+
+def test_null_features_score_null_everywhere(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (2, 1.0, 2.0)], "k long, x1 double, x2 double")
+    out = {r["k"]: r for r in cluster.kmeans_assign(df, ["x1", "x2"], [[0.0, 0.0], [1.0, 2.0]]).collect()}
+    assert (out[1]["cluster"], out[1]["distance"]) == (None, None) and (out[2]["cluster"], out[2]["distance"]) == (1, 0.0)
+    for kind in ("sign", "logistic"):
+        m = linear.LinearModel(["x1", "x2"], [1.0, 1.0], 0.0, kind)
+        got = {r["k"]: r["prediction"] for r in linear.linear_predict(df, m).collect()}
+        assert got == {1: None, 2: 1}

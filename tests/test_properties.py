@@ -138,55 +138,12 @@ def test_row_numbers_hot_group_matches_window(spark):
         sorted(map(tuple, want.select("g", "k", "rn").collect()), key=repr)
 
 
-def test_wide_paths_match_unrolled(spark):
-    from tablelearn.operators import mixture as MX
-
-    e = embeddings(spark, SF_SMALL).select("vec_id", *[F.col("v")[i].alias(f"e{i}") for i in range(6)])
-    feats = [f"e{i}" for i in range(6)]
-    km_a = cluster.kmeans_fit(e, feats, 4, key="vec_id", max_iter=4, tol=-1)
-    old_terms, old_wide = cluster.UNROLL_TERMS, MX.WIDE_FEATURES
-    try:
-        cluster.UNROLL_TERMS, MX.WIDE_FEATURES = 0, 0
-        km_b = cluster.kmeans_fit(e, feats, 4, key="vec_id", max_iter=4, tol=-1)
-        g_b = MX.gmm_fit(e, feats, 2, key="vec_id", max_iter=3, tol=-1, reg_covar=1e-6)
-    finally:
-        cluster.UNROLL_TERMS, MX.WIDE_FEATURES = old_terms, old_wide
-    g_a = MX.gmm_fit(e, feats, 2, key="vec_id", max_iter=3, tol=-1, reg_covar=1e-6)
-    for ca, cb in zip(km_a.centers, km_b.centers):
-        assert ca == pytest.approx(cb, abs=1e-12)
-    assert g_a.history[-1]["log_likelihood"] == pytest.approx(g_b.history[-1]["log_likelihood"], rel=1e-9)
-    for ma, mb in zip(g_a.means, g_b.means):
-        assert ma == pytest.approx(mb, abs=1e-9)
-
-
 def test_kmeans_on_all_64_dimensions(spark):
     e = embeddings(spark, SF_SMALL).select("vec_id", *[F.col("v")[i].alias(f"e{i}") for i in range(64)])
     m = cluster.kmeans_fit(e, [f"e{i}" for i in range(64)], 10, key="vec_id", max_iter=3, tol=-1)
     assert sum(m.sizes) == 500 and len(m.centers) == 10
 
 
-def test_id3_join_routing_matches_literal_routing(spark):
-    from tablelearn.operators import tree as T
-    from tablelearn.plans.inputs import docs_labeled
-
-    dl = docs_labeled(spark, SF_SMALL)
-    feats = ["lang", "len_bucket", "source"]
-    lit_model = T.id3_fit(dl, feats, "quality", threshold=0.0, max_depth=3)
-    old = T.LITERAL_NODES
-    try:
-        T.LITERAL_NODES = 0
-        join_model = T.id3_fit(dl, feats, "quality", threshold=0.0, max_depth=3)
-        join_pred = {r["doc_id"]: (r["node_id"], r["prediction"])
-                     for r in T.id3_predict(dl, join_model).collect()}
-    finally:
-        T.LITERAL_NODES = old
-    assert [vars(n) for n in lit_model.nodes] == [vars(n) for n in join_model.nodes]
-    lit_pred = {r["doc_id"]: (r["node_id"], r["prediction"]) for r in T.id3_predict(dl, lit_model).collect()}
-    assert lit_pred == join_pred
-    unseen = spark.createDataFrame([("xx", "short", "nope")], "lang string, len_bucket string, source string")
-    assert T.id3_predict(unseen, lit_model).first()["node_id"] == 0
-
-
 def test_knn_with_a_third_of_rows_identical(spark):
     import random
 

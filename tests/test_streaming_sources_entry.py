@@ -9,7 +9,7 @@ from tablelearn.session import scratch_path
 from tablelearn.sources import read_csv, read_csv_format, read_csv_strings
 from tablelearn.streaming import score_stream, start_scoring
 
-from .conftest import SF_SMALL, ref_file
+from .conftest import SF_SMALL
 
 
 def test_stream_scoring_matches_batch(spark):
@@ -33,15 +33,17 @@ def test_stream_scoring_matches_batch(spark):
     assert spark.read.parquet(out).count() == len(batch)
 
 
-def test_csv_readers(spark):
-    df = read_csv(spark, ref_file("iris.csv"))
-    assert dict(df.dtypes)["sepalLength"] == "double" and df.count() == 150
-    df2 = read_csv_format(spark, ref_file("pla.csv"))
-    assert dict(df2.dtypes)["label"] == "int" and df2.count() == 100
-    df3 = read_csv_strings(spark, ref_file("ID3.csv"))
-    assert all(t == "string" for _, t in df3.dtypes) and df3.count() == 15
-    nb = read_csv(spark, ref_file("naviebayes.csv"))
-    assert nb.columns == ["x1", "x2", "y"]  # byte-order mark not part of the first name
+def test_csv_readers(spark, tmp_path):
+    typed, text, marked = tmp_path / "typed.csv", tmp_path / "text.csv", tmp_path / "marked.csv"
+    typed.write_text("width,count,kind\n1.5,2,a\n2.25,3,b\n")
+    text.write_text("age,go\nyoung,1\nold,0\n")
+    marked.write_text("\ufeffx1,x2\n1,s\n", encoding="utf-8")
+    for read in (read_csv, read_csv_format):
+        df = read(spark, str(typed))
+        assert dict(df.dtypes) == {"width": "double", "count": "int", "kind": "string"} and df.count() == 2
+    df3 = read_csv_strings(spark, str(text))
+    assert df3.dtypes == [("age", "string"), ("go", "string")] and df3.count() == 2
+    assert read_csv(spark, str(marked)).columns == ["x1", "x2"]  # byte-order mark not part of the first name
 
 
 def test_entry_and_registry(spark):
@@ -65,11 +67,11 @@ def test_small_queries_run(spark, prefix):
 
 
 def test_no_cross_join_or_python_udf_in_any_query(spark):
-    import __spark_entry__ as E
+    from tablelearn.plans import QUERIES
 
     banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
               "FlatMapGroupsInPandas", "MapInPandas")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         found = [b for b in banned if b in plan]
         assert not found, f"{name}: {found}"
