@@ -136,6 +136,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     num = round(similarity * 1000)
     kind = docs.schema[key].dataType.simpleString()
     docs = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    docs = docs.withColumn("doc", F.xxhash64("id", "th"))
 
     def cut(batches):
         hashes = WordHash()
@@ -150,15 +151,22 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
             pair = np.unique(np.stack([keys.ravel(), np.repeat(content, bands)], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(pair[:, j]))) for j in (0, 1)], ["band", "content"])
 
+    def emit_contents(batches):
+        for block, doc, _, s in cut(batches):
+            pair = np.unique(np.stack([signed(content_hash(s)), block.column(3).to_numpy(zero_copy_only=False)[doc]], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, j])) for j in (0, 1)], ["content", "doc"])
+
     def emit_places(batches):
         for block, doc, start, s in cut(batches):
-            row = pa.array(doc)
+            content = signed(content_hash(s))
+            some = has_bit(repeated.value, content)
+            row = pa.array(doc[some])
             yield pa.RecordBatch.from_arrays(
-                [block.column(0).take(row), block.column(1).take(row), pa.array(start.astype(np.int32)), pa.array(signed(content_hash(s)))],
+                [block.column(0).take(row), block.column(1).take(row), pa.array(start[some].astype(np.int32)), pa.array(content[some])],
                 ["id", "th", "start", "content"])
 
     def emit_sets(batches):
-        own_docs = (b.filter(pa.array(has_bit(held.value, b.column(1).to_numpy(zero_copy_only=False)))) for b in batches)
+        own_docs = (b.filter(pa.array(has_bit(held.value, b.column(3).to_numpy(zero_copy_only=False)))) for b in batches)
         for _, _, _, s in cut(own_docs):
             content, first = np.unique(content_hash(s), return_index=True)
             some = has_bit(wanted.value, signed(content))
@@ -172,15 +180,14 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         near = own.save(banded.withColumn("pivot", least).where("content <> pivot").select("content", "pivot").distinct())
         asked = own.save(near.select("content").union(near.select("pivot")).distinct())
 
-        places = docs.mapInArrow(emit_places, f"id {kind}, th long, start int, content long")
-        place, doc = F.struct("id", "th", "start"), F.struct("id", "th")
-        counted = places.groupBy("content").agg(F.min(place).alias("first"), F.max(doc).alias("last"))
+        contents = docs.mapInArrow(emit_contents, "content long, doc long")
+        counted = contents.groupBy("content").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
         counted = own.save(counted.join(asked.withColumnRenamed("content", "_asked"), F.col("content") == F.col("_asked"), "left")
-                           .where((_doc("first") != F.col("last")) | F.col("_asked").isNotNull()))
+                           .where("first <> last or _asked is not null").select("content", "first", "_asked"))
 
         # only documents that hold an asked content are cut again, and only asked contents leave the task
         broadcast = docs.sparkSession.sparkContext.broadcast
-        held = broadcast(joined_bits(counted.where("_asked is not null").select("first.th"), "th", FILTER_BITS))
+        held = broadcast(joined_bits(counted.where("_asked is not null"), "first", FILTER_BITS))
         wanted = broadcast(joined_bits(asked, "content", FILTER_BITS))
         sets = own.save(docs.mapInArrow(emit_sets, "content long, s array<long>").join(asked, "content", "left_semi")
                         .dropDuplicates(["content"]))
@@ -191,11 +198,14 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                  .select(F.col("content").alias("a"), F.col("pivot").alias("b")))
         groups = connected_components(own.save(links), own)
 
-        labelled = counted.join(groups, F.col("content") == F.col("node"), "left").select(
-            "content", "first", "last", F.coalesce("component", "content").alias("component"))
-        kept = labelled.groupBy("component").agg(F.min("first").alias("kept"), F.max("last").alias("_last")).where(
-            _doc("kept") != F.col("_last"))
-        removed = own.save(labelled.join(kept, "component").select(F.col("content").alias("_c"), "component", "kept"))
-        out = places.join(removed, F.col("content") == F.col("_c")).where(doc != _doc("kept")).distinct()
+        labelled = own.save(counted.join(groups, F.col("content") == F.col("node"), "left").select(
+            F.col("content").alias("_c"), F.coalesce("component", "content").alias("component")))
+        repeated = broadcast(joined_bits(labelled, "_c", FILTER_BITS))
+        places = docs.mapInArrow(emit_places, f"id {kind}, th long, start int, content long")
+        places = own.save(places.join(labelled, F.col("content") == F.col("_c")).select("component", "id", "th", "start").distinct())
+        place, doc = F.struct("id", "th", "start"), F.struct("id", "th")
+        kept = places.groupBy("component").agg(F.min(place).alias("kept"), F.max(doc).alias("last")).where(
+            _doc("kept") != F.col("last")).select("component", "kept")
+        out = places.join(kept, "component").where(doc != _doc("kept"))
         return own.save(out.select(F.col("id").alias(key), "start", F.lit(length).alias("n_words"), "component",
                                    F.col("kept.id").alias("kept_id"), F.col("kept.start").alias("kept_start")), keep=True)
