@@ -170,16 +170,23 @@ def summed_vectors(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]],
     return _merged_vectors(df, partial, length, chunk, kind, "f8", np.add)
 
 
-def joined_bits(df: DataFrame, column: str, bits: int) -> np.ndarray:
-    """Bytes with a set bit for each value of the long ``column`` modulo ``bits``; a filter of fixed size."""
+def joined_bits(df: DataFrame, column: str, per_value: int = 16, most: int = 1 << 28) -> np.ndarray:
+    """Bytes with a set bit for each value of the long ``column`` modulo their number, a power of two.
+
+    A filter of about ``per_value`` bits a value, and of ``most`` bits (32 MB) at most: beyond
+    that it lets more values pass by chance, which the join behind it removes.
+    """
+    df = df.select(column)
+    bits = min(most, max(1 << 16, 1 << (per_value * df.count()).bit_length()))
 
     def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        out = np.zeros(bits, bool)
+        out = np.zeros(bits // 8, np.uint8)
         for b in batches:
-            out[b.column(0).to_numpy(zero_copy_only=False) % bits] = True
-        return np.packbits(out)
+            at = b.column(0).to_numpy(zero_copy_only=False) % bits
+            np.bitwise_or.at(out, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+        return out
 
-    return _merged_vectors(df.select(column), partial, bits // 8, 16384, "u1", "u1", np.bitwise_or)
+    return _merged_vectors(df, partial, bits // 8, 16384, "u1", "u1", np.bitwise_or)
 
 
 def has_bit(filled: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from .common import Scratch, WordHash, connected_components, has_bit, joined_bits, shingle_hashes, signed, summed_vectors, text_blocks, texts_of
 
 CELLS = 1 << 20  # cells of the frequency table that is sent to the tasks (4 MB)
-FILTER_BITS = 1 << 23  # of the filter that spares the shuffle of texts that no pair asks for (1 MB)
 SKETCH = 64  # cells of the outline of a set by which pairs are excluded before their sets are fetched
 SMALL = 40  # sizes above this are never small
 
@@ -215,7 +214,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, own: Scratch,
     """The pairs (a, b) of nodes whose whole sets have the similarity."""
     nodes = own.save(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     asked = nodes.join(reps, "node").select(F.xxhash64("rep").alias("h"))
-    wanted = docs.sparkSession.sparkContext.broadcast(joined_bits(asked, "h", FILTER_BITS))
+    wanted = docs.sparkSession.sparkContext.broadcast(joined_bits(asked, "h"))
 
     def sets(batches):
         hashes = WordHash()

@@ -36,7 +36,6 @@ LENGTH = 20
 WINDOW = 32
 SIMILARITY = 0.8
 RECALL = 0.99
-FILTER_BITS = 1 << 23  # of each filter that spares shuffles (1 MB); what passes by chance is sorted out by a join
 
 
 def tuned_bands(similarity: float, recall: float, most: int = 16) -> tuple[int, int]:
@@ -187,8 +186,8 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
         # only documents that hold an asked content are cut again, and only asked contents leave the task
         broadcast = docs.sparkSession.sparkContext.broadcast
-        held = broadcast(joined_bits(counted.where("_asked is not null"), "first", FILTER_BITS))
-        wanted = broadcast(joined_bits(asked, "content", FILTER_BITS))
+        held = broadcast(joined_bits(counted.where("_asked is not null"), "first"))
+        wanted = broadcast(joined_bits(asked, "content"))
         sets = own.save(docs.mapInArrow(emit_sets, "content long, s array<long>").join(asked, "content", "left_semi")
                         .dropDuplicates(["content"]))
         x, y = (sets.select(F.col("content").alias(f"c{z}"), F.col("s").alias(f"s{z}")) for z in "xy")
@@ -200,7 +199,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
         labelled = own.save(counted.join(groups, F.col("content") == F.col("node"), "left").select(
             F.col("content").alias("_c"), F.coalesce("component", "content").alias("component")))
-        repeated = broadcast(joined_bits(labelled, "_c", FILTER_BITS))
+        repeated = broadcast(joined_bits(labelled, "_c"))
         places = docs.mapInArrow(emit_places, f"id {kind}, th long, start int, content long")
         places = own.save(places.join(labelled, F.col("content") == F.col("_c")).select("component", "id", "th", "start").distinct())
         place, doc = F.struct("id", "th", "start"), F.struct("id", "th")
