@@ -201,12 +201,21 @@ def _sql_metric(name: str, a: str, b: str, dim: int, p: float | None,
 
 
 def metric(name: str, a, b, dim: int | None = None, p: float | None = None,
-           scales: Sequence[float] | None = None) -> Column:
+           scales: Sequence[float] | None = None, strict: bool = False) -> Column:
     """Dispatch by name; vector metrics only (hamming/jaccard take their own inputs).
 
+    ``strict``: a pair of array columns whose lengths differ (from each other or from ``dim``)
+    ends the job with an error instead of giving null.
+
     Named array columns with a declared length ``dim`` get the unrolled form, which is
     null where a vector has another length; without ``dim`` the lengths of a pair must be
     equal, else the result is null too."""
+    if strict and name not in ("hamming", "jaccard"):
+        ok = F.size(col(a)) == F.size(col(b))
+        ok = ok if dim is None else ok & (F.size(col(a)) == dim)
+        known = col(a).isNotNull() & col(b).isNotNull()
+        value = metric(name, a, b, dim, p, scales)
+        return F.when(known & ~ok, F.raise_error(F.lit(f"{name}: vectors of different length")).cast("double")).otherwise(value)
     if isinstance(a, str) and isinstance(b, str) and dim is not None and name not in ("hamming", "jaccard"):
         if name == "std_euclidean" and scales is None:
             raise ValueError("std_euclidean needs per-feature scales")

@@ -60,11 +60,12 @@ def _sign_error(xs, weights, bias, y: Column) -> Column:
 
 def perceptron_fit(df: DataFrame, features: Sequence[str], label: str, key: str,
                    lr: float = 0.2, init: Sequence[float] | None = None, init_bias: float = 0.0,
-                   update: str = "single", max_iter: int = 1000) -> LinearModel:
+                   update: str = "single", max_iter: int = 1000, seed: int | None = None) -> LinearModel:
     """Perceptron on a ±1 integer label.
 
     ``update="single"``: each step moves the weights by the misclassified row
-    with the smallest ``key`` (deterministic pick).  ``update="batch"``: each
+    with the smallest ``key`` or, with a ``seed``, the smallest hash of (seed, step, key):
+    a random pick that is the same in every run.  ``update="batch"``: each
     step adds lr·Σ y·x over all misclassified rows.  Stops when no row is
     misclassified or after ``max_iter`` updates.
     """
@@ -85,7 +86,8 @@ def perceptron_fit(df: DataFrame, features: Sequence[str], label: str, key: str,
             aggs = [F.count_if(err).alias("errors")]
             if update == "single":
                 pick = F.struct(y.alias("y"), *[x.alias(f"x{i}") for i, x in enumerate(xs)])
-                aggs.append(F.min_by(pick, F.when(err, F.col(key))).alias("pick"))
+                order = F.col(key) if seed is None else F.struct(F.xxhash64(F.lit(seed), F.lit(it), F.col(key)), F.col(key))
+                aggs.append(F.min_by(pick, F.when(err, order)).alias("pick"))
             else:
                 aggs.append(F.sum(F.when(err, y)).alias("sy"))
                 aggs += [F.sum(F.when(err, y * x)).alias(f"s{i}") for i, x in enumerate(xs)]

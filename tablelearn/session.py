@@ -8,6 +8,7 @@ setting is missing, which happens in local tests.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -59,9 +60,27 @@ def scratch_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    base = scratch_dir(spark)
-    return base.rstrip("/") + "/" + name + "-" + os.urandom(6).hex()
+    """A fresh path below the shared folder; what is written there goes when the application ends."""
+    if not _made:
+        atexit.register(remove_scratch)
+    _made.append(scratch_dir(spark).rstrip("/") + "/" + name + "-" + os.urandom(6).hex())
+    return _made[-1]
+
+
+def remove_scratch() -> None:
+    """Deletes all that this application has written to scratch paths (results that read them end with it)."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:  # the session was stopped before; its platform cleans the folder
+        return
+    conf = spark._jsc.hadoopConfiguration()
+    for path in _made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    _made.clear()
 
 
 def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:

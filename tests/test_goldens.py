@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tablelearn.functions import distance as D
 from tablelearn.operators import bayes, cluster, encode, linear, mixture, pairwise, sequence, tree
 
 PI, A = (0.6, 0.3, 0.1), ((0.7, 0.2, 0.1), (0.25, 0.5, 0.25), (0.1, 0.1, 0.8))
@@ -257,6 +258,8 @@ def test_perceptron_and_pocket_equal_their_loops(spark):
     it, w, b, _ = loop(y, 0.2, 1000)
     assert m.converged and m.iterations == it and m.weights == pytest.approx(w.tolist()) and m.bias == pytest.approx(b)
     assert linear.linear_predict(df, m).where("prediction <> label").count() == 0
+    a, b = (linear.perceptron_fit(df, names, "label", "k", lr=0.2, seed=5) for _ in range(2))
+    assert a.converged and a.weights == b.weights
     y[:2] = [-v for v in y[:2]]  # no longer separable
     df, names = frame(spark, x, y)
     p = linear.pocket_fit(df, names, "label", "k", lr=0.1, max_iter=25)
@@ -341,3 +344,26 @@ def test_null_features_score_null_everywhere(spark):
         m = linear.LinearModel(["x1", "x2"], [1.0, 1.0], 0.0, kind)
         got = {r["k"]: r["prediction"] for r in linear.linear_predict(df, m).collect()}
         assert got == {1: None, 2: 1}
+
+
+def test_vector_lengths_are_checked(spark):
+    rows = [(1, [0.0, 0.0, 9.0], [0.0, 0.0, 0.0]), (2, [1.0, 2.0], [1.0, 3.0]), (3, [1.0], [1.0, 2.0]), (4, None, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "k long, a array<double>, b array<double>")
+    for name in ("euclidean", "manhattan", "chebyshev", "minkowski", "std_euclidean", "tanimoto", "cosine"):
+        more = {"scales": [1.0, 1.0]} if name == "std_euclidean" else {}
+        for x, y in (("a", "b"), (F.col("a"), F.col("b"))):
+            got = {r["k"]: r["v"] for r in df.select("k", D.metric(name, x, y, dim=2, **more).alias("v")).collect()}
+            assert got[1] is None and got[3] is None and got[4] is None and got[2] is not None, name
+        if name != "std_euclidean":
+            free = {r["k"]: r["v"] for r in df.select("k", D.metric(name, "a", "b").alias("v")).collect()}
+            assert free[3] is None and free[4] is None and free[2] == pytest.approx(got[2])
+    assert df.where("k = 1").select(D.euclidean("a", "b")).first()[0] == 9.0
+    assert df.where("k in (2, 4)").select(D.metric("euclidean", "a", "b", strict=True)).count() == 2
+    with pytest.raises(Exception, match="different length"):
+        df.select(D.metric("euclidean", "a", "b", strict=True)).collect()
+
+
+def test_mean_of_vectors_of_different_lengths_is_null(spark):
+    df = spark.createDataFrame([("x", [1.0, 2.0]), ("x", [3.0, 4.0]), ("y", [1.0, 2.0]), ("y", [1.0, 2.0, 3.0])], "g string, v array<double>")
+    got = {r["g"]: r["mean_vec"] for r in pairwise.group_means(df, "g", "v", 2).collect()}
+    assert got == {"x": [2.0, 3.0], "y": None}
