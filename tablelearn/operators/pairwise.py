@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import distance as D
-from ..session import scratch_path, shuffle_partitions
-from .relational import top_k_per_group
+from ..session import shuffle_partitions
+from .relational import top_k_per_group, written
 
 BROADCAST_ROWS = 10_000  # a keyed side is broadcast up to this many rows (counted first)
 BLOCK = 2048  # train vectors in one block of a cell
@@ -61,13 +61,6 @@ def keyed_distance(left: DataFrame, right: DataFrame, on: Sequence[str], left_ve
     return j.withColumn(out, D.metric(metric, left_vec, "_rv", dim=dim, **kw)).drop("_rv")
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """Written once below the shared scratch folder, and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str, tvec: str,
             dim: int, k: int, exclude_self: bool = False, n_pivots: int | None = None,
             extra: Sequence[str] = (), metric: str = "euclidean", block: int = BLOCK) -> DataFrame:
@@ -103,8 +96,8 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     t = train.select(F.col(tid).alias("_tid"), checked(tvec).alias("_tv"), *extra).where(F.col("_tv").isNotNull())
     q = queries.select(F.col(qid).alias("_qid"), checked(qvec).alias("_qv")).where(F.col("_qv").isNotNull())
     # distinct vectors, each named by its smallest row id, written once: one scan per input
-    tvecs = _written(t.groupBy("_tv").agg(F.min("_tid").alias("_tr")), "knn-train")
-    qvecs = _written(q.groupBy("_qv").agg(F.min("_qid").alias("_qr")), "knn-query")
+    tvecs = written(t.groupBy("_tv").agg(F.min("_tid").alias("_tr")), "knn-train")
+    qvecs = written(q.groupBy("_qv").agg(F.min("_qid").alias("_qr")), "knn-query")
     n_train = tvecs.count()
     m = n_pivots or min(MAX_PIVOTS, max(16, -(-n_train // block)))
     # pivots: m distinct train vectors in hash order of their id (deterministic)
@@ -126,7 +119,7 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     def nearest_pivot(arr: str) -> Column:  # first index of the minimum (ties → smaller pivot)
         return F.array_position(F.col(arr), F.array_min(F.col(arr))).cast("int") - 1
 
-    placed = _written(tvecs.withColumn("_pd", pivot_dists("_tv"))
+    placed = written(tvecs.withColumn("_pd", pivot_dists("_tv"))
                       .select("_tr", "_tv", nearest_pivot("_pd").alias("_cell"), F.array_min("_pd").alias("_r")), "knn-cells")
     # one row per pivot: radius of its cell, and the number of its blocks
     cells = {r["_cell"]: r for r in placed.groupBy("_cell").agg(

@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir, shuffle_partitions
+from ..session import scratch_path, shuffle_partitions
 
 
 def misclassified(df: DataFrame, prediction: str, label: str) -> DataFrame:
@@ -53,6 +53,13 @@ def arg_best(df: DataFrame, group: Sequence[str], value: str | Column, order: Se
     return df.groupBy(*group).agg(agg(v, F.struct(*order)).alias(out))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Written once below the shared scratch folder, and read back (cuts lineage)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "rn",
                 partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by group order by order)`` without a per-group window.
@@ -63,8 +70,8 @@ def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
     comes from per-(group, partition) counts (at most one row per group and
     partition).  A group holding a third of all rows is spread over many
     partitions.  ``order`` must be unique within a group for a deterministic
-    numbering.  The numbered rows are written once with a reliable checkpoint
-    (``spark.checkpoint.dir``) because two branches read the ids.
+    numbering.  The numbered rows are written once as Parquet below
+    ``spark.checkpoint.dir`` because two branches read the ids.
     """
     group, order = list(group), list(order)
     n_parts = partitions or shuffle_partitions(df.sparkSession)
@@ -72,8 +79,7 @@ def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
                .sortWithinPartitions(*group, *order)
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
-    scratch_dir(df.sparkSession)
-    ordered = ordered.checkpoint(eager=True)
+    ordered = written(ordered, "row-numbers")
     spans = ordered.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0)))

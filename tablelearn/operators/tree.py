@@ -19,9 +19,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from .encode import literal_map, unpivot_features
-from .relational import row_numbers
+from .relational import row_numbers, written
 
 
 def _xlogx(c: Column) -> Column:
@@ -136,12 +135,6 @@ class ID3Model:
         return cur.select(*[F.col("_row")[c].alias(c) for c in rest], F.col("_at").alias(out))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float = 1e-2,
             max_depth: int | None = None) -> ID3Model:
     """Grow an ID3 tree on categorical features (values compared as strings).
@@ -155,7 +148,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
     features = list(features)
     deepest = len(features) if max_depth is None else min(max_depth, len(features))
     kind = df.schema[label].dataType
-    rows = _written(df.where(F.col(label).isNotNull()).select(
+    rows = written(df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("_label"), F.array(*[F.col(c).cast("string") for c in features]).alias("_fv"),
         F.lit(0).alias("_node")), "id3-rows")
     # the level's nodes, and the features its paths have used
@@ -181,7 +174,7 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
         else:
             named = named.withColumn("_best", F.lit(None).cast("struct<feature:string,gain:double>"))
         split = F.when(F.col("_best.gain") >= threshold, F.col("_best.feature"))
-        named = _written(named.select(
+        named = written(named.select(
             "node_id", "parent_id", F.lit(depth).alias("depth"), split.alias("split_feature"), "edge_value",
             F.col("label").cast(kind).alias("label"), F.coalesce("n", F.lit(0)).cast("long").alias("n"),
             F.col("_best.gain").alias("gain"), "used"), "id3-nodes")
@@ -193,13 +186,13 @@ def id3_fit(df: DataFrame, features: Sequence[str], label: str, threshold: float
             "_label", "_fv", "_node", F.element_at("_fv", F.col("_fpos")).alias("_value")).where("_value is not null")
         kids = moving.select(F.col("_node").alias("parent_id"), F.col("_value").alias("edge_value")).distinct()
         numbered = row_numbers(kids, [], ["parent_id", "edge_value"], out="_rn")
-        kids = _written(numbered.join(splits, F.col("parent_id") == F.col("_sn")).select(
+        kids = written(numbered.join(splits, F.col("parent_id") == F.col("_sn")).select(
             (F.col("_rn") + (next_id - 1)).cast("int").alias("node_id"), "parent_id", "edge_value", "used"), "id3-level")
         n = kids.count()
         if not n:
             break
         child = kids.select(F.col("parent_id").alias("_p"), F.col("edge_value").alias("_v"), F.col("node_id").alias("_child"))
-        rows = _written(moving.join(child, (F.col("_node") == F.col("_p")) & (F.col("_value") == F.col("_v"))).select(
+        rows = written(moving.join(child, (F.col("_node") == F.col("_p")) & (F.col("_value") == F.col("_v"))).select(
             "_label", "_fv", F.col("_child").alias("_node")), "id3-rows")
         level, depth, next_id = kids, depth + 1, next_id + n
     return ID3Model(label, features, reduce(DataFrame.unionByName, done), depth)
