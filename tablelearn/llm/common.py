@@ -170,7 +170,7 @@ def summed_vectors(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]],
     return _merged_vectors(df, partial, length, chunk, kind, "f8", np.add)
 
 
-def joined_bits(df: DataFrame, column: str, per_value: int = 16, most: int = 1 << 28) -> np.ndarray:
+def joined_bits(df: DataFrame, column: str, per_value: int = 256, most: int = 1 << 28) -> np.ndarray:
     """Bytes with a set bit for each value of the long ``column`` modulo their number, a power of two.
 
     A filter of about ``per_value`` bits a value, and of ``most`` bits (32 MB) at most: beyond

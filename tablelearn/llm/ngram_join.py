@@ -130,18 +130,19 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
                         rank = np.lexsort((s, often.value[(s >> np.uint64(44)).astype(np.int64)]))
                         prefix = signed(s[rank[:missing(n, num, den) + 1]])
                     prefixes.append(prefix)
-                    sketches.append(np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH))
+                    counts = np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                    sketches.append(counts.astype(np.int8) if counts.max() < 128 else None)
                     keys.append([{"c": c, "s": v - (1 << 64) if v >> 63 else v} for c, v in subset_keys(s, num, den)]
                                 if 0 < n <= small else None)
                 yield pa.RecordBatch.from_arrays(
                     [block.column(0), block.column(2), pa.array(ns, pa.int64()), pa.array(nodes, pa.binary()),
-                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int32())),
+                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int8())),
                      pa.array(keys, pa.list_(pa.struct([("c", pa.int32()), ("s", pa.int64())])))],
                     ["id", "th", "n", "node", "prefix", "sketch", "subsets"])
 
         kind = docs.schema["id"].dataType.simpleString()
         signed_docs = own.save(docs.mapInArrow(
-            sign, f"id {kind}, th long, n long, node binary, prefix array<long>, sketch array<int>, subsets array<struct<c:int,s:long>>"))
+            sign, f"id {kind}, th long, n long, node binary, prefix array<long>, sketch array<tinyint>, subsets array<struct<c:int,s:long>>"))
         rows = signed_docs.select("id", "th", "n", "node")
         reps = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"))
         reps = own.save(reps)
@@ -175,9 +176,17 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
         g = groups.select(F.col("node").alias("_g"), "component")
         placed = lists.join(g, F.col("node") == F.col("_g"), "left").select(
             "token", "node", "n", "pos", F.coalesce("component", "node").alias("grp"))
-        mixed = placed.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("token")
+        lists_of = placed.groupBy("token").agg(
+            F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"),
+            F.min("pos").alias("first_pos"), F.count("*").alias("_c"))
+        # a list of two needs sets of like size; no partner stands before the first place of a list
+        mixed = lists_of.where("lo <> hi").where((F.col("_c") > 2) | (F.lit(den) * F.col("n_lo") >= F.lit(num) * F.col("n_hi"))).select(
+            "token", "first_pos")
+        left = F.col("n") - F.col("pos")
+        placed = placed.join(mixed, "token").where(
+            F.lit(den) * left >= F.lit(num) * (left + F.col("pos") + F.col("first_pos"))).drop("first_pos")
         outlines = nodes.select(F.col("node").alias("_k"), "sketch")
-        placed = own.save(placed.join(mixed, "token").join(outlines, F.col("node") == F.col("_k")).drop("_k"))
+        placed = own.save(placed.join(outlines, F.col("node") == F.col("_k")).drop("_k"))
         x, y = (placed.select("token", *(F.col(c).alias(f"{c}_{z}") for c in ("node", "n", "pos", "grp", "sketch"))) for z in "xy")
         share = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
         rest = (x.join(y, (x["token"] == y["token"]) & (F.col("node_x") < F.col("node_y")) & (F.col("grp_x") != F.col("grp_y"))
@@ -205,9 +214,12 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
 
 
 def _possible(x, y, n_x, n_y, num: int, den: int):
-    """Whether the sketches allow the similarity: two sets share at most the smaller count in each of their cells."""
-    most = F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0), lambda total, v: total + v)
-    return F.lit(den) * most >= F.lit(num) * (n_x + n_y - most)
+    """Whether the sketches allow the similarity: two sets share at most the smaller count in each of their cells.
+
+    A set with more than a cell can count has no sketch, and all is possible.
+    """
+    most = F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0), lambda total, v: total + v.cast("int"))
+    return F.coalesce(F.lit(den) * most >= F.lit(num) * (n_x + n_y - most), F.lit(True))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, own: Scratch, k: int, num: int, den: int) -> DataFrame:
