@@ -39,8 +39,12 @@ RECALL = 0.99
 
 
 def tuned_bands(similarity: float, recall: float, most: int = 16) -> tuple[int, int]:
-    """(bands, rows) with the fewest min-hashes that reach the recall at the similarity; more rows break ties."""
-    fits = [(b * r, -r, b, r) for r in range(1, most + 1) for b in range(1, most + 1)
+    """(bands, rows) with the fewest min-hashes that reach the recall at the similarity; more rows break ties.
+
+    A band has two rows at least: paragraphs often share one frequent shingle, and would
+    collide in bands of a single row without being similar.
+    """
+    fits = [(b * r, -r, b, r) for r in range(2, most + 1) for b in range(1, most + 1)
             if 1 - (1 - similarity**r) ** b >= recall]
     return min(fits)[2:]
 
@@ -199,7 +203,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
         labelled = own.save(counted.join(groups, F.col("content") == F.col("node"), "left").select(
             F.col("content").alias("_c"), F.coalesce("component", "content").alias("component")))
-        repeated = broadcast(joined_bits(labelled, "_c"))
+        repeated = broadcast(joined_bits(labelled, "_c", 32))
         places = docs.mapInArrow(emit_places, f"id {kind}, th long, start int, content long")
         places = own.save(places.join(labelled, F.col("content") == F.col("_c")).select("component", "id", "th", "start").distinct())
         place, doc = F.struct("id", "th", "start"), F.struct("id", "th")

@@ -294,6 +294,6 @@ def test_anchors_cover_every_window():
 
 
 def test_tuned_bands_reach_the_recall():
-    for recall in (0.9, 0.99, 0.999):
+    for recall in (0.9, 0.99, 0.999):  # bands of two rows or more
         b, r = tuned_bands(0.8, recall)
         assert 1 - (1 - 0.8**r) ** b >= recall
