@@ -24,6 +24,7 @@ from tablelearn.llm.warc import entries, parsed, record, round_trip, url_key, wr
 from tablelearn.session import scratch_path
 
 from ..conftest import SF_ORACLE, SF_SMALL
+from .test_text_operators import brute_contamination, brute_groups
 
 TEXTS = [(1, None), (2, ""), (3, "  "), (4, "plain words, twice."), (4, "plain words, twice."), (None, "no id"), (5, "x" * 5000),
          (6, "The quick brown fox. " * 2000), (7, "naïve Straße – “quotes” 数学 🙂"), (8, "<|endoftext|> inside"), (9, "tab\tand\r\nline end")]
@@ -344,6 +345,51 @@ def test_pipeline_run(spark):
     assert len(rows) > 0 and max(r["offset"] + r["length"] for r in rows) <= CAPACITY
 
 
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def kept_by(spark, name, docs, sf_dir=SF_SMALL):
+    import corpus_pipeline as P
+
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in docs], DOCUMENT).repartition(3)
+    return sorted(((r["doc_id"], r["text"]) for r in dict(P.STAGES)[name](spark, df, sf_dir).collect()), key=repr)
+
+
+def test_pipeline_near_duplicates_of_080_to_085_go(spark):
+    r = random.Random(31)
+    docs, words = [], [f"w{i}" for i in range(40000)]
+    for g in range(8):
+        base = r.sample(words, 300)
+        docs.append((100 * g, " ".join(base)))
+        for c, apart in enumerate((46, 48, 50, 52, 54, 40, 30), 1):  # 0.80 to 0.85; 0.79 and 0.71 are below
+            docs.append((100 * g + c, " ".join(f"new{g}{c}{j}" if j % apart == apart // 2 else w for j, w in enumerate(base))))
+    docs += [(5000 + i, " ".join(r.sample(words, 80))) for i in range(20)] + [(9001, None), (9002, ""), (0, docs[0][1])]
+    names = brute_groups([(i, t) for i, t in docs], 80, 100, 5)
+    want = {i for i, _, name in names if i == name}
+    assert {1, 2, 3, 4, 5}.isdisjoint(want) and {6, 7} <= want  # the fixture has copies on both sides of the threshold
+    assert {i for i, _, name in brute_groups(docs[:6]) if i == name} == set(range(6))  # op9's figures keep them all
+    assert kept_by(spark, "n-gram Jaccard join", docs) == sorted({(i, t) for i, t in docs if i in want}, key=repr)
+
+
+def test_pipeline_decontamination_keeps_the_rows_of_brute_force(spark):
+    items = [(r["item_id"], r["text"]) for r in read_table(spark, SF_SMALL, "benchmark").collect()]
+    docs = [(i, "before it " * 5 + items[i][1] + " after it" * n) for i, n in enumerate((0, 40, 400, 4000))] + [(50, "clean words"), (51, None)]
+    want = [d for d in docs if not brute_contamination([d], items)[0][3]]
+    assert len(want) < len(docs)
+    assert kept_by(spark, "benchmark decontamination", docs) == sorted(want, key=repr)
+
+
+def test_pipeline_quality_keeps_the_rows_that_reach_the_threshold(spark):
+    docs, labels = read_table(spark, SF_SMALL, "documents"), read_table(spark, SF_SMALL, "labels")
+    train = [r for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % Q.LABEL_FOLD]
+    scored = score(docs, fit(docs, spark.createDataFrame(train, labels.schema)), keep=["doc_id"]).collect()
+    import corpus_pipeline as P
+
+    want = sorted(r["doc_id"] for r in scored if r["score"] >= Q.THRESHOLD)
+    assert 0 < len(want) < len(scored)
+    assert sorted(r["doc_id"] for r in P.quality(spark, docs, SF_SMALL).collect()) == want
+
+
 # ---- registration
 
 def test_registered_queries_and_sql(spark):
