@@ -7,7 +7,8 @@ anchor on.  Any verbatim passage of ``window + length - 1`` words (51) holds a w
 paragraph, the same one in every copy.  Bands of min-hashes over the five-word shingles of a
 paragraph are tuned for the recall asked at the similarity; paragraphs that collide in a
 band are compared with the least content there by exact Jaccard similarity of
-their shingle sets.  Similar contents form components; the first
+their shingle sets; then, in bands whose contents are still in several groups, the contents of different
+groups are compared wherever they share one of their rarest shingles.  Similar contents form components; the first
 occurrence of a component in the order of (id, text hash, start) stays, and those in all other
 documents go (what repeats inside one document is left to line dedup).
 
@@ -26,14 +27,15 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHash, connected_components, has_bit, joined_bits, mix64, shingle_hashes, signed, text_blocks, texts_of
+from .common import Scratch, WordHash, connected_components, has_bit, joined_bits, mix64, shingle_hashes, signed, summed_vectors, text_blocks, texts_of
 
 SHINGLE = 5
 LENGTH = 20
 WINDOW = 32
+CELLS = 1 << 20  # cells of the frequency table that orders the shingles (4 MB); any order gives the same links
 SIMILARITY = 0.8
 RECALL = 0.99
 
@@ -132,6 +134,63 @@ def _doc(place: str):
     return F.struct(F.col(f"{place}.id").alias("id"), F.col(f"{place}.th").alias("th"))
 
 
+def _similar(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
+    """The pairs (a, b) of contents whose shingle sets have a similarity of num / 1000 or more."""
+    x, y = (sets.select(F.col("content").alias(f"c{z}"), F.col("s").alias(f"s{z}")) for z in "xy")
+    inter = F.size(F.array_intersect("sx", "sy"))
+    return (pairs.join(x, F.col("a") == F.col("cx")).join(y, F.col("b") == F.col("cy"))
+            .where(1000 * inter >= num * (F.size("sx") + F.size("sy") - inter)).select("a", "b"))
+
+
+def _unjoined(lists: DataFrame, sets: DataFrame, groups: DataFrame, near: DataFrame, own: Scratch, num: int) -> DataFrame:
+    """Pairs (a, b) that can be similar, of contents in different groups that stand in bands with several groups.
+
+    Similar sets share one of the rarest shingles of each (so many that the similarity needs one of
+    them), in any order of the shingles; so the long list that a frequent phrase makes of a band is
+    split without losing a pair.
+    """
+    g = groups.select(F.col("node").alias("_g"), "component")
+    grouped = own.save(lists.join(g, F.col("content") == F.col("_g"), "left").select(
+        "band", "content", F.coalesce("component", "content").alias("grp")))
+    mixed = grouped.groupBy("band").agg(F.min("grp").alias("_lo"), F.max("grp").alias("_hi")).where("_lo <> _hi").select("band")
+    members = grouped.join(mixed, "band").select("content", "grp").distinct()
+    held = own.save(sets.join(members, "content"))
+
+    def cells(batches):
+        total = np.zeros(CELLS)
+        for b in batches:
+            s = b.column(0).flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(s.view(np.uint64) >> np.uint64(44), minlength=CELLS)
+        return total
+
+    counts = summed_vectors(held.select("s"), cells, CELLS, kind="i4")
+    often = held.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))
+
+    def prefixes(batches):
+        for b in batches:
+            out = []
+            for s in b.column(2).to_pylist():
+                s = np.array(s, np.int64)
+                rank = np.lexsort((s, often.value[s.view(np.uint64) >> np.uint64(44)]))
+                out.append(s[rank[:len(s) - -(-num * len(s) // 1000) + 1]])
+            sizes = np.array([len(x) for x in b.column(2).to_pylist()], np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), pa.array(out, pa.list_(pa.int64()))],
+                                             ["content", "grp", "n", "prefix"])
+
+    placed = own.save(held.select("content", "grp", "s").mapInArrow(prefixes, "content long, grp long, n int, prefix array<long>")
+                      .select("content", "grp", "n", F.posexplode("prefix").alias("pos", "token")))
+    split = placed.groupBy("token").agg(F.min("grp").alias("_lo"), F.max("grp").alias("_hi")).where("_lo <> _hi").select("token")
+    placed = own.save(placed.join(split, "token"))
+    x, y = (placed.select("token", *(F.col(c).alias(f"{c}_{z}") for c in ("content", "grp", "n", "pos"))) for z in "xy")
+    share = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))  # no token of theirs is shared before this one
+    pairs = (x.join(y, (x["token"] == y["token"]) & (F.col("content_x") < F.col("content_y")) & (F.col("grp_x") != F.col("grp_y")))
+             .where(1000 * F.least("n_x", "n_y") >= num * F.greatest("n_x", "n_y"))
+             .where((F.lit(1000) * share >= num * (F.col("n_x") + F.col("n_y") - share)))
+             .select(F.col("content_x").alias("a"), F.col("content_y").alias("b")).distinct())
+    tried = near.select(F.least("content", "pivot").alias("a"), F.greatest("content", "pivot").alias("b"))
+    return pairs.join(tried, ["a", "b"], "left_anti")
+
+
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, window: int = WINDOW,
                       similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """(key, start, n_words, component, kept_id, kept_start) of every paragraph that goes; places count words from 0."""
@@ -154,6 +213,9 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
             pair = np.unique(np.stack([keys.ravel(), np.repeat(content, bands)], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(pair[:, j]))) for j in (0, 1)], ["band", "content"])
 
+    def in_several(batches):
+        return (b.filter(pa.array(has_bit(several.value, b.column(0).to_numpy(zero_copy_only=False)))) for b in batches)
+
     def emit_contents(batches):
         for block, doc, _, s in cut(batches):
             pair = np.unique(np.stack([signed(content_hash(s)), block.column(3).to_numpy(zero_copy_only=False)[doc]], 1), axis=0)
@@ -178,9 +240,15 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 ["content", "s"])
 
     with Scratch(docs.sparkSession, "substring-dedup") as own:
-        banded = docs.select("text").mapInArrow(emit_bands, "band long, content long")
-        least = F.min("content").over(Window.partitionBy("band"))
-        near = own.save(banded.withColumn("pivot", least).where("content <> pivot").select("content", "pivot").distinct())
+        # the least content of a band by partial minima; bands of one content, which are most, are not shuffled again
+        broadcast = docs.sparkSession.sparkContext.broadcast
+        with Scratch(docs.sparkSession, "substring-bands") as first:  # the largest table, deleted before the others are made
+            banded = first.save(docs.select("text").mapInArrow(emit_bands, "band long, content long"))
+            pivots = first.save(banded.groupBy("band").agg(F.min("content").alias("pivot"), F.max("content").alias("_last"))
+                                .where("pivot <> _last").select("band", "pivot"))
+            several = broadcast(joined_bits(pivots, "band"))
+            lists = own.save(banded.mapInArrow(in_several, "band long, content long").distinct().join(pivots, "band"))
+        near = own.save(lists.where("content <> pivot").select("content", "pivot").distinct())
         asked = own.save(near.select("content").union(near.select("pivot")).distinct())
 
         contents = docs.mapInArrow(emit_contents, "content long, doc long")
@@ -189,17 +257,17 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                            .where("first <> last or _asked is not null").select("content", "first", "_asked"))
 
         # only documents that hold an asked content are cut again, and only asked contents leave the task
-        broadcast = docs.sparkSession.sparkContext.broadcast
         held = broadcast(joined_bits(counted.where("_asked is not null"), "first"))
         wanted = broadcast(joined_bits(asked, "content"))
         sets = own.save(docs.mapInArrow(emit_sets, "content long, s array<long>").join(asked, "content", "left_semi")
                         .dropDuplicates(["content"]))
-        x, y = (sets.select(F.col("content").alias(f"c{z}"), F.col("s").alias(f"s{z}")) for z in "xy")
-        inter = F.size(F.array_intersect("sx", "sy"))
-        links = (near.join(x, F.col("content") == F.col("cx")).join(y, F.col("pivot") == F.col("cy"))
-                 .where(1000 * inter >= num * (F.size("sx") + F.size("sy") - inter))
-                 .select(F.col("content").alias("a"), F.col("pivot").alias("b")))
-        groups = connected_components(own.save(links), own)
+        links = own.save(_similar(near.select(F.col("content").alias("a"), F.col("pivot").alias("b")), sets, num))
+        groups = connected_components(links, own)
+        # what the pivots did not join: contents of bands with several groups, by their rarest shingles
+        rest = own.save(_unjoined(lists, sets, groups, near, own, num))
+        more = own.save(_similar(rest, sets, num))
+        if not more.isEmpty():
+            groups = connected_components(own.save(links.union(more)), own)
 
         labelled = own.save(counted.join(groups, F.col("content") == F.col("node"), "left").select(
             F.col("content").alias("_c"), F.coalesce("component", "content").alias("component")))

@@ -276,6 +276,17 @@ def test_near_passages_and_hard_cases(spark):
     assert repeated_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_similar_paragraphs_behind_an_unrelated_pivot_are_found(spark):
+    # one phrase in all paragraphs: most bands hold many contents, whose least one is similar to none of a pair
+    r, v = random.Random(21), vocabulary(5000, 8)
+    phrase, docs = [r.choice(v) for _ in range(17)], []
+    for i in range(100):
+        own = [f"own{i}a", f"own{i}b"]
+        docs += [(2 * i, " ".join(phrase + own + ["left"])), (2 * i + 1, " ".join(phrase + own + ["right"]))]
+    got = repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {(r["doc_id"], r["kept_id"]) for r in got} == {(2 * i + 1, 2 * i) for i in range(100)}
+
+
 def test_anchors_cover_every_window():
     import numpy as np
 
