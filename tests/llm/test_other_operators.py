@@ -24,7 +24,7 @@ from tablelearn.llm.warc import entries, parsed, record, round_trip, url_key, wr
 from tablelearn.session import scratch_path
 
 from ..conftest import SF_ORACLE, SF_SMALL
-from .test_text_operators import brute_contamination, brute_groups
+from .test_text_operators import brute_contamination, brute_groups, distance
 
 TEXTS = [(1, None), (2, ""), (3, "  "), (4, "plain words, twice."), (4, "plain words, twice."), (None, "no id"), (5, "x" * 5000),
          (6, "The quick brown fox. " * 2000), (7, "naïve Straße – “quotes” 数学 🙂"), (8, "<|endoftext|> inside"), (9, "tab\tand\r\nline end")]
@@ -371,6 +371,41 @@ def test_pipeline_near_duplicates_of_080_to_085_go(spark):
     assert kept_by(spark, "n-gram Jaccard join", docs) == sorted({(i, t) for i, t in docs if i in want}, key=repr)
 
 
+def brute_line_stage(docs):
+    allowed = lambda n: 0 if n < 4 else 1 if n < 64 else n.bit_length() - 5
+    seen, out = [], []
+    for i, t in sorted(docs, key=lambda d: d[0]):
+        left = []
+        for x in [] if t is None else t.split("\n"):
+            if not x.strip() or not any(x == y or abs(len(x) - len(y)) <= allowed(min(len(x), len(y)))
+                                        and distance(x, y) <= allowed(min(len(x), len(y))) for y in seen):
+                left.append(x)
+            if x.strip():
+                seen.append(x)
+        if t is None or left and ("\n".join(left) or t == ""):
+            out.append((i, None if t is None else "\n".join(left)))
+    return sorted(out, key=repr)
+
+
+def test_pipeline_line_dedup_drops_short_copies_and_near_copies_by_length(spark):
+    r, docs = random.Random(41), []
+    bases = ["".join(r.choice("abcdefgh ") for _ in range(n)) for n in (3, 4, 7, 20, 40, 62, 63, 64, 65, 90, 126, 127, 128, 140, 260)]
+    for i in range(60):
+        lines = ["Home | About", "", "  "]  # the menu of every page
+        for b in r.sample(bases, 3):
+            x = list(b)
+            for _ in range(r.randint(0, 4)):
+                at = r.randrange(len(x) + 1)
+                x[at:at + r.randint(0, 1)] = r.choice(["", "z", "é"])
+            lines.append("".join(x))
+        docs.append((i, "\n".join([*lines, f"of page {i * 7919} alone"])))
+    docs += [(100, "Home | About"), (101, "Home | About\nfooter"), (102, "footer"), (103, ""), (104, None), (105, "\n\n"), (106, "a\na\nab")]
+    want = brute_line_stage(docs)
+    assert not any("Home" in (t or "") for i, t in want if i) and {100, 102}.isdisjoint(i for i, _ in want)
+    got = kept_by(spark, "line dedup", docs)
+    assert [g for g in got if g not in want] == [] and [w for w in want if w not in got] == []
+
+
 def test_pipeline_decontamination_keeps_the_rows_of_brute_force(spark):
     items = [(r["item_id"], r["text"]) for r in read_table(spark, SF_SMALL, "benchmark").collect()]
     docs = [(i, "before it " * 5 + items[i][1] + " after it" * n) for i, n in enumerate((0, 40, 400, 4000))] + [(50, "clean words"), (51, None)]
