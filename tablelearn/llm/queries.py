@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import decode, encode
 from .common import read_table
 from .decontaminate import decontaminate, digest
 from .language_model import language_model_scores
@@ -15,13 +16,16 @@ from .line_dedup import MAX_EDITS, MIN_CHARS, line_report
 from .ngram_join import ngram_components
 from .packing import pack
 from .quality import fit, score
+from .spelling import MIN_COUNT, MIN_LENGTH, RATIO, spelling_forms
 from .substring_dedup import repeated_passages
+from .token_alignment import align
 from .topk import top_k
 from .url_rules import SITE_RULES, judge_urls
 from .warc import round_trip
 
 LABEL_FOLD = 5  # rows whose crc32(doc_id) is divisible by it are held out
 THRESHOLD = 0.3
+SLIP_EVERY = 31  # runs whose crc32 with the document's id it divides lose one character
 LM_FOLD, LM_HELD_OUT = 7, 2  # rows with this remainder of crc32(doc_id) don't train the language model
 
 
@@ -71,6 +75,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(read_table(spark, sf_dir, "documents"), drop_every=SLIP_EVERY)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = encode(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return decode(ids).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -88,6 +108,9 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_ngram_join": op9_ngram_join,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": pipeline,
 }
 
@@ -163,10 +186,43 @@ g AS (SELECT doc_id, count(*) AS n, string_agg(CAST(pos AS VARCHAR), ',' ORDER B
 SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(n, 0) AS n_dropped, coalesce(dropped, '') AS dropped
 FROM s LEFT JOIN g USING (doc_id)"""
 
+def _crc_table() -> str:
+    """The 256 steps of the checksum, from its polynomial, as a SQL list."""
+    steps = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        steps.append(c)
+    return "[" + ", ".join(map(str, steps)) + "]::BIGINT[]"
+
+
+# crc32 of "id:run" by bytes (characters up to U+00FF have at most two)
+_SPELLING_SQL = f"""
+WITH RECURSIVE steps AS MATERIALIZED (SELECT {_crc_table()} AS t),
+r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents WHERE text IS NOT NULL),
+d AS (SELECT doc_id, run, length(run) AS len, count(*) AS n FROM r GROUP BY ALL HAVING length(run) >= {MIN_LENGTH}),
+b AS (SELECT run, len, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+  lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS bytes FROM d),
+h AS (SELECT run, len, n, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, t[(xor(c, x::BIGINT) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h FROM b, steps),
+e AS (SELECT CASE WHEN h % {SLIP_EVERY} = 0 THEN run[:h % len] || run[h % len + 2:] ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM e WHERE length(word) >= {MIN_LENGTH} GROUP BY word HAVING sum(n) >= {MIN_COUNT}),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+k AS (SELECT word, n, i, word[:i - 1] AS a, word[i + 1:] AS z FROM p),
+pairs AS (SELECT x.word, y.word AS near, y.n AS near_n FROM k x JOIN k y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT k.word, v.word, v.n FROM k JOIN v ON k.a || k.z = v.word
+  UNION SELECT v.word, k.word, k.n FROM k JOIN v ON k.a || k.z = v.word),
+best AS (SELECT word, count(*) AS n_near, min((-near_n, near)) AS top FROM pairs GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -top[1] >= {RATIO} * v.n THEN top[2] END AS form,
+  CASE WHEN -top[1] >= {RATIO} * v.n THEN -top[1] END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, form AS root FROM f WHERE form IS NOT NULL UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL),
+last AS (SELECT walk.word, root FROM walk JOIN f ON f.word = root WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, CAST(form_n AS BIGINT) AS form_n FROM f LEFT JOIN last ON last.word = f.word"""
+
 SQL = {
     "op2_url_filter": _url_sql(),
     "op7_decontamination": _DECONTAMINATION_SQL,
     "op8_topk": _TOPK_SQL,
     "op9_ngram_join": _NGRAM_SQL,
     "op10_line_dedup": _LINES_SQL,
+    "op11_spelling_variants": _SPELLING_SQL,
 }

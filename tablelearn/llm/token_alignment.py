@@ -42,6 +42,7 @@ B_FILE = public_tokenizers.path("piece_bpe_32k.model")
 SLICE = 1 << 20  # bytes of text whose matrices are held at once
 BLOCK = 8 << 20  # bytes of text whose id pairs are aggregated at once
 PRODUCTS = 1 << 21  # entries that one run of rows of a product may have
+ID_BITS = 20  # of an id within a pair
 CROWDED = 64  # products of a group beyond which tokens of one id are added first
 
 # Characters on which both libraries of tokenizer A agree (as for packing), in words of moderate length.
@@ -138,24 +139,16 @@ def shared_links(a_ids: np.ndarray, b_ids: np.ndarray, a_group: np.ndarray, b_gr
     """(document, id pair, links) for the ids that share a group: the product of the incidences of A's ids and B's ids with groups."""
     crowded = np.bincount(a_group, minlength=n) * np.bincount(b_group, minlength=n) > CROWDED
     x, y = by_group(a_ids, a_group, n, crowded), by_group(b_ids, b_group, n, crowded)
-    doc, pair, links = [], [], []
+    keys, links = [], []
     tokens = Rows(np.arange(len(x.column) + 1), x.row_of(), x.value, n)  # A's entries by group, a row each
     for row, b_id, value in product(tokens, y):
-        d = doc_of_group[tokens.column[row]]
-        key = x.column[row] << 16 | b_id
-        order = np.lexsort((key, d))
-        new = np.r_[True, (np.diff(d[order]) != 0) | (np.diff(key[order]) != 0)] if len(order) else np.empty(0, bool)
-        first = np.flatnonzero(new)
-        doc.append(d[order][first])
-        pair.append(key[order][first])
-        links.append(np.add.reduceat(value[order], first) if len(first) else value)
-    if not doc:
+        key, value = added(doc_of_group[tokens.column[row]] << 2 * ID_BITS | x.column[row] << ID_BITS | b_id, value)
+        keys.append(key)
+        links.append(value)
+    if not keys:
         return (np.empty(0, np.int64),) * 3
-    doc, pair, links = (np.concatenate(v) for v in (doc, pair, links))
-    order = np.lexsort((pair, doc))
-    doc, pair, links = doc[order], pair[order], links[order]
-    first = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(pair) != 0)])
-    return doc[first], pair[first], np.add.reduceat(links, first)
+    key, links = added(np.concatenate(keys), np.concatenate(links))
+    return key >> 2 * ID_BITS, key & (1 << 2 * ID_BITS) - 1, links
 
 
 # ---- the two tokenizers
@@ -228,7 +221,7 @@ class Aligned:
     n_a: np.ndarray
     n_b: np.ndarray
     n_groups: np.ndarray
-    listing: list[bytes]
+    listing: list
     doc: np.ndarray
     pair: np.ndarray
     links: np.ndarray
@@ -237,8 +230,8 @@ class Aligned:
 
 def aligned(texts: list[bytes], a: Tokens, b: Tokens, with_tokens: bool = False) -> Aligned:
     n = len(texts)
-    n_a, n_b, n_groups, listing = (np.zeros(n, np.int64) for _ in range(3)), None, None, [b""] * n
-    n_a, n_b, n_groups = n_a
+    n_a, n_b, n_groups = (np.zeros(n, np.int64) for _ in range(3))
+    listing = [b""] * n
     filled = [i for i, t in enumerate(texts) if t]
     strings = [texts[i].decode() for i in filled]
     a_lists, b_lists, used = [], [], []
@@ -321,18 +314,17 @@ def document_pairs(docs: DataFrame, key: str, text: str, a_file: str, a_ranks: s
                 n = len(keys)
                 ends = np.searchsorted(g.doc, np.arange(n + 1))
                 upto = np.r_[0, np.cumsum(g.links)][ends]
-                digests = [hashlib.sha256(x).hexdigest() if x else "" for x in g.listing]
                 own = (pairs, counts) if i == 0 else (pairs[:0], counts[:0])
                 first = np.r_[0, np.full(n, len(own[0]))]
                 yield pa.RecordBatch.from_arrays(
                     [keys, pa.array(np.full(n, number)), pa.array(g.n_a), pa.array(g.n_b), pa.array(g.n_groups), pa.array(np.diff(upto)),
-                     pa.array(digests, pa.string()), _lists(g.pair, ends, pa.int64()), _lists(g.links, ends, pa.int32()),
+                     pa.array(g.listing, pa.string()), _lists(g.pair, ends, pa.int64()), _lists(g.links, ends, pa.int32()),
                      _lists(own[0], first, pa.int64()), _lists(own[1], first, pa.int32())], schema.names)
 
         for part in text_blocks(batches, "t", SLICE):
             texts = texts_of(part, "t")
             got = aligned(texts, tokenizer_a(a_file, a_ranks), tokenizer_b(b_file))
-            got.listing = [hashlib.sha256(x).hexdigest().encode() if x else b"" for x in got.listing]
+            got.listing = [hashlib.sha256(x).hexdigest() if x else "" for x in got.listing]  # only the digests are held
             held.append((part.column(0), got))
             size += sum(map(len, texts))
             if size >= BLOCK:
@@ -348,7 +340,7 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
     """(pair, a, docs, best): documents that hold the id pair linked, and whether no pair of the same id of A has more."""
     rows = blocks.where(F.size("block_pairs") > 0).select(F.explode(F.arrays_zip("block_pairs", "block_docs")).alias("x"))
     counts = rows.groupBy(F.col("x.block_pairs").alias("pair")).agg(F.sum("x.block_docs").alias("docs"))
-    counts = counts.withColumn("a", F.shiftright("pair", 16).cast("int"))
+    counts = counts.withColumn("a", F.shiftright("pair", ID_BITS).cast("int"))
     top = counts.groupBy(F.col("a").alias("_a")).agg(F.max("docs").alias("_top"))
     return counts.join(top, F.col("a") == F.col("_a")).select("pair", "a", "docs", (F.col("docs") == F.col("_top")).alias("best"))
 
@@ -359,7 +351,7 @@ def align(docs: DataFrame, key: str = "doc_id", text: str = "text", a_file: str
     with Scratch(docs.sparkSession, "align") as own:
         rows = own.save(document_pairs(docs, key, text, a_file, a_ranks, b_file))
         counts = own.save(pair_counts(rows))
-        asked = rows.where(F.size("block_pairs") > 0).select("block", F.explode("block_pairs").alias("pair"))
+        asked = rows.where(F.size("block_pairs") > 0).select(F.col("block").alias("of_block"), F.explode("block_pairs").alias("pair"))
         known = asked.join(counts.select("pair", (F.col("docs") * 2 + F.col("best").cast("long")).alias("v")), "pair")
         kept = [c for c, _ in _FIGURES]
         schema = T.StructType([T.StructField("k", rows.schema["k"].dataType), *(rows.schema[c] for c in kept),
@@ -382,6 +374,6 @@ def align(docs: DataFrame, key: str = "doc_id", text: str = "text", a_file: str
             return pa.Table.from_batches(out, documents.select(["k", *kept]).schema.append(pa.field("n_best", pa.int64())).append(pa.field("count_sum", pa.int64())))
 
         judged = (rows.select("k", "block", *kept, "pairs", "links").groupBy("block")
-                  .cogroup(known.groupBy("block")).applyInArrow(judge, schema))
+                  .cogroup(known.groupBy("of_block")).applyInArrow(judge, schema))
         order = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
         return own.save(judged.select(F.col("k").alias(key), *order), keep=True)
