@@ -101,7 +101,8 @@ def feature_scales(df, features: Sequence[str] | None = None, array_col: str | N
                    dim: int | None = None) -> list[float]:
     """Population standard deviation of each feature: one aggregation job."""
     if features is None and array_col is not None and dim is not None:
-        aggs = [F.expr(f"stddev_pop({_el(array_col, i)}) AS s{i}") for i in range(dim)]
+        entry = _checked(array_col, dim)
+        aggs = [F.expr(f"stddev_pop({entry(i)}) AS s{i}") for i in range(dim)]
     else:
         aggs = [F.stddev_pop(c).alias(f"s{i}")
                 for i, c in enumerate(components(features if features is not None else array_col, dim))]
@@ -156,47 +157,55 @@ def cosine(a: VectorLike, b: VectorLike, dim: int | None = None) -> Column:
     return F.when(den != 0, ab / den)
 
 
-def _el(c: str, i: int) -> str:
-    return f"CAST(get(`{c}`, {i}) AS DOUBLE)"
-
-
 def _dbl(x: float) -> str:
     return f"{float(x)!r}D"
 
 
+def _checked(c: str, dim: int):
+    """Entries of an array column of declared length, null where it has another length.
+
+    The size is tested once for the whole array (a common subexpression of all entries); a test around the
+    sum would keep the sum out of generated code.
+    """
+    v = f"if(size(`{c}`) = {dim}, CAST(`{c}` AS array<double>), NULL)"
+    return lambda i: f"element_at({v}, {i + 1})"
+
+
+def array_metric(name: str, a: Column, b: Column, p: float | None = None) -> Column:
+    """A distance of two arrays of doubles of equal length, as one pass over both (no size test)."""
+    step = {"euclidean": lambda x, y: (x - y) * (x - y), "manhattan": lambda x, y: F.abs(x - y), "chebyshev": lambda x, y: F.abs(x - y),
+            "minkowski": lambda x, y: F.pow(F.abs(x - y), F.lit(float(p or 3.0)))}[name]
+    terms = F.zip_with(a, b, step)
+    if name == "chebyshev":
+        return F.array_max(terms)
+    value = _sum_array(terms)
+    if name == "manhattan":
+        return value
+    return F.sqrt(value) if name == "euclidean" else F.pow(value, F.lit(1.0 / float(p or 3.0)))
+
+
 def checked_metric(name: str, a: str, b: str, dim: int, p: float | None = None,
                    scales: Sequence[float] | None = None) -> Column:
     """A vector metric of two named array columns of declared length; null where a length differs."""
-    value = _sql_metric(name, a, b, dim, p, scales)
-    return F.when((F.size(a) == dim) & (F.size(b) == dim), value)
+    if name in ("manhattan", "chebyshev", "minkowski"):
+        va, vb = (F.when(F.size(c) == dim, F.col(c).cast("array<double>")) for c in (a, b))
+        return array_metric(name, va, vb, p)
+    return _unrolled(name, _checked(a, dim), _checked(b, dim), dim, scales)
 
 
-def _sql_metric(name: str, a: str, b: str, dim: int, p: float | None,
-                scales: Sequence[float] | None) -> Column:
-    """The unrolled expression of a vector metric over two named array columns,
-    written as one SQL string (same terms, same order as the column form): one
-    gateway call instead of a few hundred for 64-long vectors."""
-    d = [f"({_el(a, i)} - {_el(b, i)})" for i in range(dim)]
-    dot = lambda x, y: " + ".join(f"{_el(x, i)} * {_el(y, i)}" for i in range(dim))
+def _unrolled(name: str, a, b, dim: int, scales: Sequence[float] | None) -> Column:
+    """The expression written out over the entries, as one SQL string (same terms, same order as the
+    column form): one gateway call instead of a few hundred for 64-long vectors."""
+    dot = lambda x, y: "(" + " + ".join(f"{x(i)} * {y(i)}" for i in range(dim)) + ")"
     if name == "euclidean":
-        return F.expr(f"sqrt({' + '.join(f'{t} * {t}' for t in d)})")
-    if name == "manhattan":
-        return F.expr(" + ".join(f"abs({t})" for t in d))
-    if name == "chebyshev":
-        return F.expr(d[0].join(["abs(", ")"]) if dim == 1 else "greatest(" + ", ".join(f"abs({t})" for t in d) + ")")
-    if name == "minkowski":
-        pp = float(p if p is not None else 3.0)
-        return F.expr(f"pow({' + '.join(f'pow(abs({t}), {_dbl(pp)})' for t in d)}, {_dbl(1.0 / pp)})")
+        return F.expr("sqrt(" + " + ".join(f"({a(i)} - {b(i)}) * ({a(i)} - {b(i)})" for i in range(dim)) + ")")
     if name == "std_euclidean":
-        terms = [f"({t} / {_dbl(sc)}) * ({t} / {_dbl(sc)})" for t, sc in zip(d, scales) if sc and sc > 0]
-        return F.expr(f"sqrt({' + '.join(terms) if terms else '0.0D'})")
-    if name in ("tanimoto", "cosine"):
-        ab, aa, bb = dot(a, b), dot(a, a), dot(b, b)
-        if name == "tanimoto":
-            den = f"(({aa}) + ({bb}) - ({ab}))"
-            return F.expr(f"CASE WHEN {den} != 0 THEN ({ab}) / {den} END")
-        den = f"(sqrt({aa}) * sqrt({bb}))"
-        return F.expr(f"CASE WHEN {den} != 0 THEN ({ab}) / {den} END")
+        terms = [f"(({a(i)} - {b(i)}) / {_dbl(s)}) * (({a(i)} - {b(i)}) / {_dbl(s)})" for i, s in enumerate(scales) if s and s > 0]
+        return F.expr(f"sqrt({' + '.join(terms) if terms else f'0.0D * {a(0)} * {b(0)}'})")
+    if name == "tanimoto":
+        return F.expr(f"{dot(a, b)} / nullif({dot(a, a)} + {dot(b, b)} - {dot(a, b)}, 0D)")
+    if name == "cosine":
+        return F.expr(f"{dot(a, b)} / nullif(sqrt({dot(a, a)}) * sqrt({dot(b, b)}), 0D)")
     raise ValueError(f"unknown metric {name!r}; known: {METRICS}")
 
 

@@ -4,15 +4,11 @@ Pairs always come from an equi-join, never from a cross join:
 
 * ``keyed_distance`` compares rows that share a key (e.g. a row and the
   centroid of its class).
-* ``nearest`` finds the exact k nearest train rows of every query row over distinct
-  vectors: train vectors are assigned to the nearest of m pivots (m grows
-  with their number), cells are cut into blocks of bounded size, and a
-  query only meets the blocks of the cells that the triangle inequality
-  cannot rule out (d(q, x) >= d(q, p_j) - R_j).  Round 1 joins each query vector
-  with one block of its home cell and gives a k-th distance bound; round 2
-  joins all blocks still in reach.  Rankings are ``row_number() <= k`` under
-  (distance, smallest id), planned with a partial group limit before the
-  shuffle, so ties never add candidates.
+* ``nearest`` finds the exact k nearest train rows of every query row through a
+  directory of balls over distinct vectors (``directory``), for eight measures.
+  Rankings are ``row_number() <= k`` under (distance, smallest id), planned with a
+  partial group limit before the shuffle, so ties never add candidates.
+* ``nearest_sets`` does so for sets under the Jaccard distance, through inverted lists.
 """
 
 from __future__ import annotations
@@ -23,12 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import distance as D
-from ..session import shuffle_partitions
+from .directory import BLOCK, FAN, SIMILARITIES, Space, build, search
 from .relational import top_k_per_group, written
 
 BROADCAST_ROWS = 10_000  # a keyed side is broadcast up to this many rows (counted first)
-BLOCK = 2048  # train vectors in one block of a cell
-MAX_PIVOTS = 1024  # pivots that go to the driver and into the plan
 
 
 def group_means(df: DataFrame, group: str | Sequence[str], vec: str, dim: int,
@@ -62,17 +56,17 @@ def keyed_distance(left: DataFrame, right: DataFrame, on: Sequence[str], left_ve
 
 
 def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str, tvec: str,
-            dim: int, k: int, exclude_self: bool = False, n_pivots: int | None = None,
-            extra: Sequence[str] = (), metric: str = "euclidean", block: int = BLOCK) -> DataFrame:
+            dim: int | None, k: int, exclude_self: bool = False, extra: Sequence[str] = (), metric: str = "euclidean",
+            p: float | None = None, scales: Sequence[float] | None = None, block: int = BLOCK, fan: int = FAN) -> DataFrame:
     """Exact k nearest train rows for every query row.
 
-    Output: ``qid, tid, rank, distance`` (+ ``extra`` train columns; the train
-    id is renamed ``<tid>_neighbor`` when both ids share a name); ties in
-    distance go to the smaller ``tid``.  ``exclude_self`` drops pairs with
-    ``qid == tid``.  Fewer than k rows are returned when train is smaller.
-    ``metric`` is euclidean, manhattan or chebyshev (those that obey the triangle
-    inequality over all vectors).  ``dim`` is the declared length: a vector of
-    another length ends the job with an error; rows with a null vector take no part.
+    Output: ``qid, tid, rank, distance`` (``similarity`` for cosine and tanimoto, the largest first; + ``extra`` train
+    columns; the train id is renamed ``<tid>_neighbor`` when both ids share a name); ties go to the
+    smaller ``tid``.  ``exclude_self`` drops pairs with ``qid == tid``.  Fewer than k rows are returned
+    when train is smaller.  ``metric`` is one of ``directory.METRICS``; ``p`` is the order of minkowski, ``scales`` the
+    deviations of std_euclidean (default: those of the train vectors).  ``dim`` is the declared length: a vector of
+    another length ends the job with an error; rows with a null vector, or a null in it, take no part, nor do zero vectors under
+    cosine and tanimoto.  Under hamming the columns are strings, and only strings of equal length are neighbours.
 
     The search runs over *distinct* vectors, so a group of identical rows (however
     large) is one point: copies are collapsed by a partial aggregation, searched
@@ -83,82 +77,109 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    if metric not in ("euclidean", "manhattan", "chebyshev"):
-        raise ValueError("metric is euclidean, manhattan or chebyshev")
-    spark = queries.sparkSession
     kk = k + 1 if exclude_self else k
 
     def checked(c: str) -> Column:
+        if metric == "hamming":
+            return F.col(c).cast("string")
         v = F.col(c).cast("array<double>")
         return F.when(v.isNull() | (F.size(v) == dim), v).otherwise(
             F.raise_error(F.lit(f"nearest: a vector whose length is not {dim}")).cast("array<double>"))
 
-    t = train.select(F.col(tid).alias("_tid"), checked(tvec).alias("_tv"), *extra).where(F.col("_tv").isNotNull())
-    q = queries.select(F.col(qid).alias("_qid"), checked(qvec).alias("_qv")).where(F.col("_qv").isNotNull())
+    def whole(c: str) -> Column:
+        known = F.col(c).isNotNull()
+        return known if metric == "hamming" else known & ~F.exists(c, lambda x: x.isNull())
+
+    t = train.select(F.col(tid).alias("_tid"), checked(tvec).alias("_tv"), *extra).where(whole("_tv"))
+    q = queries.select(F.col(qid).alias("_qid"), checked(qvec).alias("_qv")).where(whole("_qv"))
     # distinct vectors, each named by its smallest row id, written once: one scan per input
     tvecs = written(t.groupBy("_tv").agg(F.min("_tid").alias("_tr")), "knn-train")
     qvecs = written(q.groupBy("_qv").agg(F.min("_qid").alias("_qr")), "knn-query")
-    n_train = tvecs.count()
-    m = n_pivots or min(MAX_PIVOTS, max(16, -(-n_train // block)))
-    # pivots: m distinct train vectors in hash order of their id (deterministic)
-    piv_rows = tvecs.orderBy(F.xxhash64("_tr"), "_tr").limit(m).collect()
-    pivots = [[float(v) for v in r["_tv"]] for r in piv_rows]
-    out_tid = tid if tid != qid else f"{tid}_neighbor"
-    if not pivots:
-        return spark.createDataFrame(
-            [], f"{qid} {queries.schema[qid].dataType.simpleString()}, "
-                f"{out_tid} {train.schema[tid].dataType.simpleString()}, rank int, distance double"
-                + "".join(f", {c} {train.schema[c].dataType.simpleString()}" for c in extra))
-    # distances to all pivots as one array expression over a literal m x d table
-    # (one SQL string: a Python-side literal tree would cost m x d gateway calls)
-    piv = F.expr("array(" + ", ".join("array(" + ", ".join(f"{v!r}D" for v in p) + ")" for p in pivots) + ")")
-
-    def pivot_dists(vec: str) -> Column:
-        return F.transform(piv, lambda p: D.metric(metric, F.col(vec), p))
-
-    def nearest_pivot(arr: str) -> Column:  # first index of the minimum (ties → smaller pivot)
-        return F.array_position(F.col(arr), F.array_min(F.col(arr))).cast("int") - 1
-
-    placed = written(tvecs.withColumn("_pd", pivot_dists("_tv"))
-                      .select("_tr", "_tv", nearest_pivot("_pd").alias("_cell"), F.array_min("_pd").alias("_r")), "knn-cells")
-    # one row per pivot: radius of its cell, and the number of its blocks
-    cells = {r["_cell"]: r for r in placed.groupBy("_cell").agg(
-        F.max("_r").alias("_R"), F.count(F.lit(1)).alias("n")).collect()}
-    radius = F.expr("array(" + ", ".join(f"{cells[c]['_R'] if c in cells else -1.0!r}D" for c in range(len(pivots))) + ")")
-    blocks = F.expr("array(" + ", ".join(str(-(-cells[c]["n"] // block) if c in cells else 0) for c in range(len(pivots))) + ")")
-    tc = placed.withColumn("_block", F.pmod(F.xxhash64("_tr"), F.get(blocks, F.col("_cell"))).cast("int"))
-
-    # spread the pair work by query vector: also the distribution the per-query ranking needs
-    qc = (qvecs.repartition(shuffle_partitions(spark), "_qr").withColumn("_pd", pivot_dists("_qv"))
-          .withColumn("_home", nearest_pivot("_pd")))
-    score = D.checked_metric(metric, "_qv", "_tv", dim)
-    best = [F.col("distance"), F.col("_tr")]
-
-    def met(side: DataFrame) -> DataFrame:
-        """The kk best train vectors of each query vector among the blocks it was sent to."""
-        pairs = side.select("_qr", "_qv", "_cell", "_block").join(tc.drop("_r"), ["_cell", "_block"])
-        return top_k_per_group(pairs.select("_qr", "_tr", score.alias("distance")), ["_qr"], best, kk, rank="_rk").drop("_rk")
-
-    some = F.pmod(F.xxhash64("_qr"), F.get(blocks, F.col("_home"))).cast("int")
-    first = met(qc.select("_qr", "_qv", F.col("_home").alias("_cell"), some.alias("_block")))
-    bound = first.groupBy("_qr").agg(F.max("distance").alias("_bound"), F.count(F.lit(1)).alias("_got"))
-    reach = (qc.join(bound, "_qr", "left")
-             .select("_qr", "_qv", F.when(F.col("_got") >= kk, F.col("_bound")).alias("_bound"), F.posexplode("_pd").alias("_cell", "_dp")))
-    slack = F.lit(1e-9) * (F.lit(1.0) + F.col("_dp"))
-    r_of = F.get(radius, F.col("_cell"))
-    reach = reach.where((r_of >= 0) & (F.col("_bound").isNull() | (F.col("_dp") - r_of <= F.col("_bound") + slack)))
-    sent = reach.withColumn("_block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("_cell")) - 1)))
-    vec_nn = met(sent)
-    # expand: neighbour vectors → their kk smallest ids; query vectors → query rows
-    t_rows = t.join(tvecs, "_tv").drop("_tv")
+    if metric == "std_euclidean" and scales is None:
+        scales = D.feature_scales(t, array_col="_tv", dim=dim)
+    space = Space(metric, dim, p, tuple(scales) if scales is not None else None)
+    directory = build(space.with_place(tvecs, "t"), space, block, fan)
+    vec_nn, _ = search(space.with_place(qvecs, "q"), directory, kk)
+    return _expanded(vec_nn, t, tvecs, "_tv", q, qvecs, "_qv", k, kk, exclude_self, qid, tid, extra,
+                     "similarity" if metric in SIMILARITIES else "distance")
+
+
+def _expanded(vec_nn: DataFrame, t: DataFrame, tvecs: DataFrame, tkey: str, q: DataFrame, qvecs: DataFrame, qkey: str, k: int, kk: int,
+              exclude_self: bool, qid: str, tid: str, extra: Sequence[str], value: str) -> DataFrame:
+    """Neighbour vectors → their kk smallest ids; query vectors → query rows; the k best rows of each."""
+    t_rows = t.join(tvecs.select(tkey, "_tr"), tkey).drop(tkey)
     ids = top_k_per_group(t_rows, ["_tr"], [F.col("_tid")], kk, rank="_ri").drop("_ri")
-    q_rows = q.join(qvecs, "_qv").select("_qid", "_qr")
+    q_rows = q.join(qvecs.select(qkey, "_qr"), qkey).select("_qid", "_qr")
     rows = q_rows.join(vec_nn.join(ids, "_tr").drop("_tr"), "_qr")
     if exclude_self:
         rows = rows.where(F.col("_qid") != F.col("_tid"))
-    final = top_k_per_group(rows.select("_qid", "_tid", "distance", *extra), ["_qid"],
-                            [F.col("distance"), F.col("_tid")], k)
-    return final.select(F.col("_qid").alias(qid), F.col("_tid").alias(out_tid), "rank", "distance", *extra)
+    final = top_k_per_group(rows.select("_qid", "_tid", "_score", *extra), ["_qid"], [F.col("_score"), F.col("_tid")], k)
+    shown = F.col("_score") if value == "distance" else -F.col("_score")
+    out_tid = tid if tid != qid else f"{tid}_neighbor"
+    return final.select(F.col("_qid").alias(qid), F.col("_tid").alias(out_tid), "rank", shown.alias(value), *extra)
+
+
+def nearest_sets(queries: DataFrame, train: DataFrame, qid: str, tid: str, qset: str, tset: str, k: int,
+                 exclude_self: bool = False, extra: Sequence[str] = ()) -> DataFrame:
+    """Exact k nearest train rows under the Jaccard distance of two array columns' distinct elements.
+
+    Output and ties as for ``nearest``; null sets take no part, two empty sets have distance 0, and sets without a common element
+    distance 1 (the smallest ids fill what is missing).  Distinct sets are searched: an inverted list per element, elements
+    in order of rising frequency.  A query meets the list of its rarest element first, whose k-th similarity s bounds
+    the rest; a set with that similarity shares at least s·|A| elements, so one of the first |A| - ceil(s·|A|) + 1 is common, and its
+    size lies between s·|A| and |A|/s.  A pair counts at its first common element only, so no pair comes twice.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    kk = k + 1 if exclude_self else k
+
+    def elements(c: str) -> Column:
+        marked = F.transform(F.array_distinct(F.col(c).cast("array<string>")), lambda x: F.coalesce(F.concat(F.lit("="), x), F.lit("?")))
+        return F.when(F.size(c) == 0, F.array(F.lit(""))).otherwise(F.array_sort(marked))  # the empty set has one element of its own
+
+    t = train.select(F.col(tid).alias("_tid"), F.when(F.col(tset).isNotNull(), elements(tset)).alias("_tv"), *extra).where("_tv IS NOT NULL")
+    q = queries.select(F.col(qid).alias("_qid"), F.when(F.col(qset).isNotNull(), elements(qset)).alias("_qv")).where("_qv IS NOT NULL")
+    tvecs = written(t.groupBy("_tv").agg(F.min("_tid").alias("_tr")), "set-train")
+    qvecs = written(q.groupBy("_qv").agg(F.min("_qid").alias("_qr")), "set-query")
+    lists = written(tvecs.select("_tr", "_tv", F.explode("_tv").alias("_e")), "set-lists")
+    often = lists.groupBy("_e").agg(F.count("*").alias("_f"))
+    # a query's elements, rarest first; those of no train set are in its size only
+    ranked = (qvecs.select("_qr", F.size("_qv").alias("_n"), F.explode("_qv").alias("_e")).join(often, "_e")
+              .groupBy("_qr", "_n").agg(F.sort_array(F.collect_list(F.struct("_f", "_e"))).alias("_es"))
+              .select("_qr", "_n", F.transform("_es", lambda x: x["_e"]).alias("_es")))
+    asked = written(ranked, "set-asked")
+
+    def met(side: DataFrame) -> DataFrame:
+        """The kk best sets among the lists of ``_probe``, sizes within ``_least`` and ``_most``."""
+        pairs = side.select("_qr", "_n", "_es", "_least", "_most", F.explode("_probe").alias("_e")).join(lists, "_e")
+        size = F.size("_tv")
+        pairs = pairs.where((size >= F.col("_least")) & (size <= F.col("_most")))
+        pairs = pairs.withColumn("_common", F.array_intersect("_es", "_tv")).where(F.element_at("_common", 1) == F.col("_e"))
+        shared = F.size("_common")
+        score = F.lit(1.0) - shared.cast("double") / (F.col("_n") + size - shared).cast("double")
+        return top_k_per_group(pairs.select("_qr", "_tr", score.alias("_score")), ["_qr"], [F.col("_score"), F.col("_tr")], kk, rank="_rk").drop("_rk")
+
+    most = F.lit(2**31 - 1)
+    first = met(asked.withColumn("_probe", F.slice("_es", 1, 1)).withColumn("_least", F.lit(0)).withColumn("_most", most))
+    bound = first.groupBy("_qr").agg(F.max("_score").alias("_worst"), F.count("*").alias("_got"))
+    s = F.coalesce(F.when(F.col("_got") >= kk, F.lit(1.0) - F.col("_worst")), F.lit(0.0)) * F.lit(1 - 1e-9)
+    limits = asked.join(bound, "_qr", "left").withColumn("_s", s)
+    prefix = F.col("_n") - F.ceil(F.col("_s") * F.col("_n")) + 1  # ranked elements may be fewer: the others match nothing and come first
+    limits = (limits.withColumn("_probe", F.slice("_es", F.lit(1), F.greatest(F.lit(1), prefix).cast("int")))
+              .withColumn("_least", F.ceil(F.col("_s") * F.col("_n")))
+              .withColumn("_most", F.when(F.col("_s") > 0, F.floor(F.col("_n") / F.col("_s")) + 1).otherwise(most)))
+    found = written(met(limits), "set-found")
+    # queries with too few: of the 2·kk sets of smallest ids at least kk share nothing with them
+    fill = [(r["_tr"], r["_tv"]) for r in tvecs.orderBy("_tr").limit(2 * kk).collect()]
+    enough = found.groupBy("_qr").agg(F.count("*").alias("_got")).where(F.col("_got") >= kk)
+    short = qvecs.join(enough, "_qr", "left_anti")
+    if fill:
+        rows = F.array(*[F.struct(F.lit(r).cast(tvecs.schema["_tr"].dataType).alias("_tr"), F.array(*[F.lit(e) for e in v]).alias("_tv")) for r, v in fill])
+        more = short.select("_qr", "_qv", F.explode(rows).alias("x"))
+        apart = more.where(F.size(F.array_intersect("_qv", "x._tv")) == 0).select("_qr", F.col("x._tr").alias("_tr"), F.lit(1.0).alias("_score"))
+        found = found.unionByName(apart)
+    vec_nn = top_k_per_group(found, ["_qr"], [F.col("_score"), F.col("_tr")], kk, rank="_rk").drop("_rk")
+    return _expanded(vec_nn, t, tvecs, "_tv", q, qvecs, "_qv", k, kk, exclude_self, qid, tid, extra, "distance")
 
 
 def knn_vote(neighbors: DataFrame, qid: str, label: str, prediction: str = "prediction") -> DataFrame:

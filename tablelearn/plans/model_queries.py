@@ -12,6 +12,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..operators import bayes, cluster, linear, mixture, pairwise, tree
+from ..sources.tables import read_table
 from .inputs import (DOCS_LABELED_SQL, EMB_DIM, EMBEDDINGS_SQL, PART_POINTS_SQL, cte, docs_labeled,
                      embeddings, part_points)
 from .registry import dbl, query, rnd, r4
@@ -453,6 +454,9 @@ def id3_predict_query(spark, d):
 
 
 # ------------------------------------------------------------------------ kNN
+KNN_P = 3.0  # order of the Minkowski neighbours
+
+
 def _knn_pairs_sql():
     terms = " + ".join(f"(q.v[{i + 1}] - t.v[{i + 1}]) * (q.v[{i + 1}] - t.v[{i + 1}])" for i in range(EMB_DIM))
     return (f"SELECT q.vec_id AS query_id, t.vec_id AS neighbor_id, t.label, sqrt({terms}) AS distance "
@@ -480,6 +484,75 @@ def knn_neighbors_query(spark, d):
     return nb.select("query_id", "neighbor_id", "rank", r4("distance", 4).alias("distance"))
 
 
+def _knn_measure_sql(metric: str):
+    """All pairs of embeddings under one measure; similarities order the other way round."""
+    q, t = [f"q.v[{i + 1}]" for i in range(EMB_DIM)], [f"t.v[{i + 1}]" for i in range(EMB_DIM)]
+    dot = lambda a, b: "(" + " + ".join(f"{x} * {y}" for x, y in zip(a, b)) + ")"
+    extra, value, where = "", "distance", "q.vec_id <> t.vec_id"
+    if metric == "minkowski":
+        p = dbl(KNN_P)
+        expr = f"pow({' + '.join(f'pow(abs({a} - {b}), {p})' for a, b in zip(q, t))}, {dbl(1.0 / KNN_P)})"
+    elif metric == "std_euclidean":
+        extra = ", s AS MATERIALIZED (SELECT " + ", ".join(f"stddev_pop(v[{i + 1}]) AS s{i}" for i in range(EMB_DIM)) + " FROM e)"
+        expr = "sqrt(" + " + ".join(f"CASE WHEN s{i} > 0 THEN (({a} - {b}) / s{i}) * (({a} - {b}) / s{i}) ELSE 0 END"
+                                    for i, (a, b) in enumerate(zip(q, t))) + ")"
+    else:
+        value, where = "similarity", where + f" AND {dot(q, q)} > 0 AND {dot(t, t)} > 0"
+        expr = f"{dot(q, t)} / (sqrt({dot(q, q)}) * sqrt({dot(t, t)}))" if metric == "cosine" else f"{dot(q, t)} / ({dot(q, q)} + {dot(t, t)} - {dot(q, t)})"
+    order = f"{value} DESC" if value == "similarity" else value
+    pairs = f"SELECT q.vec_id AS query_id, t.vec_id AS neighbor_id, {expr} AS {value} FROM e q JOIN e t ON {where}" + (", s" if extra else "")
+    pairs = pairs if not extra else pairs.replace(f" ON {where}, s", f" ON {where} CROSS JOIN s")
+    return (f"{cte(e=EMBEDDINGS_SQL)}{extra}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {order}, neighbor_id) AS rank "
+            f"FROM ({pairs}))\nSELECT query_id, neighbor_id, CAST(rank AS INTEGER) AS rank, {rnd(value)} AS {value} FROM r WHERE rank <= {KNN_K}")
+
+
+def _knn_measure(metric: str):
+    def run(spark, d):
+        e = embeddings(spark, d)
+        q, t = e.select(F.col("vec_id").alias("query_id"), "v"), e.select(F.col("vec_id").alias("neighbor_id"), "v")
+        nb = pairwise.nearest(q, t, "query_id", "neighbor_id", "v", "v", EMB_DIM, KNN_K, exclude_self=True, metric=metric,
+                              p=KNN_P if metric == "minkowski" else None)
+        value = "similarity" if metric in ("cosine", "tanimoto") else "distance"
+        return nb.select("query_id", "neighbor_id", "rank", r4(value).alias(value))
+
+    return run
+
+
+for _m in ("minkowski", "std_euclidean", "cosine", "tanimoto"):
+    query(f"knn_{_m}", (lambda m: lambda: _knn_measure_sql(m))(_m))(_knn_measure(_m))
+
+
+@query("knn_hamming", f"""
+WITH r AS (SELECT c_custkey AS query_id, s_suppkey AS neighbor_id, hamming(c_name, s_name) AS distance,
+    row_number() OVER (PARTITION BY c_custkey ORDER BY hamming(c_name, s_name), s_suppkey) AS rank
+  FROM customer JOIN supplier ON length(c_name) = length(s_name))
+SELECT query_id, neighbor_id, CAST(rank AS INTEGER) AS rank, CAST(distance AS DOUBLE) AS distance FROM r WHERE rank <= {KNN_K}""")
+def knn_hamming_query(spark, d):
+    """The suppliers whose names differ from a customer's name at the fewest positions."""
+    c, s = read_table(spark, d, "customer"), read_table(spark, d, "supplier")
+    nb = pairwise.nearest(c, s, "c_custkey", "s_suppkey", "c_name", "s_name", None, KNN_K, metric="hamming")
+    return nb.select(F.col("c_custkey").alias("query_id"), F.col("s_suppkey").alias("neighbor_id"), "rank", "distance")
+
+
+@query("knn_jaccard", f"""
+WITH b AS MATERIALIZED (SELECT l_orderkey AS id, list_sort(list_distinct(list(l_partkey))) AS parts FROM lineitem GROUP BY l_orderkey),
+e AS MATERIALIZED (SELECT id, len(parts) AS n, unnest(parts) AS part FROM b),
+shared AS (SELECT x.id AS query_id, y.id AS neighbor_id, 1.0 - CAST(count(*) AS DOUBLE) / CAST(any_value(x.n) + any_value(y.n) - count(*) AS DOUBLE) AS distance
+  FROM e x JOIN e y ON x.part = y.part AND x.id <> y.id GROUP BY x.id, y.id),
+few AS (SELECT id FROM b LEFT JOIN shared ON id = query_id GROUP BY id HAVING count(neighbor_id) < {KNN_K}),
+low AS (SELECT id FROM b ORDER BY id LIMIT {3 * KNN_K + 3}),
+spare AS (SELECT few.id AS query_id, low.id AS neighbor_id, CAST(1.0 AS DOUBLE) AS distance FROM few JOIN low ON few.id <> low.id
+  WHERE NOT EXISTS (SELECT 1 FROM shared WHERE shared.query_id = few.id AND shared.neighbor_id = low.id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM (SELECT * FROM shared UNION ALL SELECT * FROM spare))
+SELECT query_id, neighbor_id, CAST(rank AS INTEGER) AS rank, {rnd('distance')} AS distance FROM r WHERE rank <= {KNN_K}""")
+def knn_jaccard_query(spark, d):
+    """Orders whose sets of parts are most alike."""
+    b = read_table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("parts"))
+    q, t = b.select(F.col("l_orderkey").alias("query_id"), "parts"), b.select(F.col("l_orderkey").alias("neighbor_id"), "parts")
+    nb = pairwise.nearest_sets(q, t, "query_id", "neighbor_id", "parts", "parts", KNN_K, exclude_self=True)
+    return nb.select("query_id", "neighbor_id", "rank", r4("distance").alias("distance"))
+
+
 @query("knn_predict", lambda: f"""{_knn_top_sql()}
 SELECT query_id, label AS prediction, votes FROM (
   SELECT query_id, label, votes, row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, nearest, label) AS r

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +85,16 @@ def remove_scratch() -> None:
     _made.clear()
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors (once per Spark application), wherever the driver imported it from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tablelearn_sent", None) is None:
+        root = Path(__file__).resolve().parents[1]
+        sc._tablelearn_sent = shutil.make_archive(f"{tempfile.mkdtemp()}/tablelearn", "zip", root, "tablelearn")
+        sc.addPyFile(sc._tablelearn_sent)
+    return spark
+
+
 def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
     """The session's shuffle partition count (a non-numeric setting gives ``default``)."""
     value = spark.conf.get("spark.sql.shuffle.partitions", str(default))

@@ -54,7 +54,7 @@ def test_unseen_value(spark):
 
 def test_k_larger_than_rows(spark):
     df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(3)], "id long, v array<double>")
-    nb = pairwise.nearest(df, df, "id", "id", "v", "v", 2, k=10, exclude_self=True, n_pivots=2)
+    nb = pairwise.nearest(df, df, "id", "id", "v", "v", 2, k=10, exclude_self=True)
     counts = {r["id"]: r["n"] for r in nb.groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert counts == {0: 2, 1: 2, 2: 2}
 

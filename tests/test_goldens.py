@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablelearn.functions import distance as D
-from tablelearn.operators import bayes, cluster, encode, linear, mixture, pairwise, sequence, tree
+from tablelearn.operators import bayes, cluster, directory, encode, linear, mixture, pairwise, sequence, tree
 
 PI, A = (0.6, 0.3, 0.1), ((0.7, 0.2, 0.1), (0.25, 0.5, 0.25), (0.1, 0.1, 0.8))
 B = ((0.9, 0.1), (0.35, 0.65), (0.2, 0.8))
@@ -172,19 +172,128 @@ def test_naive_bayes_equals_counting(spark):
 
 # ---- kNN
 
-@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "chebyshev"])
+SCALES = (1.0, 2.0, 0.0)
+
+
+def plain_value(metric, a, b):
+    """The measure as a distance, or a negative similarity (None where there is none)."""
+    diff, dot = [abs(x - y) for x, y in zip(a, b)], lambda u, w: sum(x * y for x, y in zip(u, w))
+    if metric in ("cosine", "tanimoto"):
+        if not dot(a, a) or not dot(b, b):
+            return None
+        ab = dot(a, b)
+        return -ab / (math.sqrt(dot(a, a)) * math.sqrt(dot(b, b)) if metric == "cosine" else dot(a, a) + dot(b, b) - ab)
+    return {"euclidean": lambda: math.dist(a, b), "manhattan": lambda: sum(diff), "chebyshev": lambda: max(diff),
+            "minkowski": lambda: sum(d ** 3 for d in diff) ** (1 / 3),
+            "std_euclidean": lambda: math.sqrt(sum((d / s) ** 2 for d, s in zip(diff, SCALES) if s))}[metric]()
+
+
+def knn_options(metric):
+    return {"metric": metric, "p": 3.0 if metric == "minkowski" else None, "scales": SCALES if metric == "std_euclidean" else None}
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "chebyshev", "minkowski", "std_euclidean", "cosine", "tanimoto"])
 def test_knn_equals_all_pairs(spark, metric):
     r = random.Random(4)
-    rows = [(i, [float(r.randint(0, 6)) for _ in range(3)]) for i in range(150)] + [(200 + i, [1.0, 1.0, 1.0]) for i in range(60)]
+    rows = [(i, [float(r.randint(-2, 6)) for _ in range(3)]) for i in range(150)] + [(200 + i, [1.0, 1.0, 1.0]) for i in range(60)]
+    rows += [(300, [0.0, 0.0, 0.0]), (301, None), (302, [1.0, None, 2.0])]
     df = spark.createDataFrame(rows, "id long, v array<double>")
-    dist = {"euclidean": math.dist, "manhattan": lambda a, b: sum(abs(x - y) for x, y in zip(a, b)),
-            "chebyshev": lambda a, b: max(abs(x - y) for x, y in zip(a, b))}[metric]
+    got, value = defaultdict(list), "similarity" if metric in ("cosine", "tanimoto") else "distance"
+    for x in pairwise.nearest(df, df, "id", "id", "v", "v", 3, 4, exclude_self=True, block=40, fan=5, **knn_options(metric)).collect():
+        got[x["id"]].append((x["rank"], x["id_neighbor"], x[value]))
+    whole = [(i, v) for i, v in rows if v is not None and None not in v]
+    for i, v in whole:
+        scored = [(plain_value(metric, v, w), j) for j, w in whole if j != i]
+        want = sorted((s, j) for s, j in scored if s is not None)[:4]
+        mine = sorted(got.pop(i, []))
+        # ties within rounding may stand in another order only where the values differ in the last digits
+        sign = -1 if value == "similarity" else 1
+        assert [d for _, _, d in mine] == pytest.approx([sign * s for s, _ in want], abs=1e-9)
+        if metric in ("euclidean", "manhattan", "chebyshev", "tanimoto"):
+            assert [j for _, j, _ in mine] == [j for _, j in want]
+    assert not got
+
+
+def test_knn_of_strings_by_positions(spark):
+    r = random.Random(6)
+    rows = [(i, "".join(r.choice("abß") for _ in range(r.choice([0, 1, 5, 9])))) for i in range(260)] + [(900, None), (901, "solitary length")]
+    df = spark.createDataFrame(rows, "id long, s string")
     got = defaultdict(list)
-    for x in pairwise.nearest(df, df, "id", "id", "v", "v", 3, 4, exclude_self=True, metric=metric, block=16).collect():
-        got[x["id"]].append((x["rank"], x["id_neighbor"], round(x["distance"], 9)))
+    for x in pairwise.nearest(df, df, "id", "id", "s", "s", None, 3, exclude_self=True, metric="hamming", block=30, fan=4).collect():
+        got[x["id"]].append((x["rank"], x["distance"], x["id_neighbor"]))
+    for i, s in rows:
+        want = sorted((float(sum(a != b for a, b in zip(s, t))), j) for j, t in rows if j != i and t is not None and len(t) == len(s))[:3] if s is not None else []
+        assert [(d, j) for _, d, j in sorted(got.get(i, []))] == want
+
+
+@pytest.mark.parametrize("metric", ["cosine", "tanimoto"])
+def test_knn_directory_spares_pairs_of_clustered_vectors(spark, metric):
+    """Forty distant clusters: a search compares a small share of all pairs, over several levels."""
+    r = np.random.default_rng(3)
+    centres = r.normal(0, 50, (40, 4))
+    points = np.concatenate([c + r.normal(0, 0.05, (30, 4)) for c in centres])
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "_tr long, _tv array<double>")
+    space = directory.Space(metric, 4)
+    made = directory.build(space.with_place(df, "t"), space, block=40, fan=6)
+    assert len(made.levels) >= 2
+    sizes = made.blocks.collect()
+    assert sum(b["n"] for b in sizes) == 1200 and max(b["n"] for b in sizes) <= 80
+    found, sent = directory.search(space.with_place(df.toDF("_qr", "_qv"), "q"), made, 5)
+    assert found.count() == 1200 * 5
+    assert directory.visited_pairs(sent, made) < 0.25 * 1200 * 1200
+
+
+def test_knn_directory_bounds_blocks_of_equal_distances(spark):
+    """Nodes that no level divides are cut into rings and, where distances are equal, by hash; every vector is in one block."""
+    rows = [(i, [1.0 if j == i else 0.0 for j in range(90)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "_tr long, _tv array<double>")
+    space = directory.Space("euclidean", 90)
+    made = directory.build(space.with_place(df, "t"), space, block=8, fan=3, levels=2)
+    blocks = made.blocks.collect()
+    assert sum(b["n"] for b in blocks) == 90 and max(b["n"] for b in blocks) <= 30 and len(blocks) > 6
+    found, _ = directory.search(space.with_place(df.toDF("_qr", "_qv"), "q"), made, 3)
+    got = defaultdict(list)
+    for x in found.collect():
+        got[x["_qr"]].append((x["_score"], x["_tr"]))
+    assert all([j for _, j in sorted(got[i])] == [i] + [j for j in range(4) if j != i][:2] for i in range(90))
+
+
+def test_knn_queries_of_a_block_come_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(directory, "ASKED", 4)
+    monkeypatch.setattr(directory, "ROWS", 3)
+    rows = [(i, [float(i % 37), float(i // 37)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = {(x["id"], x["rank"]): x["id_neighbor"] for x in pairwise.nearest(df, df, "id", "id", "v", "v", 2, 2, exclude_self=True).collect()}
     for i, v in rows:
-        want = sorted((round(dist(v, w), 9), j) for j, w in rows if j != i)[:4]
-        assert [(j, d) for _, j, d in sorted(got[i])] == [(j, d) for d, j in want]
+        assert [got[i, 1], got[i, 2]] == [j for _, j in sorted((math.dist(v, w), j) for j, w in rows if j != i)[:2]]
+
+
+def test_nearest_sets_equal_all_pairs(spark):
+    r = random.Random(8)
+    rows = [(i, [r.choice("abcdefghijklmnopqrstuvwxyz") * r.randint(1, 3) for _ in range(r.randint(0, 7))]) for i in range(200)]
+    rows += [(300 + i, ["hot", "set"]) for i in range(40)] + [(400, None), (401, [None]), (402, [""]), (403, ["?"]), (404, ["x", None, "x"])]
+    df = spark.createDataFrame(rows, "id long, s array<string>")
+    out = pairwise.nearest_sets(df, df, "id", "id", "s", "s", 4, exclude_self=True).collect()
+    got = defaultdict(list)
+    for x in out:
+        got[x["id"]].append((x["rank"], x["id_neighbor"], round(x["distance"], 9)))
+    sets = [(i, set(s)) for i, s in rows if s is not None]
+    for i, a in sets:
+        want = sorted((round(1 - len(a & b) / len(a | b), 9) if a | b else 0.0, j) for j, b in sets if j != i)[:4]
+        assert [(d, j) for _, j, d in sorted(got.pop(i))] == want
+    assert not got
+    few = spark.createDataFrame([(1, ["a"]), (2, ["b"])], "id long, s array<string>")
+    assert [tuple(x) for x in pairwise.nearest_sets(few, few, "id", "id", "s", "s", 4).orderBy("id", "rank").collect()] == [
+        (1, 1, 1, 0.0), (1, 2, 2, 1.0), (2, 2, 1, 0.0), (2, 1, 2, 1.0)]
+    empty = few.limit(0)
+    assert pairwise.nearest_sets(empty, few, "id", "id", "s", "s", 1).count() == pairwise.nearest_sets(few, empty, "id", "id", "s", "s", 1).count() == 0
+
+
+def test_knn_refuses_unknown_measures(spark):
+    df = spark.createDataFrame([(1, [0.0])], "id long, v array<double>")
+    for options in ({"metric": "jaccard"}, {"metric": "minkowski", "p": 0.5}, {"metric": "std_euclidean", "scales": [1.0, 2.0]}):
+        with pytest.raises(ValueError):
+            pairwise.nearest(df, df, "id", "id", "v", "v", 1, 1, **options)
 
 
 def test_knn_all_distances_equal_keeps_candidates_bounded(spark):

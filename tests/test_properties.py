@@ -88,7 +88,7 @@ def test_hmm_levels_and_directions_agree(spark):
 
 def test_knn_exact_against_brute_force(spark):
     e = embeddings(spark, SF_SMALL)
-    nb = pairwise.nearest(e, e, "vec_id", "vec_id", "v", "v", 64, 4, exclude_self=True, n_pivots=7)
+    nb = pairwise.nearest(e, e, "vec_id", "vec_id", "v", "v", 64, 4, exclude_self=True)
     got = {}
     for r in nb.collect():
         got.setdefault(r["vec_id"], []).append((r["rank"], r["vec_id_neighbor"]))
@@ -151,7 +151,7 @@ def test_knn_with_a_third_of_rows_identical(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(40)]  # a group of copies
     rows += [(100 + i, [rnd.uniform(0, 5), rnd.uniform(0, 5), rnd.uniform(0, 5)]) for i in range(80)]
     df = spark.createDataFrame(rows, "id long, v array<double>")
-    nb = pairwise.nearest(df, df, "id", "id", "v", "v", 3, 5, exclude_self=True, n_pivots=6)
+    nb = pairwise.nearest(df, df, "id", "id", "v", "v", 3, 5, exclude_self=True)
     got = {}
     for r in nb.collect():
         got.setdefault(r["id"], []).append((r["rank"], r["id_neighbor"]))
