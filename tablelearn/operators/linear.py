@@ -2,10 +2,10 @@
 
 Every step is one aggregation job: the current weights are literals in the
 plan, and the job returns the error count / objective together with the
-update direction (a ``min_by`` row pick for the single-update perceptron,
-column sums for batch updates and gradients).  No window, sort or collect of
-rows is involved, so a step costs one scan of the persisted projection and
-a partial+final aggregate of a few numbers.
+update direction (column sums for batch updates and gradients), so a step costs one scan of the
+persisted projection and a partial+final aggregate of a few numbers.  Single updates
+of the perceptron come many to a job: a bounded run of rows near the boundary reaches the driver, which
+replays the updates as long as no other row can be the next one (``_Replay``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,16 +59,78 @@ def _sign_error(xs, weights, bias, y: Column) -> Column:
     return sign(_step_score(xs, weights, bias)) != y
 
 
+RUN_VALUES = 1 << 18  # feature values of one run of rows
+EVALUATED = 32  # candidates whose errors one job counts
+
+
+class _Replay:
+    """Single updates (the misclassified row of smallest key), many to a job, the same as one by one.
+
+    A job returns the first rows, in key order, that are wrong or within ``reach`` of the boundary (|z| <= reach·|x|, with
+    the bias as a feature of value 1).  While the weights have moved by no more than ``reach``, every other row up to the last
+    returned key is still right (|Δ·x| <= |Δ|·|x|), so the next error of smallest key is among the
+    returned rows, if one of them is wrong.  The reach adapts: it starts without a bound (the first rows of
+    the table), falls where a run ends without an error, and grows where a run ends by its movement.
+    """
+
+    def __init__(self, base: DataFrame, xs: Sequence[Column], label: str, key: str, lr: float, rows: int | None):
+        self.base, self.xs, self.label, self.key, self.lr = base, list(xs), label, key, lr
+        self.rows = rows or max(64, RUN_VALUES // (len(self.xs) + 1))
+        self.reach, self.jobs = float("inf"), 0
+
+    def _scores(self, x: np.ndarray, w: list, b: float) -> np.ndarray:
+        z = np.zeros(len(x))
+        for i, v in enumerate(w):  # from the first feature to the last, then the bias, as the column form does
+            z = z + x[:, i] * v
+        return z + b
+
+    def _run(self, w: list, b: float):
+        z = _step_score(self.xs, w, b)
+        wrong = sign(z) != F.col(self.label)
+        if self.reach != float("inf"):
+            size = F.sqrt(F.aggregate(F.array(*self.xs), F.lit(1.0), lambda acc, v: acc + v * v))
+            wrong = wrong | (F.abs(z) <= F.lit(self.reach * (1 + 1e-9)) * size + F.lit(1e-300))
+        else:
+            wrong = wrong.isNotNull()
+        rows = self.base.where(wrong).orderBy(self.key).limit(self.rows).select(*self.xs, F.col(self.label).cast("double").alias("_y")).collect()
+        self.jobs += 1
+        values = np.array([list(r) for r in rows], float).reshape(len(rows), len(self.xs) + 1)
+        return values[:, :-1], values[:, -1], len(rows) < self.rows
+
+    def updates(self, w: list, b: float, most: int) -> tuple[list, bool]:
+        """The next weights, one for each update, ``most`` at most (one at least, if a row is wrong); and whether none is wrong after them."""
+        out, start = [], np.array([*w, b])
+        while True:
+            x, y, whole = self._run(w, b)
+            while len(out) < most:
+                wrong = np.where(self._scores(x, w, b) >= 0, 1.0, -1.0) != y
+                i = int(wrong.argmax()) if len(wrong) else 0
+                if not len(wrong) or not wrong[i]:
+                    if whole:
+                        return out, True
+                    self.reach = self.reach / 4 if self.reach != float("inf") else 64 * self.lr * float(np.sqrt((x * x).sum(1) + 1).mean())
+                    break
+                step = self.lr * y[i]
+                w, b = [v + step * float(t) for v, t in zip(w, x[i])], b + step
+                out.append((w, b))
+                if np.linalg.norm(np.array([*w, b]) - start) > self.reach:
+                    self.reach *= 2
+                    break
+            if out or not most:
+                return out, False
+
+
 def perceptron_fit(df: DataFrame, features: Sequence[str], label: str, key: str,
                    lr: float = 0.2, init: Sequence[float] | None = None, init_bias: float = 0.0,
-                   update: str = "single", max_iter: int = 1000, seed: int | None = None) -> LinearModel:
+                   update: str = "single", max_iter: int = 100_000, seed: int | None = None, rows: int | None = None) -> LinearModel:
     """Perceptron on a ±1 integer label.
 
     ``update="single"``: each step moves the weights by the misclassified row
-    with the smallest ``key`` or, with a ``seed``, the smallest hash of (seed, step, key):
-    a random pick that is the same in every run.  ``update="batch"``: each
-    step adds lr·Σ y·x over all misclassified rows.  Stops when no row is
-    misclassified or after ``max_iter`` updates.
+    with the smallest ``key`` (unique) or, with a ``seed``, the smallest hash of (seed, step, key):
+    a random pick that is the same in every run.  Without a seed, one job serves a whole run of updates
+    (``rows`` rows at most reach the driver, see ``_Replay``); with one, each update is a job.
+    ``update="batch"``: each step adds lr·Σ y·x over all misclassified rows.  Stops when no row is
+    misclassified or after ``max_iter`` updates; ``converged`` and the last errors of ``history`` tell which.
     """
     if update not in ("single", "batch"):
         raise ValueError("update must be 'single' or 'batch'")
@@ -81,14 +144,15 @@ def perceptron_fit(df: DataFrame, features: Sequence[str], label: str, key: str,
     converged = False
     it = 0
     with persisted(base):
+        replay = _Replay(base, xs, label, key, lr, rows) if update == "single" and seed is None else None
         while True:
             err = _sign_error(xs, w, b, F.col(label))
             aggs = [F.count_if(err).alias("errors")]
-            if update == "single":
+            if update == "single" and replay is None:
                 pick = F.struct(y.alias("y"), *[x.alias(f"x{i}") for i, x in enumerate(xs)])
-                order = F.col(key) if seed is None else F.struct(F.xxhash64(F.lit(seed), F.lit(it), F.col(key)), F.col(key))
+                order = F.struct(F.xxhash64(F.lit(seed), F.lit(it), F.col(key)), F.col(key))
                 aggs.append(F.min_by(pick, F.when(err, order)).alias("pick"))
-            else:
+            elif update == "batch":
                 aggs.append(F.sum(F.when(err, y)).alias("sy"))
                 aggs += [F.sum(F.when(err, y * x)).alias(f"s{i}") for i, x in enumerate(xs)]
             row = base.agg(*aggs).first()
@@ -99,26 +163,33 @@ def perceptron_fit(df: DataFrame, features: Sequence[str], label: str, key: str,
                 break
             if it >= max_iter:
                 break
-            if update == "single":
+            if replay is not None:
+                made, ended = replay.updates(w, b, max_iter - it)
+                while not ended and it + len(made) < max_iter and len(made) < 10 * replay.rows:  # errors are counted now and then
+                    more, ended = replay.updates(*made[-1], max_iter - it - len(made))
+                    made += more
+                w, b = made[-1]
+                it += len(made)
+            elif update == "single":
                 p = row["pick"]
                 step = lr * p["y"]
                 w = [wi + step * p[f"x{i}"] for i, wi in enumerate(w)]
                 b = b + step
+                it += 1
             else:
                 w = [wi + lr * row[f"s{i}"] for i, wi in enumerate(w)]
                 b = b + lr * row["sy"]
-            it += 1
+                it += 1
     return LinearModel(features, w, b, "sign", iterations=it, converged=converged, history=hist)
 
 
 def pocket_fit(df: DataFrame, features: Sequence[str], label: str, key: str, lr: float = 0.1,
                max_iter: int = 200, init: Sequence[float] | None = None,
-               init_bias: float = 0.0) -> LinearModel:
+               init_bias: float = 0.0, rows: int | None = None) -> LinearModel:
     """Pocket perceptron: single updates, keeps the weights with the fewest errors.
 
-    Evaluation i (i = 0..max_iter) counts the errors of w_i and picks the next
-    update row in the same job; the pocket keeps the first weights reaching
-    the smallest count.
+    The updates of a run are replayed as in ``perceptron_fit``, then one job counts the errors of up to ``EVALUATED`` of the
+    weights on the way (w_0 to w_max_iter); the pocket keeps the first weights reaching the smallest count.
     """
     features = list(features)
     w = [float(v) for v in (init if init is not None else [0.0] * len(features))]
@@ -126,27 +197,26 @@ def pocket_fit(df: DataFrame, features: Sequence[str], label: str, key: str, lr:
     best_w, best_b, best_err = list(w), b, None
     base = numeric_base(df, features, keep=[key, label])
     xs = [F.col(c) for c in features]
-    y = F.col(label).cast("double")
     hist = []
-    it = 0
     with persisted(base):
-        while True:
-            err = _sign_error(xs, w, b, F.col(label))
-            pick = F.struct(y.alias("y"), *[x.alias(f"x{i}") for i, x in enumerate(xs)])
-            row = base.agg(F.count_if(err).alias("errors"),
-                           F.min_by(pick, F.when(err, F.col(key))).alias("pick")).first()
-            errors = int(row["errors"])
-            if best_err is None or errors < best_err:
-                best_w, best_b, best_err = list(w), b, errors
-            hist.append({"iteration": it, "errors": errors, "best_errors": best_err})
-            if errors == 0 or it >= max_iter:
+        replay = _Replay(base, xs, label, key, lr, rows)
+        waiting, made, ended = [(w, b)], 0, False
+        while waiting or not ended:
+            while not ended and made < max_iter and len(waiting) < EVALUATED:
+                more, ended = replay.updates(w, b, min(max_iter - made, EVALUATED - len(waiting)))
+                waiting += more
+                made += len(more)
+                w, b = more[-1] if more else (w, b)
+            ended = ended or made >= max_iter
+            part, waiting = waiting[:EVALUATED], waiting[EVALUATED:]
+            if not part:
                 break
-            p = row["pick"]
-            step = lr * p["y"]
-            w = [wi + step * p[f"x{i}"] for i, wi in enumerate(w)]
-            b = b + step
-            it += 1
-    return LinearModel(features, best_w, best_b, "sign", iterations=it,
+            counts = base.agg(*[F.count_if(_sign_error(xs, cw, cb, F.col(label))).alias(f"e{i}") for i, (cw, cb) in enumerate(part)]).first()
+            for (cw, cb), errors in zip(part, counts):
+                if best_err is None or errors < best_err:
+                    best_w, best_b, best_err = list(cw), cb, int(errors)
+                hist.append({"iteration": len(hist), "errors": int(errors), "best_errors": best_err})
+    return LinearModel(features, best_w, best_b, "sign", iterations=made,
                        converged=best_err == 0, history=hist, best_errors=best_err)
 
 

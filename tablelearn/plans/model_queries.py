@@ -21,8 +21,8 @@ XS = ["x1", "x2"]
 DOC_XS = ["x_len", "x_en"]
 NB_FEATURES = ["lang", "source", "len_bucket"]
 ID3_FEATURES, ID3_THRESHOLD = ["lang", "len_bucket", "source"], 1e-2
-PERCEPTRON_STEPS, PERCEPTRON_LR = 200, 0.2  # the limit; the separable labels need more updates than is useful here
-BATCH_STEPS = 40
+PERCEPTRON_LR = 0.2  # single updates run until no row is wrong
+BATCH_STEPS = 1000  # the labels are separated long before
 POCKET_STEPS, POCKET_LR = 200, 0.1
 LR_STEPS, LR_RATE, LR_TOL = 40, 0.05, 1e-3
 LOGIT_W = (2.0, -1.5)
@@ -45,41 +45,28 @@ def _weights_sql(last: str, names=("x1", "x2")) -> str:
 
 
 # ------------------------------------------------------------------ perceptron
-def _perceptron_ctes(steps: int, lr: float, label: str, mode: str) -> tuple[dict, str]:
-    """CTEs w0..wN of the perceptron weights ('single', 'batch') or pocket evaluations."""
+def _pocket_ctes(steps: int, lr: float, label: str) -> dict:
+    """CTEs w0..wN of the weights after each single update, e1.. of their errors, and ``best``."""
     parts = {"pts": PART_POINTS_SQL,
              "w0": f"SELECT {dbl(0.0)} AS w1, {dbl(0.0)} AS w2, {dbl(0.0)} AS b"}
-    lrs = dbl(lr)
-    n_eval = steps + 1 if mode == "pocket" else steps
-    for i in range(1, n_eval + 1):
+    lrs, y = dbl(lr), f"CAST({label} AS DOUBLE)"
+    for i in range(1, steps + 2):
         p = f"w{i - 1}"
         pred = f"CASE WHEN (x1 * {p}.w1 + x2 * {p}.w2) + {p}.b >= 0 THEN 1 ELSE -1 END"
-        y = f"CAST({label} AS DOUBLE)"
-        if mode == "batch":
-            parts[f"e{i}"] = (f"SELECT count(*) AS errors, sum({y}) AS sy, sum({y} * x1) AS s1, "
-                              f"sum({y} * x2) AS s2 FROM pts, {p} WHERE {pred} <> {label}")
-            if i <= steps:
-                parts[f"w{i}"] = (
-                    f"SELECT CASE WHEN e.errors > 0 THEN p.w1 + {lrs} * e.s1 ELSE p.w1 END AS w1, "
-                    f"CASE WHEN e.errors > 0 THEN p.w2 + {lrs} * e.s2 ELSE p.w2 END AS w2, "
-                    f"CASE WHEN e.errors > 0 THEN p.b + {lrs} * e.sy ELSE p.b END AS b FROM {p} p, e{i} e")
-        else:
-            parts[f"e{i}"] = (f"SELECT {i - 1} AS it, count(*) AS errors, arg_min({y}, p_partkey) AS y, "
-                              f"arg_min(x1, p_partkey) AS x1, arg_min(x2, p_partkey) AS x2 "
-                              f"FROM pts, {p} WHERE {pred} <> {label}")
-            if i <= steps:
-                parts[f"w{i}"] = (
-                    f"SELECT CASE WHEN e.errors > 0 THEN p.w1 + ({lrs} * e.y) * e.x1 ELSE p.w1 END AS w1, "
-                    f"CASE WHEN e.errors > 0 THEN p.w2 + ({lrs} * e.y) * e.x2 ELSE p.w2 END AS w2, "
-                    f"CASE WHEN e.errors > 0 THEN p.b + {lrs} * e.y ELSE p.b END AS b FROM {p} p, e{i} e")
-    if mode == "pocket":
-        evals = " UNION ALL ".join(
-            f"SELECT e{i}.it, e{i}.errors, w{i - 1}.w1, w{i - 1}.w2, w{i - 1}.b FROM e{i}, w{i - 1}"
-            for i in range(1, n_eval + 1))
-        parts["best"] = (f"SELECT arg_min(w1, (errors, it)) AS w1, arg_min(w2, (errors, it)) AS w2, "
-                         f"arg_min(b, (errors, it)) AS b FROM ({evals})")
-        return parts, "best"
-    return parts, f"w{steps}"
+        parts[f"e{i}"] = (f"SELECT {i - 1} AS it, count(*) AS errors, arg_min({y}, p_partkey) AS y, "
+                          f"arg_min(x1, p_partkey) AS x1, arg_min(x2, p_partkey) AS x2 "
+                          f"FROM pts, {p} WHERE {pred} <> {label}")
+        if i <= steps:
+            parts[f"w{i}"] = (
+                f"SELECT CASE WHEN e.errors > 0 THEN p.w1 + ({lrs} * e.y) * e.x1 ELSE p.w1 END AS w1, "
+                f"CASE WHEN e.errors > 0 THEN p.w2 + ({lrs} * e.y) * e.x2 ELSE p.w2 END AS w2, "
+                f"CASE WHEN e.errors > 0 THEN p.b + {lrs} * e.y ELSE p.b END AS b FROM {p} p, e{i} e")
+    evals = " UNION ALL ".join(
+        f"SELECT e{i}.it, e{i}.errors, w{i - 1}.w1, w{i - 1}.w2, w{i - 1}.b FROM e{i}, w{i - 1}"
+        for i in range(1, steps + 2))
+    parts["best"] = (f"SELECT arg_min(w1, (errors, it)) AS w1, arg_min(w2, (errors, it)) AS w2, "
+                     f"arg_min(b, (errors, it)) AS b FROM ({evals})")
+    return parts
 
 
 def _predict_sign_sql(parts, last):
@@ -88,27 +75,47 @@ def _predict_sign_sql(parts, last):
 
 
 def _perceptron_model(spark, d, update="single"):
-    steps = PERCEPTRON_STEPS if update == "single" else BATCH_STEPS
-    return linear.perceptron_fit(part_points(spark, d), XS, "y_sep", "p_partkey", lr=PERCEPTRON_LR,
-                                 update=update, max_iter=steps)
+    limit = {} if update == "single" else {"max_iter": BATCH_STEPS}
+    return linear.perceptron_fit(part_points(spark, d), XS, "y_sep", "p_partkey", lr=PERCEPTRON_LR, update=update, **limit)
+
+
+def _perceptron_sql() -> str:
+    """Weights after each single update, until no row is wrong, as a recursive table."""
+    pred = "CASE WHEN (x1 * w1 + x2 * w2) + b >= 0 THEN 1 ELSE -1 END"
+    return f"""WITH RECURSIVE pts AS MATERIALIZED ({PART_POINTS_SQL}),
+w AS (SELECT 0 AS it, {dbl(0.0)} AS w1, {dbl(0.0)} AS w2, {dbl(0.0)} AS b
+  UNION ALL
+  SELECT it + 1, w1 + ({dbl(PERCEPTRON_LR)} * y) * e1, w2 + ({dbl(PERCEPTRON_LR)} * y) * e2, b + {dbl(PERCEPTRON_LR)} * y
+  FROM (SELECT it, w1, w2, b, arg_min(CAST(y_sep AS DOUBLE), p_partkey) AS y, arg_min(x1, p_partkey) AS e1, arg_min(x2, p_partkey) AS e2
+    FROM w, pts WHERE {pred} <> y_sep GROUP BY it, w1, w2, b)),
+last AS MATERIALIZED (SELECT w1, w2, b FROM w ORDER BY it DESC LIMIT 1)
+"""
 
 
-@query("perceptron_fit", lambda: "{}\n{}".format(
-    cte(**_perceptron_ctes(PERCEPTRON_STEPS, PERCEPTRON_LR, "y_sep", "single")[0]),
-    _weights_sql(f"w{PERCEPTRON_STEPS}")))
+@query("perceptron_fit", lambda: _perceptron_sql() + _weights_sql("last"))
 def perceptron_fit_query(spark, d):
     return _round_model(_perceptron_model(spark, d).to_df(spark))
 
 
-@query("perceptron_fit_batch", lambda: "{}\n{}".format(
-    cte(**_perceptron_ctes(BATCH_STEPS, PERCEPTRON_LR, "y_sep", "batch")[0]),
-    _weights_sql(f"w{BATCH_STEPS}")))
+def _perceptron_batch_sql() -> str:
+    """Weights after each batch update, until no row is wrong, as a recursive table."""
+    pred, lr = "CASE WHEN (x1 * w1 + x2 * w2) + b >= 0 THEN 1 ELSE -1 END", dbl(PERCEPTRON_LR)
+    return f"""WITH RECURSIVE pts AS MATERIALIZED ({PART_POINTS_SQL}),
+w AS (SELECT 0 AS it, {dbl(0.0)} AS w1, {dbl(0.0)} AS w2, {dbl(0.0)} AS b
+  UNION ALL
+  SELECT it + 1, w1 + {lr} * s1, w2 + {lr} * s2, b + {lr} * sy
+  FROM (SELECT it, w1, w2, b, sum(CAST(y_sep AS DOUBLE)) AS sy, sum(y_sep * x1) AS s1, sum(y_sep * x2) AS s2
+    FROM w, pts WHERE it < {BATCH_STEPS} AND {pred} <> y_sep GROUP BY it, w1, w2, b)),
+last AS MATERIALIZED (SELECT w1, w2, b FROM w ORDER BY it DESC LIMIT 1)
+"""
+
+
+@query("perceptron_fit_batch", lambda: _perceptron_batch_sql() + _weights_sql("last"))
 def perceptron_fit_batch_query(spark, d):
     return _round_model(_perceptron_model(spark, d, "batch").to_df(spark))
 
 
-@query("perceptron_predict", lambda: _predict_sign_sql(
-    *_perceptron_ctes(PERCEPTRON_STEPS, PERCEPTRON_LR, "y_sep", "single")))
+@query("perceptron_predict", lambda: _perceptron_sql() + "SELECT p_partkey, CASE WHEN (x1 * w1 + x2 * w2) + b >= 0 THEN 1 ELSE -1 END AS prediction FROM pts, last")
 def perceptron_predict_query(spark, d):
     m = _perceptron_model(spark, d)
     return linear.linear_predict(part_points(spark, d), m).select("p_partkey", "prediction")
@@ -120,13 +127,13 @@ def _pocket_model(spark, d):
 
 
 @query("pocket_fit", lambda: "{}\n{}".format(
-    cte(**_perceptron_ctes(POCKET_STEPS, POCKET_LR, "y_mix", "pocket")[0]), _weights_sql("best")))
+    cte(**_pocket_ctes(POCKET_STEPS, POCKET_LR, "y_mix")), _weights_sql("best")))
 def pocket_fit_query(spark, d):
     return _round_model(_pocket_model(spark, d).to_df(spark))
 
 
 @query("pocket_predict", lambda: _predict_sign_sql(
-    *_perceptron_ctes(POCKET_STEPS, POCKET_LR, "y_mix", "pocket")))
+    _pocket_ctes(POCKET_STEPS, POCKET_LR, "y_mix"), "best"))
 def pocket_predict_query(spark, d):
     m = _pocket_model(spark, d)
     return linear.linear_predict(part_points(spark, d), m).select("p_partkey", "prediction")

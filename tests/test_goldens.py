@@ -476,3 +476,53 @@ def test_mean_of_vectors_of_different_lengths_is_null(spark):
     df = spark.createDataFrame([("x", [1.0, 2.0]), ("x", [3.0, 4.0]), ("y", [1.0, 2.0]), ("y", [1.0, 2.0, 3.0])], "g string, v array<double>")
     got = {r["g"]: r["mean_vec"] for r in pairwise.group_means(df, "g", "v", 2).collect()}
     assert got == {"x": [2.0, 3.0], "y": None}
+
+
+# ---- perceptron updates replayed from runs of rows
+
+def one_by_one(rows, lr, most):
+    """Weights after every single update: the wrong row of smallest key."""
+    w, b, out = [0.0] * len(rows[0][1]), 0.0, [([0.0] * len(rows[0][1]), 0.0)]
+    for _ in range(most):
+        wrong = [(k, x, y) for k, x, y in rows if (1 if sum(p * q for p, q in zip(x, w)) + b >= 0 else -1) != y]
+        if not wrong:
+            break
+        _, x, y = min(wrong)
+        w, b = [p + (lr * y) * q for p, q in zip(w, x)], b + lr * y
+        out.append((w, b))
+    return out
+
+
+@pytest.mark.parametrize("rows_in_run", [5, None])
+def test_perceptron_replay_equals_single_updates(spark, rows_in_run):
+    r = random.Random(3)
+    for apart in (True, False):
+        rows = []
+        for k in range(90):
+            x = [round(r.uniform(-2, 2), 3), round(r.uniform(0, 9), 3)]
+            side = x[0] * 2 - x[1] * 0.3 + 0.4
+            rows.append((k, x, (1 if side >= 0 else -1) if apart else r.choice([1, -1])))
+        r.shuffle(rows)
+        df = spark.createDataFrame([(k, *x, y) for k, x, y in rows] + [(200, None, 1.0, 1), (201, 1.0, 1.0, None)], "k long, a double, b double, y int")
+        want = one_by_one(rows, 0.2, 60)
+        got = linear.perceptron_fit(df, ["a", "b"], "y", "k", max_iter=60, rows=rows_in_run)
+        assert (got.weights, got.bias, got.iterations) == (*want[-1], len(want) - 1)
+        errors = [sum((1 if sum(p * q for p, q in zip(x, w)) + b >= 0 else -1) != y for _, x, y in rows) for w, b in want]
+        assert got.converged == (errors[-1] == 0) and got.history[-1]["errors"] == errors[-1]
+        pocket = linear.pocket_fit(df, ["a", "b"], "y", "k", lr=0.2, max_iter=60, rows=rows_in_run)
+        assert [h["errors"] for h in pocket.history] == errors and pocket.iterations == len(want) - 1
+        assert (pocket.weights, pocket.bias, pocket.best_errors) == (*want[errors.index(min(errors))], min(errors))
+
+
+def test_perceptron_replay_needs_few_jobs(spark):
+    """Rows far from the boundary don't end a run: the jobs are much fewer than the updates."""
+    r = np.random.default_rng(5)
+    size = r.integers(1, 51, 3000)
+    x = np.c_[size / 50, r.uniform(0, 1, 3000)]
+    df = spark.createDataFrame([(i, float(a), float(b), 1 if s >= 26 else -1) for i, ((a, b), s) in enumerate(zip(x, size))], "k long, a double, b double, y int")
+    made = linear._Replay(df.persist(), [F.col("a"), F.col("b")], "y", "k", 0.2, 200)
+    w, b, n, ended = [0.0, 0.0], 0.0, 0, False
+    while not ended:
+        more, ended = made.updates(w, b, 100_000)
+        w, b, n = (*more[-1], n + len(more)) if more else (w, b, n)
+    assert n > 5 * made.jobs and ((x @ np.array(w) + b >= 0) == (size >= 26)).all()
