@@ -70,6 +70,24 @@ def _arg_first(values: Sequence[Column], best: Column) -> Column:
     return F.when(~any_null(values), expr)
 
 
+WIDE = 64  # entries beyond which means of vectors are one aggregate of arrays, not one aggregate an entry
+
+
+def mean_array(vector: Column, dim: int) -> Column:
+    """Element-wise mean of a column of ``dim`` doubles as one aggregate (null vectors don't count; null if there is no other).
+
+    The aggregate keeps one buffer of sums however long the vector is, where one aggregate an entry would
+    make a row of as many buffers and more code than the JVM compiles.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    filled = F.coalesce(vector, F.array_repeat(F.lit(0.0), dim))  # adds nothing to the sum
+    total_ = vector_to_array(Summarizer.metrics("sum").summary(array_to_vector(filled)).getField("sum"))
+    n = F.count(vector)
+    return F.when(n > 0, F.zip_with(total_, F.array_repeat(n, dim), lambda x, c: x / c))
+
+
 def argmin(values: Sequence[Column]) -> Column:
     """Index of the smallest value; ties go to the smallest index; null if any value is null."""
     return _arg_first(values, F.least(*values) if len(values) > 1 else values[0])

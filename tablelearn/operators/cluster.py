@@ -16,6 +16,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.vector import WIDE, mean_array
 from .loop import history_df, numeric_base, persisted
 from .relational import first_k
 
@@ -60,12 +61,14 @@ def kmeans_assign(df: DataFrame, features: Sequence[str], centers: Sequence[Sequ
 
 def kmeans_update(assigned: DataFrame, features: Sequence[str], cluster: str = "cluster",
                   distance: str = "distance") -> DataFrame:
-    """New centres (means), sizes and cost (sum of distances) per cluster."""
+    """New centres (means m0, m1, …; of more than ``WIDE`` features one array, ``m``), sizes and cost (sum of distances) per cluster."""
+    xs = [F.col(c).cast("double") for c in features]
+    means = [mean_array(F.array(*xs), len(xs)).alias("m")] if len(xs) > WIDE else [F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]
     return assigned.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(distance).alias("cost"),
         F.sum(F.col(distance) * F.col(distance)).alias("sq_cost"),
-        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(features)],
+        *means,
     )
 
 
@@ -105,7 +108,7 @@ def kmeans_fit(df: DataFrame, features: Sequence[str], k: int, key: str | None =
             for r in rows:
                 j = r["cluster"]
                 sizes[j], costs[j] = int(r["n"]), float(r["cost"])
-                new[j] = [float(r[f"m{i}"]) for i in range(len(features))]
+                new[j] = [float(v) for v in (r["m"] if len(features) > WIDE else [r[f"m{i}"] for i in range(len(features))])]
             cost = sum(costs)
             hist.append({"iteration": it, "cost": cost,
                          "sq_cost": sum(float(r["sq_cost"]) for r in rows)})

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import sigmoid, sign
-from ..functions.vector import linear
+from ..functions.vector import WIDE, linear, mean_array
 from .encode import LabelIndex, label_totals
 from .loop import history_df, numeric_base, persisted
 
@@ -226,20 +226,28 @@ def _softplus(t: Column) -> Column:
 
 
 def logreg_step(base: DataFrame, features: Sequence[str], y: str, weights: Sequence[float], bias: float = 0.0) -> DataFrame:
-    """One row: mean log-loss, mean probability of the true class, and the mean gradient (g_bias, g0, g1, ...).
+    """One row: mean log-loss, mean probability of the true class, and the mean gradient (g_bias, g0, g1, ...;
+    of more than ``WIDE`` features one array, ``g``).
 
     ``y`` holds 0.0 and 1.0; rows where it or a feature is null do not count.
     """
     xs = [F.col(c).cast("double") for c in features]
     yv = F.col(y)
     z = _step_score(xs, weights, bias)
-    staged = base.select(F.when(yv.isNotNull(), z).alias("_z"), yv.alias("_y"), *[x.alias(f"_x{i}") for i, x in enumerate(xs)])
+    wide = len(xs) > WIDE
+    held = [F.array(*xs).alias("_x")] if wide else [x.alias(f"_x{i}") for i, x in enumerate(xs)]
+    staged = base.select(F.when(yv.isNotNull(), z).alias("_z"), yv.alias("_y"), *held)
     z, yv = F.col("_z"), F.col("_y")
     s = sigmoid(z)
     loss = F.when(yv == 1.0, _softplus(-z)).when(yv == 0.0, _softplus(z))
+    if wide:
+        staged = staged.withColumn("_r", s - yv)
+        gradient = [mean_array(F.transform("_x", lambda x: x * F.col("_r")), len(xs)).alias("g")]
+    else:
+        gradient = [F.avg((s - yv) * F.col(f"_x{i}")).alias(f"g{i}") for i in range(len(xs))]
     return staged.where(z.isNotNull()).agg(
         F.avg(loss).alias("log_loss"), F.avg(yv * s + (F.lit(1.0) - yv) * (F.lit(1.0) - s)).alias("mean_true_prob"),
-        F.avg(s - yv).alias("g_bias"), *[F.avg((s - yv) * F.col(f"_x{i}")).alias(f"g{i}") for i in range(len(xs))])
+        F.avg(s - yv).alias("g_bias"), *gradient)
 
 
 def logreg_fit(df: DataFrame, features: Sequence[str], label: str, lr: float = 0.05,
@@ -272,7 +280,8 @@ def logreg_fit(df: DataFrame, features: Sequence[str], label: str, lr: float = 0
             if prev is not None and abs(obj - prev) <= tol:
                 converged = True
                 break
-            w = [wi - lr * row[f"g{i}"] for i, wi in enumerate(w)]
+            gradient = row["g"] if len(features) > WIDE else [row[f"g{i}"] for i in range(len(features))]
+            w = [wi - lr * g for wi, g in zip(w, gradient)]
             if fit_intercept:
                 b = b - lr * row["g_bias"]
             prev = obj

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import distance as D
+from ..functions.vector import WIDE, mean_array
 from .directory import BLOCK, FAN, SIMILARITIES, Space, build, search
 from .relational import top_k_per_group, written
 
@@ -27,16 +28,22 @@ BROADCAST_ROWS = 10_000  # a keyed side is broadcast up to this many rows (count
 
 def group_means(df: DataFrame, group: str | Sequence[str], vec: str, dim: int,
                 out: str = "mean_vec") -> DataFrame:
-    """Element-wise mean vector per group (d averages in one partial/final aggregate).
+    """Element-wise mean vector per group, in one partial/final aggregate.
 
-    ``dim`` is the declared length; a group with a vector of another length has a null mean.
+    ``dim`` is the declared length; a group with a vector of another length has a null mean, and so has one of more than
+    ``WIDE`` entries with a null entry in a vector (up to ``WIDE``, null entries are left out of their mean).
     """
     keys = [group] if isinstance(group, str) else list(group)
+    ends = [F.count(F.lit(1)).alias("n"), F.min(F.size(vec)).alias("_least"), F.max(F.size(vec)).alias("_most")]
+    right = (F.col("_least") == dim) & (F.col("_most") == dim)
+    if dim > WIDE:
+        broken = F.exists(vec, lambda x: x.isNull())
+        whole = F.when((F.size(vec) == dim) & ~broken, F.col(vec).cast("array<double>"))
+        agg = df.groupBy(*keys).agg(*ends, F.count_if(broken).alias("_broken"), mean_array(whole, dim).alias("_mean"))
+        return agg.select(*keys, "n", F.when(right & (F.col("_broken") == 0), F.col("_mean")).alias(out))
     avgs = [F.expr(f"avg(CAST(get(`{vec}`, {i}) AS DOUBLE)) AS _m{i}") for i in range(dim)]
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.size(vec)).alias("_least"),
-                                F.max(F.size(vec)).alias("_most"), *avgs)
     mean = F.expr("array(" + ", ".join(f"_m{i}" for i in range(dim)) + ")")
-    return agg.select(*keys, "n", F.when((F.col("_least") == dim) & (F.col("_most") == dim), mean).alias(out))
+    return df.groupBy(*keys).agg(*ends, *avgs).select(*keys, "n", F.when(right, mean).alias(out))
 
 
 def keyed_distance(left: DataFrame, right: DataFrame, on: Sequence[str], left_vec: str,

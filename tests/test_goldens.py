@@ -526,3 +526,37 @@ def test_perceptron_replay_needs_few_jobs(spark):
         more, ended = made.updates(w, b, 100_000)
         w, b, n = (*more[-1], n + len(more)) if more else (w, b, n)
     assert n > 5 * made.jobs and ((x @ np.array(w) + b >= 0) == (size >= 26)).all()
+
+
+# ---- wide vectors
+
+def test_means_of_wide_vectors(spark):
+    """2,000 entries: one aggregate of arrays."""
+    r = np.random.default_rng(1)
+    x = r.normal(size=(60, 2000))
+    rows = [(i, i % 3, [float(v) for v in x[i]]) for i in range(60)] + [(90, 1, None), (91, 7, [1.0]), (92, 8, [None] + [1.0] * 1999)]
+    df = spark.createDataFrame(rows, "id long, g int, v array<double>")
+    out = pairwise.group_means(df, "g", "v", 2000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("avg(") == 0
+    got = {q["g"]: q["mean_vec"] for q in out.collect()}
+    for g in range(3):
+        assert got[g] == pytest.approx(x[g::3].mean(0), abs=1e-12)
+    assert got[7] is None and got[8] is None
+
+
+def test_fits_of_wide_tables_equal_narrow_ones(spark, monkeypatch):
+    r = np.random.default_rng(2)
+    x = r.normal(size=(80, 6)) + r.integers(0, 2, (80, 1)) * 4
+    names = [f"f{i}" for i in range(6)]
+    df = spark.createDataFrame([(i, "a" if x[i].sum() > 9 else "b", *map(float, x[i])) for i in range(80)], "id long, y string, " + ", ".join(f"{n} double" for n in names))
+
+    def fits():
+        lr, km = linear.logreg_fit(df, names, "y", tol=-1.0, max_iter=6), cluster.kmeans_fit(df, names, 3, "id", max_iter=5, tol=-1.0)
+        return lr.weights, [v for c in km.centers for v in c]
+
+    narrow = fits()
+    for module in (linear, cluster):
+        monkeypatch.setattr(module, "WIDE", 2)
+    for a, b in zip(narrow, fits()):
+        assert a == pytest.approx(b, abs=1e-9)
