@@ -6,10 +6,7 @@ all executors), so a lost executor costs a re-read and never a wrong result.
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,21 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path, shuffle_partitions
+from ..session import scratch_path, ship_package, shuffle_partitions
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors (once per Spark application), wherever the driver imported it from."""
-    sc = spark.sparkContext
-    if getattr(sc, "_tablelearn_sent", None) is None:
-        root = Path(__file__).resolve().parents[2]
-        sc._tablelearn_sent = shutil.make_archive(f"{tempfile.mkdtemp()}/tablelearn", "zip", root, "tablelearn")
-        sc.addPyFile(sc._tablelearn_sent)
-    return spark
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
