@@ -85,8 +85,8 @@ class Space:
             df = df.withColumn(p, F.zip_with(v, inverse, lambda x, i: x * i))
         if self.metric == "hamming":
             df = df.withColumn(p, F.split(v, ""))
-        root = F.char_length(v).cast("long") if self.metric == "hamming" else F.lit(0).cast("long")
-        return df.withColumn("_node", root)
+        root = F.char_length(v) if self.metric == "hamming" else F.size(v)  # a tree for each length
+        return df.withColumn("_node", root.cast("long"))
 
     def place(self, side: str) -> str:
         return f"_{side}p" if self.placed else f"_{side}v"
@@ -168,6 +168,7 @@ class Directory:
     levels: list  # of (centres of each node as an array, children)
     points: DataFrame  # _level, _node, _ring, _tr, _tv, …
     blocks: DataFrame  # _level, _node, _ring, n, _lo, _hi, _alo, _ahi
+    whole: bool  # every tree is one block
 
 
 KEYS = ["_level", "_node", "_ring"]
@@ -184,10 +185,12 @@ def _near(df: DataFrame, centres: DataFrame, space: Space, side: str) -> DataFra
 def build(vectors: DataFrame, space: Space, block: int = BLOCK, fan: int = FAN, levels: int = LEVELS) -> Directory:
     """The directory over distinct ``vectors`` (_tr, _tv, and what ``Space.with_place`` adds)."""
     place, spread = space.place("t"), [F.min("_ta").alias("_alo"), F.max("_ta").alias("_ahi")]
+    whole = False
     here, made, ended = vectors.withColumn("_d", F.lit(None).cast("double")), [], []
     for level in range(levels):
         large = written(here.groupBy("_node").count().where(F.col("count") > block).select("_node"), "ball-nodes")
         if large.isEmpty():
+            whole = level == 0
             break
         chosen = top_k_per_group(here.join(large, "_node").select("_node", "_tr", F.col(place).alias("_centre")),
                                  ["_node"], [F.xxhash64("_tr"), F.col("_tr")], fan, "_c")
@@ -206,7 +209,7 @@ def build(vectors: DataFrame, space: Space, block: int = BLOCK, fan: int = FAN,
     points = points.drop("_tp") if space.placed else points
     points = written(_rings(points, block), "ball-blocks")
     blocks = written(points.groupBy(*KEYS).agg(F.count("*").alias("n"), F.min("_d").alias("_lo"), F.max("_d").alias("_hi"), *spread), "ball-list")
-    return Directory(space, fan, made, points, blocks)
+    return Directory(space, fan, made, points, blocks, whole)
 
 
 def _rings(points: DataFrame, block: int) -> DataFrame:
@@ -264,10 +267,10 @@ def _met(sent: DataFrame, queries: DataFrame, directory: Directory, kk: int) ->
 def search(queries: DataFrame, directory: Directory, kk: int) -> tuple[DataFrame, DataFrame]:
     """The kk best vectors (_qr, _tr, _score) of ``queries`` (_qr, _qv, and what ``with_place`` adds), and the blocks each one met."""
     space, by_bound = directory.space, directory.space.metric != "tanimoto"
-    if not directory.levels:  # roots only: nothing to rule out
-        sent = queries.select("_qr", "_node").join(directory.blocks, "_node").select("_qr", *KEYS)
+    if directory.whole:  # nothing to rule out
+        sent = written(queries.select("_qr", F.lit(0).alias("_level"), "_node", F.lit(0).cast("long").alias("_ring")), "ball-sent")
         return _met(sent, queries, directory, kk), sent
-    here, homes, least = queries.withColumn("_d", F.lit(None).cast("double")).withColumn("_gap", F.lit(None).cast("double")), [], []
+    here, homes = queries.withColumn("_d", F.lit(None).cast("double")).withColumn("_gap", F.lit(None).cast("double")), []
     keep = ["_qr", "_node", "_d", "_gap"]
     for level, (centres, _) in enumerate(directory.levels):
         moved = _near(here, centres, space, "q")
