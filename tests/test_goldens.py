@@ -170,6 +170,41 @@ def test_naive_bayes_equals_counting(spark):
         assert sorted(map(tuple, got), key=repr) == sorted(((*q, best(q)) for q in queries), key=repr)
 
 
+def test_naive_bayes_of_many_classes(spark):
+    """100,000 classes, their counts and cells as tables: against counting over the candidates of each row."""
+    n = 100_000
+    c = F.format_string("c%06d", F.col("id") % n)
+    train = spark.range(3 * n).select(
+        c.alias("y"), F.when(F.col("id") % n < 7, F.lit("hot")).otherwise((F.col("id") % 5000).cast("string")).alias("a"),
+        F.when(F.col("id") % 4 != 0, (F.col("id") % 11).cast("string")).alias("b"))
+    extra = spark.range(50).select(F.lit("c000500").alias("y"), F.lit("500").alias("a"), F.lit(None).cast("string").alias("b"))
+    train = train.unionByName(extra)
+    model = bayes.nb_fit(train, ["a", "b"], "y")
+    assert model.n_classes == n and model.n_rows == 3 * n + 50
+    queries = [("500", "3"), ("hot", "1"), ("hot", None), ("none", "none"), (None, "10"), (None, None), ("4999", None)]
+    got = {tuple(r)[:2]: r["prediction"] for r in bayes.nb_predict(spark.createDataFrame(queries, "a string, b string"), model).collect()}
+    rows = train.toPandas()
+    n_c = Counter(rows["y"])
+    cells = [Counter(zip(rows["y"], rows[f])) for f in "ab"]
+    seen = [rows[f].nunique() for f in "ab"]
+    for q in queries:
+        score = {y: math.log(n_c[y] + 1) + sum(math.log((cells[f][y, v] + 1) / (n_c[y] + seen[f])) for f, v in enumerate(q) if v is not None)
+                 for y in n_c}
+        top = max(score.values())
+        assert got[q] == min(y for y, s in score.items() if s > top - 1e-9)
+
+
+def test_naive_bayes_scores_a_stream(spark, tmp_path):
+    rows = [("u", "1", "p"), ("u", "2", "p"), ("v", "1", "q"), (None, "2", "q")]
+    df = spark.createDataFrame(rows, "a string, b string, y string")
+    model = bayes.nb_fit(df, ["a", "b"], "y")
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    q = bayes.nb_predict(stream, model).writeStream.format("memory").queryName("nb_stream").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(map(repr, spark.table("nb_stream").collect())) == sorted(map(repr, bayes.nb_predict(df, model).collect()))
+
+
 # ---- kNN
 
 SCALES = (1.0, 2.0, 0.0)
