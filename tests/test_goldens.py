@@ -55,6 +55,51 @@ def test_hmm_unknown_symbols_are_impossible_not_absent(spark, method):
     assert pos == {(1, 1): 0, (1, 2): None, (1, 3): 1, (2, 1): None, (3, 1): 0, (3, 2): 1}
 
 
+def log_forward(pi, a, b, obs):
+    u, s = None, 0.0
+    for o in obs:
+        u = (pi if u is None else u @ a) * b[:, o]
+        s, u = s + math.log(u.sum()), u / u.sum()
+    return s
+
+
+@pytest.mark.parametrize("method", ["forward", "backward"])
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_hmm_of_many_states_and_symbols(spark, method, limit, monkeypatch):
+    """64 states, 100,000 symbols; one key holds a third of the events and lies in several partitions."""
+    monkeypatch.setattr(sequence, "BROADCAST_BYTES", limit)
+    rng, n, m = np.random.default_rng(4), 64, 100_000
+    pi, a, b = rng.dirichlet(np.ones(n)), rng.dirichlet(np.ones(n), n), rng.dirichlet(np.ones(m), n)
+    seqs = {k: rng.integers(0, m, 400 if k == 3 else int(rng.integers(1, 40))) for k in range(40)}
+    rows = [(f"k{k:02d}", t, f"s{o}") for k, s in seqs.items() for t, o in enumerate(s)]
+    df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "k string, t int, o string")
+    got = {r["k"]: (r["n_obs"], r["log_likelihood"]) for r in sequence.hmm_score(
+        df, "k", ["t"], "o", pi, a, b, symbols=[f"s{i}" for i in range(m)], method=method, partitions=7, chunk=50).collect()}
+    assert len(got) == len(seqs)
+    for k, s in seqs.items():
+        assert got[f"k{k:02d}"] == (len(s), pytest.approx(log_forward(pi, a, b, s)))
+
+
+def test_hmm_pieces_without_mass_null_keys_and_emission_tables(spark):
+    """A chain that cannot leave its state, cut into one partition per event or so; emissions as a table."""
+    pi, a, b = (1.0, 0.0), ((1.0, 0.0), (0.0, 1.0)), spark.createDataFrame(
+        [("x", [1e-20, 0.5]), ("y", [0.5, 0.0])], "sym string, p array<double>")
+    rows = [(None, t, "x") for t in range(9)] + [(1, t, "y") for t in range(9)] + [(2, 0, "y"), (2, 1, "z"), (2, 2, "y")]
+    df = spark.createDataFrame(rows, "k int, t int, o string")
+    for method in ("forward", "backward"):
+        for partitions in (1, 3, 20):
+            got = {r["k"]: r["log_likelihood"] for r in sequence.hmm_score(df, "k", ["t"], "o", pi, a, b, method=method, partitions=partitions).collect()}
+            assert got[None] == pytest.approx(9 * math.log(1e-20)) and got[1] == pytest.approx(9 * math.log(0.5))
+            assert got[2] == float("-inf") and len(got) == 3
+
+
+def test_hmm_moves_the_events_once(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"), F.lit("a").alias("o"))
+    plan = sequence._sorted_events(df, "k", ["t"], "o", B, ["a", "b"], 3, False, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning(_key") == 1 and "SortMergeJoin" not in plan.split("rangepartitioning(_key")[0]
+    assert plan.split("rangepartitioning(_key")[1].split("BroadcastExchange")[0].count("Exchange") == 0
+
+
 # ---- ID3
 
 def tree_rows(n=60, seed=2):
