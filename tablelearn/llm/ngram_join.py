@@ -9,8 +9,8 @@ Large sets put their rarest shingles (a prefix that two similar sets must
 share) into inverted lists.  The lists are scanned twice: first every set against
 one pivot of its list and size class, which joins groups of near copies without
 pairing them; then only pairs whose sets are still in different groups and
-whose places in the prefixes and outlines (counts of shingles in a few hash cells) allow
-the similarity.  Candidates are verified on the whole sets.  The boundary is chosen from the sizes of all sets by comparing
+whose places in the prefixes and outlines (parities of the shingles in hash cells, whose odd
+differences bound the symmetric difference from below) allow the similarity.  Candidates are verified on the whole sets.  The boundary is chosen from the sizes of all sets by comparing
 the number of subsets with the expected length of the scanned lists.
 
 The order of shingles is by how often their hash cell (of ``CELLS``) occurs in
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, WordHash, connected_components, has_bit, joined_bits, shingle_hashes, signed, summed_vectors, text_blocks, texts_of
 
 CELLS = 1 << 20  # cells of the frequency table that is sent to the tasks (4 MB)
-SKETCH = 64  # cells of the outline of a set by which pairs are excluded before their sets are fetched
+SKETCH = 16  # longs of the outline of a set (parities of its shingles in 64 cells a long), by which pairs are excluded before their sets are fetched
 SMALL = 40  # sizes above this are never small
 
 
@@ -130,19 +130,19 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
                         rank = np.lexsort((s, often.value[(s >> np.uint64(44)).astype(np.int64)]))
                         prefix = signed(s[rank[:missing(n, num, den) + 1]])
                     prefixes.append(prefix)
-                    counts = np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-                    sketches.append(counts.astype(np.int8) if counts.max() < 128 else None)
+                    odd = np.bincount((s % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+                    sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                     keys.append([{"c": c, "s": v - (1 << 64) if v >> 63 else v} for c, v in subset_keys(s, num, den)]
                                 if 0 < n <= small else None)
                 yield pa.RecordBatch.from_arrays(
                     [block.column(0), block.column(2), pa.array(ns, pa.int64()), pa.array(nodes, pa.binary()),
-                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int8())),
+                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
                      pa.array(keys, pa.list_(pa.struct([("c", pa.int32()), ("s", pa.int64())])))],
                     ["id", "th", "n", "node", "prefix", "sketch", "subsets"])
 
         kind = docs.schema["id"].dataType.simpleString()
         signed_docs = own.save(docs.mapInArrow(
-            sign, f"id {kind}, th long, n long, node binary, prefix array<long>, sketch array<tinyint>, subsets array<struct<c:int,s:long>>"))
+            sign, f"id {kind}, th long, n long, node binary, prefix array<long>, sketch array<long>, subsets array<struct<c:int,s:long>>"))
         rows = signed_docs.select("id", "th", "n", "node")
         reps = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"))
         reps = own.save(reps)
@@ -214,12 +214,11 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k
 
 
 def _possible(x, y, n_x, n_y, num: int, den: int):
-    """Whether the sketches allow the similarity: two sets share at most the smaller count in each of their cells.
-
-    A set with more than a cell can count has no sketch, and all is possible.
-    """
-    most = F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0), lambda total, v: total + v.cast("int"))
-    return F.coalesce(F.lit(den) * most >= F.lit(num) * (n_x + n_y - most), F.lit(True))
+    """Whether the sketches allow the similarity: a cell whose parities differ holds an element of one set only."""
+    apart = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(1, SKETCH)), F.bit_count(x[0].bitwiseXOR(y[0])))
+    both = n_x + n_y
+    # at most (both - apart) / 2 elements are shared
+    return F.lit(den) * (both - apart) >= F.lit(num) * (both + apart)
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, own: Scratch, k: int, num: int, den: int) -> DataFrame:
