@@ -372,7 +372,7 @@ def test_pipeline_near_duplicates_of_080_to_085_go(spark):
 
 
 def brute_line_stage(docs):
-    allowed = lambda n: 0 if n < 4 else 1 if n < 64 else n.bit_length() - 5
+    allowed = lambda n: 0 if n < 32 else n.bit_length() - 5
     seen, out = [], []
     for i, t in sorted(docs, key=lambda d: d[0]):
         left = []
@@ -400,6 +400,14 @@ def test_pipeline_line_dedup_drops_short_copies_and_near_copies_by_length(spark)
             lines.append("".join(x))
         docs.append((i, "\n".join([*lines, f"of page {i * 7919} alone"])))
     docs += [(100, "Home | About"), (101, "Home | About\nfooter"), (102, "footer"), (103, ""), (104, None), (105, "\n\n"), (106, "a\na\nab")]
+    # copies of one line with up to two, and with up to six, changed places: long lists of the index, near and far from their first line
+    families = [list("".join(r.choice("abcdefgh ") for _ in range(n))) for n in (66, 66, 66, 40)]
+    for i in range(200, 256):
+        x = list(families[i % 4])
+        for _ in range(r.randint(1, 2 if i % 3 else 6)):
+            x[r.randrange(20) if i % 3 else r.randrange(len(x))] = r.choice("xyz")
+        docs.append((i, "".join(x)))
+    docs += [(i, "".join(families[0][:60]) + f"{i * 7919:06d}"[:6]) for i in range(300, 340)]
     want = brute_line_stage(docs)
     assert not any("Home" in (t or "") for i, t in want if i) and {100, 102}.isdisjoint(i for i, _ in want)
     got = kept_by(spark, "line dedup", docs)
