@@ -5,7 +5,8 @@ DataFrame; ``run`` writes each result as Parquet below ``spark.checkpoint.dir``
 reads it again as the next stage's documents.
 
 1. quality classifier: documents that score below the threshold go.
-2. line dedup: lines that are not blank and occur earlier go, equal or near by their length (see DOUBLE_FROM); a document that loses all its lines goes,
+2. line dedup: lines that are not blank and occur earlier go, equal (any length) or near by their length (see NEAR_CHARS, below
+   which one edit makes another line, as "2018" and "2019"); a document that loses all its lines goes,
    ``n_chars`` of a shortened one is its new length.
 3. n-gram Jaccard join (five-word shingles, similarity 0.8 or more): of each group the document that names it (the smallest id) stays;
    repeated rows count as copies; where all ids of a group are null, its rows of equal text become one.
@@ -29,7 +30,7 @@ from tablelearn.llm.queries import LABEL_FOLD, THRESHOLD
 from tablelearn.llm.quality import fit, score
 
 
-DOUBLE_FROM = 64  # lines of 4 to 63 characters may differ in one edit, of 64 to 127 in two, and so on with each doubling
+NEAR_CHARS, DOUBLE_FROM = 32, 64  # lines of 32 to 63 characters may differ in one edit, of 64 to 127 in two, and so on with each doubling
 SHINGLE, NUM, DEN = 5, 80, 100  # near duplicates share NUM/DEN or more of their SHINGLE-word shingles
 
 
@@ -40,7 +41,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = dedup_lines(docs, out="_dropped", min_chars=1, copy_chars=1, double_from=DOUBLE_FROM)
+    left = dedup_lines(docs, out="_dropped", min_chars=NEAR_CHARS, copy_chars=1, double_from=DOUBLE_FROM)
     emptied = (F.size("_dropped") > 0) & (F.col("text") == "")
     chars = F.when(F.size("_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return left.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", chars).select(*docs.columns)
