@@ -37,13 +37,13 @@ from pyspark.sql import types as T
 
 from ..functions import distance as D
 from ..session import ship_package
-from .relational import top_k_per_group, written
+from .relational import row_join, top_k_per_group, written
 
 FAN = 16  # centres of a node
 BLOCK = 2048  # vectors of a block, about
 LEVELS = 10
 ASKED = 8192  # queries that meet a block at once, about
-ROWS = 512  # of them in one matrix
+ROWS = 64  # of them in one matrix, so that it stays in the processor's cache
 CUTS = 64  # quantiles from which rings are cut
 METRICS = ("euclidean", "manhattan", "chebyshev", "minkowski", "std_euclidean", "cosine", "tanimoto", "hamming")
 SIMILARITIES = ("cosine", "tanimoto")
@@ -114,29 +114,93 @@ class Space:
         """
         out = np.zeros((len(q), len(t)))
         for i in range(t.shape[1]):
-            x, y = q[:, i, None], t[None, :, i]
-            if self.metric in SIMILARITIES:
-                out += x * y
-            elif self.metric == "hamming":
-                out += x != y
-            elif self.metric == "euclidean":
-                out += (x - y) ** 2
-            elif self.metric == "manhattan":
-                out += np.abs(x - y)
-            elif self.metric == "chebyshev":
-                np.maximum(out, np.abs(x - y), out=out)
-            elif self.metric == "minkowski":
-                out += np.abs(x - y) ** self.p
-            elif self.scales[i] and self.scales[i] > 0:
-                out += ((x - y) / self.scales[i]) ** 2
+            self._add(out, q[:, i, None], t[None, :, i], i)
+        return self._ended(out, qa[:, None], ta)
+
+    def _add(self, out: np.ndarray, x: np.ndarray, y: np.ndarray, i: int) -> None:
+        """Adds the terms of axis ``i``."""
+        if self.metric in SIMILARITIES:
+            out += x * y
+        elif self.metric == "hamming":
+            out += x != y
+        elif self.metric == "euclidean":
+            out += (x - y) ** 2
+        elif self.metric == "manhattan":
+            out += np.abs(x - y)
+        elif self.metric == "chebyshev":
+            np.maximum(out, np.abs(x - y), out=out)
+        elif self.metric == "minkowski":
+            out += np.abs(x - y) ** self.p
+        elif self.scales[i] and self.scales[i] > 0:
+            out += ((x - y) / self.scales[i]) ** 2
+
+    def _ended(self, out: np.ndarray, qa: np.ndarray, ta: np.ndarray) -> np.ndarray:
+        """What follows the sum over the axes."""
         if self.metric == "cosine":
-            return -(out / (np.sqrt(qa)[:, None] * np.sqrt(ta)))
+            return -(out / (np.sqrt(qa) * np.sqrt(ta)))
         if self.metric == "tanimoto":
-            return -(out / (qa[:, None] + ta - out))
+            return -(out / (qa + ta - out))
         if self.metric == "minkowski":
             return out ** (1.0 / self.p)
         return np.sqrt(out) if self.metric in ("euclidean", "std_euclidean") else out
 
+    def rough(self, q: np.ndarray, t: np.ndarray, qa: np.ndarray, ta: np.ndarray) -> tuple[np.ndarray, float] | None:
+        """Values that grow with ``scores`` but for rounding, and a bound of that; None where only the plain sums will do."""
+        if self.metric == "minkowski" and self.p == int(self.p) <= 8:
+            out = np.zeros((len(q), len(t)))
+            for i in range(t.shape[1]):
+                term = step = np.abs(q[:, i, None] - t[None, :, i])
+                for _ in range(int(self.p) - 1):
+                    term = term * step
+                out += term
+            return out, 1e-11 * float(out.max(initial=0.0))
+        if self.metric in SIMILARITIES:
+            if min(qa.min(), ta.min()) < 1e-200 or max(qa.max(), ta.max()) > 1e200:
+                return None
+            dots = q @ t.T
+            if self.metric == "cosine":
+                return -(dots / (np.sqrt(qa)[:, None] * np.sqrt(ta))), 1e-14 * (1000 + q.shape[1])
+            return -(dots / (qa[:, None] + ta - dots)), 1e-14 * (1000 + q.shape[1])
+        if self.metric in ("euclidean", "std_euclidean"):
+            if self.metric == "std_euclidean":
+                inverse = np.array([1.0 / s if s and s > 0 else 0.0 for s in self.scales])
+                q, t = q * inverse, t * inverse
+            q2, t2 = (q * q).sum(1), (t * t).sum(1)
+            most = float(q2.max() + t2.max())
+            return q2[:, None] + t2 - 2.0 * (q @ t.T), 1e-15 * (1000 + q.shape[1]) * most
+        return None
+
+    def best(self, q: np.ndarray, t: np.ndarray, qa: np.ndarray, ta: np.ndarray, kk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``q``, row of ``t``, score) of the kk best of each row of ``q``, ties in the order of ``t``."""
+        if not t.shape[1] or len(t) <= 4 * kk or (near := self.rough(q, t, qa, ta)) is None or not np.isfinite(near[0]).all():
+            return self.best_plain(q, t, qa, ta, kk)
+        value, off = near
+        near = value <= np.partition(value, kk - 1, 1)[:, kk - 1, None] + 4 * off
+        if np.count_nonzero(near) > near.size // 16:
+            return self.best_plain(q, t, qa, ta, kk)
+        rows, cols = np.nonzero(near)
+        scores = np.empty(len(rows))
+        for a in range(0, len(rows), 1 << 16):  # the plain sums of what is left
+            r, c = rows[a:a + (1 << 16)], cols[a:a + (1 << 16)]
+            scores[a:a + (1 << 16)] = self.paired(q[r], t[c], qa[r], ta[c])
+        order = np.lexsort((cols, scores, rows))
+        rows, cols, scores = rows[order], cols[order], scores[order]
+        first = np.arange(len(rows)) - np.searchsorted(rows, rows) < kk
+        return rows[first], cols[first], scores[first]
+
+    def best_plain(self, q: np.ndarray, t: np.ndarray, qa: np.ndarray, ta: np.ndarray, kk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``best`` by the plain sums of all rows."""
+        scores = self.scores(q, t, qa, ta)
+        at = np.argsort(scores, 1, kind="stable")[:, :kk]
+        return np.repeat(np.arange(len(q)), at.shape[1]), at.ravel(), np.take_along_axis(scores, at, 1).ravel()
+
+    def paired(self, q: np.ndarray, t: np.ndarray, qa: np.ndarray, ta: np.ndarray) -> np.ndarray:
+        """``scores`` of each row of ``q`` with the row of ``t`` at its place."""
+        out = np.zeros(len(q))
+        for i in range(t.shape[1]):
+            self._add(out, q[:, i], t[:, i], i)
+        return self._ended(out, qa, ta)
+
     @property
     def slack(self) -> float:
         return 1e-7 if self.metric in SIMILARITIES else 1e-9
@@ -236,10 +300,10 @@ def _met(sent: DataFrame, queries: DataFrame, directory: Directory, kk: int) ->
     """
     space = directory.space
     ship_package(sent.sparkSession)
-    parts = sent.groupBy(*KEYS).agg(F.ceil(F.count("*") / ASKED).alias("_parts"))
+    parts = F.broadcast(sent.groupBy(*KEYS).agg(F.ceil(F.count("*") / ASKED).alias("_parts")))  # a row a block
     renamed = {k: f"_q{k}" for k in [*KEYS, "_part"]}
-    asked = (sent.join(parts, KEYS).withColumn("_part", F.pmod(F.xxhash64("_qr"), "_parts"))
-             .join(queries.select("_qr", "_qv", "_qa"), "_qr").select("_qr", "_qv", "_qa", *(F.col(k).alias(v) for k, v in renamed.items())))
+    asked = (row_join(sent.join(parts, KEYS).withColumn("_part", F.pmod(F.xxhash64("_qr"), "_parts")), queries.select("_qr", "_qv", "_qa"), "_qr")
+             .select("_qr", "_qv", "_qa", *(F.col(k).alias(v) for k, v in renamed.items())))
     held = (directory.points.select("_tr", "_tv", "_ta", *KEYS).join(parts, KEYS)
             .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))))
     schema = T.StructType([queries.schema["_qr"], directory.points.schema["_tr"], T.StructField("_score", T.DoubleType())])
@@ -251,11 +315,8 @@ def _met(sent: DataFrame, queries: DataFrame, directory: Directory, kk: int) ->
             points, ids, sizes = space.points(t.column("_tv")), t.column("_tr").combine_chunks(), t.column("_ta").to_numpy()
             for s in range(0, len(q), ROWS):
                 part = q.slice(s, ROWS)
-                scores = space.scores(space.points(part.column("_qv")), points, part.column("_qa").to_numpy(), sizes)
-                best = np.argsort(scores, 1, kind="stable")[:, :kk]
-                rows = np.repeat(np.arange(len(part)), best.shape[1])
-                out.append(pa.table({"_qr": part.column("_qr").take(rows), "_tr": ids.take(pa.array(best.ravel())),
-                                     "_score": np.take_along_axis(scores, best, 1).ravel()}))
+                rows, at, scores = space.best(space.points(part.column("_qv")), points, part.column("_qa").to_numpy(), sizes, kk)
+                out.append(pa.table({"_qr": part.column("_qr").take(rows), "_tr": ids.take(pa.array(at)), "_score": scores}))
         if not out:
             return pa.table({"_qr": q.column("_qr").slice(0, 0), "_tr": t.column("_tr").slice(0, 0), "_score": pa.array([], pa.float64())})
         return pa.concat_tables(out)
@@ -283,25 +344,25 @@ def search(queries: DataFrame, directory: Directory, kk: int) -> tuple[DataFrame
     home = reduce(DataFrame.unionByName, homes)
     # the block of the home node whose ring is nearest
     off = F.greatest(F.lit(0.0), F.coalesce(F.col("_lo") - F.col("_d"), F.lit(0.0)), F.coalesce(F.col("_d") - F.col("_hi"), F.lit(0.0)))
-    first = (home.join(directory.blocks.select(*KEYS, "_lo", "_hi"), ["_level", "_node"])
+    first = (home.join(F.broadcast(directory.blocks.select(*KEYS, "_lo", "_hi")), ["_level", "_node"])
              .groupBy("_qr", "_level", "_node").agg(F.min_by("_ring", F.struct(off.alias("o"), "_ring")).alias("_ring")))
     found = _met(first, queries, directory, kk).groupBy("_qr").agg(F.max("_score").alias("_worst"), F.count("*").alias("_got"))
     bound = F.when(F.col("_got") >= kk, F.col("_worst"))
     asked = queries.select("_qr", F.col("_node").alias("_root"), "_qa", F.col(space.place("q")).alias("_at"))
     gaps = home.select("_qr", F.col("_gap").alias("_way"))
-    asked = asked.join(gaps, "_qr", "left").join(found, "_qr", "left")
+    asked = row_join(row_join(asked, gaps, "_qr", "left"), found, "_qr", "left")
     limit = F.least("_way", space.gap_bound(bound)) if by_bound else F.lit(None).cast("double")
     asked = written(asked.select("_qr", "_root", "_qa", "_at", limit.alias("_gap"), bound.alias("_score")), "ball-asked")
     # all nodes within reach, level by level
     front, reached = asked.withColumnRenamed("_root", "_node").withColumn("_d", F.lit(None).cast("double")), []
     for level in range(len(directory.levels) + 1):
-        met = front.join(directory.blocks.where(F.col("_level") == level), "_node")
+        met = front.join(F.broadcast(directory.blocks.where(F.col("_level") == level)), "_node")
         reached.append(met.where(space.reaches(F.col("_d"), F.col("_lo"), F.col("_hi"), F.col("_alo"), F.col("_ahi")))
                        .select("_qr", *KEYS))
         if level == len(directory.levels):
             break
         balls = directory.levels[level][1]
-        inner = front.withColumnRenamed("_node", "_parent").drop("_d").join(balls, "_parent")
+        inner = front.withColumnRenamed("_node", "_parent").drop("_d").join(F.broadcast(balls), "_parent")
         inner = inner.withColumn("_d", space.gap(F.col("_at"), F.col("_centre")))
         inner = inner.where(space.reaches(F.col("_d"), F.lit(0.0), F.col("_hi"), F.col("_alo"), F.col("_ahi")))
         front = written(inner.select("_qr", "_node", "_qa", "_at", "_gap", "_score", "_d"), "ball-front")

@@ -15,13 +15,13 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import distance as D
 from ..functions.vector import WIDE, mean_array
 from .directory import BLOCK, FAN, SIMILARITIES, Space, build, search
-from .relational import top_k_per_group, written
+from .relational import row_join, top_k_per_group, written
 
 BROADCAST_ROWS = 10_000  # a keyed side is broadcast up to this many rows (counted first)
 
@@ -113,11 +113,21 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
 
 def _expanded(vec_nn: DataFrame, t: DataFrame, tvecs: DataFrame, tkey: str, q: DataFrame, qvecs: DataFrame, qkey: str, k: int, kk: int,
               exclude_self: bool, qid: str, tid: str, extra: Sequence[str], value: str) -> DataFrame:
-    """Neighbour vectors → their kk smallest ids; query vectors → query rows; the k best rows of each."""
-    t_rows = t.join(tvecs.select(tkey, "_tr"), tkey).drop(tkey)
+    """Neighbour vectors → their kk smallest ids; query vectors → query rows; the k best rows of each.
+
+    The neighbours of a query vector are cut before its rows are joined: to k, or with ``exclude_self`` to k more than one id
+    has rows there, which are all that a row can lose.
+    """
+    t_rows = row_join(t, tvecs.select(tkey, "_tr"), tkey).drop(tkey)
     ids = top_k_per_group(t_rows, ["_tr"], [F.col("_tid")], kk, rank="_ri").drop("_ri")
-    q_rows = q.join(qvecs.select(qkey, "_qr"), qkey).select("_qid", "_qr")
-    rows = q_rows.join(vec_nn.join(ids, "_tr").drop("_tr"), "_qr")
+    q_rows = row_join(q, qvecs.select(qkey, "_qr"), qkey).select("_qid", "_qr")
+    best = row_join(vec_nn, ids, "_tr").drop("_tr")
+    by_vector = Window.partitionBy("_qr")
+    if exclude_self:
+        best = best.withColumn("_same", F.count("*").over(Window.partitionBy("_qr", "_tid"))).withColumn("_lost", F.max("_same").over(by_vector))
+    best = best.withColumn("_rb", F.row_number().over(by_vector.orderBy("_score", "_tid")))
+    best = best.where(F.col("_rb") <= (F.lit(k) + F.col("_lost") if exclude_self else F.lit(k))).drop("_rb", "_same", "_lost")
+    rows = row_join(q_rows, best, "_qr")
     if exclude_self:
         rows = rows.where(F.col("_qid") != F.col("_tid"))
     final = top_k_per_group(rows.select("_qid", "_tid", "_score", *extra), ["_qid"], [F.col("_score"), F.col("_tid")], k)

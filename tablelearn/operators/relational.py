@@ -60,6 +60,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Join of two sides that both grow with the input, through the shuffle.
+
+    The planner would broadcast a side by the size of its files, and a file of few distinct values is
+    small however many rows it holds: the driver would build a table of all of them.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "rn",
                 partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by group order by order)`` without a per-group window.
