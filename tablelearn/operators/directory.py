@@ -370,6 +370,62 @@ def search(queries: DataFrame, directory: Directory, kk: int) -> tuple[DataFrame
     return _met(sent, queries, directory, kk), sent
 
 
+SHORT = 64  # characters of the strings that are looked up by their characters
+PATTERNS = 16  # sets of places for which the strings are indexed
+
+
+def _kept(text: str, keep: str) -> Column:
+    return F.array_join(F.transform(keep, lambda i: F.substring(F.col(text), i, F.lit(1))), "")
+
+
+def strings_within_one(queries: DataFrame, vectors: DataFrame, kk: int) -> DataFrame:
+    """(_qr, _tr, _score) of the queries that have ``kk`` strings within one place of the least distance possible.
+
+    ``queries`` (_qr, _qv) and ``vectors`` (_tr, _tv) are distinct strings, neighbours have equal lengths.  Where a place of a query
+    holds a character that no string of its length has there, every distance counts it; where all strings have the query's
+    character, none does.  On the places that remain, its pattern, strings that agree, or agree but for one place, are found by equal keys.
+    A key lists no more of its strings than a query can need: the kk smallest ids of each character at the open place, 2·kk in all.
+    Queries with longer strings, of rarer patterns or with fewer than ``kk`` answers are left to ``search``.
+    """
+    t = vectors.select("_tr", "_tv", F.char_length("_tv").alias("_n")).where(F.col("_n").between(1, SHORT))
+    q = queries.select("_qr", "_qv", F.char_length("_qv").alias("_n"))
+    places = F.sequence(F.lit(1), F.col("_n"))
+    at = t.select("_n", "_tv", F.explode(places).alias("_i")).select("_n", "_i", F.substring("_tv", F.col("_i"), F.lit(1)).alias("_c"))
+    letters = (at.groupBy("_n", "_i").agg(F.collect_set("_c").alias("_cs"))
+               .groupBy("_n").agg(F.sort_array(F.collect_list(F.struct("_i", "_cs"))).alias("_a")))
+    letters = F.broadcast(letters.select("_n", F.transform("_a", lambda x: x["_cs"]).alias("_a")))
+
+    def known(i: Column) -> Column:
+        return F.array_contains(F.get("_a", i - 1), F.substring(F.col("_qv"), i, F.lit(1)))
+
+    q = (q.join(letters, "_n")
+         .select("_qr", "_qv", "_n", F.filter(places, lambda i: known(i) & (F.size(F.get("_a", i - 1)) > 1)).alias("_keep"),
+                 F.size(F.filter(places, lambda i: ~known(i))).alias("_base")))
+    q = written(q, "string-queries")
+    frequent = q.groupBy("_n", "_keep").count().orderBy(F.desc("count"), "_n", "_keep").limit(PATTERNS).select("_n", "_keep")
+    patterns = F.broadcast(written(frequent.withColumn("_p", F.xxhash64("_n", "_keep")), "string-patterns"))
+    asked = q.join(patterns, ["_n", "_keep"]).select("_qr", "_p", "_base", _kept("_qv", "_keep").alias("_r"))
+    held = t.join(patterns, "_n").select("_tr", "_p", _kept("_tv", "_keep").alias("_r"))
+    held = written(top_k_per_group(held, ["_p", "_r"], [F.col("_tr")], kk, "_rk").drop("_rk"), "string-index")
+
+    def opened(df: DataFrame) -> DataFrame:
+        """A row for the whole string (_j = 0) and one for each place left open, with its character."""
+        j, r, one = F.col("_j"), F.col("_r"), F.lit(1)
+        return (df.withColumn("_j", F.explode(F.sequence(F.lit(0), F.char_length("_r"))))
+                .withColumn("_c", F.when(j == 0, "").otherwise(F.substring(r, j, one)))
+                .withColumn("_r", F.when(j == 0, r).otherwise(F.concat(F.substring(r, one, j - 1), F.substring(r, j + 1, F.char_length(r))))))
+
+    lists = (top_k_per_group(opened(held), ["_p", "_j", "_r"], [F.col("_tr")], 2 * kk, "_rk").groupBy("_p", "_j", "_r")
+             .agg(F.sort_array(F.collect_list(F.struct("_tr", F.col("_c").alias("c")))).alias("_list")))
+    met = row_join(opened(asked), lists, ["_p", "_j", "_r"])
+    other = F.slice(F.filter("_list", lambda x: (F.col("_j") == 0) | (x["c"] != F.col("_c"))), 1, kk)
+    score = (F.col("_base") + F.when(F.col("_j") == 0, 0).otherwise(1)).cast("double")
+    met = met.select("_qr", F.transform(other, lambda x: F.struct(score.alias("_score"), x["_tr"].alias("_tr"))).alias("_got"))
+    best = met.groupBy("_qr").agg(F.slice(F.sort_array(F.flatten(F.collect_list("_got"))), 1, kk).alias("_got"))
+    return (best.where(F.size("_got") == kk).select("_qr", F.explode("_got").alias("x"))
+            .select("_qr", F.col("x._tr").alias("_tr"), F.col("x._score").alias("_score")))
+
+
 def visited_pairs(sent: DataFrame, directory: Directory) -> int:
     """Pairs of vectors that a search compared in its last step."""
     return sent.join(directory.blocks.select(*KEYS, "n"), KEYS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import distance as D
 from ..functions.vector import WIDE, mean_array
-from .directory import BLOCK, FAN, SIMILARITIES, Space, build, search
+from .directory import BLOCK, FAN, SIMILARITIES, Space, build, search, strings_within_one
 from .relational import row_join, top_k_per_group, written
 
 BROADCAST_ROWS = 10_000  # a keyed side is broadcast up to this many rows (counted first)
@@ -105,8 +105,16 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     if metric == "std_euclidean" and scales is None:
         scales = D.feature_scales(t, array_col="_tv", dim=dim)
     space = Space(metric, dim, p, tuple(scales) if scales is not None else None)
-    directory = build(space.with_place(tvecs, "t"), space, block, fan)
-    vec_nn, _ = search(space.with_place(qvecs, "q"), directory, kk)
+    early, left = None, qvecs
+    if metric == "hamming":
+        early = written(strings_within_one(qvecs, tvecs, kk), "knn-early")
+        left = written(row_join(qvecs, early.select("_qr"), "_qr", "left_anti"), "knn-left")
+    if early is not None and left.isEmpty():
+        vec_nn = early
+    else:
+        directory = build(space.with_place(tvecs, "t"), space, block, fan)
+        vec_nn, _ = search(space.with_place(left, "q"), directory, kk)
+        vec_nn = vec_nn if early is None else vec_nn.unionByName(early)
     return _expanded(vec_nn, t, tvecs, "_tv", q, qvecs, "_qv", k, kk, exclude_self, qid, tid, extra,
                      "similarity" if metric in SIMILARITIES else "distance")
 

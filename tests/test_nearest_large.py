@@ -37,3 +37,35 @@ def test_ids_that_come_twice_leave_k_neighbours(spark):
     nb = pairwise.nearest(df, df.withColumnRenamed("id", "other"), "id", "other", "v", "v", 2, 2, exclude_self=True)
     got = [(r["id"], r["other"]) for r in nb.where("id in (2, 5)").orderBy("id", "rank").select("id", "other").collect()]
     assert got == [(2, 1), (2, 1), (5, 1), (5, 1)]
+
+
+def _hamming_plain(qs, ts, k):
+    out = {}
+    for qi, a in qs:
+        near = sorted((sum(x != y for x, y in zip(a, b)), ti) for ti, b in ts if a is not None and b is not None and len(a) == len(b))
+        out[qi] = [(i + 1, ti, float(d)) for i, (d, ti) in enumerate(near[:k])]
+    return {q: n for q, n in out.items() if n}
+
+
+@pytest.mark.parametrize("patterns", [16, 1])
+def test_hamming_equals_all_pairs(spark, monkeypatch, patterns):
+    monkeypatch.setattr(directory, "PATTERNS", patterns)
+    rng = np.random.default_rng(8)
+    word = lambda first, n, most: first + "".join(str(x) for x in rng.integers(0, most, n))
+    qs = [(i, word("Käufer#", 4, 10)) for i in range(60)] + [(60 + i, word("ab", 5, 3)) for i in range(20)] + [(90, ""), (91, None), (92, "q" * 70), (93, "😀0000")]
+    ts = [(i, word("Lieferer#"[:7], 4, 6)) for i in range(80)] + [(100 + i, word("xb", 5, 3)) for i in range(4)]
+    ts += [(200, ""), (201, None), (202, "q" * 69 + "r"), (203, "😀0100"), (204, ts[0][1]), (205, "a1000")]
+    q, t = spark.createDataFrame(qs, "q int, s string"), spark.createDataFrame(ts, "t int, s string")
+    got = {}
+    for r in pairwise.nearest(q, t, "q", "t", "s", "s", None, 5, metric="hamming").orderBy("q", "rank").collect():
+        got.setdefault(r["q"], []).append((r["rank"], r["t"], r["distance"]))
+    assert got == _hamming_plain(qs, ts, 5)
+
+
+def test_hamming_lookup_answers_numbered_names_alone(spark, monkeypatch):
+    q = spark.range(300).selectExpr("cast(id as int) q", "concat('Customer#', lpad(id, 6, '0')) s")
+    t = spark.range(100).selectExpr("cast(id as int) t", "concat('Supplier#', lpad(id, 6, '0')) s")
+    monkeypatch.setattr(pairwise, "search", None)  # comparing blocks of pairs would fail
+    got = pairwise.nearest(q, t, "q", "t", "s", "s", None, 5, metric="hamming")
+    first = {r["q"]: r["t"] for r in got.where(F.col("rank") == 1).collect()}
+    assert first == {i: i % 100 for i in range(300)}
