@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import GaussianTerms
 from ..functions.vector import any_null, argmax, total
+from ..session import shuffle_partitions
 from .loop import numeric_base, persisted
 from .relational import row_numbers
 
@@ -42,54 +43,81 @@ class GMMModel:
             rows, "component int, weight double, mean array<double>, cov array<array<double>>")
 
 
-def _densities(x: Column, model: GMMModel) -> list[Column]:
-    """log N(x; μ_j, Σ_j) of each component for an array column (null for an incomplete row)."""
-    return [g.log_pdf_array(x) for g in model.terms()]
+FEW = 8  # features up to which a density is written out
+SUMS = 200  # terms up to which each is an aggregate of its own
 
 
-def responsibilities(xs: Sequence[Column], model: GMMModel) -> tuple[list[Column], Column]:
-    """(γ_j columns, log-likelihood column) via log-sum-exp; a component of weight 0 has γ = 0."""
-    arr = F.array(*xs)
-    lp = [F.lit(float(np.log(w)) if w > 0 else float("-inf")) + d for w, d in zip(model.weights, _densities(arr, model))]
-    m = F.greatest(*lp) if len(lp) > 1 else lp[0]
-    lse = m + F.log(total([F.exp(v - m) for v in lp]))
-    return [F.exp(v - lse) for v in lp], lse
+def _densities(xs: Sequence[Column], model: GMMModel) -> list[Column]:
+    """log N(x; μ_j, Σ_j) of each component (null for an incomplete row); array lambdas only where many features would make too much code."""
+    if len(xs) <= FEW:
+        return [g.log_pdf(list(xs)) for g in model.terms()]
+    return [g.log_pdf_array(F.array(*xs)) for g in model.terms()]
+
+
+def responsibilities(df: DataFrame, xs: Sequence[Column], model: GMMModel) -> tuple[DataFrame, list[str], str]:
+    """``df`` with γ_j columns and the log-likelihood, via log-sum-exp, and their names; a component of weight 0 has γ = 0.
+
+    Each step is a column of its own, so no density is computed again wherever its value is used.
+    """
+    lp, gam = ([f"_gmm_{c}{j}" for j in range(len(model.weights))] for c in ("l", "g"))
+    logs = [F.lit(float(np.log(w)) if w > 0 else float("-inf")) + d for w, d in zip(model.weights, _densities(xs, model))]
+    df = df.withColumns(dict(zip(lp, logs)))
+    df = df.withColumn("_gmm_m", F.greatest(*lp) if len(lp) > 1 else F.col(lp[0]))
+    df = df.withColumn("_gmm_lse", F.col("_gmm_m") + F.log(total([F.exp(F.col(v) - F.col("_gmm_m")) for v in lp])))
+    df = df.withColumns({g: F.exp(F.col(v) - F.col("_gmm_lse")) for g, v in zip(gam, lp)})
+    return df.drop(*lp, "_gmm_m"), gam, "_gmm_lse"
 
 
 def _times(factor: Column):
     return lambda v: v * factor
 
 
-def gmm_step_stats(base: DataFrame, features: Sequence[str], model: GMMModel) -> dict:
-    """One job: row count, log-likelihood, and for each component Σγ, Σγz and Σγzzᵀ with z = x − μ_j.
-
-    Each row becomes one vector of all these terms and a single vector sum adds them up, whatever
-    the number of features.  Centring on the previous means keeps the second moments
-    exact for data far from the origin.
-    """
+def _vector_sum(staged: DataFrame, xs: Sequence[Column], gam: Sequence[str], lse: str, model: GMMModel):
+    """Row count and the sum of the vectors of all terms, None without rows."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    d, k = len(features), len(model.weights)
-    size = 1 + d + d * (d + 1) // 2
+    d = len(xs)
     upper = F.expr(f"flatten(transform(sequence(0, {d - 1}), a -> transform(sequence(a, {d - 1}), "
                    "b -> element_at(_z, a + 1) * element_at(_z, b + 1))))")
-    xs = [F.col(c) for c in features]
-    gam, lse = responsibilities(xs, model)
-    staged = base.select(F.array(*xs).alias("_x"), F.array(*gam).alias("_g"), lse.alias("_lse"))
-    parts = [F.array("_lse")]
+    staged = staged.select(F.array(*xs).alias("_x"), *gam, lse)
+    parts = [F.array(lse)]
     for j, mean in enumerate(model.means):
         mu = F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in mean) + ")")
         z = F.zip_with("_x", mu, lambda a, b: a - b)
-        gamma = F.get("_g", F.lit(j))
         staged = staged.withColumn("_z", z).withColumn("_u", upper).withColumn(
-            f"_v{j}", F.transform(F.concat(F.array(F.lit(1.0)), "_z", "_u"), _times(gamma)))
+            f"_v{j}", F.transform(F.concat(F.array(F.lit(1.0)), "_z", "_u"), _times(F.col(gam[j]))))
         parts.append(F.col(f"_v{j}"))
     row = staged.agg(F.count(F.lit(1)).alias("n"), Summarizer.metrics("sum").summary(
-        array_to_vector(F.concat(*parts))).alias("m")).first() if not base.isEmpty() else None
-    if row is None:
-        return {"n": 0, "ll": None}
-    t = np.asarray(row["m"]["sum"].toArray())
+        array_to_vector(F.concat(*parts))).alias("m")).first() if not staged.isEmpty() else None
+    return row
+
+
+def gmm_step_stats(base: DataFrame, features: Sequence[str], model: GMMModel) -> dict:
+    """One job: row count, log-likelihood, and for each component Σγ, Σγz and Σγzzᵀ with z = x − μ_j.
+
+    Up to ``SUMS`` terms are plain sums; beyond, each row becomes one vector of all of them and a single vector sum adds them up, whatever
+    the number of features.  Centring on the previous means keeps the second moments
+    exact for data far from the origin.
+    """
+    d, k = len(features), len(model.weights)
+    size = 1 + d + d * (d + 1) // 2
+    xs = [F.col(c) for c in features]
+    staged, gam, lse = responsibilities(base.select(*features), xs, model)
+    if 1 + k * size <= SUMS:
+        zs = [[x - F.lit(float(v)) for x, v in zip(xs, mean)] for mean in model.means]
+        terms = [F.col(lse)]
+        for z, g in zip(zs, gam):
+            terms += [F.col(g), *(v * F.col(g) for v in z), *(z[a] * z[b] * F.col(g) for a in range(d) for b in range(a, d))]
+        row = staged.agg(F.count(F.lit(1)).alias("n"), *(F.sum(v).alias(f"t{i}") for i, v in enumerate(terms))).first()
+        if not row["n"]:
+            return {"n": 0, "ll": None}
+        t = np.array([row[f"t{i}"] for i in range(len(terms))], float)
+    else:
+        row = _vector_sum(staged, xs, gam, lse, model)
+        if row is None:
+            return {"n": 0, "ll": None}
+        t = np.asarray(row["m"]["sum"].toArray())
     stats = {"n": row["n"], "ll": float(t[0])}
     at = np.triu_indices(d)
     for j in range(k):
@@ -157,6 +185,8 @@ def gmm_fit(df: DataFrame, features: Sequence[str], k: int, key: str | None = No
     the number of rows (``tol < 0``: run all)."""
     features = list(features)
     base = numeric_base(df, features, keep=[key] if key else [])
+    spark = df.sparkSession
+    base = base.repartition(min(shuffle_partitions(spark), 4 * spark.sparkContext.defaultParallelism))  # a narrow table is few files, so few tasks
     with persisted(base):
         model = initial_model(base, features, k, key, init_means, init_covs)
         hist = []
@@ -180,12 +210,13 @@ def gmm_fit(df: DataFrame, features: Sequence[str], k: int, key: str | None = No
 def gmm_predict(df: DataFrame, model: GMMModel, prediction: str = "prediction",
                 probability: str = "probability") -> DataFrame:
     xs = [F.col(c).cast("double") for c in model.features]
-    gam, _ = responsibilities(xs, model)
     known = ~any_null(xs)
-    return df.withColumn(probability, F.when(known, F.array(*gam))).withColumn(prediction, argmax(gam))
+    staged, gam, lse = responsibilities(df, xs, model)
+    cols = [F.col(g) for g in gam]
+    return staged.withColumn(probability, F.when(known, F.array(*cols))).withColumn(prediction, argmax(cols)).drop(*gam, lse)
 
 
 def gmm_densities(df: DataFrame, model: GMMModel, out: str = "density") -> DataFrame:
     """Per-component density N(x; μ_j, Σ_j), before weighting and normalisation."""
-    arr = F.array(*[F.col(c).cast("double") for c in model.features])
-    return df.withColumn(out, F.array(*[F.exp(p) for p in _densities(arr, model)]))
+    xs = [F.col(c).cast("double") for c in model.features]
+    return df.withColumn(out, F.array(*[F.exp(p) for p in _densities(xs, model)]))
