@@ -437,7 +437,7 @@ def test_pipeline_quality_keeps_the_rows_that_reach_the_threshold(spark):
 
 def test_registered_queries_and_sql(spark):
     assert importlib.util.find_spec("corpus_pipeline")
-    assert {n.partition("_")[0] for n in Q.QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.partition("_")[0] for n in Q.QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
     assert set(Q.SQL) <= set(Q.QUERIES)
 
 

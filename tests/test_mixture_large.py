@@ -1,6 +1,7 @@
 """The mixture on many rows: each density is computed once a row, and sums agree with those of vectors."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tablelearn.operators import mixture
@@ -48,3 +49,9 @@ def test_fit_deals_one_file_to_several_tasks(spark, tmp_path):
     finally:
         mixture.gmm_step_stats = stats
     assert seen and min(seen) > 1
+
+
+def test_incomplete_rows_still_end_the_step(spark):
+    df = _points(spark).withColumn("a", F.when(F.col("id") != 3, F.col("a")))
+    with pytest.raises(ValueError):
+        mixture.gmm_step_stats(df, ["a", "b"], MODEL)
