@@ -34,6 +34,8 @@ from .common import Scratch
 MIN_CHARS = 32
 MAX_EDITS = 1
 HOT = 8  # lines in one list of the index before it is split
+FEW = 4  # lines in one list of the index that are paired without a look at their outlines
+WORD_LONGS, CHAR_LONGS = 4, 1  # longs of the two parts of an outline, 64 cells each
 
 
 def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -143,6 +145,28 @@ def _around(rows: DataFrame) -> DataFrame:
         (F.col("m") - F.col("size")).cast("int").alias("m")).distinct()
 
 
+def _parities(elements: Column, longs: int) -> list[Column]:
+    """For each of 64 hash cells a long: whether the number of elements in it is odd."""
+    hashes = F.transform(elements, lambda x: F.xxhash64(x))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 8), F.lit(64)).cast("int"))
+    return [F.aggregate(F.filter(hashes, lambda h: F.pmod(h, F.lit(longs)) == i), F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h)))
+            for i in range(longs)]
+
+
+def _outline(line: Column) -> Column:
+    """Parities of the words and of the characters of a line.
+
+    An edit changes three words at most (a space comes or goes: two words for one) and two characters, each by one.
+    """
+    return F.array(*_parities(F.split(line, " "), WORD_LONGS), *_parities(F.split(line, ""), CHAR_LONGS))
+
+
+def _outlines_allow(x: Column, y: Column, edits: Column) -> Column:
+    apart = [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(WORD_LONGS + CHAR_LONGS)]
+    words, chars = apart[:WORD_LONGS], apart[WORD_LONGS:]
+    return (sum(words[1:], words[0]) <= 3 * edits) & (sum(chars[1:], chars[0]) <= 2 * edits)
+
+
 def _ends(sides: tuple[DataFrame, DataFrame]) -> DataFrame:
     return sides[0].union(sides[1]).where("m <= e").select("h", "first", "under", "trace")
 
@@ -153,18 +177,35 @@ def _late_by_length(lines: DataFrame, own: Scratch, near) -> DataFrame:
     ``near`` turns pairs (a, b) into hash and text of the later line of those that are near.  As in ``_pairs``, long lists of the index
     are split, where that makes fewer rows than pairing: at level k a line of a list has up to (e + 1)^(k + 3) of them.  But first their lines are compared with the earliest of the list, and a list goes on only while it
     holds others that no comparison has found late: copies of one line, however many, end at the first level that they share.
+    In the other lists of more than ``FEW`` lines, as a common passage makes them, all are compared with the earliest too, and then only
+    lines are paired whose outlines allow it and whose later one has not been found late.
     """
     sides, late, found, level = (lines, lines), None, [], 0
     while True:
         index, probe = _index_rows(sides[0], None), _probe_rows(sides[1], None)
-        hot = own.save(index.where("size > 0").groupBy("key", "e").count().where(F.col("count") > F.pow(F.col("e") + 1, F.lit(level + 3)))
-                       .select("key"))
+        split = (F.col("size") > 0) & (F.col("count") > F.pow(F.col("e") + 1, F.lit(level + 3)))
+        large = own.save(index.groupBy("key", "e", "size").count().where(F.col("count") > FEW).select("key", split.alias("hot")))
+        hot, listed = large.where("hot").select("key"), large.where("not hot").select("key")
         none = hot.isEmpty()
-        cold = (index, probe) if none else (x.join(hot, "key", "left_anti") for x in (index, probe))
+        cold = (index, probe) if large.isEmpty() else (x.join(large, "key", "left_anti") for x in (index, probe))
         i, p = (x.select("key", F.col("h").alias(c)) for x, c in zip(cold, "ab"))
         level += 1
         found.append(own.save(p.join(i, "key").where("a <> b")
                               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
+        if not listed.isEmpty():
+            i, p = (own.save(x.join(listed, "key").select("key", "e", "first", "h").distinct()) for x in (index, probe))
+            held = i.union(p).distinct()
+            pivot = held.groupBy("key").agg(F.min(F.struct("first", "h"))["h"].alias("b"))
+            checks = held.join(pivot, "key").where("h <> b").select(F.least("h", "b").alias("a"), F.greatest("h", "b").alias("b")).distinct()
+            more = near(own.save(checks))
+            late = own.save((more if late is None else late.union(more)).distinct())
+            outlines = lines.join(held.select("h").distinct(), "h", "left_semi").select("h", _outline(F.col("rest")).alias("o")).distinct()
+            outlines = own.save(outlines.join(late.select(F.col("_h").alias("h"), F.lit(True).alias("found")).distinct(), "h", "left"))
+            i, p = (x.join(outlines, "h").select("key", "e", *(F.col(f).alias(f + c) for f in ("h", "first", "o", "found")))
+                    for x, c in ((i, "a"), (p, "b")))
+            later = F.when(F.col("firsta") < F.col("firstb"), F.col("foundb")).otherwise(F.col("founda"))
+            found.append(own.save(p.join(i, ["key", "e"]).where("ha <> hb").where(later.isNull()).where(_outlines_allow(F.col("oa"), F.col("ob"), F.col("e")))
+                                  .select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b")).distinct()))
         if none:
             last = near(own.save(reduce(DataFrame.union, found).distinct()))
             return last if late is None else late.union(last)

@@ -1,11 +1,13 @@
 """Decontamination, n-gram join, line dedup, repeated passages: brute force and hard cases."""
 
 import random
+import time
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from tablelearn.llm import line_dedup
 from tablelearn.llm.common import Scratch, connected_components, read_table
 from tablelearn.llm.decontaminate import contaminated, decontaminate, digest, words_of
 from tablelearn.llm.line_dedup import dedup_lines, line_report
@@ -34,6 +36,19 @@ def hard_texts():
 
 # ---- components
 
+def test_saved_tables_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {n for n in disk.getAllFiles().mkString("\n").split("\n") if n.endswith(".data")}
+    before = files()
+    with Scratch(spark, "t") as own:
+        assert own.save(spark.range(10000).groupBy((F.col("id") % 77).alias("k")).count()).count() == 77
+        for _ in range(50):  # the count above has a shuffle of its own, which stays
+            if len(files() - before) <= 1:
+                break
+            time.sleep(0.2)
+    assert len(files() - before) <= 1
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 50)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     random.Random(1).shuffle(edges)
@@ -238,6 +253,27 @@ def test_line_dedup_repeated_rows_null_ids_and_empty_table(spark):
     assert line_report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_line_dedup_pairs_lines_of_a_common_passage_only_where_they_can_be_near(spark, monkeypatch):
+    r = random.Random(3)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n)).replace("  ", " x")
+    passage = text(200)
+    lines = [passage + text(200) for _ in range(60)]
+    lines += [lines[7][:300] + "#" + lines[7][301:350] + lines[7][351:], lines[9] + "!"]
+    tried = []
+    plain = line_dedup._late_by_length
+
+    def counted(lines, own, near):
+        def counting(pairs):
+            tried.append(pairs.count())
+            return near(pairs)
+        return plain(lines, own, counting)
+
+    monkeypatch.setattr(line_dedup, "_late_by_length", counted)
+    out = dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), copy_chars=1, double_from=64)
+    assert {x["doc_id"] for x in out.collect() if x["dropped_lines"]} == {60, 61}
+    assert sum(tried) < 5 * len(lines)
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = line_report(read_table(spark, SF_SMALL, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
