@@ -5,6 +5,7 @@ import hashlib
 import importlib.util
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.llm import queries as Q
 from tablelearn.llm.common import Scratch, read_table
-from tablelearn.llm.language_model import END, FREQUENT, BUCKETS, Model, Tokens, Vocabulary, class_logs, classes_by_context, language_model_scores
+from tablelearn.llm.language_model import END, FREQUENT, BUCKETS, Model, Tokens, Vocabulary, class_logs, classes_by_context, language_model_scores, word_counts
 from tablelearn.llm.packing import CAPACITY, differencing, pack, token_ids, windows
 from tablelearn.llm.quality import fit, score
 from tablelearn.llm.topk import cover_tree, products, search, top_k
@@ -291,6 +292,16 @@ def test_language_model_counts_and_base(spark):
     assert all(r["score"] < 0 for r in got)
 
 
+def test_language_model_counts_the_words_of_a_block_in_parts():
+    texts = [b"a few words, again and again " * 2000] * 100  # 5.8 MB
+    tracemalloc.start()
+    c, there = word_counts(texts, [i % 2 == 0 for i in range(100)], Vocabulary(limit=1 << 30))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert there.all() and sorted(c.tolist()) == [50, 100_000, 100_000, 100_000, 100_000, 200_000]
+    assert peak < 50e6  # 1 million words at once: 80 MB and more
+
+
 def test_language_model_without_training_rows(spark):
     df = spark.createDataFrame([(2, "a b"), (9, None)], "doc_id long, text string")
     got = language_model_scores(df, F.lit(True)).collect()
