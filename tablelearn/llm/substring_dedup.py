@@ -149,6 +149,12 @@ def _unjoined(lists: DataFrame, sets: DataFrame, groups: DataFrame, near: DataFr
     them), in any order of the shingles; so the long list that a frequent phrase makes of a band is
     split without losing a pair.
     """
+    with Scratch(sets.sparkSession, "substring-unjoined") as step:  # only the pairs stay
+        return own.save(_prefix_pairs(lists, sets, groups, near, step, num))
+
+
+def _prefix_pairs(lists: DataFrame, sets: DataFrame, groups: DataFrame, near: DataFrame, own: Scratch, num: int) -> DataFrame:
+    """The pairs of ``_unjoined``, not yet written."""
     g = groups.select(F.col("node").alias("_g"), "component")
     grouped = own.save(lists.join(g, F.col("content") == F.col("_g"), "left").select(
         "band", "content", F.coalesce("component", "content").alias("grp")))
@@ -264,7 +270,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         links = own.save(_similar(near.select(F.col("content").alias("a"), F.col("pivot").alias("b")), sets, num))
         groups = connected_components(links, own)
         # what the pivots did not join: contents of bands with several groups, by their rarest shingles
-        rest = own.save(_unjoined(lists, sets, groups, near, own, num))
+        rest = _unjoined(lists, sets, groups, near, own, num)
         more = own.save(_similar(rest, sets, num))
         if not more.isEmpty():
             groups = connected_components(own.save(links.union(more)), own)
