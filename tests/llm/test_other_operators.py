@@ -12,11 +12,12 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tablelearn.llm import queries as Q
 from tablelearn.llm.common import Scratch, read_table
-from tablelearn.llm.language_model import END, FREQUENT, BUCKETS, Model, Tokens, Vocabulary, class_logs, classes_by_context, language_model_scores, word_counts
+from tablelearn.llm.language_model import END, FREQUENT, BUCKETS, Model, Tokens, Vocabulary, class_logs, classes_by_context, climbed, language_model_scores, looks, train, word_counts
 from tablelearn.llm.packing import CAPACITY, differencing, pack, token_ids, windows
 from tablelearn.llm.quality import fit, score
 from tablelearn.llm.topk import cover_tree, products, search, top_k
@@ -314,6 +315,55 @@ def test_language_model_beats_the_base_on_held_out_texts(spark):
     assert r[0] / r[2] > r[1] / r[2] + 0.05
 
 
+def test_language_model_trains_until_its_likelihood_settles(spark):
+    """Many more rounds of plain gradient steps find next to nothing."""
+    r = random.Random(5)
+    texts = []
+    for _ in range(200):
+        words = [r.randrange(40), r.randrange(40)]
+        while len(words) < 60:  # a word follows from the two before it
+            words.append((words[-1] * words[-2] + r.choice([1, 1, 1, 7])) % 40)
+        texts.append(" ".join(f"w{w}" for w in words))
+    c = Counter(w for t in texts for w in [*t.encode().split(), END])
+    h = [xxhash.xxh3_64_intdigest(w) for w in c]
+    counts = spark.createDataFrame([(x - (1 << 64) * (x >> 63), int(b), n) for x, b, n in zip(h, looks([*c]), c.values())], "h long, bucket int, c long")
+    model = train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), counts)
+    outcome, cells = Tokens([t.encode() for t in texts], Vocabulary(model)).contexts()
+    own = outcome // (len(model.outcome[0]) // 16)
+
+    by_class = np.array([np.bincount(cells[0], own == k, 2048) for k in range(16)])
+    share = np.bincount(outcome, minlength=512).reshape(16, -1).sum(1) + 0.5 * 32
+    first = by_class + 8 * (share / share.sum())[:, None]
+    start = np.zeros((3, 16, 2048))
+    start[0] = np.log(first / first.sum(0)) - np.log(share / share.sum())[:, None]
+
+    def value():
+        return class_logs(model, cells)[own, np.arange(len(own))].sum(dtype=float) - 4 * ((model.weights - start) ** 2).sum()
+
+    settled = value()
+    for _ in range(150):
+        p = np.exp(class_logs(model, cells)).astype(float)
+        for kind in range(3):
+            for k in range(16):
+                expected = np.bincount(cells[kind], p[k], 2048)
+                slope = np.bincount(cells[kind], own == k, 2048) - expected - 8 * (model.weights[kind, k] - start[kind, k])
+                model.weights[kind, k] += np.clip(slope / (expected + 8), -1, 1) / 4
+    assert value() < settled + 0.003 * len(own)
+
+def test_climb_halves_steps_that_do_not_climb():
+    """A narrow ridge, whose scale promises too much."""
+    top = np.array([3.0, -2.0])
+    seen = []
+
+    def height(x):
+        seen.append(x)
+        return -float(np.cosh(4 * (x - top)).sum()), -4 * np.sinh(4 * (x - top)), np.ones(2)
+
+    got = climbed(np.zeros(2), height, 1e-9)
+    assert np.allclose(got, top, atol=1e-4) and len(seen) < 60
+    assert np.array_equal(climbed(np.zeros(2), height, 1e-9, rounds=0), np.zeros(2))
+
+
 def test_class_and_outcome_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     model = Model({}, FREQUENT + np.arange(BUCKETS), 0, 0, np.zeros(BUCKETS), rng.normal(size=16).astype(np.float32),
