@@ -31,6 +31,52 @@ def test_best_rows_equal_those_of_plain_sums(metric, kw, kind):
         assert np.array_equal(ours, plain)
 
 
+@pytest.mark.parametrize("metric, kw", [("euclidean", {}), ("manhattan", {}), ("chebyshev", {}), ("minkowski", {"p": 1.5}), ("minkowski", {"p": 3.0}),
+                                        ("minkowski", {"p": 5.0}), ("cosine", {}), ("tanimoto", {}), ("std_euclidean", {"scales": (1.0, 0.0, 0.5, 2.0) * 4})])
+@pytest.mark.parametrize("kind", ["spread", "ties", "far", "small", "copies"])
+def test_tiles_return_what_plain_sums_return(monkeypatch, metric, kw, kind):
+    monkeypatch.setattr(directory, "STRIP", 128)
+    monkeypatch.setattr(directory, "PRODUCTS", 16)
+    rng = np.random.default_rng(6)
+    q, t = rng.normal(size=(50, 16)), rng.normal(size=(900, 16))
+    if kind == "ties":
+        q, t = np.round(q) + 0.5 * np.eye(16)[0], np.round(t) + 0.5 * np.eye(16)[0]
+    if kind == "far":
+        q, t = q + 1e6, t + 1e6
+    if kind == "small" and metric not in directory.SIMILARITIES:
+        q, t = q * 1e-150, t * 1e-150
+    if kind == "copies":
+        t[:] = t[0]
+    space, qa, ta = directory.Space(metric, 16, **kw), (q * q).sum(1), (t * t).sum(1)
+    rank, block = rng.permutation(900), np.sort(rng.integers(0, 9, 900))
+    by_rank = np.argsort(rank)
+    rows, at, scores = space.best_plain(q, t[by_rank], qa, ta[by_rank], 6)
+    home = np.sort(space.scores(q, t[:100], qa, ta[:100]), 1)[:, 5]
+    for bounds in (home, np.full(50, np.nan)):
+        r, c, s = space.tile(q, t, qa, ta, bounds, np.ones((50, 9), bool), block, rank, 6)
+        order = np.lexsort((rank[c], s, r))
+        assert np.array_equal(r[order], rows) and np.array_equal(c[order], by_rank[at]) and np.array_equal(s[order], scores)
+
+
+def test_vectors_are_not_sent_to_blocks_one_by_one(spark, monkeypatch):
+    """Vectors that nothing rules out meet in tiles; only the home blocks are met query by query."""
+    calls, met = [], directory._met
+    monkeypatch.setattr(directory, "_met", lambda *a: calls.append(1) or met(*a))
+    monkeypatch.setattr(directory, "PART", 64)
+    monkeypatch.setattr(directory, "SLAB", 64)
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(400, 8))
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id long, v array<double>")
+    got = {(r["id"], r["rank"]): r["other"] for r in pairwise.nearest(df, df.withColumnRenamed("id", "other"), "id", "other", "v", "v", 8, 3, block=16, fan=4).collect()}
+    d = ((v[:, None] - v) ** 2).sum(2)
+    assert len(calls) == 1 and all([got[i, 1], got[i, 2], got[i, 3]] == np.argsort(d[i])[:3].tolist() for i in range(400))
+
+
+def test_groups_are_numbered_up_to_a_size():
+    assert directory._numbered([3, 3, 3, 20, 1, 1], 6) == [(0, 1), (0, 1), (1, 1), (2, 4), (6, 1), (6, 1)]
+    assert directory._numbered([], 6) == []
+
+
 def test_ids_that_come_twice_leave_k_neighbours(spark):
     rows = [(1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [0.1, 1.0]), (3, [0.2, 1.0]), (4, [0.3, 1.0]), (5, [0.0, 1.0])]
     df = spark.createDataFrame(rows, "id int, v array<double>")
