@@ -1,10 +1,13 @@
 """Nearest rows: what the driver holds, and values that equal the plain ones."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tablelearn.operators import directory, pairwise
+from tablelearn.session import scratch_dir
 
 
 def test_no_row_sized_side_is_broadcast(spark):
@@ -77,6 +80,24 @@ def test_groups_are_numbered_up_to_a_size():
     assert directory._numbered([], 6) == []
 
 
+@pytest.mark.parametrize("slices", [1, 3])
+def test_sets_leave_only_what_the_result_reads(spark, monkeypatch, slices):
+    monkeypatch.setattr(pairwise, "SLICES", slices)
+    monkeypatch.setattr(pairwise, "SLICE_ROWS", 10)
+    before = set(os.listdir(scratch_dir(spark).removeprefix("file:")))
+    rng = np.random.default_rng(4)
+    rows = [(i, [int(x) for x in rng.integers(0, 60, rng.integers(0, 6))]) for i in range(150)] + [(200, None), (201, [3, 3, None])]
+    df = spark.createDataFrame(rows, "id long, s array<int>")
+    out = pairwise.nearest_sets(df, df.withColumnRenamed("id", "other"), "id", "other", "s", "s", 3, exclude_self=True)
+    left = {x.split("-")[1] for x in set(os.listdir(scratch_dir(spark).removeprefix("file:"))) - before if x.startswith("set-")}
+    assert left == {"train", "query", "found"}
+    got = {(r["id"], r["rank"]): (r["distance"], r["other"]) for r in out.collect()}
+    sets = [(i, set(s)) for i, s in rows if s is not None]
+    for i, a in sets:
+        want = sorted((1.0 - len(a & b) / len(a | b) if a | b else 0.0, j) for j, b in sets if j != i)[:3]
+        assert [got[i, 1], got[i, 2], got[i, 3]] == want
+
+
 def test_ids_that_come_twice_leave_k_neighbours(spark):
     rows = [(1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [0.1, 1.0]), (3, [0.2, 1.0]), (4, [0.3, 1.0]), (5, [0.0, 1.0])]
     df = spark.createDataFrame(rows, "id int, v array<double>")
